@@ -141,7 +141,7 @@ def q_range_windows(spark, sf_dir):
     day = F.to_date("l_shipdate")
     counts = _t(spark, sf_dir, "lineitem").agg(
         *[F.count(F.when(C.in_window(day, lo, hi), 1)).alias(lab) for lab, lo, hi in DATES.vol_windows])
-    rows = [F.struct(F.lit(lab).alias("window"), F.lit(lo).alias("lo"), F.lit(hi).alias("hi"),
+    rows = [F.struct(F.lit(lab).alias("qrt_window"), F.lit(lo).alias("lo"), F.lit(hi).alias("hi"),
                      F.col(lab).alias("n_rows")) for lab, lo, hi in DATES.vol_windows]
     return counts.select(F.inline(F.array(*rows)))
 
