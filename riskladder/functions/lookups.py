@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskladder.sources.local import local_table
+
 # --- fixed values: basic risk level by (type level 1, level 2, level 3) -----
 BASIC_RISK_LEVEL = [
     ("股票基金", "主动投资股票基金", "普通股票基金", "R3"),
@@ -97,8 +99,8 @@ MAPPING_DDL = "FundTypeName1 string, FundTypeName2 string, FundTypeName3 string,
 
 
 def risk_mapping(spark: SparkSession, level_column: str = "RiskLevel") -> DataFrame:
-    """The 47-row basic-level table; its size is fixed, so callers may broadcast it."""
-    df = spark.createDataFrame(BASIC_RISK_LEVEL, MAPPING_DDL)
+    """The 47-row basic-level table (a local relation of known size)."""
+    df = local_table(spark, BASIC_RISK_LEVEL, MAPPING_DDL)
     return df.withColumnRenamed("RiskLevel", level_column) if level_column != "RiskLevel" else df
 
 
@@ -108,8 +110,8 @@ def fund_type_risk_level(spark: SparkSession) -> DataFrame:
     for _, _, name3, _ in BASIC_RISK_LEVEL:
         if name3 not in seen:
             seen.append(name3)
-    return spark.createDataFrame([(str(i + 1), n) for i, n in enumerate(seen)],
-                                 "FundTypeCode string, FundTypeName string")
+    return local_table(spark, [(str(i + 1), n) for i, n in enumerate(seen)],
+                       "FundTypeCode string, FundTypeName string")
 
 
 def level_label(level) -> "F.Column":

@@ -36,6 +36,16 @@ def benchmark_scalar(index_vol: DataFrame, key: str = "InnerCode") -> Column:
     return row.select(F.struct(*row.columns).alias("b")).scalar()
 
 
+def with_benchmark(df: DataFrame, bench: Column, name: str = "_bench") -> DataFrame:
+    """Evaluate the benchmark sub-query once, as one struct column of ``df``.
+
+    Referencing fields of the sub-query expression directly would plant one
+    sub-query per reference in the plan (they are not always deduplicated);
+    one projected column keeps it to a single execution.
+    """
+    return df.withColumn(name, bench)
+
+
 def factors_and_standards(level: Column, bench: Column) -> dict[str, Column]:
     """SD factor and SD standard per quarter for levels R2/R3/R4 (others 0).
 

@@ -27,7 +27,8 @@ def attach_predecessor(df: DataFrame, pred: DataFrame) -> DataFrame:
     return df.join(pred, cond, "left")
 
 
-def left_lookup(df: DataFrame, table: DataFrame, keys: list[str], fixed_size: bool = False) -> DataFrame:
-    """Left equi-join USING ``keys``; a table of fixed, known size is broadcast,
-    anything else is left to the planner's size check."""
-    return df.join(F.broadcast(table) if fixed_size else table, keys, "left")
+def left_lookup(df: DataFrame, table: DataFrame, keys: list[str]) -> DataFrame:
+    """Left equi-join USING ``keys``. No broadcast hint: the planner broadcasts the
+    table when its known size is under the threshold and shuffles otherwise
+    (fixed tables are local relations of exact size, see ``sources.local``)."""
+    return df.join(table, keys, "left")

@@ -19,6 +19,7 @@ from riskladder.functions import rules as R
 from riskladder.operators import asof, benchmark, hierarchy, joins, propagate, returns, sizing
 from riskladder.plans import daily, master as master_plan, quarterly
 from riskladder.sources import standins as S
+from riskladder.sources.local import local_table
 
 AS_OF = dt.date(2001, 2, 15)
 DATES = C.rating_dates(AS_OF)
@@ -209,11 +210,11 @@ def q_hierarchy_join(spark, sf_dir):
 
 
 def q_lookup_three_key(spark, sf_dir):
-    conf = spark.createDataFrame(lookup_rows(), "r_name string, n_name string, c_mktsegment string, RiskLevel string")
+    conf = local_table(spark, lookup_rows(), "r_name string, n_name string, c_mktsegment string, RiskLevel string")
     c, n, r = _t(spark, sf_dir, "customer"), _t(spark, sf_dir, "nation"), _t(spark, sf_dir, "region")
     base = (c.join(n, c["c_nationkey"] == n["n_nationkey"]).join(r, n["n_regionkey"] == r["r_regionkey"])
              .select("c_custkey", "r_name", "n_name", "c_mktsegment"))
-    return joins.left_lookup(base, conf, ["r_name", "n_name", "c_mktsegment"], fixed_size=True)
+    return joins.left_lookup(base, conf, ["r_name", "n_name", "c_mktsegment"])
 
 
 def q_conversion_join(spark, sf_dir):
@@ -307,7 +308,8 @@ def _fund_factors(spark, sf_dir):
     vol = returns.volatility_quarters(S.unitnvrestored(spark, sf_dir), DATES)
     bench = benchmark.benchmark_scalar(_index_vol(spark, sf_dir))
     df = vol.withColumn("level", F.concat(F.lit("R"), (F.col("InnerCode") % 5 + 1).cast("string")))
-    return df.withColumns(benchmark.factors_and_standards(F.col("level"), bench))
+    df = benchmark.with_benchmark(df, bench)
+    return df.withColumns(benchmark.factors_and_standards(F.col("level"), F.col("_bench"))).drop("_bench")
 
 
 def q_sd_factor(spark, sf_dir):

@@ -26,7 +26,7 @@ def base_rating_daily(master: DataFrame, mapping: DataFrame, type_codes: DataFra
     newest = latest_batch(last_batch, "EndDate", "Number").select("SecurityCode")
     df = master.join(newest, "SecurityCode", "left_anti")
     df = fof_names(df)
-    df = left_lookup(df, mapping, NAME_KEYS, fixed_size=True)
+    df = left_lookup(df, mapping, NAME_KEYS)
     df = R.apply_base_rule(df, "InitialRiskLevel", "BasicRiskLevel")
     df = (df.withColumn("_x3", R.special_rule_daily("ChiName", "SecurityCode", "BasicRiskLevel"))
             .withColumns({"BasicRiskLevel": F.col("_x3.level"), "SpecialType": F.col("_x3.special")})

@@ -16,12 +16,13 @@ from riskladder.functions import lookups as L
 from riskladder.functions import rules as R
 from riskladder.functions.calendar import QUARTER_LABELS, RatingDates, rating_dates, tenure_months
 from riskladder.operators.asof import alive_at
-from riskladder.operators.benchmark import benchmark_scalar, factors_and_standards
+from riskladder.operators.benchmark import benchmark_scalar, factors_and_standards, with_benchmark
 from riskladder.operators.joins import attach_predecessor, left_lookup, predecessors
 from riskladder.operators.propagate import propagate_first
 from riskladder.operators.returns import volatility_quarters
 from riskladder.operators.sizing import nav_by_quarter
 from riskladder.plans.master import build_master
+from riskladder.session import materialize
 
 NAME_KEYS = ["FundTypeName1", "FundTypeName2", "FundTypeName3"]
 
@@ -56,12 +57,13 @@ def fof_names(df: DataFrame) -> DataFrame:
 
 def base_rating_quarterly(master: DataFrame, mapping: DataFrame, dates: RatingDates) -> DataFrame:
     """Mapping lookup, X1, name normalisation, predecessors, alive filter, X2, remark."""
-    df = left_lookup(master, mapping, NAME_KEYS, fixed_size=True)
+    df = left_lookup(master, mapping, NAME_KEYS)
     df = R.apply_base_rule(df, "RiskLevel", "InitRiskLevel")
     df = df.withColumns({
         "FundTypeName2": _replace_if("FundTypeName2", "指数型", "指数"),
         "FundTypeName1": _replace_if("FundTypeName1", "债券基金", "债券基金（不含封闭式）"),
     })
+    df = materialize(df)                                   # feeds both sides of the self-join
     pred = predecessors(df, dates.d2)                      # taken before the alive filter
     df = df.filter(alive_at("EstablishmentDate", "ExpireDate", dates.d1))
     df = df.withColumn("InitRiskLevel", R.special_rule_quarterly("ChiName", "SecurityCode", "InitRiskLevel"))
@@ -81,7 +83,8 @@ def final_rating_quarterly(base: DataFrame, dates: RatingDates, nav: DataFrame,
     })
     df = (df.join(last_state.select("InnerCode", "FundSizeStatus", "SDStatus"), "InnerCode", "left")
             .join(fund_vol, "InnerCode", "left"))
-    df = df.withColumns(factors_and_standards(F.col("InitRiskLevel"), bench))
+    df = with_benchmark(df, bench)
+    df = df.withColumns(factors_and_standards(F.col("InitRiskLevel"), F.col("_bench"))).drop("_bench")
     df = df.withColumn("SDFlag", R.sd_flag([f"{q}QrtSD" for q in QUARTER_LABELS],
                                            [f"{q}QrtStandard" for q in QUARTER_LABELS]))
     df = df.withColumn("_note", R.final_rating("InitRiskLevel", "EstablishmentLength", "NetAssetFlag",
@@ -101,7 +104,8 @@ def final_rating_quarterly(base: DataFrame, dates: RatingDates, nav: DataFrame,
         "SecurityCode": "SecuCode", "EstablishmentDate": "EstablishDate",
     })
     df = df.withColumn("IsMain", F.when(F.col("MainCode") == F.col("SecuCode"), 1).otherwise(2))
-    df = propagate_first(df.select(*FINAL_COLUMNS, "IsMain"), "MainCode", ["IsMain", "InnerCode"], PROPAGATED)
+    df = materialize(df.select(*FINAL_COLUMNS, "IsMain"))  # read twice by the propagation below
+    df = propagate_first(df, "MainCode", ["IsMain", "InnerCode"], PROPAGATED)
     df = df.select(*FINAL_COLUMNS).withColumns({
         "EndDate": F.lit(dates.d1),
         "RLDivisionMode": F.lit(2),

@@ -13,6 +13,7 @@ from pyspark.sql import SparkSession
 
 _DEFAULTS = {
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -52,3 +53,15 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     path = fallback or tempfile.mkdtemp(prefix="riskladder-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.sparkContext.setCheckpointDir(path)
     return path
+
+
+def materialize(df):
+    """Compute ``df`` once and cut its lineage (reliable checkpoint, shared folder).
+
+    Used where one intermediate feeds two branches of a plan (a self-join, an
+    aggregate joined back): both branches then read the checkpoint instead of
+    recomputing the upstream, and a lost executor re-reads it rather than
+    recomputing the return-series aggregation.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

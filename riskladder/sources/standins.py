@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from riskladder.functions import lookups as L
 from riskladder.operators.benchmark import BOND_INDEX, BROAD_INDEX
+from riskladder.sources.local import local_table
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
 
@@ -105,8 +106,8 @@ def fundarchives(spark, sf_dir) -> DataFrame:
 
 
 def fundtype(spark, sf_dir=None) -> DataFrame:
-    return spark.createDataFrame(TYPE_TREE, "FundTypeCode int, FundTypeName string, FNodeCode int, "
-                                            "Level int, IfExecuted int")
+    return local_table(spark, TYPE_TREE, "FundTypeCode int, FundTypeName string, FNodeCode int, "
+                                         "Level int, IfExecuted int")
 
 
 def fundtypechangenew(spark, sf_dir) -> DataFrame:
@@ -143,11 +144,12 @@ def fundrisklevel(spark, sf_dir) -> DataFrame:
 
 def mainfinancialindex(spark, sf_dir) -> DataFrame:
     n_funds = load(spark, sf_dir, "supplier").select(F.count(F.lit(1))).scalar()
-    code = (F.col("o_custkey") % n_funds).cast("int")
+    code = F.col("InnerCode")
     mult = F.when(code % 3 == 0, 4).when(code % 3 == 1, 20).otherwise(60)
-    return load(spark, sf_dir, "orders").select(
-        code.alias("InnerCode"), F.to_date("o_orderdate").alias("EndDate"),
-        (F.col("o_totalprice").cast("decimal(18,3)") * mult).cast("decimal(18,3)").alias("NetAssetsValue"))
+    return (load(spark, sf_dir, "orders")
+            .withColumn("InnerCode", (F.col("o_custkey") % n_funds).cast("int"))
+            .select("InnerCode", F.to_date("o_orderdate").alias("EndDate"),
+                    (F.col("o_totalprice").cast("decimal(18,3)") * mult).cast("decimal(18,3)").alias("NetAssetsValue")))
 
 
 def _pct() -> Column:
