@@ -49,7 +49,10 @@ def read_extract(spark: SparkSession, name: str, path: str, fmt: str = "csv",
 
 
 def corrupt_rows(df: DataFrame) -> DataFrame:
-    """Rows the CSV parser could not convert (df must come from keep_corrupt=True)."""
+    """Rows the CSV parser could not convert (df must come from keep_corrupt=True).
+
+    All columns are kept: Spark refuses a CSV query that reads nothing but the
+    corrupt-record column, so count these rows through a query over the row."""
     return df.filter(F.col(CORRUPT).isNotNull())
 
 
