@@ -15,10 +15,10 @@ from pyspark.sql import functions as F
 
 
 def write_rating(df: DataFrame, path: str, fmt: str = "parquet",
-                 partition_by: str | None = "EndDate") -> None:
+                 partition_by: str | list[str] | None = "EndDate") -> None:
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     if partition_by:
-        writer = writer.partitionBy(partition_by)
+        writer = writer.partitionBy(*([partition_by] if isinstance(partition_by, str) else partition_by))
     if fmt == "csv":
         writer = writer.option("header", True)
     writer.format(fmt).save(path)
