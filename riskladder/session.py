@@ -49,12 +49,15 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     only when the setting is absent (local tests). On a cluster the setting must
     point at shared storage, never at a machine-local folder.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if current:
-        return current
-    path = fallback or tempfile.mkdtemp(prefix="riskladder-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.sparkContext.setCheckpointDir(path)
-    return path
+    sc = spark.sparkContext
+    active = sc.getCheckpointDir()
+    if active:
+        return active
+    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    path = configured or fallback or tempfile.mkdtemp(prefix="riskladder-ckpt-",
+                                                      dir=os.environ.get("TMPDIR", "/tmp"))
+    sc.setCheckpointDir(path)
+    return sc.getCheckpointDir() or path
 
 
 def materialize(df):

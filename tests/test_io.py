@@ -67,3 +67,11 @@ def test_local_table_has_known_size_and_escapes(spark):
     df = local_table(spark, [(1, "it's", dt.date(2000, 1, 1)), (2, "back\\slash", None)], "a int, b string, c date")
     assert [tuple(r) for r in df.collect()] == [(1, "it's", dt.date(2000, 1, 1)), (2, "back\\slash", None)]
     assert df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() < 1000
+
+
+def test_checkpoint_dir_comes_from_session(spark, tmp_dir):
+    from riskladder.session import ensure_checkpoint_dir, materialize
+    current = ensure_checkpoint_dir(spark)
+    assert current and ensure_checkpoint_dir(spark, fallback=tmp_dir) == current   # never replaced once set
+    df = materialize(spark.range(10).filter("id % 2 = 0"))
+    assert df.count() == 5 and "ExistingRDD" in df._jdf.queryExecution().executedPlan().toString()
