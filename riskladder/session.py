@@ -46,16 +46,20 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     """Return the shared checkpoint folder named by the cluster.
 
     ``spark.checkpoint.dir`` is read from the session; a folder of our own is set
-    only when the setting is absent (local tests). On a cluster the setting must
-    point at shared storage, never at a machine-local folder.
+    only when the setting is absent and the master is local (tests). On a cluster
+    the setting must point at shared storage; without it this raises.
     """
     sc = spark.sparkContext
     active = sc.getCheckpointDir()
     if active:
         return active
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
-    path = configured or fallback or tempfile.mkdtemp(prefix="riskladder-ckpt-",
-                                                      dir=os.environ.get("TMPDIR", "/tmp"))
+    path = configured or fallback
+    if not path:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: point it at a folder shared by all "
+                               "executors (a machine-local folder does not survive executor loss)")
+        path = tempfile.mkdtemp(prefix="riskladder-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
 
