@@ -54,3 +54,13 @@ def test_daily_job(spark, tmp_dir):
     got = sorted(r.InnerCode for r in spark.read.parquet(out).collect())
     want = sorted(r.InnerCode for r in catalog.QUERIES["rating_daily"](spark, SF).collect())
     assert got == want
+
+
+def test_command_line_quarterly(spark, tmp_dir):
+    from riskladder.__main__ import main
+    ex, out = os.path.join(tmp_dir, "extracts"), os.path.join(tmp_dir, "cli")
+    _write_extracts(spark, ex, QUARTERLY_INPUTS)
+    main(["quarterly", "--extracts", ex, "--as-of", "2001-02-15", "--out", out])
+    table = spark.read.parquet(out)
+    assert table.count() == catalog.QUERIES["rating_quarterly"](spark, SF).count()
+    assert {r.EndDate for r in table.select("EndDate").distinct().collect()} == {dt.date(2000, 12, 31)}

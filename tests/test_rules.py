@@ -1,7 +1,6 @@
 """Truth tables of the rating rules (expected values written from the method's rule tables)."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from riskladder.functions import lookups as L
 from riskladder.functions import rules as R
