@@ -20,8 +20,6 @@ _DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # checkpoint files are deleted once their DataFrame is garbage-collected
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
-    # dynamic partition overwrite: re-running one EndDate replaces only that partition
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
