@@ -2,8 +2,10 @@
 
 ``latest_per_key`` is top-1 per key written as an aggregate, ``max(struct(order
 columns..., payload...))``: partial aggregation runs before the shuffle, so a key
-holding a third of all rows leaves each map task as one row. Its order columns
-end with the payload, which makes ties deterministic.
+holding a third of all rows leaves each map task as one row. The payload
+columns follow the order columns inside the struct, which makes ties
+deterministic. (A struct buffer plans as a sort-based aggregate; each map task
+sorts only its own rows.)
 """
 
 from __future__ import annotations

@@ -47,7 +47,10 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     only when the setting is absent and the master is local (tests). On a cluster
     the setting must point at shared storage; without it this raises.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:                      # Spark Connect: the server owns the folder
+        return spark.conf.get("spark.checkpoint.dir", None) or ""
     active = sc.getCheckpointDir()
     if active:
         return active
