@@ -51,6 +51,17 @@ def rows_of(records, cols):
     return Counter(tuple(_norm(r[i]) for i in order) for r in records)
 
 
+_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "smallint": "SMALLINT", "tinyint": "TINYINT",
+         "double": "DOUBLE", "float": "FLOAT", "string": "VARCHAR", "date": "DATE",
+         "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP WITH TIME ZONE", "boolean": "BOOLEAN"}
+
+
+def spark_type_as_duck(simple: str) -> str:
+    if simple.startswith("decimal"):
+        return simple.upper().replace(" ", "")
+    return _DUCK.get(simple, simple.upper())
+
+
 def compare(spark, con, name, sf_dir, queries, sqls):
     sdf = queries[name](spark, sf_dir)
     s_cols = sdf.columns
@@ -62,6 +73,11 @@ def compare(spark, con, name, sf_dir, queries, sqls):
     if sorted(s_cols) != sorted(d_cols):
         problems.append(f"columns differ: spark-only={sorted(set(s_cols) - set(d_cols))} "
                         f"sql-only={sorted(set(d_cols) - set(s_cols))}")
+    else:
+        d_types = {c: str(t).replace(" ", "") for c, t in zip(d_cols, rel.types)}
+        wrong = [(c, t, d_types[c]) for c, t in sdf.dtypes if spark_type_as_duck(t) != d_types[c]]
+        if wrong:
+            problems.append(f"types differ (column, spark, sql): {wrong}")
     if len(s_rows) != len(d_rows):
         problems.append(f"row count spark={len(s_rows)} sql={len(d_rows)}")
     if not problems:
