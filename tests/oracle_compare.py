@@ -32,13 +32,16 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+STRICT = os.environ.get("ORACLE_STRICT") == "1"   # exact float equality
+
+
 def _norm(v):
     if v is None:
         return None
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return float(f"{v:.12g}")
+        return v if STRICT else float(f"{v:.12g}")
     if isinstance(v, decimal.Decimal):
         return v.normalize() if v != 0 else decimal.Decimal(0)
     if isinstance(v, dt.datetime):
