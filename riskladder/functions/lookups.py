@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskladder.functions.memo import reusable
 from riskladder.sources.local import local_table
 
 # --- fixed values: basic risk level by (type level 1, level 2, level 3) -----
@@ -114,6 +115,7 @@ def fund_type_risk_level(spark: SparkSession) -> DataFrame:
                        "FundTypeCode string, FundTypeName string")
 
 
+@reusable
 def level_label(level) -> "F.Column":
     """R1..R5 -> label; null -> 未知; anything else -> null."""
     c = F.col(level) if isinstance(level, str) else level

@@ -1,0 +1,30 @@
+"""Reuse of built Column expressions."""
+
+from __future__ import annotations
+
+import functools
+
+from pyspark import SparkContext
+
+
+def reusable(fn):
+    """Build an expression once per Spark context and reuse it.
+
+    Columns are immutable, unresolved expression trees, so one instance can serve
+    every DataFrame; building the larger rules costs hundreds of JVM calls, which
+    repeated jobs (and each streaming micro-batch) would otherwise pay again.
+    Only calls made with column names (strings, or lists of them) are cached.
+    """
+    cache: dict = {}
+
+    @functools.wraps(fn)
+    def wrapper(*args):
+        key_args = tuple(tuple(a) if isinstance(a, list) else a for a in args)
+        if not all(isinstance(a, str) or (isinstance(a, tuple) and all(isinstance(x, str) for x in a))
+                   for a in key_args):
+            return fn(*args)
+        key = (id(SparkContext._active_spark_context), key_args)
+        if key not in cache:
+            cache[key] = fn(*args)
+        return cache[key]
+    return wrapper

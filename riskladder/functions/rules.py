@@ -14,6 +14,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from riskladder.functions import lookups as L
+from riskladder.functions.memo import reusable
 
 
 def _c(x) -> Column:
@@ -46,6 +47,7 @@ def _rule_struct(level: Column, names: tuple | None) -> Column:
     return F.struct(level.alias("level"), n1.alias("name1"), n2.alias("name2"), n3.alias("name3"))
 
 
+@reusable
 def base_risk_rule(name, code1, code2, level, share) -> Column:
     """X1 -> struct(level, name1, name2, name3); names are null when unchanged."""
     name, code1, code2, level, share = map(_c, (name, code1, code2, level, share))
@@ -97,6 +99,7 @@ def _reit(name: Column) -> Column:
     return F.upper(name).contains("REIT")
 
 
+@reusable
 def special_rule_quarterly(name, code, level) -> Column:
     """X2: keyword / code-list override of the quarterly base level."""
     name, code, level = map(_c, (name, code, level))
@@ -108,6 +111,7 @@ def special_rule_quarterly(name, code, level) -> Column:
             .otherwise(level))
 
 
+@reusable
 def special_rule_daily(name, code, level) -> Column:
     """X3 -> struct(level, special); special is null where the rule gives none."""
     name, code, level = map(_c, (name, code, level))
@@ -129,12 +133,14 @@ def special_rule_daily(name, code, level) -> Column:
 
 
 # --- X4: conversion remark -------------------------------------------------
+@reusable
 def conversion_remark(previous_name3) -> Column:
     c = _c(previous_name3)
     return F.when(F.length(c) > 0, F.format_string(L.CONVERSION_REMARK, c))
 
 
 # --- X5: size flag ---------------------------------------------------------
+@reusable
 def size_flag(forth, third, second, last) -> Column:
     """1 = small (last < 1000, or all four < 5000); 2 = all four > 5000; else 0."""
     f, t, s, l = map(_c, (forth, third, second, last))
@@ -145,6 +151,7 @@ def size_flag(forth, third, second, last) -> Column:
 
 
 # --- X8: volatility flag ---------------------------------------------------
+@reusable
 def sd_flag(sds: list, standards: list) -> Column:
     """1 = every SD above its standard; 2 = every SD at or below; else 0."""
     above = below = None
@@ -156,12 +163,14 @@ def sd_flag(sds: list, standards: list) -> Column:
 
 
 # --- X6: final rating state machine ----------------------------------------
+@reusable
 def level_up(level) -> Column:
     """One step riskier, capped at R5; null stays null."""
     digit = F.substring(_c(level), -1, 1).try_cast("int")
     return F.when(digit.isNotNull(), F.concat(F.lit("R"), F.least(digit + 1, F.lit(5)).cast("string")))
 
 
+@reusable
 def final_rating(level, months, size_f, size_status, sd_status, sd_f) -> Column:
     """X6 -> struct(level, reason, size_status, sd_status).
 
@@ -199,6 +208,7 @@ def final_rating(level, months, size_f, size_status, sd_status, sd_f) -> Column:
             .otherwise(out(lv)))
 
 
+@reusable
 def change_direction(reason) -> Column:
     r = _c(reason)
     return (F.when(r.contains(L.REASON_SIZE_UP), -1)
@@ -209,11 +219,13 @@ def change_direction(reason) -> Column:
 
 
 # --- C17 / C19 -------------------------------------------------------------
+@reusable
 def higher_level(a, b) -> Column:
     """The riskier of two R-codes; a null side yields the other (string order)."""
     return F.greatest(_c(a), _c(b))
 
 
+@reusable
 def level_code(n) -> Column:
     """Integer 1..5 -> 'R1'..'R5', anything else null."""
     c = _c(n)

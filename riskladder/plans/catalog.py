@@ -66,6 +66,7 @@ def fund_name(name: Column) -> Column:
     return F.array_join(F.transform(F.split(name, " "), tr), "")
 
 
+@S.per_session
 def part_funds(spark, sf_dir) -> DataFrame:
     """Parts as funds: name, code, base level, type codes and tranche."""
     k = F.col("p_partkey")

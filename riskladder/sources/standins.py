@@ -10,6 +10,7 @@ grows with the scale factor. The same derivation is written as SQL CTEs in
 from __future__ import annotations
 
 import datetime as dt
+import functools
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,7 +54,26 @@ TYPE_TREE = [
 CONVERSION_DAY = dt.date(2000, 11, 15)
 
 
+def per_session(fn):
+    """Declare a derived table once per (session, scale folder) and reuse the
+    DataFrame: it is a lazy plan, so every query still reads the whole table,
+    but re-declaring it would repeat file listing, footer reads and hundreds of
+    JVM calls per query."""
+    cache: dict = {}
+
+    @functools.wraps(fn)
+    def wrapper(spark, sf_dir=None, *args):
+        key = (id(spark), sf_dir, args)
+        df = cache.get(key)
+        if df is None or df.sparkSession is not spark:
+            df = cache[key] = fn(spark, sf_dir, *args)
+        return df
+    return wrapper
+
+
+@per_session
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table, opened once per session (``supplier`` feeds many derived tables)."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -73,6 +93,7 @@ def _days_after(day: dt.date, n: Column) -> Column:
     return F.date_add(F.lit(day), n.cast("int"))
 
 
+@per_session
 def secumain(spark, sf_dir) -> DataFrame:
     k = _k()
     return load(spark, sf_dir, "supplier").select(
@@ -84,6 +105,7 @@ def secumain(spark, sf_dir) -> DataFrame:
         F.when(k % 11 == 5, 5).when(k % 11 == 3, 3).when(k % 11 == 8, 9).otherwise(1).alias("ListedState"))
 
 
+@per_session
 def fundarchives(spark, sf_dir) -> DataFrame:
     k = _k()
     pred = k % 10 == 9
@@ -105,11 +127,13 @@ def fundarchives(spark, sf_dir) -> DataFrame:
          .when(k % 13 == 4, F.date_add(est, 2200)).alias("ExpireDate"))
 
 
+@per_session
 def fundtype(spark, sf_dir=None) -> DataFrame:
     return local_table(spark, TYPE_TREE, "FundTypeCode int, FundTypeName string, FNodeCode int, "
                                          "Level int, IfExecuted int")
 
 
+@per_session
 def fundtypechangenew(spark, sf_dir) -> DataFrame:
     k = _k()
     sup = load(spark, sf_dir, "supplier")
@@ -125,6 +149,7 @@ def fundtypechangenew(spark, sf_dir) -> DataFrame:
     return older.unionByName(newer)
 
 
+@per_session
 def fundrisklevel(spark, sf_dir) -> DataFrame:
     k = _k()
     sup = load(spark, sf_dir, "supplier")
@@ -142,6 +167,7 @@ def fundrisklevel(spark, sf_dir) -> DataFrame:
     return older.unionByName(newer)
 
 
+@per_session
 def mainfinancialindex(spark, sf_dir) -> DataFrame:
     n_funds = load(spark, sf_dir, "supplier").select(F.count(F.lit(1))).scalar()
     code = F.col("InnerCode")
@@ -156,6 +182,7 @@ def _pct() -> Column:
     return ((F.col("l_tax") - F.col("l_discount")) * 100).cast("decimal(18,8)")
 
 
+@per_session
 def unitnvrestored(spark, sf_dir) -> DataFrame:
     return load(spark, sf_dir, "lineitem").select(
         F.col("l_suppkey").cast("int").alias("InnerCode"),
@@ -164,6 +191,7 @@ def unitnvrestored(spark, sf_dir) -> DataFrame:
         _pct().alias("NVRDailyGrowthRate"))
 
 
+@per_session
 def index_quotes(spark, sf_dir, index_code: int, line_status: str) -> DataFrame:
     """One benchmark index: daily mean change of the lineitem rows of one line status."""
     return (load(spark, sf_dir, "lineitem")
@@ -182,6 +210,7 @@ def zzzcf(spark, sf_dir) -> DataFrame:
     return index_quotes(spark, sf_dir, BOND_INDEX, "O")
 
 
+@per_session
 def last_qrt(spark, sf_dir) -> DataFrame:
     k = _k()
     return load(spark, sf_dir, "supplier").select(
@@ -192,6 +221,7 @@ def last_qrt(spark, sf_dir) -> DataFrame:
         F.lit(None).cast("string").alias("HigherRiskLevelName"))
 
 
+@per_session
 def last_batch(spark, sf_dir) -> DataFrame:
     k = _k()
     return load(spark, sf_dir, "supplier").select(
