@@ -76,14 +76,16 @@ def base_rating_quarterly(master: DataFrame, mapping: DataFrame, dates: RatingDa
 def final_rating_quarterly(base: DataFrame, dates: RatingDates, nav: DataFrame,
                            last_state: DataFrame, fund_vol: DataFrame, bench: Column) -> DataFrame:
     """Size and volatility flags, X6, unpack, renames, propagation, 41 output columns."""
-    df = base.join(nav_by_quarter(nav, dates), "MainCode", "left")
+    # the benchmark sub-query sits in the first stage (over the base), so it runs
+    # alongside the series aggregation instead of after it
+    df = with_benchmark(base, bench)
+    df = df.join(nav_by_quarter(nav, dates), "MainCode", "left")
     df = df.withColumns({
         "EstablishmentLength": tenure_months(dates.d1, F.col("EstablishmentDate")),
         "NetAssetFlag": R.size_flag(*[f"{q}QrtNV" for q in reversed(QUARTER_LABELS)]),
     })
     df = (df.join(last_state.select("InnerCode", "FundSizeStatus", "SDStatus"), "InnerCode", "left")
             .join(fund_vol, "InnerCode", "left"))
-    df = with_benchmark(df, bench)
     df = df.withColumns(factors_and_standards(F.col("InitRiskLevel"), F.col("_bench"))).drop("_bench")
     df = df.withColumn("SDFlag", R.sd_flag([f"{q}QrtSD" for q in QUARTER_LABELS],
                                            [f"{q}QrtStandard" for q in QUARTER_LABELS]))
