@@ -227,7 +227,8 @@ ADAPTER = {
              WHEN 0 THEN 4 WHEN 1 THEN 20 ELSE 60 END AS DECIMAL(18,3)) AS NetAssetsValue
       FROM orders""",
     "unitnvrestored": f"""SELECT CAST(l_suppkey AS INTEGER) AS InnerCode, CAST(l_shipdate AS DATE) AS TradingDay,
-        {PCT} AS NVRDailyGrowthRate FROM lineitem""",
+        CAST(CASE WHEN l_suppkey % {S.CALM_SHARE} = 1 THEN (l_tax - l_discount) * 100 * CAST({S.CALM_SCALE} AS DOUBLE)
+                  ELSE (l_tax - l_discount) * 100 END AS DECIMAL(18,8)) AS NVRDailyGrowthRate FROM lineitem""",
     "zzqz": f"""SELECT {BROAD_INDEX} AS InnerCode, CAST(l_shipdate AS DATE) AS TradingDay,
         CAST(NULL AS DECIMAL(18,4)) AS ClosePrice, CAST(avg(CAST({PCT} AS DOUBLE)) AS DECIMAL(18,8)) AS ChangePCT
       FROM lineitem WHERE l_linestatus = 'F' GROUP BY CAST(l_shipdate AS DATE)""",
@@ -235,8 +236,9 @@ ADAPTER = {
         CAST(NULL AS DECIMAL(18,4)) AS ClosePrice, CAST(avg(CAST({PCT} AS DOUBLE)) AS DECIMAL(18,8)) AS ChangePCT
       FROM lineitem WHERE l_linestatus = 'O' GROUP BY CAST(l_shipdate AS DATE)""",
     "last_qrt": """SELECT CAST(s_suppkey AS INTEGER) AS InnerCode,
-        CASE WHEN s_suppkey % 3 <> 2 THEN CAST(s_suppkey % 3 AS INTEGER) END AS FundSizeStatus,
-        CASE WHEN s_suppkey % 5 < 4 THEN CAST(s_suppkey % 2 AS INTEGER) END AS SDStatus FROM supplier""",
+        CASE WHEN s_suppkey % 5 <> 4 THEN CAST(s_suppkey % 5 % 2 AS INTEGER) END AS FundSizeStatus,
+        CAST(CASE WHEN s_suppkey % 7 = 6 THEN NULL WHEN s_suppkey % 7 >= 3 THEN 1 ELSE 0 END AS INTEGER) AS SDStatus
+      FROM supplier""",
     "last_batch": f"""SELECT CASE WHEN s_suppkey % 4 = 3 THEN {d(dt.date(2000, 9, 30))} ELSE {d(dt.date(2000, 12, 31))} END AS EndDate,
         CASE WHEN s_suppkey % 17 = 5 THEN NULL ELSE {code6('s_suppkey')} END AS SecurityCode,
         CASE WHEN s_suppkey % 4 = 1 THEN 1 WHEN s_suppkey % 4 = 3 THEN 3 ELSE 2 END AS Number FROM supplier""",

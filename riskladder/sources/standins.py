@@ -182,13 +182,21 @@ def _pct() -> Column:
     return ((F.col("l_tax") - F.col("l_discount")) * 100).cast("decimal(18,8)")
 
 
+# one fund in four is a low-volatility fund: its daily changes are a tenth as large
+CALM_SHARE = 4
+CALM_SCALE = 0.1
+
+
 @per_session
 def unitnvrestored(spark, sf_dir) -> DataFrame:
+    calm = F.col("l_suppkey") % CALM_SHARE == 1
+    raw = (F.col("l_tax") - F.col("l_discount")) * 100
+    rate = F.when(calm, raw * CALM_SCALE).otherwise(raw).cast("decimal(18,8)")
     return load(spark, sf_dir, "lineitem").select(
         F.col("l_suppkey").cast("int").alias("InnerCode"),
         F.to_date("l_shipdate").alias("TradingDay"),
         F.col("l_extendedprice").cast("decimal(18,6)").alias("UnitNVRestored"),
-        _pct().alias("NVRDailyGrowthRate"))
+        rate.alias("NVRDailyGrowthRate"))
 
 
 @per_session
@@ -215,8 +223,9 @@ def last_qrt(spark, sf_dir) -> DataFrame:
     k = _k()
     return load(spark, sf_dir, "supplier").select(
         k.cast("int").alias("InnerCode"),
-        F.when(k % 3 != 2, (k % 3).cast("int")).alias("FundSizeStatus"),
-        F.when(k % 5 < 4, (k % 2).cast("int")).alias("SDStatus"),
+        # moduli independent of the NAV multiplier (% 3) and the calm funds (% 4)
+        F.when(k % 5 != 4, (k % 5 % 2).cast("int")).alias("FundSizeStatus"),
+        F.when(k % 7 >= 3, F.when(k % 7 != 6, 1)).otherwise(0).cast("int").alias("SDStatus"),
         F.lit(None).cast("string").alias("HigherRiskLevel"),
         F.lit(None).cast("string").alias("HigherRiskLevelName"))
 
