@@ -128,3 +128,14 @@ def test_benchmark_row_is_one_row(spark):
     idx = S.zzqz(spark, SF).unionByName(S.zzzcf(spark, SF))
     rows = benchmark_row(returns.volatility_quarters(idx, dates, rate="ChangePCT")).collect()
     assert len(rows) == 1 and len(rows[0]) == 8
+
+
+def test_volatility_window_filter_reaches_parquet_scan(spark, tmp_dir):
+    from riskladder.sources import readers
+    path = f"{tmp_dir}/unitnvrestored.parquet"
+    S.unitnvrestored(spark, SF).write.parquet(path)
+    series = readers.read_extract(spark, "unitnvrestored", path, fmt="parquet")
+    plan = returns.volatility_quarters(series, rating_dates(D(2001, 2, 15)))._jdf.queryExecution().executedPlan().toString()
+    scan = next(line for line in plan.splitlines() if "FileScan parquet" in line)
+    assert "GreaterThan(TradingDay,1997-03-31)" in scan and "LessThanOrEqual(TradingDay,2000-12-31" in scan
+    assert "ReadSchema: struct<InnerCode:int,TradingDay:date,NVRDailyGrowthRate:decimal(18,8)>" in scan
