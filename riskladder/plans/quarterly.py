@@ -55,15 +55,24 @@ def fof_names(df: DataFrame) -> DataFrame:
     })
 
 
-def base_rating_quarterly(master: DataFrame, mapping: DataFrame, dates: RatingDates) -> DataFrame:
-    """Mapping lookup, X1, name normalisation, predecessors, alive filter, X2, remark."""
+def _once(df: DataFrame, checkpoint: bool) -> DataFrame:
+    return materialize(df) if checkpoint else df
+
+
+def base_rating_quarterly(master: DataFrame, mapping: DataFrame, dates: RatingDates,
+                          checkpoint: bool = True) -> DataFrame:
+    """Mapping lookup, X1, name normalisation, predecessors, alive filter, X2, remark.
+
+    ``checkpoint`` computes the frame that feeds both sides of the predecessor
+    self-join once (see ``session.materialize``); without it the plan computes it twice.
+    """
     df = left_lookup(master, mapping, NAME_KEYS)
     df = R.apply_base_rule(df, "RiskLevel", "InitRiskLevel")
     df = df.withColumns({
         "FundTypeName2": _replace_if("FundTypeName2", "指数型", "指数"),
         "FundTypeName1": _replace_if("FundTypeName1", "债券基金", "债券基金（不含封闭式）"),
     })
-    df = materialize(df)                                   # feeds both sides of the self-join
+    df = _once(df, checkpoint)                             # feeds both sides of the self-join
     pred = predecessors(df, dates.d2)                      # taken before the alive filter
     df = df.filter(alive_at("EstablishmentDate", "ExpireDate", dates.d1))
     df = df.withColumn("InitRiskLevel", R.special_rule_quarterly("ChiName", "SecurityCode", "InitRiskLevel"))
@@ -74,7 +83,8 @@ def base_rating_quarterly(master: DataFrame, mapping: DataFrame, dates: RatingDa
 
 
 def final_rating_quarterly(base: DataFrame, dates: RatingDates, nav: DataFrame,
-                           last_state: DataFrame, fund_vol: DataFrame, bench: Column) -> DataFrame:
+                           last_state: DataFrame, fund_vol: DataFrame, bench: Column,
+                           checkpoint: bool = True) -> DataFrame:
     """Size and volatility flags, X6, unpack, renames, propagation, 41 output columns."""
     # the benchmark sub-query sits in the first stage (over the base), so it runs
     # alongside the series aggregation instead of after it
@@ -106,7 +116,7 @@ def final_rating_quarterly(base: DataFrame, dates: RatingDates, nav: DataFrame,
         "SecurityCode": "SecuCode", "EstablishmentDate": "EstablishDate",
     })
     df = df.withColumn("IsMain", F.when(F.col("MainCode") == F.col("SecuCode"), 1).otherwise(2))
-    df = materialize(df.select(*FINAL_COLUMNS, "IsMain"))  # read twice by the propagation below
+    df = _once(df.select(*FINAL_COLUMNS, "IsMain"), checkpoint)   # read twice by the propagation
     df = propagate_first(df, "MainCode", ["IsMain", "InnerCode"], PROPAGATED)
     df = df.select(*FINAL_COLUMNS).withColumns({
         "EndDate": F.lit(dates.d1),
@@ -124,7 +134,8 @@ def final_rating_quarterly(base: DataFrame, dates: RatingDates, nav: DataFrame,
     return df.na.fill(0, subset=ZERO_FILLED)
 
 
-def run_quarterly(t: dict[str, DataFrame], as_of: dt.date, mapping: DataFrame) -> DataFrame:
+def run_quarterly(t: dict[str, DataFrame], as_of: dt.date, mapping: DataFrame,
+                  checkpoint: bool = True) -> DataFrame:
     """Quarterly rating at ``as_of`` from the named input tables.
 
     ``t`` keys: secumain, fundarchives, fundtype, fundrisklevel, fundtypechangenew,
@@ -133,9 +144,9 @@ def run_quarterly(t: dict[str, DataFrame], as_of: dt.date, mapping: DataFrame) -
     dates = rating_dates(as_of)
     master = build_master(t["secumain"], t["fundarchives"], t["fundtype"], t["fundrisklevel"],
                           t["fundtypechangenew"], dates.d1, dates.d1)
-    base = base_rating_quarterly(master, mapping, dates)
+    base = base_rating_quarterly(master, mapping, dates, checkpoint)
     fund_vol = volatility_quarters(t["unitnvrestored"], dates, rate="NVRDailyGrowthRate")
     index_series = t["zzqz"].unionByName(t["zzzcf"])
     bench = benchmark_scalar(volatility_quarters(index_series, dates, rate="ChangePCT"))
     nav = t["mainfinancialindex"].join(t["fundarchives"].select("InnerCode", "MainCode"), "InnerCode", "left")
-    return final_rating_quarterly(base, dates, nav, t["last_qrt"], fund_vol, bench)
+    return final_rating_quarterly(base, dates, nav, t["last_qrt"], fund_vol, bench, checkpoint)

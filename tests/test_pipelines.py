@@ -67,3 +67,16 @@ def test_permuted_inputs_give_the_same_rating(spark):
     a = sorted(tuple(r) for r in run_quarterly(tables, catalog.AS_OF, L.risk_mapping(spark)).select(*cols).collect())
     b = sorted(tuple(r) for r in run_quarterly(shuffled, catalog.AS_OF, L.risk_mapping(spark)).select(*cols).collect())
     assert a == b and a
+
+
+def test_checkpoint_flag_does_not_change_results(spark):
+    from riskladder.functions import lookups as L
+    from riskladder.plans import catalog
+    from riskladder.plans.quarterly import run_quarterly
+    from riskladder.sources import standins
+    t = standins.fund_tables(spark, SF)
+    cols = ["InnerCode", "RiskLevel", "ChangeReason", "FundSizeStatus", "SDStatus", "LastQrtNV"]
+    a = sorted(tuple(r) for r in run_quarterly(t, catalog.AS_OF, L.risk_mapping(spark)).select(*cols).collect())
+    b = sorted(tuple(r) for r in run_quarterly(t, catalog.AS_OF, L.risk_mapping(spark), checkpoint=False)
+               .select(*cols).collect())
+    assert a == b and a
