@@ -459,6 +459,12 @@ def q_rating_daily(spark, sf_dir):
                            L.fund_type_risk_level(spark))
 
 
+def q_rating_daily_uncut(spark, sf_dir):
+    """The daily rating as the original job ran it: newest type even if it starts later."""
+    return daily.run_daily(S.fund_tables(spark, sf_dir), AS_OF, L.risk_mapping(spark, "InitialRiskLevel"),
+                           L.fund_type_risk_level(spark), cut_type_history=False)
+
+
 def q_rating_quarterly(spark, sf_dir):
     out = quarterly.run_quarterly(S.fund_tables(spark, sf_dir), AS_OF, L.risk_mapping(spark))
     return out.withColumns(_round(_sd_cols() + _sd_cols("QrtSDFactor")))

@@ -322,12 +322,13 @@ PART_FUNDS = f"""SELECT p_partkey, p_name, p_type, p_brand, p_size,
 # ---------------------------------------------------------------------------
 # master / base / daily / quarterly chains
 # ---------------------------------------------------------------------------
-def master_ctes(type_cut: dt.date) -> dict[str, str]:
+def master_ctes(type_cut: dt.date | None) -> dict[str, str]:
     c = dict(ADAPTER)
     c["sm"] = "SELECT * FROM secumain WHERE SecuCategory IN (8, 13) AND ListedState IN (1, 3, 9)"
     c["ftc"] = f"""SELECT InnerCode, FundType AS FundTypeCode3 FROM (
         SELECT *, row_number() OVER (PARTITION BY InnerCode ORDER BY StartDate DESC NULLS LAST, FundType DESC NULLS LAST) AS rn
-        FROM fundtypechangenew WHERE StartDate <= {d(type_cut)}) WHERE rn = 1 AND NOT starts_with(CAST(FundType AS VARCHAR), '18')"""
+        FROM fundtypechangenew {f"WHERE StartDate <= {d(type_cut)}" if type_cut else ""}) WHERE rn = 1
+        AND NOT starts_with(CAST(FundType AS VARCHAR), '18')"""
     c["tree"] = """SELECT l1.FundTypeCode AS FundTypeCode1, l1.FundTypeName AS FundTypeName1,
           l2.FundTypeCode AS FundTypeCode2, l2.FundTypeName AS FundTypeName2,
           l3.FundTypeCode AS FundTypeCode3, l3.FundTypeName AS FundTypeName3
@@ -386,8 +387,8 @@ def base_ctes() -> dict[str, str]:
     return c
 
 
-def daily_sql() -> str:
-    c = master_ctes(Q.AS_OF)
+def daily_sql(cut: bool = True) -> str:
+    c = master_ctes(Q.AS_OF if cut else None)
     type_codes = [(str(i + 1), n) for i, n in enumerate(dict.fromkeys(r[2] for r in L.BASIC_RISK_LEVEL))]
     c["ftl"] = f"SELECT * FROM {values(type_codes, ['FundTypeCode', 'FundTypeName'])}"
     c["newest"] = ("SELECT SecurityCode FROM last_batch WHERE EndDate = (SELECT max(EndDate) FROM last_batch) "
@@ -619,6 +620,7 @@ def _sql() -> dict[str, str]:
     o["master"] = with_ctes(master_ctes(D.d1), f"SELECT {mcols} FROM master")
     o["rating_base"] = with_ctes(base_ctes(), f"SELECT {', '.join(Q.BASE_COLUMNS)} FROM base")
     o["rating_daily"] = daily_sql()
+    o["rating_daily_uncut"] = daily_sql(cut=False)
     o["rating_quarterly"] = quarterly_sql()
     return o
 
