@@ -41,11 +41,12 @@ def official_rating(ratings: DataFrame, as_of: dt.date) -> DataFrame:
 
 def build_master(secumain: DataFrame, fundarchives: DataFrame, fundtype: DataFrame,
                  fundrisklevel: DataFrame, fundtypechangenew: DataFrame,
-                 d1: dt.date, type_as_of: dt.date | None = None) -> DataFrame:
+                 d1: dt.date, type_as_of: dt.date | None) -> DataFrame:
     """Funds (category, listing) -> archive -> current type (inner) -> type path -> official level.
 
-    ``type_as_of`` cuts the type history (defaults to ``d1``); pass ``None`` to
-    take the newest type regardless of its start date.
+    ``d1`` cuts the official ratings; ``type_as_of`` cuts the type history (the
+    quarterly job passes D1, the daily job its run date); ``None`` takes the
+    newest type regardless of its start date.
     """
     return (listed_funds(secumain)
             .join(fundarchives, "InnerCode", "left")
