@@ -50,7 +50,7 @@ def quarterly_job(spark: SparkSession, extract_dir: str, as_of: dt.date, output:
     if "last_qrt" not in t:
         if not state_path:
             raise ValueError("no last_qrt extract and no state_path to read last quarter's state from")
-        t["last_qrt"] = sinks.read_previous_state(spark, state_path, rating_dates(as_of).d2)
+        t["last_qrt"] = sinks.read_previous_state(spark, state_path, rating_dates(as_of).d2, out_format)
     rated = run_quarterly(t, as_of, L.risk_mapping(spark))
     sinks.write_rating(rated, output, out_format)
     return rated

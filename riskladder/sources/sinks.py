@@ -24,9 +24,12 @@ def write_rating(df: DataFrame, path: str, fmt: str = "parquet",
     writer.format(fmt).save(path)
 
 
-def read_previous_state(spark: SparkSession, path: str, previous_end: dt.date) -> DataFrame:
-    """FundSizeStatus / SDStatus carried from the run whose EndDate is ``previous_end``."""
-    return (spark.read.parquet(path)
-            .filter(F.col("EndDate") == F.lit(previous_end))
-            .select("InnerCode", "FundSizeStatus", "SDStatus",
-                    "HigherRiskLevel", "HigherRiskLevelName"))
+def read_previous_state(spark: SparkSession, path: str, previous_end: dt.date,
+                        fmt: str = "parquet") -> DataFrame:
+    """FundSizeStatus / SDStatus carried from the run whose EndDate is ``previous_end``
+    (a partition filter: only that quarter's files are read)."""
+    table = (spark.read.option("header", True).csv(path) if fmt == "csv" else spark.read.parquet(path))
+    return (table.filter(F.col("EndDate") == F.lit(previous_end))
+                 .select(F.col("InnerCode").cast("int"), F.col("FundSizeStatus").cast("int"),
+                         F.col("SDStatus").cast("int"), F.col("HigherRiskLevel").cast("string"),
+                         F.col("HigherRiskLevelName").cast("string")))

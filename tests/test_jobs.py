@@ -64,3 +64,15 @@ def test_command_line_quarterly(spark, tmp_dir):
     table = spark.read.parquet(out)
     assert table.count() == catalog.QUERIES["rating_quarterly"](spark, SF).count()
     assert {r.EndDate for r in table.select("EndDate").distinct().collect()} == {dt.date(2000, 12, 31)}
+
+
+def test_quarterly_state_from_csv_result_table(spark, tmp_dir):
+    ex, out = os.path.join(tmp_dir, "extracts"), os.path.join(tmp_dir, "rating_csv")
+    _write_extracts(spark, ex, QUARTERLY_INPUTS)
+    first = quarterly_job(spark, ex, dt.date(2000, 11, 15), out, out_format="csv")
+    ex2 = os.path.join(tmp_dir, "extracts2")
+    _write_extracts(spark, ex2, [n for n in QUARTERLY_INPUTS if n != "last_qrt"])
+    quarterly_job(spark, ex2, dt.date(2001, 2, 15), out, state_path=out, out_format="csv")
+    table = spark.read.option("header", True).csv(out)
+    assert table.filter(F.col("EndDate") == "2000-09-30").count() == first.count()
+    assert table.filter(F.col("EndDate") == "2000-12-31").count() > 0
