@@ -24,15 +24,16 @@ def main(argv=None) -> None:
     ap.add_argument("--out-format", default="parquet", choices=["csv", "parquet"])
     ap.add_argument("--encoding", action="append", default=[], metavar="NAME=CHARSET")
     ap.add_argument("--state", help="quarterly: previous result table to take last quarter's state from")
+    ap.add_argument("--mapping", help="basic-level table to use instead of the built-in one (.csv or .yaml)")
     ap.add_argument("--no-type-cut", action="store_true",
                     help="daily: take the newest type even if it starts after the rating date")
     a = ap.parse_args(argv)
     enc = dict(e.split("=", 1) for e in a.encoding)
     spark = SparkSession.builder.appName(f"riskladder-{a.job}").getOrCreate()
     if a.job == "quarterly":
-        quarterly_job(spark, a.extracts, a.as_of, a.out, a.format, enc, a.state, a.out_format)
+        quarterly_job(spark, a.extracts, a.as_of, a.out, a.format, enc, a.state, a.out_format, a.mapping)
     else:
-        daily_job(spark, a.extracts, a.as_of, a.out, a.format, enc, a.out_format, not a.no_type_cut)
+        daily_job(spark, a.extracts, a.as_of, a.out, a.format, enc, a.out_format, not a.no_type_cut, a.mapping)
 
 
 if __name__ == "__main__":

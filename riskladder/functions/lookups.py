@@ -105,6 +105,27 @@ def risk_mapping(spark: SparkSession, level_column: str = "RiskLevel") -> DataFr
     return df.withColumnRenamed("RiskLevel", level_column) if level_column != "RiskLevel" else df
 
 
+def read_risk_mapping(spark: SparkSession, path: str, level_column: str = "RiskLevel") -> DataFrame:
+    """A replacement basic-level table from a file.
+
+    ``.csv``: header ``FundTypeName1,FundTypeName2,FundTypeName3,RiskLevel``, read by
+    Spark. ``.yaml`` / ``.yml``: the original configuration layout
+    (``fund_risk_estimate.basic_risk_level``: a list of 4-string rows), parsed on the
+    driver - it is a small, hand-edited file - and turned into a sized local table.
+    """
+    if path.endswith((".yaml", ".yml")):
+        try:
+            import yaml
+        except ImportError as e:                     # optional dependency
+            raise RuntimeError("reading a YAML mapping needs PyYAML; use a CSV mapping") from e
+        with open(path, encoding="utf-8") as f:
+            rows = yaml.safe_load(f)["fund_risk_estimate"]["basic_risk_level"]
+        df = local_table(spark, [tuple(str(v) for v in r) for r in rows], MAPPING_DDL)
+    else:
+        df = spark.read.option("header", True).option("enforceSchema", False).schema(MAPPING_DDL).csv(path)
+    return df.withColumnRenamed("RiskLevel", level_column) if level_column != "RiskLevel" else df
+
+
 def fund_type_risk_level(spark: SparkSession) -> DataFrame:
     """Daily type-code table: distinct level-3 names numbered in table order."""
     seen: list[str] = []

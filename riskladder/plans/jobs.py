@@ -44,27 +44,31 @@ def read_inputs(spark: SparkSession, extract_dir: str, names: list[str], fmt: st
 
 def quarterly_job(spark: SparkSession, extract_dir: str, as_of: dt.date, output: str, fmt: str = "csv",
                   encodings: dict[str, str] | None = None, state_path: str | None = None,
-                  out_format: str = "parquet") -> DataFrame:
-    """Quarterly rating at ``as_of``; writes partition EndDate = D1 of ``output``."""
+                  out_format: str = "parquet", mapping_path: str | None = None) -> DataFrame:
+    """Quarterly rating at ``as_of``; writes partition EndDate = D1 of ``output``.
+    ``mapping_path`` replaces the built-in basic-level table (CSV or YAML)."""
     t = read_inputs(spark, extract_dir, QUARTERLY_INPUTS, fmt, encodings, optional=("last_qrt",))
     if "last_qrt" not in t:
         if not state_path:
             raise ValueError("no last_qrt extract and no state_path to read last quarter's state from")
         t["last_qrt"] = sinks.read_previous_state(spark, state_path, rating_dates(as_of).d2, out_format)
-    rated = run_quarterly(t, as_of, L.risk_mapping(spark))
+    mapping = L.read_risk_mapping(spark, mapping_path) if mapping_path else L.risk_mapping(spark)
+    rated = run_quarterly(t, as_of, mapping)
     sinks.write_rating(rated, output, out_format)
     return rated
 
 
 def daily_job(spark: SparkSession, extract_dir: str, as_of: dt.date, output: str, fmt: str = "csv",
               encodings: dict[str, str] | None = None, out_format: str = "parquet",
-              cut_type_history: bool = True) -> DataFrame:
+              cut_type_history: bool = True, mapping_path: str | None = None) -> DataFrame:
     """Daily pre-rating at ``as_of``; writes partition EndDate = as_of - 1 of ``output``."""
     t = read_inputs(spark, extract_dir, DAILY_INPUTS + ["fundtyperisklevel"], fmt, encodings,
                     optional=("fundtyperisklevel",))
     type_codes = t.pop("fundtyperisklevel", None)
     if type_codes is None:
         type_codes = L.fund_type_risk_level(spark)
-    rated = run_daily(t, as_of, L.risk_mapping(spark, "InitialRiskLevel"), type_codes, cut_type_history)
+    mapping = (L.read_risk_mapping(spark, mapping_path, "InitialRiskLevel") if mapping_path
+               else L.risk_mapping(spark, "InitialRiskLevel"))
+    rated = run_daily(t, as_of, mapping, type_codes, cut_type_history)
     sinks.write_rating(rated, output, out_format)
     return rated

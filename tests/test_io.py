@@ -75,3 +75,18 @@ def test_checkpoint_dir_comes_from_session(spark, tmp_dir):
     assert current and ensure_checkpoint_dir(spark, fallback=tmp_dir) == current   # never replaced once set
     df = materialize(spark.range(10).filter("id % 2 = 0"))
     assert df.count() == 5 and "ExistingRDD" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_risk_mapping_from_csv_and_yaml(spark, tmp_dir):
+    from riskladder.functions import lookups as L
+    rows = L.BASIC_RISK_LEVEL[:3]
+    csv = os.path.join(tmp_dir, "mapping.csv")
+    _write(csv, "FundTypeName1,FundTypeName2,FundTypeName3,RiskLevel\n" + "".join(",".join(r) + "\n" for r in rows))
+    got = sorted(tuple(r) for r in L.read_risk_mapping(spark, csv).collect())
+    assert got == sorted(rows)
+    yml = os.path.join(tmp_dir, "mapping.yaml")
+    body = ", ".join("[" + ", ".join(f'"{v}"' for v in r) + "]" for r in rows)
+    _write(yml, "fund_risk_estimate:\n  basic_risk_level: [" + body + "]\n")
+    got = sorted(tuple(r) for r in L.read_risk_mapping(spark, yml, "InitialRiskLevel").collect())
+    assert got == sorted(rows)
+    assert L.read_risk_mapping(spark, yml, "InitialRiskLevel").columns[-1] == "InitialRiskLevel"
