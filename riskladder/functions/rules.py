@@ -170,42 +170,79 @@ def level_up(level) -> Column:
     return F.when(digit.isNotNull(), F.concat(F.lit("R"), F.least(digit + 1, F.lit(5)).cast("string")))
 
 
-@reusable
-def final_rating(level, months, size_f, size_status, sd_status, sd_f) -> Column:
-    """X6 -> struct(level, reason, size_status, sd_status).
+# One row per branch of the state machine, in first-match order:
+# (level: keep or up, reason, new size status, new volatility status); None = unchanged.
+_UP, _KEEP = "up", "keep"
+FINAL_OUTCOMES = [
+    (_KEEP, None, None, None),                                            # 0  younger than 18 months
+    (_KEEP, L.REASON_SIZE_UP, 0, 0),                                      # 1  18-42: size back up
+    (_UP, None, None, None),                                              # 2  18-42: uplift stays
+    (_UP, L.REASON_SIZE_DOWN, 1, 0),                                      # 3  18-42: size down
+    (_KEEP, None, None, None),                                            # 4  18-42: otherwise
+    (_KEEP, L.REASON_SIZE_UP + "," + L.REASON_SD_DOWN, 0, 0),             # 5  >42: both revert
+    (_KEEP, L.REASON_SIZE_UP, 0, 0),                                      # 6  >42: size reverts
+    (_KEEP, L.REASON_SD_DOWN, 0, 0),                                      # 7  >42: volatility reverts
+    (_UP, None, None, None),                                              # 8  >42: uplift stays
+    (_UP, L.REASON_SIZE_DOWN + "," + L.REASON_SD_UP, 1, 1),               # 9  >42: both up
+    (_UP, L.REASON_SIZE_DOWN, 1, 0),                                      # 10 >42: size down
+    (_UP, L.REASON_SD_UP, 0, 1),                                          # 11 >42: volatility up
+    (_KEEP, None, None, None),                                            # 12 otherwise
+]
 
-    reason / size_status / sd_status are null where the rule leaves them unchanged.
-    """
+
+@reusable
+def final_rating_branch(level, months, size_f, size_status, sd_status, sd_f) -> Column:
+    """X6 decision: index into ``FINAL_OUTCOMES`` (first matching condition)."""
     lv, m, nf, S, V, sf = map(_c, (level, months, size_f, size_status, sd_status, sd_f))
     mid = lv.isin("R2", "R3", "R4")
-    up = level_up(lv)
-
-    def out(new_level, reason=None, s=None, v=None):
-        def lit_or_null(x, t):
-            return F.lit(x).cast(t) if x is not None else F.lit(None).cast(t)
-        return F.struct(new_level.alias("level"), lit_or_null(reason, "string").alias("reason"),
-                        lit_or_null(s, "int").alias("size_status"), lit_or_null(v, "int").alias("sd_status"))
-
-    young = m < 18
     middle = (m >= 18) & (m <= 42)
     old = m > 42
     revert = (nf == 2) & mid & (sf == 2)
     s0v0 = (S == 0) & (V == 0)
-    return (F.when(young, out(lv))
-            .when(middle & (S == 1) & (nf == 2), out(lv, L.REASON_SIZE_UP, 0, 0))
-            .when(middle & (S == 1), out(up))
-            .when(middle & (S == 0) & (nf == 1), out(up, L.REASON_SIZE_DOWN, 1, 0))
-            .when(middle, out(lv))
-            .when(old & (S == 1) & (V == 1) & revert,
-                  out(lv, L.REASON_SIZE_UP + "," + L.REASON_SD_DOWN, 0, 0))
-            .when(old & (S == 1) & (V == 0) & revert, out(lv, L.REASON_SIZE_UP, 0, 0))
-            .when(old & (S == 0) & (V == 1) & revert, out(lv, L.REASON_SD_DOWN, 0, 0))
-            .when(old & (((S == 1) & (V == 1)) | ((S == 1) & (V == 0)) | ((S == 0) & (V == 1))), out(up))
-            .when(old & s0v0 & (nf == 1) & mid & (sf == 1),
-                  out(up, L.REASON_SIZE_DOWN + "," + L.REASON_SD_UP, 1, 1))
-            .when(old & s0v0 & (nf == 1), out(up, L.REASON_SIZE_DOWN, 1, 0))
-            .when(old & s0v0 & mid & (sf == 1), out(up, L.REASON_SD_UP, 0, 1))
-            .otherwise(out(lv)))
+    conditions = [
+        m < 18,
+        middle & (S == 1) & (nf == 2),
+        middle & (S == 1),
+        middle & (S == 0) & (nf == 1),
+        middle,
+        old & (S == 1) & (V == 1) & revert,
+        old & (S == 1) & (V == 0) & revert,
+        old & (S == 0) & (V == 1) & revert,
+        old & (((S == 1) & (V == 1)) | ((S == 1) & (V == 0)) | ((S == 0) & (V == 1))),
+        old & s0v0 & (nf == 1) & mid & (sf == 1),
+        old & s0v0 & (nf == 1),
+        old & s0v0 & mid & (sf == 1),
+    ]
+    branch = F.when(conditions[0], 0)
+    for i, cond in enumerate(conditions[1:], start=1):
+        branch = branch.when(cond, i)
+    return branch.otherwise(len(conditions))
+
+
+def final_rating_outcome(branch, level) -> Column:
+    """struct(level, reason, size_status, sd_status) for a branch of ``FINAL_OUTCOMES``;
+    reason and statuses are null where the branch leaves them unchanged."""
+    b, lv = _c(branch), _c(level)
+    pick = b + 1
+
+    def column(idx, dtype):
+        return F.element_at(F.array(*[F.lit(o[idx]).cast(dtype) for o in FINAL_OUTCOMES]), pick)
+
+    ups = [i for i, o in enumerate(FINAL_OUTCOMES) if o[0] == _UP]
+    return F.struct(F.when(b.isin(ups), level_up(lv)).otherwise(lv).alias("level"),
+                    column(1, "string").alias("reason"), column(2, "int").alias("size_status"),
+                    column(3, "int").alias("sd_status"))
+
+
+@reusable
+def final_rating(level, months, size_f, size_status, sd_status, sd_f) -> Column:
+    """X6 -> struct(level, reason, size_status, sd_status) as one expression.
+
+    Plans that use several fields should add ``final_rating_branch`` as a column
+    first and derive the fields with ``final_rating_outcome`` (the conditions are
+    then written once).
+    """
+    return final_rating_outcome(final_rating_branch(level, months, size_f, size_status, sd_status, sd_f), level)
 
 
 @reusable

@@ -396,8 +396,8 @@ def q_final_rating(spark, sf_dir):
         F.when(k % 7 != 0, (k % 7 % 2).cast("int")).alias("FundSizeStatus"),
         F.when(k % 11 != 0, (k % 11 % 2).cast("int")).alias("SDStatus"),
         (k % 13 % 3).cast("int").alias("SDFlag"))
-    note = R.final_rating("level", "months", "NetAssetFlag", "FundSizeStatus", "SDStatus", "SDFlag")
-    out = df.withColumn("_n", note).select(
+    branch = R.final_rating_branch("level", "months", "NetAssetFlag", "FundSizeStatus", "SDStatus", "SDFlag")
+    out = df.withColumn("_b", branch).withColumn("_n", R.final_rating_outcome("_b", "level")).select(
         "o_orderkey", F.col("_n.level").alias("RiskLevel"), F.col("_n.reason").alias("ChangeReason"),
         F.coalesce(F.col("_n.size_status"), F.col("FundSizeStatus")).alias("FundSizeStatus"),
         F.coalesce(F.col("_n.sd_status"), F.col("SDStatus")).alias("SDStatus"))

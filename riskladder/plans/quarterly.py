@@ -99,8 +99,9 @@ def final_rating_quarterly(base: DataFrame, dates: RatingDates, nav: DataFrame,
     df = df.withColumns(factors_and_standards(F.col("InitRiskLevel"), F.col("_bench"))).drop("_bench")
     df = df.withColumn("SDFlag", R.sd_flag([f"{q}QrtSD" for q in QUARTER_LABELS],
                                            [f"{q}QrtStandard" for q in QUARTER_LABELS]))
-    df = df.withColumn("_note", R.final_rating("InitRiskLevel", "EstablishmentLength", "NetAssetFlag",
-                                               "FundSizeStatus", "SDStatus", "SDFlag"))
+    df = df.withColumn("_branch", R.final_rating_branch("InitRiskLevel", "EstablishmentLength", "NetAssetFlag",
+                                                       "FundSizeStatus", "SDStatus", "SDFlag"))
+    df = df.withColumn("_note", R.final_rating_outcome("_branch", "InitRiskLevel")).drop("_branch")
     df = df.withColumns({
         "SDStatus": F.coalesce(F.col("_note.sd_status"), F.col("SDStatus")),
         "FundSizeStatus": F.coalesce(F.col("_note.size_status"), F.col("FundSizeStatus")),
