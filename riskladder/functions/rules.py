@@ -42,48 +42,83 @@ _BOND_GRADED_JUNIOR = ("R4", "债券基金", "债券分级子基金", "普通债
 _CB_INDEX = ("R3", "债券基金", "指数型债券基金", "可转债指数基金")
 
 
-def _rule_struct(level: Column, names: tuple | None) -> Column:
-    n1, n2, n3 = (F.lit(n) for n in names) if names else (F.lit(None).cast("string"),) * 3
-    return F.struct(level.alias("level"), n1.alias("name1"), n2.alias("name2"), n3.alias("name3"))
+_KEEP_LEVEL = None
+# fixed values: outcome per branch of X1, in first-match order: (level, name1, name2, name3);
+# a None level keeps the input level, None names keep the current names.
+BASE_OUTCOMES = [
+    ("R3", None, None, None),      # 0  FOF
+    _QDII_COMMODITY,               # 1  commodity QDII
+    _QDII_GOLD,                    # 2  gold QDII
+    (_KEEP_LEVEL, None, None, None),   # 3  other commodity QDII
+    _COMMODITY,                    # 4  commodity futures fund
+    _GOLD,                         # 5  gold fund
+    (_KEEP_LEVEL, None, None, None),   # 6  other commodity fund
+    _CB_GRADED_SENIOR,             # 7
+    _CB_GRADED_JUNIOR,             # 8
+    _BOND_GRADED_SENIOR,           # 9
+    _BOND_GRADED_JUNIOR,           # 10
+    _CB_INDEX,                     # 11
+    (_KEEP_LEVEL, None, None, None),   # 12 anything else
+]
 
 
 @reusable
-def base_risk_rule(name, code1, code2, level, share) -> Column:
-    """X1 -> struct(level, name1, name2, name3); names are null when unchanged."""
-    name, code1, code2, level, share = map(_c, (name, code1, code2, level, share))
-    keep = _rule_struct(level, None)
-
-    def fixed(t):
-        return _rule_struct(F.lit(t[0]), t[1:])
-
+def base_risk_branch(name, code1, code2, share) -> Column:
+    """X1 decision: index into ``BASE_OUTCOMES`` (first matching condition)."""
+    name, code1, code2, share = map(_c, (name, code1, code2, share))
     qdii = (code1 == 14) & (code2 == 1450)
     bond = code1 == 12
     cb, graded = name.contains("可转换债券"), name.contains("分级")
-    return (F.when(code1 == 15, _rule_struct(F.lit("R3"), None))
-            .when(qdii & _has(name, "原油", "商品", "通胀"), fixed(_QDII_COMMODITY))
-            .when(qdii & name.contains("黄金"), fixed(_QDII_GOLD))
-            .when(qdii, keep)
-            .when((code1 == 17) & name.contains("期货"), fixed(_COMMODITY))
-            .when((code1 == 17) & _has(name, "黄金", "上海金"), fixed(_GOLD))
-            .when(code1 == 17, keep)
-            .when(bond & cb & graded & (share == 1), fixed(_CB_GRADED_SENIOR))
-            .when(bond & cb & graded & (share == 2), fixed(_CB_GRADED_JUNIOR))
-            .when(bond & ~cb & graded & (share == 1), fixed(_BOND_GRADED_SENIOR))
-            .when(bond & ~cb & graded & (share == 2), fixed(_BOND_GRADED_JUNIOR))
-            .when(bond & (code2 == 1220) & cb, fixed(_CB_INDEX))
-            .otherwise(keep))
+    conditions = [
+        code1 == 15,
+        qdii & _has(name, "原油", "商品", "通胀"),
+        qdii & name.contains("黄金"),
+        qdii,
+        (code1 == 17) & name.contains("期货"),
+        (code1 == 17) & _has(name, "黄金", "上海金"),
+        code1 == 17,
+        bond & cb & graded & (share == 1),
+        bond & cb & graded & (share == 2),
+        bond & ~cb & graded & (share == 1),
+        bond & ~cb & graded & (share == 2),
+        bond & (code2 == 1220) & cb,
+    ]
+    branch = F.when(conditions[0], 0)
+    for i, cond in enumerate(conditions[1:], start=1):
+        branch = branch.when(cond, i)
+    return branch.otherwise(len(conditions))
+
+
+def _outcome(table: list[tuple], field: int, branch: Column) -> Column:
+    return F.element_at(F.array(*[F.lit(o[field]).cast("string") for o in table]), branch + 1)
+
+
+def base_risk_outcome(branch, level) -> Column:
+    """struct(level, name1, name2, name3) of a branch of ``BASE_OUTCOMES`` (fixed
+    levels are never null, so a null table level means: keep the input level)."""
+    b, lv = _c(branch), _c(level)
+    return F.struct(F.coalesce(_outcome(BASE_OUTCOMES, 0, b), lv).alias("level"),
+                    _outcome(BASE_OUTCOMES, 1, b).alias("name1"), _outcome(BASE_OUTCOMES, 2, b).alias("name2"),
+                    _outcome(BASE_OUTCOMES, 3, b).alias("name3"))
+
+
+@reusable
+def base_risk_rule(name, code1, code2, level, share) -> Column:
+    """X1 -> struct(level, name1, name2, name3) as one expression; names are null when unchanged."""
+    return base_risk_outcome(base_risk_branch(name, code1, code2, share), level)
 
 
 def apply_base_rule(df, level_in: str, level_out: str):
-    """Run X1 and replace the three type names where the rule gives them."""
-    r = base_risk_rule("ChiName", "FundTypeCode1", "FundTypeCode2", level_in, "ShareProperties")
-    return (df.withColumn("_x1", r)
+    """Run X1 and replace the three type names where the rule gives them
+    (branch number first, so the conditions are evaluated once)."""
+    b = base_risk_branch("ChiName", "FundTypeCode1", "FundTypeCode2", "ShareProperties")
+    return (df.withColumn("_x1b", b)
               .withColumns({
-                  "FundTypeName1": F.coalesce(F.col("_x1.name1"), F.col("FundTypeName1")),
-                  "FundTypeName2": F.coalesce(F.col("_x1.name2"), F.col("FundTypeName2")),
-                  "FundTypeName3": F.coalesce(F.col("_x1.name3"), F.col("FundTypeName3")),
-                  level_out: F.col("_x1.level")})
-              .drop("_x1"))
+                  "FundTypeName1": F.coalesce(_outcome(BASE_OUTCOMES, 1, F.col("_x1b")), F.col("FundTypeName1")),
+                  "FundTypeName2": F.coalesce(_outcome(BASE_OUTCOMES, 2, F.col("_x1b")), F.col("FundTypeName2")),
+                  "FundTypeName3": F.coalesce(_outcome(BASE_OUTCOMES, 3, F.col("_x1b")), F.col("FundTypeName3")),
+                  level_out: F.coalesce(_outcome(BASE_OUTCOMES, 0, F.col("_x1b")), F.col(level_in))})
+              .drop("_x1b"))
 
 
 # --- X2 / X3: special funds by keyword and code list -----------------------
