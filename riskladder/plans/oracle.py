@@ -195,7 +195,9 @@ ADAPTER = {
         ELSE {d(dt.date(1994, 1, 31))} + CAST((s_suppkey * 271) % 2750 AS INTEGER) END AS est FROM supplier""",
     "fundarchives": f"""SELECT CAST(k AS INTEGER) AS InnerCode,
         CASE WHEN k % 10 = 9 THEN {code6('k - 9')} || 'J' ELSE {code6('k - k % 2')} END AS MainCode,
-        CASE WHEN k % 10 = 9 THEN {code6('k - 9')} || 'J' ELSE {code6('k')} END AS SecurityCode,
+        CASE WHEN k % 10 = 9 THEN {code6('k - 9')} || 'J'
+             WHEN k % 10 = 5 THEN {lst(S.LISTED_CODES)}[((k // 10) * 7) % {len(S.LISTED_CODES)} + 1]
+             ELSE {code6('k')} END AS SecurityCode,
         {code6('k')} AS ApplyingCodeFront,
         CASE WHEN k % 5 = 0 THEN {code6('k + 500000')} END AS ApplyingCodeBack,
         est AS EstablishmentDate,

@@ -53,6 +53,10 @@ TYPE_TREE = [
 
 CONVERSION_DAY = dt.date(2000, 11, 15)
 
+# share classes with k % 10 = 5 carry a code from the exchange code lists of the
+# special-fund rules (spread over all three lists), so the pipelines exercise them
+LISTED_CODES = L.NEEQ_R3 + L.NEEQ_R4 + L.BEIJING_R4
+
 
 def per_session(fn):
     """Declare a derived table once per (session, scale folder) and reuse the
@@ -112,10 +116,11 @@ def fundarchives(spark, sf_dir) -> DataFrame:
     pred_code = F.concat(_code(k - 9), F.lit("J"))
     est = F.when(k % 10 == 0, F.lit(CONVERSION_DAY)).otherwise(
         _days_after(dt.date(1994, 1, 31), (k * 271) % 2750))
+    listed_code = _pick(LISTED_CODES, (F.floor(k / 10) * 7) % len(LISTED_CODES))
     return load(spark, sf_dir, "supplier").select(
         k.cast("int").alias("InnerCode"),
         F.when(pred, pred_code).otherwise(_code(k - k % 2)).alias("MainCode"),
-        F.when(pred, pred_code).otherwise(_code(k)).alias("SecurityCode"),
+        F.when(pred, pred_code).when(k % 10 == 5, listed_code).otherwise(_code(k)).alias("SecurityCode"),
         _code(k).alias("ApplyingCodeFront"),
         F.when(k % 5 == 0, _code(k + 500000)).alias("ApplyingCodeBack"),
         est.alias("EstablishmentDate"),
