@@ -1,4 +1,8 @@
-"""Command line: ``python -m riskladder {quarterly|daily} --extracts DIR --as-of YYYY-MM-DD --out PATH``.
+"""Command line: ``python -m riskladder {quarterly|daily|stream} --extracts DIR --as-of YYYY-MM-DD --out PATH``.
+
+``stream`` runs the daily pre-rating over new archive files arriving in
+``--archives`` (Parquet), re-reading the other extracts from ``--extracts`` on
+each micro-batch; ``--checkpoint`` is the stream's checkpoint folder.
 
 The session comes from spark-submit / the environment; nothing here sets the
 master. ``--encoding name=charset`` may repeat (e.g. ``secumain=cp936``).
@@ -11,12 +15,13 @@ import datetime as dt
 
 from pyspark.sql import SparkSession
 
-from riskladder.plans.jobs import daily_job, quarterly_job
+from riskladder.plans.jobs import daily_job, quarterly_job, read_inputs
+from riskladder.streaming import start_daily_stream
 
 
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(prog="riskladder")
-    ap.add_argument("job", choices=["quarterly", "daily"])
+    ap.add_argument("job", choices=["quarterly", "daily", "stream"])
     ap.add_argument("--extracts", required=True, help="folder with <name>.csv (or .parquet) extracts")
     ap.add_argument("--as-of", required=True, type=dt.date.fromisoformat)
     ap.add_argument("--out", required=True, help="result table, partitioned by EndDate")
@@ -25,6 +30,8 @@ def main(argv=None) -> None:
     ap.add_argument("--encoding", action="append", default=[], metavar="NAME=CHARSET")
     ap.add_argument("--state", help="quarterly: previous result table to take last quarter's state from")
     ap.add_argument("--mapping", help="basic-level table to use instead of the built-in one (.csv or .yaml)")
+    ap.add_argument("--archives", help="stream: folder where new fund archive files arrive")
+    ap.add_argument("--checkpoint", help="stream: the stream's checkpoint folder (shared storage)")
     ap.add_argument("--no-type-cut", action="store_true",
                     help="daily: take the newest type even if it starts after the rating date")
     a = ap.parse_args(argv)
@@ -32,8 +39,16 @@ def main(argv=None) -> None:
     spark = SparkSession.builder.appName(f"riskladder-{a.job}").getOrCreate()
     if a.job == "quarterly":
         quarterly_job(spark, a.extracts, a.as_of, a.out, a.format, enc, a.state, a.out_format, a.mapping)
-    else:
+    elif a.job == "daily":
         daily_job(spark, a.extracts, a.as_of, a.out, a.format, enc, a.out_format, not a.no_type_cut, a.mapping)
+    else:
+        if not (a.archives and a.checkpoint):
+            ap.error("stream needs --archives and --checkpoint")
+
+        def dimensions():
+            return read_inputs(spark, a.extracts, ["secumain", "fundtype", "fundrisklevel",
+                                                   "fundtypechangenew", "last_batch"], a.format, enc)
+        start_daily_stream(spark, a.archives, dimensions, a.out, a.checkpoint, a.as_of).awaitTermination()
 
 
 if __name__ == "__main__":

@@ -5,17 +5,13 @@ from pyspark.sql import functions as F
 
 from riskladder.plans import catalog
 from riskladder.plans.jobs import DAILY_INPUTS, QUARTERLY_INPUTS, daily_job, quarterly_job
-from riskladder.sources import schemas, standins
+from tests_helpers_extracts import write_extracts
 
 SF = "/root/testdata/sf0.001"
 
 
 def _write_extracts(spark, folder, names):
-    tables = standins.fund_tables(spark, SF)
-    for name in names:
-        schema, header = schemas.EXTRACTS[name]
-        df = tables[name].select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
-        df.write.mode("overwrite").option("header", header).csv(os.path.join(folder, f"{name}.csv"))
+    write_extracts(spark, folder, names, SF)
 
 
 def test_quarterly_job_with_state_from_previous_run(spark, tmp_dir):

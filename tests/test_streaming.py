@@ -29,3 +29,18 @@ def test_daily_stream_rates_each_arriving_file_once(spark, tmp_dir):
     got = sorted(r.InnerCode for r in table.collect())
     want = sorted(r.InnerCode for r in catalog.QUERIES["rating_daily"](spark, SF).collect())
     assert got == want and len(got) > first >= 0
+
+
+def test_stream_command_line(spark, tmp_dir):
+    import shutil
+    from riskladder.__main__ import main
+    from tests_helpers_extracts import write_extracts
+    ex, drops, out, ckpt = (os.path.join(tmp_dir, x) for x in ("extracts", "archives", "out", "ckpt"))
+    write_extracts(spark, ex, ["secumain", "fundtype", "fundrisklevel", "fundtypechangenew", "last_batch"])
+    t = standins.fund_tables(spark, SF)
+    t["fundarchives"].select(*schemas.FUNDARCHIVES.fieldNames()).write.parquet(os.path.join(drops, "d1"))
+    main(["stream", "--extracts", ex, "--archives", drops + "/*", "--checkpoint", ckpt,
+          "--as-of", "2001-02-15", "--out", out])
+    got = sorted(r.InnerCode for r in spark.read.parquet(out).collect())
+    want = sorted(r.InnerCode for r in catalog.QUERIES["rating_daily"](spark, SF).collect())
+    assert got == want
