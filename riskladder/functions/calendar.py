@@ -54,6 +54,7 @@ class RatingDates:
 
 
 def rating_dates(as_of: dt.date) -> RatingDates:
+    """The nine rating dates for a run on ``as_of`` (computed on the driver: they are parameters)."""
     q = (as_of.month - 1) // 3 + 1          # quarter containing as_of
     ends = []
     y, k = as_of.year, q - 1

@@ -170,6 +170,7 @@ def special_rule_daily(name, code, level) -> Column:
 # --- X4: conversion remark -------------------------------------------------
 @reusable
 def conversion_remark(previous_name3) -> Column:
+    """X4: remark naming the type a converted fund came from; null or empty in -> null."""
     c = _c(previous_name3)
     return F.when(F.length(c) > 0, F.format_string(L.CONVERSION_REMARK, c))
 
@@ -282,6 +283,7 @@ def final_rating(level, months, size_f, size_status, sd_status, sd_f) -> Column:
 
 @reusable
 def change_direction(reason) -> Column:
+    """-1 for a size or volatility revert, 1 for an uplift, else 0 (read from the reason text)."""
     r = _c(reason)
     return (F.when(r.contains(L.REASON_SIZE_UP), -1)
             .when(r.contains(L.REASON_SD_DOWN), -1)

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 
 def propagate_first(df: DataFrame, group: str, order: list[str], cols: list[str]) -> DataFrame:
+    """Replace ``cols`` on every row by the values of the first row of its ``group`` by ``order``."""
     first = (df.groupBy(group)
                .agg(F.min_by(F.struct(*cols), F.struct(*order)).alias("_first"))
                .withColumnRenamed(group, "_grp"))

@@ -18,6 +18,7 @@ LISTED_STATES = (1, 3, 9)          # fixed values: listing states kept
 
 
 def listed_funds(secumain: DataFrame) -> DataFrame:
+    """Securities that are funds and listed (F1)."""
     return secumain.filter(F.col("SecuCategory").isin(*FUND_CATEGORIES)
                            & F.col("ListedState").isin(*LISTED_STATES))
 

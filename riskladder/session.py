@@ -26,6 +26,7 @@ _DEFAULTS = {
 def build_session(master: str | None = None, app: str = "riskladder",
                   shuffle_partitions: int | None = None,
                   extra: dict[str, str] | None = None) -> SparkSession:
+    """A session for tests, the bench and local runs (AQE on, UI off); existing settings win."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)

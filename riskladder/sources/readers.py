@@ -22,6 +22,7 @@ _LEGACY_CHARSETS = {"cp936", "gbk", "gb2312", "gb18030"}
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType, header: bool,
              encoding: str | None = None, keep_corrupt: bool = False) -> DataFrame:
+    """CSV with an explicit schema; ``keep_corrupt`` adds the raw text of unparsable rows."""
     if encoding and encoding.lower() in _LEGACY_CHARSETS:
         spark.conf.set("spark.sql.legacy.javaCharsets", "true")
     read_schema = schema

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 def write_rating(df: DataFrame, path: str, fmt: str = "parquet",
                  partition_by: str | list[str] | None = "EndDate") -> None:
+    """Write the rating table; only the partitions present in ``df`` are replaced."""
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     if partition_by:
         writer = writer.partitionBy(*([partition_by] if isinstance(partition_by, str) else partition_by))
