@@ -72,3 +72,18 @@ def test_quarterly_state_from_csv_result_table(spark, tmp_dir):
     table = spark.read.option("header", True).csv(out)
     assert table.filter(F.col("EndDate") == "2000-09-30").count() == first.count()
     assert table.filter(F.col("EndDate") == "2000-12-31").count() > 0
+
+
+def test_job_with_mapping_file_matches_built_in_table(spark, tmp_dir):
+    from riskladder.functions import lookups as L
+    ex, out = os.path.join(tmp_dir, "extracts"), os.path.join(tmp_dir, "daily_mapped")
+    _write_extracts(spark, ex, DAILY_INPUTS)
+    mapping = os.path.join(tmp_dir, "mapping.csv")
+    with open(mapping, "w", encoding="utf-8") as f:
+        f.write("FundTypeName1,FundTypeName2,FundTypeName3,RiskLevel\n")
+        f.writelines(",".join(r) + "\n" for r in L.BASIC_RISK_LEVEL)
+    daily_job(spark, ex, catalog.AS_OF, out, mapping_path=mapping)
+    cols = ["InnerCode", "InitialRiskLevel", "BasicRiskLevel", "SpecialType", "FundTypeCode"]
+    got = sorted(tuple(r) for r in spark.read.parquet(out).select(*cols).collect())
+    want = sorted(tuple(r) for r in catalog.QUERIES["rating_daily"](spark, SF).select(*cols).collect())
+    assert got == want
