@@ -184,11 +184,11 @@ def fold_array(df: DataFrame, add: Callable[[np.ndarray, object], None], size: i
 
     schema = "piece int, body binary"
     parts = df.mapInArrow(per_task, schema)
-    n = min(-(-size // piece), 64)
     out = np.zeros(size, dtype)
-    for r in parts.repartition(n, "piece").mapInArrow(per_piece, schema).toLocalIterator():
-        x = unsmall(bytes(r["body"]))
-        out[r["piece"] * piece:r["piece"] * piece + len(x)] = x
+    whole = parts.repartition(min(-(-size // piece), 16), "piece").mapInArrow(per_piece, schema).toArrow()   # ``size`` elements at most
+    for k, body in zip(whole.column("piece").to_pylist(), whole.column("body").to_pylist()):
+        x = unsmall(body)
+        out[k * piece:k * piece + len(x)] = x
     return out
 
 

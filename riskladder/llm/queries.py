@@ -82,7 +82,7 @@ def op8_chat_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_quality.line_quality(_table(spark, sf_dir, "documents")).drop("kept_text")
+    return line_quality.line_verdicts(_table(spark, sf_dir, "documents")).drop("rk", "bad")
 
 
 def op10_kdtree_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
