@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 NO_ID = np.iinfo(np.int64).max            # stands for a null id; sorts after every id
 
 _B = np.uint64(0x9E3779B97F4A7C15 | 1)
@@ -259,20 +259,21 @@ def deal(part: np.ndarray, doc: np.ndarray, entries: dict[str, np.ndarray], docs
                                       list(cols))
 
 
-def dealt(batches, entries: dict[str, str], docs: dict[str, str]) -> dict[str, np.ndarray] | None:
-    """All entries of a reduce task (see ``deal``), document columns repeated per entry.
-    The values give numpy types; "small" stands for width-tagged integers."""
-    out: dict[str, list] = {k: [] for k in (*entries, *docs)}
+def dealt(batches, entries: dict[str, str], docs: dict[str, str]) -> tuple[dict[str, np.ndarray], np.ndarray, dict[str, np.ndarray]] | None:
+    """All entries of a reduce task (see ``deal``): entry columns, each entry's document as an index,
+    and document columns. The values give numpy types; "small" stands for width-tagged integers."""
+    out: dict[str, list] = {k: [] for k in (*entries, *docs, "per_doc")}
     for b in batches:
-        rows = {k: b.column(k).to_pylist() for k in ("per_doc", *entries, *docs)}
-        for i in range(b.num_rows):
-            per = unsmall(rows["per_doc"][i])
-            for k, kind in entries.items():
-                out[k].append(unsmall(rows[k][i]).astype(np.int64) if kind == "small" else np.frombuffer(rows[k][i], kind))
-            for k, kind in docs.items():
-                out[k].append(np.repeat(np.frombuffer(rows[k][i], kind), per))
-    names = list(out)
-    return {k: np.concatenate(out[k]) for k in names} if out[names[0]] else None
+        rows = {k: b.column(k).to_pylist() for k in out}
+        for k, kind in (entries | docs | {"per_doc": "small"}).items():
+            out[k] += [unsmall(x).astype(np.int32) if kind == "small" else np.frombuffer(x, kind) for x in rows[k]]
+    if not out["per_doc"]:
+        return None
+    whole = {}
+    for k in list(out):
+        whole[k] = np.concatenate(out.pop(k))
+    per = whole.pop("per_doc")
+    return ({k: whole[k] for k in entries}, np.repeat(np.arange(len(per), dtype=np.int32), per), {k: whole[k] for k in docs})
 
 
 def by_bits(hashes: np.ndarray, tasks: int) -> np.ndarray:

@@ -70,10 +70,11 @@ def _hits(block: int):
         x = A.dealt(batches, {"h32": "<u4", "pos": "small"}, {"oid": "<i8"})
         if x is None:
             return
-        h, pos, oid = x["h32"], x["pos"], x["oid"]
+        h, pos, doc, ids = x[0]["h32"], x[0]["pos"], x[1], x[2]["oid"]
         ref = np.flatnonzero(pos % block == 0)
-        by = np.lexsort((oid[ref], h[ref]))
-        rh, ro = h[ref][by], oid[ref][by]
+        by = np.lexsort((ids[doc[ref]], h[ref]))
+        ref = ref[by]
+        rh, ro = h[ref], ids[doc[ref]]
         lo, hi = A.segments(rh)
         known, least = rh[lo], ro[lo]
         if not len(known):
@@ -81,14 +82,15 @@ def _hits(block: int):
         table = np.zeros(1 << 24, bool)
         table[known >> np.uint32(8)] = True
         cand = np.flatnonzero(table[h >> np.uint32(8)])
+        del table
         at = np.minimum(np.searchsorted(known, h[cand]), len(known) - 1)
-        ok = (known[at] == h[cand]) & (least[at] < oid[cand])
+        ok = (known[at] == h[cand]) & (least[at] < ids[doc[cand]])
         hit, at = cand[ok], at[ok]
         last = np.full(len(known), np.iinfo(np.int64).min)
-        np.maximum.at(last, at, oid[hit])
-        met = ref[by][np.repeat(last, hi - lo) > ro]
-        who = np.concatenate([oid[hit], oid[met]])
-        what = np.concatenate([pos[hit] * 4 + 1, pos[met] * 4 + 2]).astype(np.uint32)
+        np.maximum.at(last, at, ids[doc[hit]])
+        met = ref[np.repeat(last, hi - lo) > ro]
+        who = ids[doc[np.concatenate([hit, met])]]
+        what = np.concatenate([pos[hit].astype(np.int64) * 4 + 1, pos[met].astype(np.int64) * 4 + 2]).astype(np.uint32)
         by = np.argsort(who, kind="stable")
         who, what = who[by], what[by]
         lo, hi = A.segments(who)
@@ -131,7 +133,7 @@ def _repeats(batches):
     x = A.dealt(batches, {"h": "<u8", "pos": "small"}, {"oid": "<i8", "rk": "<i8"})
     if x is None:
         return
-    h, oid, rk, pos, flags = x["h"], x["oid"], x["rk"], x["pos"] >> 2, x["pos"] & 3
+    h, pos, flags, oid, rk = x[0]["h"], x[0]["pos"] >> 2, x[0]["pos"] & 3, x[2]["oid"][x[1]], x[2]["rk"][x[1]]
     ref = np.flatnonzero(flags & 2)
     by = np.lexsort((oid[ref], h[ref]))
     rh, ro = h[ref][by], oid[ref][by]
@@ -168,7 +170,7 @@ def _cut(window: int, layout: bool, carry: bool):
     """Kept words, removed runs and counts of each row (columns starts, copy, text)."""
 
     def scan(batches):
-        for b in batches:
+        for b in (x.slice(a, 512) for x in batches for a in range(0, x.num_rows, 512)):
             out: list[list] = [[], [], [], [], []]
             for text, starts, copy in zip(b.column("text").to_pylist(), b.column("starts").to_pylist(), b.column("copy").to_pylist()):
                 body = (text or "").encode("utf-8", "surrogatepass")

@@ -19,7 +19,7 @@ segments, and fragments count overlaps on their own; a pair's partial counts are
    similarity (sizes, positions). Their prefix overlaps are summed over fragments, bounded,
    and the survivors are compared.
 5. Comparing: only the compared classes' segments are made again (a bitmap of fixed size
-   lets the scan skip the others), joined per fragment, and the partial overlaps summed.
+   lets the scan skip the others); overlaps are counted segment by segment and summed.
 
 A pair is left out in step 4 only if it is in one component already, so the components are
 exact. Positions and sizes bound the overlap; no list, group or candidate set is capped.
@@ -35,14 +35,14 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskladder.llm import arrays as A
 from riskladder.llm.components import connected_components
 from riskladder.session import materialize
 
-SKETCH_BITS = 20
+SKETCH_BITS = 22
 SEGMENTS = 6                 # fragments of the order used when whole sets are compared
 
 
@@ -83,21 +83,38 @@ def _cell(grams: np.ndarray) -> np.ndarray:
 
 
 class _Order:
-    """The global order and its fragments, from the sketch (fixed size, broadcast)."""
+    """The global order and its fragments, from the sketch (fixed size, broadcast; the ranks are
+    made where they are used)."""
 
     def __init__(self, counts: np.ndarray):
         self.counts = counts
-        self.by_rank = np.argsort(counts, kind="stable")
-        rank = np.empty(len(counts), np.int64)
-        rank[self.by_rank] = np.arange(len(counts))
-        self.rank = rank.astype(np.uint32)        # cells in the global order: by count, then by hash
+        self.made: dict = {}
+
+    def __reduce__(self):
+        return _Order, (self.counts,)
+
+    @property
+    def by_rank(self) -> np.ndarray:
+        return np.argsort(self.counts, kind="stable")
+
+    @property
+    def rank(self) -> np.ndarray:
+        """Place of each cell in the global order: by count, then by hash."""
+        if "rank" not in self.made:
+            rank = np.empty(len(self.counts), np.uint32)
+            rank[self.by_rank] = np.arange(len(self.counts), dtype=np.uint32)
+            self.made["rank"] = rank
+        return self.made["rank"]
 
     def fragments(self, n: int) -> np.ndarray:
         """Fragment of each cell: ``n`` runs of the order with about equally many n-grams."""
-        mass = np.cumsum(self.counts[self.by_rank].astype(np.float64) + 1e-9)
-        out = np.empty(len(self.counts), np.uint16 if n < 1 << 16 else np.uint32)
-        out[self.by_rank] = np.minimum((mass / mass[-1] * n).astype(np.int64), n - 1)
-        return out
+        if n not in self.made:
+            by = self.by_rank
+            mass = np.cumsum(self.counts[by].astype(np.float64) + 1e-9)
+            out = np.empty(len(self.counts), np.uint16 if n < 1 << 16 else np.uint32)
+            out[by] = np.minimum((mass / mass[-1] * n).astype(np.int64), n - 1)
+            self.made[n] = out
+        return self.made[n]
 
 
 def shingle_sets(docs: DataFrame, n: int = 5, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
@@ -212,7 +229,17 @@ def _summed(pairs: DataFrame, pct: int) -> DataFrame:
     s = pairs.groupBy("a", "b").agg(F.sum("k").alias("k"), F.max("pa").alias("pa"), F.max("pb").alias("pb"),
                                     F.first("na").alias("na"), F.first("nb").alias("nb"))
     bound = F.col("k") + F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) - 1
-    return s.filter((100 + pct) * bound >= pct * (F.col("na") + F.col("nb"))).select("a", "b", "na", "nb")
+    return s.filter((100 + pct) * bound >= pct * (F.col("na") + F.col("nb")))
+
+
+def _leader_bound(pairs: DataFrame, pct: int) -> DataFrame:
+    """Leader pairs that look like links: all shared n-grams up to the end of the prefix that ends
+    first are in both prefixes, so a link needs many of them. At least a quarter must be in lists that
+    this leader leads; a link missed here is found among the pairs of different components."""
+    prefix = lambda n: n - F.ceil(pct * n / 100) + 1
+    na, nb = F.col("na"), F.col("nb")
+    bound = 4 * F.col("k") + F.greatest(F.least(na - prefix(na), nb - F.col("pb") - 1), F.least(na - F.col("pa") - 1, nb - prefix(nb)))
+    return pairs.filter((100 + pct) * bound >= pct * (na + nb)).select("a", "b", "na", "nb")
 
 
 def _cross_pairs(pct: int):
@@ -275,7 +302,7 @@ def _links(src: DataFrame, pairs: DataFrame, order, n: int, pct: int) -> DataFra
         for t in A.text_chunks(batches, "text", "doc_id"):
             s = _Sets(t, n)
             sigs = s.signatures()
-            rows: list[list] = [[], [], []]
+            names, segs = [], []
             for i in np.flatnonzero(A.bloom_has(bits.value, sigs) & (s.sizes > 0)):
                 sig = int(sigs[i])
                 if sig in seen:
@@ -283,26 +310,25 @@ def _links(src: DataFrame, pairs: DataFrame, order, n: int, pct: int) -> DataFra
                 seen.add(sig)
                 g = s.grams[s.cut[i]:s.cut[i + 1]]
                 f = frag[_cell(g)]
-                for k in np.unique(f):
-                    rows[0].append(sig - (1 << 64) if sig >> 63 else sig)
-                    rows[1].append(int(k))
-                    rows[2].append(g[f == k].tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.int32()), pa.array(rows[2], pa.binary())],
-                ["sig", "frag", "grams"])
+                names.append(sig - (1 << 64) if sig >> 63 else sig)
+                segs.append([g[f == k].tobytes() for k in range(SEGMENTS)])
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(segs, pa.list_(pa.binary()))], ["sig", "segs"])
 
-    segs = src.mapInArrow(scan, "sig long, frag int, grams binary").dropDuplicates(["sig", "frag"])
-    of_a = pairs.select("a", "b").join(segs, F.col("a") == F.col("sig")).select("a", "b", "frag", F.col("grams").alias("ga"))
-    of_b = segs.select(F.col("sig").alias("b"), "frag", F.col("grams").alias("gb"))
-    both = of_a.join(of_b, ["b", "frag"]).select("a", "b", "ga", "gb")
+    # one row per class, so both joins below use the same deal of the segments
+    segs = src.mapInArrow(scan, "sig long, segs array<binary>").dropDuplicates(["sig"])
+    of_a = pairs.select("a", "b").join(segs, F.col("a") == F.col("sig")).select("a", "b", F.col("segs").alias("ga"))
+    of_b = segs.select(F.col("sig").alias("b"), F.col("segs").alias("gb"))
+    both = of_a.join(of_b, "b").select("a", "b", "ga", "gb")
 
     def overlap(batches):
+        def common(x, y):
+            return len(np.intersect1d(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), assume_unique=True))
+
         for b in batches:
-            k = [len(np.intersect1d(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), assume_unique=True))
-                 for x, y in zip(b.column("ga").to_pylist(), b.column("gb").to_pylist())]
+            k = [sum(map(common, x, y)) for x, y in zip(b.column("ga").to_pylist(), b.column("gb").to_pylist())]
             yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), pa.array(k, pa.int64())], ["a", "b", "k"])
 
-    part = both.mapInArrow(overlap, "a long, b long, k long").groupBy("a", "b").agg(F.sum("k").alias("k"))
+    part = both.mapInArrow(overlap, "a long, b long, k long")
     return (pairs.join(part, ["a", "b"])
             .filter(100 * F.col("k") >= pct * (F.col("na") + F.col("nb") - F.col("k"))).select("a", "b"))
 
@@ -329,17 +355,18 @@ def ngram_jaccard_components(docs: DataFrame, n: int = 5, min_percent: int = 75,
            .groupBy("leader", "sig").agg(F.count("*").alias("k"), F.max("leader_pos").alias("pa"), F.max("pos").alias("pb"),
                                          F.first("leader_n").alias("na"), F.first("n").alias("nb"))
            .select(F.col("leader").alias("a"), F.col("sig").alias("b"), "na", "nb", "pa", "pb", "k"))
-    first = materialize(_summed(led, min_percent))
+    first = materialize(_leader_bound(_summed(led, min_percent), min_percent))
     links = materialize(_links(src, first, order, n, min_percent))
     comps = connected_components(links, "a", "b")
 
     # pairs of different components that share a prefix n-gram
     named = (lists.select("gram", "sig", "n", "pos").join(comps.withColumnRenamed("node", "sig"), "sig", "left")
              .withColumn("component", F.coalesce("component", "sig")))
-    open_lists = named.groupBy("gram").agg(F.min("component").alias("_lo"), F.max("component").alias("_hi")).filter("_lo <> _hi")
-    rest = named.join(open_lists.select("gram"), "gram").repartition(tasks, "gram")
+    of_gram = Window.partitionBy("gram")
+    rest = (named.withColumns({"_lo": F.min("component").over(of_gram), "_hi": F.max("component").over(of_gram)})
+            .filter("_lo <> _hi").drop("_lo", "_hi"))       # the rows of an n-gram stay in one task
     cross = rest.mapInArrow(_cross_pairs(min_percent), "a long, b long, na long, nb long, pa long, pb long, k long")
-    cross = _summed(cross, min_percent)
+    cross = _summed(cross, min_percent).select("a", "b", "na", "nb")
     done = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     cross = materialize(cross.join(done, ["a", "b"], "left_anti"))
     more = _links(src, cross, order, n, min_percent)

@@ -18,7 +18,9 @@ _SHIPPED: set[str] = set()
 
 def ship(spark: SparkSession) -> None:
     """Give the executors this package (once per application), for sessions that were not started
-    with it on their Python path."""
+    with it on their Python path, and make Arrow batches of texts small (rows of a batch are held several
+    times between the JVM and Python). The operators themselves leave the session alone."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     app = spark.sparkContext.applicationId
     if app in _SHIPPED:
         return

@@ -273,7 +273,7 @@ def _each(data, key, hit, x, y, length) -> bool:
 
 def _cut(carry: bool):
     def scan(batches):
-        for b in batches:
+        for b in (x.slice(a, 512) for x in batches for a in range(0, x.num_rows, 512)):
             out: list[list] = [[], [], [], [], []]
             for body, los, his, whole in zip(b.column("body").to_pylist(), b.column("los").to_pylist(),
                                              b.column("his").to_pylist(), b.column("whole").to_pylist()):
