@@ -15,7 +15,8 @@ import datetime as dt
 
 from pyspark.sql import SparkSession
 
-from riskladder.plans.jobs import daily_job, quarterly_job, read_inputs
+from riskladder.functions.lookups import read_risk_mapping
+from riskladder.plans.jobs import DAILY_INPUTS, daily_job, quarterly_job, read_inputs
 from riskladder.streaming import start_daily_stream
 
 
@@ -32,23 +33,36 @@ def main(argv=None) -> None:
     ap.add_argument("--mapping", help="basic-level table to use instead of the built-in one (.csv or .yaml)")
     ap.add_argument("--archives", help="stream: folder where new fund archive files arrive")
     ap.add_argument("--checkpoint", help="stream: the stream's checkpoint folder (shared storage)")
+    ap.add_argument("--max-bad-rows", type=int, help="fail when an extract has more malformed or keyless rows")
     ap.add_argument("--no-type-cut", action="store_true",
                     help="daily: take the newest type even if it starts after the rating date")
     a = ap.parse_args(argv)
     enc = dict(e.split("=", 1) for e in a.encoding)
-    spark = SparkSession.builder.appName(f"riskladder-{a.job}").getOrCreate()
+    builder = SparkSession.builder.appName(f"riskladder-{a.job}")
+    builder = builder.config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
+    if enc:                                        # legacy charsets are a setting of the session
+        builder = builder.config("spark.sql.legacy.javaCharsets", "true")
+    spark = builder.getOrCreate()
+    report: dict = {}
     if a.job == "quarterly":
-        quarterly_job(spark, a.extracts, a.as_of, a.out, a.format, enc, a.state, a.out_format, a.mapping)
+        quarterly_job(spark, a.extracts, a.as_of, a.out, a.format, enc, a.state, a.out_format, a.mapping, report, a.max_bad_rows)
     elif a.job == "daily":
-        daily_job(spark, a.extracts, a.as_of, a.out, a.format, enc, a.out_format, not a.no_type_cut, a.mapping)
+        daily_job(spark, a.extracts, a.as_of, a.out, a.format, enc, a.out_format, not a.no_type_cut, a.mapping, report, a.max_bad_rows)
     else:
         if not (a.archives and a.checkpoint):
             ap.error("stream needs --archives and --checkpoint")
 
         def dimensions():
-            return read_inputs(spark, a.extracts, ["secumain", "fundtype", "fundrisklevel",
-                                                   "fundtypechangenew", "last_batch"], a.format, enc)
-        start_daily_stream(spark, a.archives, dimensions, a.out, a.checkpoint, a.as_of).awaitTermination()
+            t = read_inputs(spark, a.extracts, [n for n in DAILY_INPUTS if n != "fundarchives"], a.format, enc,
+                            max_bad_rows=a.max_bad_rows)
+            if a.mapping:
+                t["mapping"] = read_risk_mapping(spark, a.mapping, "InitialRiskLevel")
+            return t
+        start_daily_stream(spark, a.archives, dimensions, a.out, a.checkpoint, a.as_of, cut_type_history=not a.no_type_cut,
+                           out_format=a.out_format).awaitTermination()
+    for name, counts in report.items():
+        if any(counts.values()):
+            print(f"{name}: {counts['malformed']} malformed rows, {counts['dropped']} rows without a key")
 
 
 if __name__ == "__main__":

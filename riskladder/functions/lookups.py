@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskladder.functions.memo import reusable
 from riskladder.sources.local import local_table
 
 # --- fixed values: basic risk level by (type level 1, level 2, level 3) -----
@@ -126,17 +125,6 @@ def read_risk_mapping(spark: SparkSession, path: str, level_column: str = "RiskL
     return df.withColumnRenamed("RiskLevel", level_column) if level_column != "RiskLevel" else df
 
 
-def fund_type_risk_level(spark: SparkSession) -> DataFrame:
-    """Daily type-code table: distinct level-3 names numbered in table order."""
-    seen: list[str] = []
-    for _, _, name3, _ in BASIC_RISK_LEVEL:
-        if name3 not in seen:
-            seen.append(name3)
-    return local_table(spark, [(str(i + 1), n) for i, n in enumerate(seen)],
-                       "FundTypeCode string, FundTypeName string")
-
-
-@reusable
 def level_label(level) -> "F.Column":
     """R1..R5 -> label; null -> 未知; anything else -> null."""
     c = F.col(level) if isinstance(level, str) else level

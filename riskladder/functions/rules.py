@@ -14,7 +14,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from riskladder.functions import lookups as L
-from riskladder.functions.memo import reusable
 
 
 def _c(x) -> Column:
@@ -62,7 +61,6 @@ BASE_OUTCOMES = [
 ]
 
 
-@reusable
 def base_risk_branch(name, code1, code2, share) -> Column:
     """X1 decision: index into ``BASE_OUTCOMES`` (first matching condition)."""
     name, code1, code2, share = map(_c, (name, code1, code2, share))
@@ -102,7 +100,6 @@ def base_risk_outcome(branch, level) -> Column:
                     _outcome(BASE_OUTCOMES, 3, b).alias("name3"))
 
 
-@reusable
 def base_risk_rule(name, code1, code2, level, share) -> Column:
     """X1 -> struct(level, name1, name2, name3) as one expression; names are null when unchanged."""
     return base_risk_outcome(base_risk_branch(name, code1, code2, share), level)
@@ -134,7 +131,6 @@ def _reit(name: Column) -> Column:
     return F.upper(name).contains("REIT")
 
 
-@reusable
 def special_rule_quarterly(name, code, level) -> Column:
     """X2: keyword / code-list override of the quarterly base level."""
     name, code, level = map(_c, (name, code, level))
@@ -146,7 +142,6 @@ def special_rule_quarterly(name, code, level) -> Column:
             .otherwise(level))
 
 
-@reusable
 def special_rule_daily(name, code, level) -> Column:
     """X3 -> struct(level, special); special is null where the rule gives none."""
     name, code, level = map(_c, (name, code, level))
@@ -168,7 +163,6 @@ def special_rule_daily(name, code, level) -> Column:
 
 
 # --- X4: conversion remark -------------------------------------------------
-@reusable
 def conversion_remark(previous_name3) -> Column:
     """X4: remark naming the type a converted fund came from; null or empty in -> null."""
     c = _c(previous_name3)
@@ -176,7 +170,6 @@ def conversion_remark(previous_name3) -> Column:
 
 
 # --- X5: size flag ---------------------------------------------------------
-@reusable
 def size_flag(forth, third, second, last) -> Column:
     """1 = small (last < 1000, or all four < 5000); 2 = all four > 5000; else 0."""
     f, t, s, l = map(_c, (forth, third, second, last))
@@ -187,7 +180,6 @@ def size_flag(forth, third, second, last) -> Column:
 
 
 # --- X8: volatility flag ---------------------------------------------------
-@reusable
 def sd_flag(sds: list, standards: list) -> Column:
     """1 = every SD above its standard; 2 = every SD at or below; else 0."""
     above = below = None
@@ -199,14 +191,13 @@ def sd_flag(sds: list, standards: list) -> Column:
 
 
 # --- X6: final rating state machine ----------------------------------------
-@reusable
 def level_up(level) -> Column:
     """One step riskier, capped at R5; null stays null."""
     digit = F.substring(_c(level), -1, 1).try_cast("int")
     return F.when(digit.isNotNull(), F.concat(F.lit("R"), F.least(digit + 1, F.lit(5)).cast("string")))
 
 
-# One row per branch of the state machine, in first-match order:
+# fixed values: one row per branch of the state machine, in first-match order:
 # (level: keep or up, reason, new size status, new volatility status); None = unchanged.
 _UP, _KEEP = "up", "keep"
 FINAL_OUTCOMES = [
@@ -226,7 +217,6 @@ FINAL_OUTCOMES = [
 ]
 
 
-@reusable
 def final_rating_branch(level, months, size_f, size_status, sd_status, sd_f) -> Column:
     """X6 decision: index into ``FINAL_OUTCOMES`` (first matching condition)."""
     lv, m, nf, S, V, sf = map(_c, (level, months, size_f, size_status, sd_status, sd_f))
@@ -270,7 +260,6 @@ def final_rating_outcome(branch, level) -> Column:
                     column(3, "int").alias("sd_status"))
 
 
-@reusable
 def final_rating(level, months, size_f, size_status, sd_status, sd_f) -> Column:
     """X6 -> struct(level, reason, size_status, sd_status) as one expression.
 
@@ -281,7 +270,6 @@ def final_rating(level, months, size_f, size_status, sd_status, sd_f) -> Column:
     return final_rating_outcome(final_rating_branch(level, months, size_f, size_status, sd_status, sd_f), level)
 
 
-@reusable
 def change_direction(reason) -> Column:
     """-1 for a size or volatility revert, 1 for an uplift, else 0 (read from the reason text)."""
     r = _c(reason)
@@ -293,13 +281,11 @@ def change_direction(reason) -> Column:
 
 
 # --- C17 / C19 -------------------------------------------------------------
-@reusable
 def higher_level(a, b) -> Column:
     """The riskier of two R-codes; a null side yields the other (string order)."""
     return F.greatest(_c(a), _c(b))
 
 
-@reusable
 def level_code(n) -> Column:
     """Integer 1..5 -> 'R1'..'R5', anything else null."""
     c = _c(n)

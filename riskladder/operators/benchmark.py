@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 from riskladder.functions.calendar import QUARTER_LABELS
 
 # fixed values: inner codes of the two benchmark indices and the blend weights
-BROAD_INDEX = 2968
-BOND_INDEX = 14110
-BROAD_WEIGHT, BOND_WEIGHT = 0.8, 0.2
+INDEX_2968 = 2968
+INDEX_14110 = 14110
+WEIGHT_2968, WEIGHT_14110 = 0.8, 0.2
 R2_MULTIPLE, R3_MULTIPLE, R4_MULTIPLE = 1.4, 1.4, 3
 
 
@@ -26,7 +26,7 @@ def bench_col(label: str, index: int) -> str:
 def benchmark_row(index_vol: DataFrame, key: str = "InnerCode") -> DataFrame:
     """Volatility of both indices as one row: LastQrtSD_2968 ... ForthQrtSD_14110."""
     aggs = [F.max(F.when(F.col(key) == idx, F.col(f"{label}QrtSD"))).alias(bench_col(label, idx))
-            for idx in (BROAD_INDEX, BOND_INDEX) for label in QUARTER_LABELS]
+            for idx in (INDEX_2968, INDEX_14110) for label in QUARTER_LABELS]
     return index_vol.agg(*aggs)
 
 
@@ -54,15 +54,15 @@ def factors_and_standards(level: Column, bench: Column) -> dict[str, Column]:
     out: dict[str, Column] = {}
     for label in QUARTER_LABELS:
         sd = F.col(f"{label}QrtSD")
-        broad = bench[bench_col(label, BROAD_INDEX)]
-        bond = bench[bench_col(label, BOND_INDEX)]
-        blend = F.lit(BROAD_WEIGHT) * broad + F.lit(BOND_WEIGHT) * bond
+        sd_2968 = bench[bench_col(label, INDEX_2968)]
+        sd_14110 = bench[bench_col(label, INDEX_14110)]
+        blend = F.lit(WEIGHT_2968) * sd_2968 + F.lit(WEIGHT_14110) * sd_14110
         out[f"{label}QrtSDFactor"] = (F.when(level == "R2", F.try_divide(sd, blend))
-                                      .when(level == "R3", F.try_divide(sd, bond))
-                                      .when(level == "R4", F.try_divide(sd, bond))
+                                      .when(level == "R3", F.try_divide(sd, sd_14110))
+                                      .when(level == "R4", F.try_divide(sd, sd_14110))
                                       .otherwise(0))
         out[f"{label}QrtStandard"] = (F.when(level == "R2", F.lit(R2_MULTIPLE) * blend)
-                                      .when(level == "R3", F.lit(R3_MULTIPLE) * bond)
-                                      .when(level == "R4", F.lit(float(R4_MULTIPLE)) * bond)
+                                      .when(level == "R3", F.lit(R3_MULTIPLE) * sd_14110)
+                                      .when(level == "R4", F.lit(float(R4_MULTIPLE)) * sd_14110)
                                       .otherwise(0))
     return out

@@ -12,17 +12,30 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def flatten_tree(nodes: DataFrame, code: str = "FundTypeCode", name: str = "FundTypeName",
-                 parent: str = "FNodeCode", level: str = "Level", active: str = "IfExecuted") -> DataFrame:
-    """-> FundTypeCode1, FundTypeName1, FundTypeCode2, FundTypeName2, FundTypeCode3, FundTypeName3."""
+def type_levels(nodes: DataFrame, code: str = "FundTypeCode", name: str = "FundTypeName",
+                parent: str = "FNodeCode", level: str = "Level", active: str = "IfExecuted") -> tuple[DataFrame, ...]:
+    """The executed nodes of levels 3, 2 and 1: FundTypeCodeK, FundTypeNameK, _parentK."""
     live = nodes.filter(F.col(active) == 1).select(code, name, parent, level)
+    return tuple(live.filter(F.col(level) == k)
+                 .select(F.col(code).alias(f"FundTypeCode{k}"), F.col(name).alias(f"FundTypeName{k}"),
+                         F.col(parent).alias(f"_parent{k}")) for k in (3, 2, 1))
+
 
-    def lvl(k):
-        return (live.filter(F.col(level) == k)
-                    .select(F.col(code).alias(f"FundTypeCode{k}"), F.col(name).alias(f"FundTypeName{k}"),
-                            F.col(parent).alias(f"_parent{k}")))
+def attach_type_path(df: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Add names and codes of all levels to rows with FundTypeCode3, level after level: each
+    level has a known small size, while the size of the flattened tree would be over-estimated
+    and the rows shuffled by their few type codes."""
+    l3, l2, l1 = type_levels(nodes)
+    return (df.join(l3, "FundTypeCode3", "left")
+              .join(l2, F.col("_parent3") == F.col("FundTypeCode2"), "left")
+              .join(l1, F.col("_parent2") == F.col("FundTypeCode1"), "left")
+              .drop("_parent3", "_parent2", "_parent1"))
 
-    l3, l2, l1 = lvl(3), lvl(2), lvl(1)
+
+def flatten_tree(nodes: DataFrame, code: str = "FundTypeCode", name: str = "FundTypeName",
+                 parent: str = "FNodeCode", level: str = "Level", active: str = "IfExecuted") -> DataFrame:
+    """-> FundTypeCode1, FundTypeName1, FundTypeCode2, FundTypeName2, FundTypeCode3, FundTypeName3."""
+    l3, l2, l1 = type_levels(nodes, code, name, parent, level, active)
     return (l3.join(l2, l2["FundTypeCode2"] == l3["_parent3"], "left")
               .join(l1, l1["FundTypeCode1"] == l2["_parent2"], "left")
               .select("FundTypeCode1", "FundTypeName1", "FundTypeCode2", "FundTypeName2",

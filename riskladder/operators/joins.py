@@ -8,14 +8,29 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def one_per_key(table: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """One row per key: the smallest by ``order`` (nulls last), so a lookup cannot multiply rows.
+    An aggregate with partial sums, not a window; columns are keys and order."""
+    first = F.struct(*[F.struct(F.col(c).isNull(), F.col(c)).alias(c) for c in order])
+    return (table.groupBy(*keys).agg(F.min(first).alias("_first"))
+            .select(*keys, *[F.col("_first")[c][c].alias(c) for c in order]))
+
+
+def repeated_keys(table: DataFrame, keys: list[str]) -> DataFrame:
+    """Keys that occur more than once, with their number of rows (for reports)."""
+    return table.groupBy(*keys).agg(F.count("*").alias("n")).filter("n > 1")
+
+
 def predecessors(df: DataFrame, after: dt.date) -> DataFrame:
-    """Pre-conversion incarnations: main classes whose code ends in J, expiring after ``after``."""
-    return (df.filter(F.col("MainCode").endswith("J") & (F.col("ExpireDate") > F.lit(after))
+    """Pre-conversion incarnations: main classes whose code ends in J, expiring after ``after``;
+    of several with one code and expiry the smallest by code and type name."""
+    found = (df.filter(F.col("MainCode").endswith("J") & (F.col("ExpireDate") > F.lit(after))
                       & (F.col("MainCode") == F.col("SecurityCode")))
               .select(F.col("FundTypeName3").alias("PreviousFundTypeName3"),
                       F.col("MainCode").alias("MainCodeJ"),
                       F.col("ExpireDate").alias("ExpireDateJ"))
               .withColumn("MainCodeJoin", F.substring("MainCodeJ", 1, 6)))
+    return one_per_key(found, ["MainCodeJoin", "ExpireDateJ"], ["MainCodeJ", "PreviousFundTypeName3"])
 
 
 def attach_predecessor(df: DataFrame, pred: DataFrame) -> DataFrame:

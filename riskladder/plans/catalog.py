@@ -66,7 +66,6 @@ def fund_name(name: Column) -> Column:
     return F.array_join(F.transform(F.split(name, " "), tr), "")
 
 
-@S.per_session
 def part_funds(spark, sf_dir) -> DataFrame:
     """Parts as funds: name, code, base level, type codes and tranche."""
     k = F.col("p_partkey")
@@ -288,7 +287,7 @@ def q_volatility_4q(spark, sf_dir):
 
 
 def _index_series(spark, sf_dir):
-    return S.zzqz(spark, sf_dir).unionByName(S.zzzcf(spark, sf_dir))
+    return S.index_quotes(spark, sf_dir)
 
 
 def q_union_series(spark, sf_dir):
@@ -456,13 +455,13 @@ def q_rating_base(spark, sf_dir):
 
 def q_rating_daily(spark, sf_dir):
     return daily.run_daily(S.fund_tables(spark, sf_dir), AS_OF, L.risk_mapping(spark, "InitialRiskLevel"),
-                           L.fund_type_risk_level(spark))
+                           S.fundtyperisklevel(spark))
 
 
 def q_rating_daily_uncut(spark, sf_dir):
     """The daily rating as the original job ran it: newest type even if it starts later."""
     return daily.run_daily(S.fund_tables(spark, sf_dir), AS_OF, L.risk_mapping(spark, "InitialRiskLevel"),
-                           L.fund_type_risk_level(spark), cut_type_history=False)
+                           S.fundtyperisklevel(spark), cut_type_history=False)
 
 
 def q_rating_quarterly(spark, sf_dir):

@@ -11,10 +11,11 @@ from riskladder.functions import lookups as L
 from riskladder.functions import rules as R
 from riskladder.functions.calendar import rating_dates
 from riskladder.operators.asof import latest_batch
-from riskladder.operators.joins import left_lookup
+from riskladder.operators.joins import left_lookup, one_per_key
 from riskladder.plans.master import build_master
 from riskladder.plans.quarterly import NAME_KEYS, fof_names
 
+# fixed values: output columns
 DAILY_COLUMNS = ["InnerCode", "EndDate", "FundTypeCode", "RLDivisionMode", "InitialRiskLevel",
                  "InitialRiskLevelDesc", "BasicRiskLevel", "BasicRiskLevelDesc", "SpecialType",
                  "Remark", "UpdateTime", "JSID"]
@@ -31,7 +32,8 @@ def base_rating_daily(master: DataFrame, mapping: DataFrame, type_codes: DataFra
     df = (df.withColumn("_x3", R.special_rule_daily("ChiName", "SecurityCode", "BasicRiskLevel"))
             .withColumns({"BasicRiskLevel": F.col("_x3.level"), "SpecialType": F.col("_x3.special")})
             .drop("_x3"))
-    codes = type_codes.select(F.col("FundTypeCode"), F.col("FundTypeName").alias("_type_name"))
+    codes = one_per_key(type_codes.withColumn("_n", F.col("FundTypeCode").try_cast("long")), ["FundTypeName"], ["_n", "FundTypeCode"])
+    codes = codes.select("FundTypeCode", F.col("FundTypeName").alias("_type_name"))
     df = df.join(codes, df["FundTypeName3"] == codes["_type_name"], "left")
     return df.withColumns({
         "InitialRiskLevelDesc": L.level_label("InitialRiskLevel"),

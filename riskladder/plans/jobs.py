@@ -1,16 +1,17 @@
 """Batch jobs: read the extracts, rate, write the result table.
 
-The quarterly job can take last quarter's state (FundSizeStatus, SDStatus)
-either from an extract or from its own result table, where it is the partition
-``EndDate = D2``; the daily job rates share classes missing from the newest
-published batch. Each job ends in one write; paths and the rating date are
-arguments, never constants or the wall clock.
+Every input is named by the caller; nothing is looked for and skipped. The quarterly job
+takes last quarter's state (FundSizeStatus, SDStatus) from the ``last_qrt`` extract, or, if
+``state_path`` is given, from its own result table, where it is the partition
+``EndDate = D2``. The daily job rates share classes missing from the newest published
+batch. ``report`` (a dict) receives malformed and dropped row counts per extract;
+``max_bad_rows`` fails the job when an extract has more. Paths and the rating date are arguments,
+never constants or the wall clock.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import os
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,35 +23,35 @@ from riskladder.sources import readers, sinks
 
 QUARTERLY_INPUTS = ["fundarchives", "secumain", "fundtype", "fundrisklevel", "fundtypechangenew",
                     "mainfinancialindex", "last_qrt", "unitnvrestored", "zzqz", "zzzcf"]
-DAILY_INPUTS = ["fundarchives", "secumain", "fundtype", "fundrisklevel", "fundtypechangenew", "last_batch"]
-
-
-def _path(extract_dir: str, name: str, fmt: str) -> str:
-    return os.path.join(extract_dir, f"{name}.{fmt}")
+DAILY_INPUTS = ["fundarchives", "secumain", "fundtype", "fundrisklevel", "fundtypechangenew", "last_batch", "fundtyperisklevel"]
 
 
 def read_inputs(spark: SparkSession, extract_dir: str, names: list[str], fmt: str = "csv",
-                encodings: dict[str, str] | None = None, optional: tuple[str, ...] = ()) -> dict[str, DataFrame]:
-    """Read ``{extract_dir}/{name}.{fmt}`` for each name with its declared schema."""
+                encodings: dict[str, str] | None = None, report: dict | None = None,
+                max_bad_rows: int | None = None) -> dict[str, DataFrame]:
+    """Read ``{extract_dir}/{name}.{fmt}`` for each name with its declared schema; a missing file fails."""
     out = {}
     for name in names:
-        p = _path(extract_dir, name, fmt)
-        if name in optional and not os.path.exists(p):
-            continue
-        df = readers.read_extract(spark, name, p, fmt, (encodings or {}).get(name))
-        out[name] = readers.validate(df, name)
+        path, enc = f"{extract_dir.rstrip('/')}/{name}.{fmt}", (encodings or {}).get(name)
+        if report is not None or max_bad_rows is not None:
+            counts = readers.bad_row_counts(spark, name, path, fmt, enc)
+            if report is not None:
+                report[name] = counts
+            if max_bad_rows is not None and sum(counts.values()) > max_bad_rows:
+                raise ValueError(f"{name}: {counts['malformed']} malformed rows and {counts['dropped']} rows without a key")
+        out[name] = readers.validate(readers.read_extract(spark, name, path, fmt, enc), name)
     return out
 
 
 def quarterly_job(spark: SparkSession, extract_dir: str, as_of: dt.date, output: str, fmt: str = "csv",
                   encodings: dict[str, str] | None = None, state_path: str | None = None,
-                  out_format: str = "parquet", mapping_path: str | None = None) -> DataFrame:
+                  out_format: str = "parquet", mapping_path: str | None = None, report: dict | None = None,
+                  max_bad_rows: int | None = None) -> DataFrame:
     """Quarterly rating at ``as_of``; writes partition EndDate = D1 of ``output``.
     ``mapping_path`` replaces the built-in basic-level table (CSV or YAML)."""
-    t = read_inputs(spark, extract_dir, QUARTERLY_INPUTS, fmt, encodings, optional=("last_qrt",))
-    if "last_qrt" not in t:
-        if not state_path:
-            raise ValueError("no last_qrt extract and no state_path to read last quarter's state from")
+    names = [n for n in QUARTERLY_INPUTS if n != "last_qrt" or not state_path]
+    t = read_inputs(spark, extract_dir, names, fmt, encodings, report, max_bad_rows)
+    if state_path:
         t["last_qrt"] = sinks.read_previous_state(spark, state_path, rating_dates(as_of).d2, out_format)
     mapping = L.read_risk_mapping(spark, mapping_path) if mapping_path else L.risk_mapping(spark)
     rated = run_quarterly(t, as_of, mapping)
@@ -60,13 +61,11 @@ def quarterly_job(spark: SparkSession, extract_dir: str, as_of: dt.date, output:
 
 def daily_job(spark: SparkSession, extract_dir: str, as_of: dt.date, output: str, fmt: str = "csv",
               encodings: dict[str, str] | None = None, out_format: str = "parquet",
-              cut_type_history: bool = True, mapping_path: str | None = None) -> DataFrame:
+              cut_type_history: bool = True, mapping_path: str | None = None, report: dict | None = None,
+              max_bad_rows: int | None = None) -> DataFrame:
     """Daily pre-rating at ``as_of``; writes partition EndDate = as_of - 1 of ``output``."""
-    t = read_inputs(spark, extract_dir, DAILY_INPUTS + ["fundtyperisklevel"], fmt, encodings,
-                    optional=("fundtyperisklevel",))
-    type_codes = t.pop("fundtyperisklevel", None)
-    if type_codes is None:
-        type_codes = L.fund_type_risk_level(spark)
+    t = read_inputs(spark, extract_dir, DAILY_INPUTS, fmt, encodings, report, max_bad_rows)
+    type_codes = t.pop("fundtyperisklevel")
     mapping = (L.read_risk_mapping(spark, mapping_path, "InitialRiskLevel") if mapping_path
                else L.risk_mapping(spark, "InitialRiskLevel"))
     rated = run_daily(t, as_of, mapping, type_codes, cut_type_history)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from riskladder.functions import lookups as L
 from riskladder.functions.rules import level_code
 from riskladder.operators.asof import effective_at, latest_per_key
-from riskladder.operators.hierarchy import flatten_tree
+from riskladder.operators.hierarchy import attach_type_path
 
 FUND_CATEGORIES = (8, 13)          # fixed values: security categories that are funds
 LISTED_STATES = (1, 3, 9)          # fixed values: listing states kept
@@ -49,8 +49,7 @@ def build_master(secumain: DataFrame, fundarchives: DataFrame, fundtype: DataFra
     quarterly job passes D1, the daily job its run date); ``None`` takes the
     newest type regardless of its start date.
     """
-    return (listed_funds(secumain)
-            .join(fundarchives, "InnerCode", "left")
-            .join(current_type(fundtypechangenew, type_as_of), "InnerCode", "inner")
-            .join(flatten_tree(fundtype), "FundTypeCode3", "left")
-            .join(official_rating(fundrisklevel, d1), "InnerCode", "left"))
+    funds = (listed_funds(secumain)
+             .join(fundarchives, "InnerCode", "left")
+             .join(current_type(fundtypechangenew, type_as_of), "InnerCode", "inner"))
+    return attach_type_path(funds, fundtype).join(official_rating(fundrisklevel, d1), "InnerCode", "left")

@@ -1,8 +1,10 @@
 """DuckDB SQL twins of the registered queries (the correctness oracle).
 
-Written independently of the Spark code paths: window functions where Spark uses
+The query shapes differ from the Spark code: window functions where Spark uses
 aggregates, four separate window CTEs joined where Spark makes one pass, CASE
-chains where Spark uses Column rules, and the stand-in inputs re-derived as CTEs.
+chains where Spark uses branch tables, and the stand-in inputs re-derived as CTEs.
+Fixed values (code lists, mapping, dates, index keys) are imported from the package and so
+are not checked here; the unit tests hold them against literal values.
 """
 
 from __future__ import annotations
@@ -11,7 +13,7 @@ import datetime as dt
 
 from riskladder.functions import lookups as L
 from riskladder.functions.calendar import QUARTER_LABELS, WEEK_ANCHOR
-from riskladder.operators.benchmark import BOND_INDEX, BROAD_INDEX
+from riskladder.operators.benchmark import INDEX_14110, INDEX_2968
 from riskladder.plans import catalog as Q
 from riskladder.sources import standins as S
 
@@ -170,7 +172,7 @@ def factor(rate) -> str:
 
 
 def compound(expr) -> str:
-    return f"CAST(CAST(product({expr}) - 1 AS DECIMAL(28,10)) AS DECIMAL(18,6))"
+    return f"CAST(CAST(product({expr}) - 1 AS DECIMAL(28,12)) AS DECIMAL(18,6))"
 
 
 def in_win(day, lo, hi) -> str:
@@ -231,10 +233,10 @@ ADAPTER = {
     "unitnvrestored": f"""SELECT CAST(l_suppkey AS INTEGER) AS InnerCode, CAST(l_shipdate AS DATE) AS TradingDay,
         CAST(CASE WHEN l_suppkey % {S.CALM_SHARE} = 1 THEN (l_tax - l_discount) * 100 * CAST({S.CALM_SCALE} AS DOUBLE)
                   ELSE (l_tax - l_discount) * 100 END AS DECIMAL(18,8)) AS NVRDailyGrowthRate FROM lineitem""",
-    "zzqz": f"""SELECT {BROAD_INDEX} AS InnerCode, CAST(l_shipdate AS DATE) AS TradingDay,
+    "zzqz": f"""SELECT {INDEX_2968} AS InnerCode, CAST(l_shipdate AS DATE) AS TradingDay,
         CAST(NULL AS DECIMAL(18,4)) AS ClosePrice, CAST(avg(CAST({PCT} AS DOUBLE)) AS DECIMAL(18,8)) AS ChangePCT
       FROM lineitem WHERE l_linestatus = 'F' GROUP BY CAST(l_shipdate AS DATE)""",
-    "zzzcf": f"""SELECT {BOND_INDEX} AS InnerCode, CAST(l_shipdate AS DATE) AS TradingDay,
+    "zzzcf": f"""SELECT {INDEX_14110} AS InnerCode, CAST(l_shipdate AS DATE) AS TradingDay,
         CAST(NULL AS DECIMAL(18,4)) AS ClosePrice, CAST(avg(CAST({PCT} AS DOUBLE)) AS DECIMAL(18,8)) AS ChangePCT
       FROM lineitem WHERE l_linestatus = 'O' GROUP BY CAST(l_shipdate AS DATE)""",
     "last_qrt": """SELECT CAST(s_suppkey AS INTEGER) AS InnerCode,
@@ -270,14 +272,14 @@ def vol_ctes(src: str, rate: str, prefix: str) -> dict[str, str]:
 
 def bench_cte(vol: str) -> str:
     cols = [f"max(CASE WHEN InnerCode = {idx} THEN {lab}QrtSD END) AS {lab}QrtSD_{idx}"
-            for idx in (BROAD_INDEX, BOND_INDEX) for lab in QUARTER_LABELS]
+            for idx in (INDEX_2968, INDEX_14110) for lab in QUARTER_LABELS]
     return f"SELECT {', '.join(cols)} FROM {vol}"
 
 
 def factor_cols(level: str) -> dict[str, str]:
     out = {}
     for lab in QUARTER_LABELS:
-        sd, broad, bond = f"{lab}QrtSD", f"{lab}QrtSD_{BROAD_INDEX}", f"{lab}QrtSD_{BOND_INDEX}"
+        sd, broad, bond = f"{lab}QrtSD", f"{lab}QrtSD_{INDEX_2968}", f"{lab}QrtSD_{INDEX_14110}"
         blend = f"(CAST(0.8 AS DOUBLE) * {broad} + CAST(0.2 AS DOUBLE) * {bond})"
         out[f"{lab}QrtSDFactor"] = (f"CASE WHEN {level} = 'R2' THEN {sd} / {blend} WHEN {level} = 'R3' THEN {sd} / {bond} "
                                     f"WHEN {level} = 'R4' THEN {sd} / {bond} ELSE CAST(0 AS DOUBLE) END")
@@ -391,8 +393,8 @@ def base_ctes() -> dict[str, str]:
 
 def daily_sql(cut: bool = True) -> str:
     c = master_ctes(Q.AS_OF if cut else None)
-    type_codes = [(str(i + 1), n) for i, n in enumerate(dict.fromkeys(r[2] for r in L.BASIC_RISK_LEVEL))]
-    c["ftl"] = f"SELECT * FROM {values(type_codes, ['FundTypeCode', 'FundTypeName'])}"
+    c["ftl"] = (f"SELECT min(CAST(FundTypeCode AS BIGINT)) AS FundTypeCode, FundTypeName "
+                f"FROM {values(S.type_code_rows(), ['FundTypeCode', 'FundTypeName'])} GROUP BY FundTypeName")
     c["newest"] = ("SELECT SecurityCode FROM last_batch WHERE EndDate = (SELECT max(EndDate) FROM last_batch) "
                    "AND Number = (SELECT max(Number) FROM last_batch WHERE EndDate = (SELECT max(EndDate) FROM last_batch))")
     c["d1"] = ("SELECT * FROM master m WHERE NOT EXISTS (SELECT 1 FROM newest n WHERE n.SecurityCode = m.SecurityCode)")
@@ -560,7 +562,7 @@ def _sql() -> dict[str, str]:
     ci["zz"] = "SELECT * FROM zzqz UNION ALL SELECT * FROM zzzcf"
     ci.update(vol_ctes("zz", "ChangePCT", "i"))
     ci["bench"] = bench_cte("ivol")
-    bcols = [f"{lab}QrtSD_{idx}" for idx in (BROAD_INDEX, BOND_INDEX) for lab in QUARTER_LABELS]
+    bcols = [f"{lab}QrtSD_{idx}" for idx in (INDEX_2968, INDEX_14110) for lab in QUARTER_LABELS]
     o["benchmark_row"] = with_ctes(ci, f"SELECT {', '.join(rnd(x) for x in bcols)} FROM bench")
     cf = dict(ci)
     cf.update(vol_ctes("unitnvrestored", "NVRDailyGrowthRate", "f"))

@@ -1,8 +1,9 @@
 """Quarterly rating: base level from type and rules, then the size / volatility
 uplift state machine against last quarter's state, then share-class propagation.
 
-One Spark action (the write) per run: benchmarks stay in the plan as a scalar
-sub-query, the quarter pivot has explicit labels, the volatility is one pass.
+Benchmarks stay in the plan as a scalar sub-query, the quarter pivot has explicit
+labels, the volatility is one pass. With ``checkpoint`` (the default) two eager jobs
+write checkpoints while the query is declared; the result is computed by the write.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ from riskladder.operators.sizing import nav_by_quarter
 from riskladder.plans.master import build_master
 from riskladder.session import materialize
 
+# fixed values: lookup keys, output columns, propagated and zero-filled columns
 NAME_KEYS = ["FundTypeName1", "FundTypeName2", "FundTypeName3"]
 
 FINAL_COLUMNS = [
@@ -140,14 +142,14 @@ def run_quarterly(t: dict[str, DataFrame], as_of: dt.date, mapping: DataFrame,
     """Quarterly rating at ``as_of`` from the named input tables.
 
     ``t`` keys: secumain, fundarchives, fundtype, fundrisklevel, fundtypechangenew,
-    mainfinancialindex, last_qrt, unitnvrestored, zzqz, zzzcf.
+    mainfinancialindex, last_qrt, unitnvrestored, and zzqz, zzzcf or both as index_quotes.
     """
     dates = rating_dates(as_of)
     master = build_master(t["secumain"], t["fundarchives"], t["fundtype"], t["fundrisklevel"],
                           t["fundtypechangenew"], dates.d1, dates.d1)
     base = base_rating_quarterly(master, mapping, dates, checkpoint)
     fund_vol = volatility_quarters(t["unitnvrestored"], dates, rate="NVRDailyGrowthRate")
-    index_series = t["zzqz"].unionByName(t["zzzcf"])
+    index_series = t["index_quotes"] if "index_quotes" in t else t["zzqz"].unionByName(t["zzzcf"])
     bench = benchmark_scalar(volatility_quarters(index_series, dates, rate="ChangePCT"))
     nav = t["mainfinancialindex"].join(t["fundarchives"].select("InnerCode", "MainCode"), "InnerCode", "left")
     return final_rating_quarterly(base, dates, nav, t["last_qrt"], fund_vol, bench, checkpoint)

@@ -1,11 +1,11 @@
 """Readers for the rating extracts (CSV or Parquet) with explicit schemas.
 
 * every read gets a schema: nothing is inferred, nothing arrives as strings;
-* header files are read with ``enforceSchema=false`` so a header whose names do
-  not match the declared schema fails instead of binding columns by position;
-* malformed values become null (PERMISSIVE); ``corrupt_rows`` counts them;
-* legacy Chinese encodings (cp936/GBK) need ``spark.sql.legacy.javaCharsets``
-  in Spark 4, which ``read_extract`` switches on only when such an encoding is asked for.
+* header files bind columns by name: order and extra columns do not matter, a missing
+  column fails;
+* malformed values become null; ``corrupt_rows`` selects their rows, ``bad_row_counts`` counts them;
+* legacy Chinese encodings (cp936/GBK) need ``spark.sql.legacy.javaCharsets`` in Spark 4, a
+  setting of the whole session that is left to the caller; a read without it fails clearly.
 """
 
 from __future__ import annotations
@@ -23,23 +23,28 @@ _LEGACY_CHARSETS = {"cp936", "gbk", "gb2312", "gb18030"}
 def read_csv(spark: SparkSession, path: str, schema: T.StructType, header: bool,
              encoding: str | None = None, keep_corrupt: bool = False) -> DataFrame:
     """CSV with an explicit schema; ``keep_corrupt`` adds the raw text of unparsable rows."""
-    if encoding and encoding.lower() in _LEGACY_CHARSETS:
-        spark.conf.set("spark.sql.legacy.javaCharsets", "true")
-    read_schema = schema
-    if keep_corrupt:
-        read_schema = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType(), True)])
-    reader = (spark.read.schema(read_schema)
-              .option("header", header)
-              .option("mode", "PERMISSIVE")
-              .option("columnNameOfCorruptRecord", CORRUPT))
+    if encoding and encoding.lower() in _LEGACY_CHARSETS and spark.conf.get("spark.sql.legacy.javaCharsets", "false") != "true":
+        raise ValueError(f"reading {encoding} needs spark.sql.legacy.javaCharsets=true in the session")
+    reader = spark.read.option("encoding", encoding) if encoding else spark.read
     if header:
-        reader = reader.option("enforceSchema", False)
-    if encoding:
-        reader = reader.option("encoding", encoding)
-    df = reader.csv(path)
+        return _by_name(reader.option("header", True).csv(path), schema, keep_corrupt)
+    read_schema = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType(), True)]) if keep_corrupt else schema
+    df = (reader.schema(read_schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).csv(path))
     return df if keep_corrupt else df.select(*schema.fieldNames())
 
 
+def _by_name(raw: DataFrame, schema: T.StructType, keep_corrupt: bool) -> DataFrame:
+    missing = [n for n in schema.fieldNames() if n not in raw.columns]
+    if missing:
+        raise ValueError(f"the header has no column {', '.join(missing)}")
+    typed = {f.name: F.col(f.name).try_cast(f.dataType) for f in schema.fields}
+    cols = [c.alias(n) for n, c in typed.items()]
+    if keep_corrupt:
+        bad = F.array_contains(F.array(*[F.col(n).isNotNull() & c.isNull() for n, c in typed.items()]), True)
+        cols.append(F.when(bad, F.to_json(F.struct(*[F.col(n) for n in schema.fieldNames()]))).alias(CORRUPT))
+    return raw.select(*cols)
+
+
 def read_extract(spark: SparkSession, name: str, path: str, fmt: str = "csv",
                  encoding: str | None = None) -> DataFrame:
     """Read one named extract (see ``schemas.EXTRACTS``) and prune to its columns."""
@@ -64,3 +69,18 @@ def validate(df: DataFrame, name: str) -> DataFrame:
     for c in cols:
         cond = F.col(c).isNotNull() if cond is None else cond & F.col(c).isNotNull()
     return df if cond is None else df.filter(cond)
+
+
+def bad_row_counts(spark: SparkSession, name: str, path: str, fmt: str = "csv", encoding: str | None = None) -> dict[str, int]:
+    """{"malformed": rows with a value that does not parse, "dropped": rows without a required key}
+    of an extract; one job. The hash makes the parser read every column, not only the keys."""
+    schema, header = schemas.EXTRACTS[name]
+    if fmt == "csv":
+        df = read_csv(spark, path, schema, header, encoding, keep_corrupt=True)
+    else:
+        df = read_extract(spark, name, path, fmt).withColumn(CORRUPT, F.lit(None).cast("string"))
+    keys = [F.col(c).isNull() for c in schemas.REQUIRED.get(name, [])]
+    gone = F.array_contains(F.array(*keys), True) if keys else F.lit(False)
+    row = df.agg(F.count(F.when(F.col(CORRUPT).isNotNull() & (F.xxhash64(*schema.fieldNames()) != 0), 1)).alias("m"),
+                 F.count(F.when(gone, 1)).alias("d")).first()
+    return {"malformed": row["m"], "dropped": row["d"]}

@@ -10,13 +10,12 @@ grows with the scale factor. The same derivation is written as SQL CTEs in
 from __future__ import annotations
 
 import datetime as dt
-import functools
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskladder.functions import lookups as L
-from riskladder.operators.benchmark import BOND_INDEX, BROAD_INDEX
+from riskladder.operators.benchmark import INDEX_14110, INDEX_2968
 from riskladder.sources.local import local_table
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
@@ -58,26 +57,8 @@ CONVERSION_DAY = dt.date(2000, 11, 15)
 LISTED_CODES = L.NEEQ_R3 + L.NEEQ_R4 + L.BEIJING_R4
 
 
-def per_session(fn):
-    """Declare a derived table once per (session, scale folder) and reuse the
-    DataFrame: it is a lazy plan, so every query still reads the whole table,
-    but re-declaring it would repeat file listing, footer reads and hundreds of
-    JVM calls per query."""
-    cache: dict = {}
-
-    @functools.wraps(fn)
-    def wrapper(spark, sf_dir=None, *args):
-        key = (id(spark), sf_dir, args)
-        df = cache.get(key)
-        if df is None or df.sparkSession is not spark:
-            df = cache[key] = fn(spark, sf_dir, *args)
-        return df
-    return wrapper
-
-
-@per_session
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table, opened once per session (``supplier`` feeds many derived tables)."""
+    """A driver table."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -97,7 +78,6 @@ def _days_after(day: dt.date, n: Column) -> Column:
     return F.date_add(F.lit(day), n.cast("int"))
 
 
-@per_session
 def secumain(spark, sf_dir) -> DataFrame:
     k = _k()
     return load(spark, sf_dir, "supplier").select(
@@ -109,7 +89,6 @@ def secumain(spark, sf_dir) -> DataFrame:
         F.when(k % 11 == 5, 5).when(k % 11 == 3, 3).when(k % 11 == 8, 9).otherwise(1).alias("ListedState"))
 
 
-@per_session
 def fundarchives(spark, sf_dir) -> DataFrame:
     k = _k()
     pred = k % 10 == 9
@@ -132,13 +111,11 @@ def fundarchives(spark, sf_dir) -> DataFrame:
          .when(k % 13 == 4, F.date_add(est, 2200)).alias("ExpireDate"))
 
 
-@per_session
 def fundtype(spark, sf_dir=None) -> DataFrame:
     return local_table(spark, TYPE_TREE, "FundTypeCode int, FundTypeName string, FNodeCode int, "
                                          "Level int, IfExecuted int")
 
 
-@per_session
 def fundtypechangenew(spark, sf_dir) -> DataFrame:
     k = _k()
     sup = load(spark, sf_dir, "supplier")
@@ -154,7 +131,6 @@ def fundtypechangenew(spark, sf_dir) -> DataFrame:
     return older.unionByName(newer)
 
 
-@per_session
 def fundrisklevel(spark, sf_dir) -> DataFrame:
     k = _k()
     sup = load(spark, sf_dir, "supplier")
@@ -172,7 +148,6 @@ def fundrisklevel(spark, sf_dir) -> DataFrame:
     return older.unionByName(newer)
 
 
-@per_session
 def mainfinancialindex(spark, sf_dir) -> DataFrame:
     n_funds = load(spark, sf_dir, "supplier").select(F.count(F.lit(1))).scalar()
     code = F.col("InnerCode")
@@ -192,7 +167,6 @@ CALM_SHARE = 4
 CALM_SCALE = 0.1
 
 
-@per_session
 def unitnvrestored(spark, sf_dir) -> DataFrame:
     calm = F.col("l_suppkey") % CALM_SHARE == 1
     raw = (F.col("l_tax") - F.col("l_discount")) * 100
@@ -204,26 +178,40 @@ def unitnvrestored(spark, sf_dir) -> DataFrame:
         rate.alias("NVRDailyGrowthRate"))
 
 
-@per_session
-def index_quotes(spark, sf_dir, index_code: int, line_status: str) -> DataFrame:
-    """One benchmark index: daily mean change of the lineitem rows of one line status."""
-    return (load(spark, sf_dir, "lineitem")
-            .filter(F.col("l_linestatus") == line_status)
-            .groupBy(F.to_date("l_shipdate").alias("TradingDay"))
+INDEX_STATUS = {INDEX_2968: "F", INDEX_14110: "O"}
+
+
+def index_quotes(spark, sf_dir) -> DataFrame:
+    """Both benchmark indices in one scan: daily mean change of the lineitem rows of each line status."""
+    status = F.col("l_linestatus")
+    code = F.lit(None).cast("int")
+    for k, v in INDEX_STATUS.items():
+        code = F.when(status == v, k).otherwise(code)
+    return (load(spark, sf_dir, "lineitem").filter(status.isin(*INDEX_STATUS.values()))
+            .groupBy(status, F.to_date("l_shipdate").alias("TradingDay"))
             .agg(F.avg(_pct().cast("double")).cast("decimal(18,8)").alias("ChangePCT"))
-            .select(F.lit(index_code).alias("InnerCode"), "TradingDay",
-                    F.lit(None).cast("decimal(18,4)").alias("ClosePrice"), "ChangePCT"))
+            .select(code.alias("InnerCode"), "TradingDay", F.lit(None).cast("decimal(18,4)").alias("ClosePrice"), "ChangePCT"))
 
 
 def zzqz(spark, sf_dir) -> DataFrame:
-    return index_quotes(spark, sf_dir, BROAD_INDEX, "F")
+    return index_quotes(spark, sf_dir).filter(F.col("InnerCode") == INDEX_2968)
 
 
 def zzzcf(spark, sf_dir) -> DataFrame:
-    return index_quotes(spark, sf_dir, BOND_INDEX, "O")
+    return index_quotes(spark, sf_dir).filter(F.col("InnerCode") == INDEX_14110)
+
+
+def type_code_rows() -> list[tuple[str, str]]:
+    """Made-up type codes: distinct level-3 names numbered in table order; every third name
+    comes again under a larger code, so lookups meet repeated keys."""
+    names = list(dict.fromkeys(r[2] for r in L.BASIC_RISK_LEVEL))
+    return [(str(i + 1), n) for i, n in enumerate(names)] + [(str(i + 101), n) for i, n in enumerate(names) if i % 3 == 0]
+
+
+def fundtyperisklevel(spark) -> DataFrame:
+    return local_table(spark, type_code_rows(), "FundTypeCode string, FundTypeName string")
 
 
-@per_session
 def last_qrt(spark, sf_dir) -> DataFrame:
     k = _k()
     return load(spark, sf_dir, "supplier").select(
@@ -235,7 +223,6 @@ def last_qrt(spark, sf_dir) -> DataFrame:
         F.lit(None).cast("string").alias("HigherRiskLevelName"))
 
 
-@per_session
 def last_batch(spark, sf_dir) -> DataFrame:
     k = _k()
     return load(spark, sf_dir, "supplier").select(
@@ -251,6 +238,6 @@ def fund_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "fundtypechangenew": fundtypechangenew(spark, sf_dir),
         "mainfinancialindex": mainfinancialindex(spark, sf_dir),
         "last_qrt": last_qrt(spark, sf_dir), "unitnvrestored": unitnvrestored(spark, sf_dir),
-        "zzqz": zzqz(spark, sf_dir), "zzzcf": zzzcf(spark, sf_dir),
-        "last_batch": last_batch(spark, sf_dir),
+        "zzqz": zzqz(spark, sf_dir), "zzzcf": zzzcf(spark, sf_dir), "index_quotes": index_quotes(spark, sf_dir),
+        "last_batch": last_batch(spark, sf_dir), "fundtyperisklevel": fundtyperisklevel(spark),
     }

@@ -34,22 +34,24 @@ from riskladder.sources import schemas, sinks
 
 def start_daily_stream(spark: SparkSession, archive_dir: str, dimensions: Callable[[], dict[str, DataFrame]],
                        output: str, checkpoint: str, as_of: dt.date, fmt: str = "parquet",
-                       available_now: bool = True) -> StreamingQuery:
+                       available_now: bool = True, cut_type_history: bool = True,
+                       out_format: str = "parquet") -> StreamingQuery:
     """Start the stream. ``dimensions()`` returns secumain, fundtype, fundrisklevel,
-    fundtypechangenew and last_batch DataFrames (called once per micro-batch)."""
+    fundtypechangenew, last_batch, fundtyperisklevel and, to replace the built-in basic
+    levels, mapping DataFrames (called once per micro-batch)."""
     archives = spark.readStream.schema(schemas.FUNDARCHIVES).format(fmt).load(archive_dir)
     d1 = rating_dates(as_of).d1
 
     def rate(batch: DataFrame, batch_id: int) -> None:
         t = dimensions()
         master = build_master(t["secumain"], batch, t["fundtype"], t["fundrisklevel"],
-                              t["fundtypechangenew"], d1, as_of)
+                              t["fundtypechangenew"], d1, as_of if cut_type_history else None)
         # only share classes that arrived in this batch (the master joins secumain first)
         master = master.join(batch.select("InnerCode"), "InnerCode", "left_semi")
-        rated = base_rating_daily(master, L.risk_mapping(spark, "InitialRiskLevel"),
-                                  L.fund_type_risk_level(spark), t["last_batch"], as_of)
+        mapping = t["mapping"] if "mapping" in t else L.risk_mapping(spark, "InitialRiskLevel")
+        rated = base_rating_daily(master, mapping, t["fundtyperisklevel"], t["last_batch"], as_of)
         # a replayed batch id overwrites only its own partition: idempotent, no duplicates
-        sinks.write_rating(rated.withColumn("batch", F.lit(batch_id)), output, partition_by=["batch", "EndDate"])
+        sinks.write_rating(rated.withColumn("batch", F.lit(batch_id)), output, out_format, partition_by=["batch", "EndDate"])
 
     writer = archives.writeStream.foreachBatch(rate).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 hour")

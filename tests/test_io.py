@@ -24,20 +24,28 @@ def test_headerless_csv_with_schema_and_corrupt_rows(spark, tmp_dir):
     assert len(readers.corrupt_rows(raw).collect()) == 2
 
 
-def test_header_names_are_checked(spark, tmp_dir):
-    p = os.path.join(tmp_dir, "bad_header.csv")
-    _write(p, "InnerCode,SDStatus,FundSizeStatus,HigherRiskLevel,HigherRiskLevelName\n1,0,1,,\n")
-    with pytest.raises(Exception):
-        readers.read_extract(spark, "last_qrt", p).collect()
-    good = os.path.join(tmp_dir, "good_header.csv")
-    _write(good, "InnerCode,FundSizeStatus,SDStatus,HigherRiskLevel,HigherRiskLevelName\n1,0,1,R3,中等\n")
-    assert readers.read_extract(spark, "last_qrt", good).collect()[0].SDStatus == 1
+def test_header_files_bind_by_name(spark, tmp_dir):
+    p = os.path.join(tmp_dir, "reordered.csv")
+    _write(p, "Extra,SDStatus,InnerCode,FundSizeStatus,HigherRiskLevelName,HigherRiskLevel\nx,0,1,1,,R3\ny,bad,2,1,,\n")
+    rows = {r.InnerCode: r for r in readers.read_extract(spark, "last_qrt", p).collect()}
+    assert (rows[1].SDStatus, rows[1].FundSizeStatus, rows[1].HigherRiskLevel) == (0, 1, "R3") and rows[2].SDStatus is None
+    assert readers.bad_row_counts(spark, "last_qrt", p) == {"malformed": 1, "dropped": 0}
+    narrow = os.path.join(tmp_dir, "narrow.csv")
+    _write(narrow, "InnerCode,FundSizeStatus\n1,0\n")
+    with pytest.raises(ValueError, match="SDStatus"):
+        readers.read_extract(spark, "last_qrt", narrow)
 
 
 def test_legacy_chinese_encoding(spark, tmp_dir):
     p = os.path.join(tmp_dir, "secumain.csv")
     _write(p, "1,黄金基金,黄金,8,1\n", encoding="gbk")
-    row = readers.read_extract(spark, "secumain", p, encoding="cp936").collect()[0]
+    with pytest.raises(ValueError, match="javaCharsets"):
+        readers.read_extract(spark, "secumain", p, encoding="cp936")
+    spark.conf.set("spark.sql.legacy.javaCharsets", "true")
+    try:
+        row = readers.read_extract(spark, "secumain", p, encoding="cp936").collect()[0]
+    finally:
+        spark.conf.unset("spark.sql.legacy.javaCharsets")
     assert row.ChiName == "黄金基金" and row.SecuCategory == 8
 
 

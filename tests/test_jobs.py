@@ -87,3 +87,30 @@ def test_job_with_mapping_file_matches_built_in_table(spark, tmp_dir):
     got = sorted(tuple(r) for r in spark.read.parquet(out).select(*cols).collect())
     want = sorted(tuple(r) for r in catalog.QUERIES["rating_daily"](spark, SF).select(*cols).collect())
     assert got == want
+
+
+def test_paths_and_uris_give_the_same_daily_rating(spark, tmp_dir):
+    import pytest
+    ex = os.path.join(tmp_dir, "extracts")
+    _write_extracts(spark, ex, DAILY_INPUTS)
+    daily_job(spark, ex, catalog.AS_OF, os.path.join(tmp_dir, "a"))
+    daily_job(spark, f"file://{ex}", catalog.AS_OF, os.path.join(tmp_dir, "b"))
+    a, b = (sorted(map(str, spark.read.parquet(os.path.join(tmp_dir, x)).collect())) for x in "ab")
+    assert a == b and a
+    ex2 = os.path.join(tmp_dir, "extracts2")
+    _write_extracts(spark, ex2, [n for n in DAILY_INPUTS if n != "fundtyperisklevel"])
+    with pytest.raises(Exception):
+        daily_job(spark, ex2, catalog.AS_OF, os.path.join(tmp_dir, "c"))
+
+
+def test_jobs_report_bad_rows(spark, tmp_dir):
+    import pytest
+    ex = os.path.join(tmp_dir, "extracts")
+    _write_extracts(spark, ex, DAILY_INPUTS)
+    with open(os.path.join(ex, "secumain.csv", "part-extra.csv"), "w", encoding="utf-8") as f:
+        f.write("900001,x,x,eight,1\nbad,x,x,8,1\n")
+    report = {}
+    daily_job(spark, ex, catalog.AS_OF, os.path.join(tmp_dir, "out"), report=report)
+    assert report["secumain"] == {"malformed": 2, "dropped": 1} and report["fundtype"] == {"malformed": 0, "dropped": 0}
+    with pytest.raises(ValueError, match="secumain"):
+        daily_job(spark, ex, catalog.AS_OF, os.path.join(tmp_dir, "out2"), max_bad_rows=2)

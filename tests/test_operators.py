@@ -139,3 +139,37 @@ def test_volatility_window_filter_reaches_parquet_scan(spark, tmp_dir):
     scan = next(line for line in plan.splitlines() if "FileScan parquet" in line)
     assert "GreaterThan(TradingDay,1997-03-31)" in scan and "LessThanOrEqual(TradingDay,2000-12-31" in scan
     assert "ReadSchema: struct<InnerCode:int,TradingDay:date,NVRDailyGrowthRate:decimal(18,8)>" in scan
+
+
+def test_lookups_with_repeated_keys_do_not_multiply_rows(spark):
+    df = spark.createDataFrame([
+        (1, "000010", "000010", D(2000, 11, 15), D(2000, 11, 15), None, "new"),
+        (2, "000010J", "000010J", D(1995, 1, 1), None, D(2000, 11, 15), "old b"),
+        (3, "000010J", "000010J", D(1995, 1, 1), None, D(2000, 11, 15), "old a"),
+    ], "InnerCode int, MainCode string, SecurityCode string, EstablishmentDate date, EstablishmentDateII date, "
+       "ExpireDate date, FundTypeName3 string")
+    pred = joins.predecessors(df, D(2000, 9, 30))
+    out = {r.InnerCode: r.PreviousFundTypeName3 for r in joins.attach_predecessor(df, pred).collect()}
+    assert out == {1: "old a", 2: None, 3: None} and pred.count() == 1
+    codes = spark.createDataFrame([("10", "x"), ("9", "x"), (None, "y"), ("z", "y")], "FundTypeCode string, FundTypeName string")
+    codes = codes.withColumn("_n", F.col("FundTypeCode").try_cast("long"))
+    got = {r.FundTypeName: r.FundTypeCode for r in joins.one_per_key(codes, ["FundTypeName"], ["_n", "FundTypeCode"]).collect()}
+    assert got == {"x": "9", "y": "z"}
+    assert [tuple(r) for r in joins.repeated_keys(codes, ["FundTypeName"]).orderBy("FundTypeName").collect()] == [("x", 2), ("y", 2)]
+
+
+def test_weekly_rounding_equals_decimal_arithmetic(spark):
+    import random
+    from decimal import ROUND_HALF_UP, Decimal
+    r = random.Random(11)
+    weeks = [[Decimal(r.randint(-400000000, 400000000)).scaleb(-8) for _ in range(r.randint(1, 5))] for _ in range(12000)]
+    weeks += [[Decimal(k).scaleb(-5) * 5 + Decimal(s).scaleb(-8)] for k in range(1, 200, 2) for s in (-1, 0, 1)]   # at and beside ties
+    want = {}
+    for i, w in enumerate(weeks):
+        x = Decimal(1)
+        for v in w:
+            x *= 1 + v / 100
+        want[i] = (x - 1).quantize(Decimal("0.000001"), ROUND_HALF_UP)
+    df = spark.createDataFrame([(i, v) for i, w in enumerate(weeks) for v in w], "k int, pct decimal(18,8)")
+    got = {x.k: x.w for x in df.groupBy("k").agg(returns.compound(returns.growth_factor("pct")).alias("w")).collect()}
+    assert [i for i in want if got[i] != want[i]] == []

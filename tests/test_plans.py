@@ -39,3 +39,16 @@ def test_rating_plans_have_no_cartesian_or_python(spark):
         plan = _final_plan(E.queries()[name](spark, SF))
         for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"):
             assert bad not in plan, (name, bad)
+
+
+def test_master_is_not_shuffled_by_type_code(spark):
+    for name in ("master", "rating_daily", "rating_base"):
+        df = E.queries()[name](spark, SF)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert not re.search(r"Exchange hashpartitioning\((FundTypeCode3|FundTypeCode#|FundType#)", plan), name
+
+
+def test_index_series_scans_lineitem_once(spark):
+    for name, most in (("benchmark_row", 1), ("union_series", 1), ("sd_flag", 2), ("sd_factor", 2)):
+        plan = E.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+        assert plan.count("FileScan parquet") <= most, name

@@ -16,7 +16,7 @@ def test_daily_stream_rates_each_arriving_file_once(spark, tmp_dir):
     arch.filter(F.col("InnerCode") < 5).write.parquet(os.path.join(drops, "d1"))
 
     def dims():
-        return {k: t[k] for k in ("secumain", "fundtype", "fundrisklevel", "fundtypechangenew", "last_batch")}
+        return {k: t[k] for k in ("secumain", "fundtype", "fundrisklevel", "fundtypechangenew", "last_batch", "fundtyperisklevel")}
 
     q = start_daily_stream(spark, drops + "/*", dims, out, ckpt, catalog.AS_OF)
     q.awaitTermination(300)
@@ -36,7 +36,7 @@ def test_stream_command_line(spark, tmp_dir):
     from riskladder.__main__ import main
     from tests_helpers_extracts import write_extracts
     ex, drops, out, ckpt = (os.path.join(tmp_dir, x) for x in ("extracts", "archives", "out", "ckpt"))
-    write_extracts(spark, ex, ["secumain", "fundtype", "fundrisklevel", "fundtypechangenew", "last_batch"])
+    write_extracts(spark, ex, ["secumain", "fundtype", "fundrisklevel", "fundtypechangenew", "last_batch", "fundtyperisklevel"])
     t = standins.fund_tables(spark, SF)
     t["fundarchives"].select(*schemas.FUNDARCHIVES.fieldNames()).write.parquet(os.path.join(drops, "d1"))
     main(["stream", "--extracts", ex, "--archives", drops + "/*", "--checkpoint", ckpt,
