@@ -5,8 +5,10 @@ again matter. Each L-byte string names an anchor inside itself, the place of its
 K-byte hash (leftmost on ties), so equal strings name the same place; about one place in
 L/2 is an anchor.
 
-1. One scan emits anchors (hash, text, place). An anchor hash that occurs once in the
-   corpus ends the matter for all strings that name it.
+1. One scan emits anchors (hash, text, place). The hash covers the anchor and the (L - K) / 2 bytes
+   before it, or after it, whichever side is longer in the string, so a common line in different
+   surroundings does not form a group. A hash that occurs once in the corpus ends the matter for all
+   strings that name it.
 2. The bytes around the remaining anchors are dealt to tasks by anchor hash. A task holds
    suffixes in groups (anchor hash, distance from the anchor to the suffix) and sorts every
    group by mergesort, all groups at once: two suffixes are compared by
@@ -57,14 +59,15 @@ def _sliding_min(x: np.ndarray, w: int) -> np.ndarray:
 
 
 class _Anchors:
-    """Anchors of a chunk: ``place`` (byte in the chunk), ``hash``, document, and the range
-    [lo, hi] of string starts that name it."""
+    """Anchors of a chunk: ``place`` (byte in the chunk), document, the range [lo, hi] of string starts
+    that name it, and ``hash`` of the anchor with the bytes on its longer side in those strings; an
+    anchor counts twice when strings of both kinds name it (``name`` tells them apart)."""
 
     def __init__(self, t: A.Text, length: int):
         n = len(t.data)
         grams = n - GRAM + 1
         empty = np.zeros(0, np.int64)
-        self.place = self.doc = self.lo = self.hi = empty
+        self.place = self.doc = self.lo = self.hi = self.name = empty
         self.hash = empty.astype(np.uint64)
         if n < length:
             return
@@ -79,9 +82,22 @@ class _Anchors:
         if not len(at):
             return
         cut = np.flatnonzero(np.concatenate([[True], (at[1:] != at[:-1]) | (doc[1:] != doc[:-1])]))
-        self.place, self.doc, self.lo = at[cut], doc[cut], starts[cut]
-        self.hi = starts[np.concatenate([cut[1:] - 1, [len(at) - 1]])]
-        self.hash = h[self.place]
+        place, doc, lo = at[cut], doc[cut], starts[cut]
+        hi = starts[np.concatenate([cut[1:] - 1, [len(at) - 1]])]
+        # the strings with at least ``half`` bytes before the anchor are keyed with those, the others with those after it
+        half = (length - GRAM) // 2
+        inv = A.powers(n + 1)[1]
+        left, right = np.flatnonzero(lo <= place - half), np.flatnonzero(hi > place - half)
+        x, y = place[left], place[right]
+        keys = np.concatenate([A.mix((s[x + GRAM] - s[x - half]) * inv[x - half] + np.uint64(1)),
+                               A.mix((s[y + GRAM + half] - s[y]) * inv[y] + np.uint64(2))])
+        los = np.concatenate([lo[left], np.maximum(lo[right], y - half + 1)])
+        his = np.concatenate([np.minimum(hi[left], x - half), hi[right]])
+        side = np.repeat([0, 1], [len(left), len(right)])
+        of = np.concatenate([left, right])
+        by = np.argsort(doc[of], kind="stable")
+        self.hash, self.lo, self.hi, self.place, self.doc = keys[by], los[by], his[by], place[of][by], doc[of][by]
+        self.name = (self.place - t.off[self.doc]) * 2 + side[by]
 
 
 def _anchor_rows(src: DataFrame, length: int) -> DataFrame:
@@ -96,7 +112,7 @@ def _anchor_rows(src: DataFrame, length: int) -> DataFrame:
                     use[i] = True
             k = use[a.doc]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(a.hash[k].view(np.int64)), pa.array(t.ids[a.doc[k]]), pa.array(a.place[k] - t.off[a.doc[k]])],
+                [pa.array(a.hash[k].view(np.int64)), pa.array(t.ids[a.doc[k]]), pa.array(a.name[k])],
                 ["h", "th", "place"])
 
     return src.mapInArrow(scan, "h long, th long, place long")
@@ -113,7 +129,7 @@ def _contexts(rows: DataFrame, length: int) -> DataFrame:
             lo = np.searchsorted(a.doc, np.arange(len(t) + 1))
             for i, places in enumerate(wanted):
                 x = slice(lo[i], lo[i + 1])
-                keep[x] = np.isin(a.place[x] - t.off[i], np.asarray(places, np.int64))
+                keep[x] = np.isin(a.name[x], np.asarray(places, np.int64))
             for part in np.array_split(np.flatnonzero(keep), max(1, int(keep.sum()) // 4096)):
                 d = a.doc[part]
                 yield pa.RecordBatch.from_arrays(
@@ -193,9 +209,34 @@ class _Suffixes:
         return at
 
 
-def _repeats(length: int, budget: int = 1 << 20):
+def _repeats(length: int, budget: int = 1 << 19):
     """Sort one task's suffixes and give, per text, the byte runs covered by repeats."""
 
+    def mark_repeats(s: _Suffixes, at: np.ndarray, group: np.ndarray, base: np.ndarray, mark: np.ndarray) -> None:
+        at = s.sort(at, group)
+        x, y = at[:-1], at[1:]
+        hit = np.flatnonzero((group[1:] == group[:-1]) & s.same(x, y, length))
+        x, y = x[hit], y[hit]
+        if not len(x):
+            return
+        # byte check: once per pair of members over its stretch of suffixes
+        a, b = (np.searchsorted(base, v, "right") - 1 for v in (x, y))
+        by = np.lexsort((x, b, a))
+        cut = np.flatnonzero(np.concatenate([[True], (a[by][1:] != a[by][:-1]) | (b[by][1:] != b[by][:-1])]))
+        stop = np.concatenate([cut[1:], [len(by)]])
+        for i, j in zip(cut, stop):
+            mine = by[i:j]
+            p, q, shift = x[mine[0]], x[mine[-1]], y[mine[0]] - x[mine[0]]
+            if (s.data[p:q + length] != s.data[p + shift:q + shift + length]).any() and not all(
+                    (s.data[u:u + length] == s.data[v:v + length]).all() for u, v in zip(x[mine], y[mine])):
+                names: dict[tuple[int, bytes], list[int]] = {}     # a hash collision: use the bytes
+                for g, u in zip(group.tolist(), at.tolist()):
+                    names.setdefault((g, s.data[u:u + length].tobytes()), []).append(u)
+                mark[[u for us in names.values() if len(us) > 1 for u in us]] = True
+                return
+        mark[x] = True
+        mark[y] = True
+
     def one(rows: list[tuple]) -> pa.RecordBatch | None:
         """rows: (h, th, start, back, body) of whole anchor groups."""
         data = np.frombuffer(b"".join(r[4] for r in rows), np.uint8)
@@ -211,31 +252,17 @@ def _repeats(length: int, budget: int = 1 << 20):
         group = gid[member] * (length + 1) + distance
         by = np.argsort(group, kind="stable")
         at, group = at[by], group[by]
-        lo, hi = A.segments(group)
-        many = np.repeat(hi - lo > 1, hi - lo)
-        at, group = at[many], group[many]
-        if not len(at):
-            return None
         s = _Suffixes(data, length)
-        at = s.sort(at, group)
-        who = np.searchsorted(base, at, "right") - 1
-        x, y = at[:-1], at[1:]
-        hit = np.flatnonzero((group[1:] == group[:-1]) & s.same(x, y, length))
-        # byte check: once per pair of members and stretch of distances
-        pairs: dict[tuple[int, int], tuple[int, int]] = {}
-        for a, b, i, j in zip(who[hit].tolist(), who[hit + 1].tolist(), x[hit].tolist(), y[hit].tolist()):
-            k = (a, b, j - i)
-            o = pairs.get(k)
-            pairs[k] = (i, i) if o is None else (min(o[0], i), max(o[1], i))
-        bad = any((data[i:j + length] != data[i + k[2]:j + k[2] + length]).any() and
-                  not _each(data, k, hit, x, y, length) for k, (i, j) in pairs.items())
-        if bad:
-            names: dict[tuple[int, bytes], list[int]] = {}
-            for q, g in zip(at.tolist(), group.tolist()):
-                names.setdefault((g, data[q:q + length].tobytes()), []).append(q)
-            found = np.array(sorted(q for v in names.values() if len(v) > 1 for q in v), np.int64)
-        else:
-            found = np.unique(np.concatenate([x[hit], y[hit]]))
+        mark = np.zeros(len(data), bool)
+        lo, hi = A.segments(group)
+        lo, hi = lo[hi - lo > 1], hi[hi - lo > 1]
+        a = 0
+        while a < len(lo):                         # groups are independent: a bounded number of suffixes at a time
+            b = a + max(1, int(np.searchsorted(np.cumsum((hi - lo)[a:]), budget // 4, "right")))
+            take = np.concatenate([np.arange(i, j) for i, j in zip(lo[a:b], hi[a:b])])
+            mark_repeats(s, at[take], group[take], base, mark)
+            a = b
+        found = np.flatnonzero(mark)
         if not len(found):
             return None
         who = np.searchsorted(base, found, "right") - 1
@@ -265,12 +292,6 @@ def _repeats(length: int, budget: int = 1 << 20):
     return scan
 
 
-def _each(data, key, hit, x, y, length) -> bool:
-    """Whether every hit of one pair is equal byte by byte (stretches may have gaps)."""
-    sel = hit[(y[hit] - x[hit]) == key[2]]
-    return all((data[i:i + length] == data[i + key[2]:i + key[2] + length]).all() for i in x[sel])
-
-
 def _cut(carry: bool):
     def scan(batches):
         for b in (x.slice(a, 512) for x in batches for a in range(0, x.num_rows, 512)):
