@@ -14,6 +14,8 @@ L/2 is an anchor.
    group by mergesort, all groups at once: two suffixes are compared by
    finding their common extension with a binary search over prefix polynomial hashes.
    Neighbours in suffix order with a common extension of L bytes are repeats.
+   Places of a task with equal bytes are settled before they are dealt (a text of one repeated word has
+   thousands), so a task gets each content once per sender.
 3. Neighbours found equal by hash are compared byte by byte (once per pair of anchors);
    on a collision the group is redone with the bytes themselves.
 
@@ -27,6 +29,8 @@ rows give no rows.
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -119,9 +123,12 @@ def _anchor_rows(src: DataFrame, length: int) -> DataFrame:
 
 
 def _contexts(rows: DataFrame, length: int) -> DataFrame:
-    """The bytes that the strings of each wanted anchor cover."""
+    """The bytes that the strings of each wanted anchor cover, distinct within the task; a row without
+    bytes is a settled repeat [start, back) of text th."""
 
     def scan(batches):
+        # places with equal bytes are repeats of each other: one of them goes on, the others are settled here
+        first: dict[tuple[int, int, bytes], list] = {}
         for t in A.text_chunks(batches, "text", "th"):
             a = _Anchors(t, length)
             wanted = t.rows.column("places").to_pylist()
@@ -130,13 +137,27 @@ def _contexts(rows: DataFrame, length: int) -> DataFrame:
             for i, places in enumerate(wanted):
                 x = slice(lo[i], lo[i + 1])
                 keep[x] = np.isin(a.name[x], np.asarray(places, np.int64))
-            for part in np.array_split(np.flatnonzero(keep), max(1, int(keep.sum()) // 4096)):
-                d = a.doc[part]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(a.hash[part].view(np.int64)), pa.array(t.ids[d]), pa.array(a.lo[part] - t.off[d]),
-                     pa.array(a.place[part] - a.lo[part]),
-                     pa.array([t.data[i:j + length].tobytes() for i, j in zip(a.lo[part], a.hi[part])], pa.binary())],
-                    ["h", "th", "start", "back", "body"])
+            out: list[tuple] = []
+            data = t.data.tobytes()
+            k = np.flatnonzero(keep)
+            d = a.doc[k]
+            for h, th, start, back, i, j in zip(a.hash[k].view(np.int64).tolist(), t.ids[d].tolist(), (a.lo[k] - t.off[d]).tolist(),
+                                                (a.place[k] - a.lo[k]).tolist(), a.lo[k].tolist(), (a.hi[k] + length).tolist()):
+                body = data[i:j]
+                key = (h, back, hashlib.md5(body).digest())
+                old = first.get(key)
+                if old is None:
+                    first[key] = [th, start]
+                    out.append((h, th, start, back, body))
+                    continue
+                if old:
+                    out.append((old[0], old[0], old[1], old[1] + j - i, None))
+                    old.clear()
+                out.append((th, th, start, start + j - i, None))
+            for x in range(0, len(out), 2048):
+                cols = list(zip(*out[x:x + 2048]))
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols[:4]] + [pa.array(cols[4], pa.binary())],
+                                                 ["h", "th", "start", "back", "body"])
 
     return rows.mapInArrow(scan, "h long, th long, start long, back long, body binary")
 
@@ -277,6 +298,11 @@ def _repeats(length: int, budget: int = 1 << 19):
 
     def scan(batches):
         rows = [r for b in batches for r in zip(*(b.column(c).to_pylist() for c in ("h", "th", "start", "back", "body")))]
+        settled = [r for r in rows if r[4] is None]
+        for x in range(0, len(settled), 1 << 15):
+            cols = list(zip(*settled[x:x + (1 << 15)]))
+            yield pa.RecordBatch.from_arrays([pa.array(cols[k], pa.int64()) for k in (1, 2, 3)], ["th", "lo", "hi"])
+        rows = [r for r in rows if r[4] is not None]
         rows.sort(key=lambda r: r[0])
         a = 0
         while a < len(rows):
