@@ -25,7 +25,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CACHE = 400_000                # entries kept by a worker; dropping them costs time only
+CACHE = 1_000_000              # entries kept by a worker; dropping them costs time only
 _ODD = re.compile(r"\s\s|[^\S \n]")
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -94,16 +94,16 @@ class Bpe:
             ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
         return cls(ranks, pattern)
 
-    def encode_pieces(self, pieces: list[bytes]) -> list[np.ndarray]:
+    def encode_pieces(self, pieces: list[bytes]) -> list[list[int]]:
         """Ids of each piece, all pieces of a length bucket at once."""
         out: list = [None] * len(pieces)
         buckets: dict[int, list[int]] = {}
         for i, p in enumerate(pieces):
             r = self.whole.get(p)
             if r is not None:
-                out[i] = np.array([r], np.int64)
+                out[i] = [r]
             elif not p:
-                out[i] = np.zeros(0, np.int64)
+                out[i] = []
             else:
                 buckets.setdefault(len(p) if len(p) <= 16 else 1 << (len(p) - 1).bit_length(), []).append(i)
         for width, rows in buckets.items():
@@ -124,8 +124,11 @@ class Bpe:
             row = np.arange(len(who))
             best = ranks[row, at] if ranks.shape[1] else np.full(len(who), big)
             done = best == big
-            for j in np.flatnonzero(done):
-                out[who[j]] = ids[j, :size[j]].copy()
+            if done.any():
+                end = np.cumsum(size[done])
+                flat = ids[done][np.arange(ids.shape[1]) < size[done][:, None]].tolist()
+                for i, a, b in zip(who[done].tolist(), (end - size[done]).tolist(), end.tolist()):
+                    out[i] = flat[a:b]
             if done.all():
                 return
             if done.any():
@@ -173,22 +176,27 @@ def chunks_of(text: str) -> list[str]:
 
 
 class _Cached:
-    """Distinct chunks -> (ids, comma-joined decimal ids, decoded bytes)."""
+    """Distinct chunks -> comma-joined decimal ids (``listed``, the smallest form) and decoded bytes (``back``)."""
 
     def __init__(self, bpe: Bpe):
-        self.bpe, self.seen = bpe, {}
+        self.bpe, self.listed, self.back = bpe, {}, {}
 
     def fill(self, chunks: set[str]) -> None:
-        new = [c for c in chunks if c not in self.seen]
-        if len(self.seen) + len(new) > CACHE:
-            self.seen = {}
-            new = list(chunks)
-        parts = [[p.encode("utf-8", "surrogatepass") for p in self.bpe.pattern.findall(c)] for c in new]
+        new = [c for c in chunks if c not in self.listed]
+        if len(self.listed) + len(new) > CACHE:    # entries in use stay
+            used = [c for c in chunks if c in self.listed]
+            self.listed, self.back = ({c: x[c] for c in used} for x in (self.listed, self.back))
+        listed, back = self.listed, self.back
+        parts = [self.bpe.pattern.findall(c) for c in new]
         pieces = list({p for x in parts for p in x})
-        ids = dict(zip(pieces, self.bpe.encode_pieces(pieces)))
+        ids = self.bpe.encode_pieces([p.encode("utf-8", "surrogatepass") for p in pieces])
+        one = {p: ",".join(map(str, x)) for p, x in zip(pieces, ids)}
+        raw = {p: self.bpe.decode(x) for p, x in zip(pieces, ids)}
         for c, x in zip(new, parts):
-            got = [int(i) for p in x for i in ids[p]]
-            self.seen[c] = (len(got), ",".join(map(str, got)), self.bpe.decode(got))
+            if len(x) == 1:                        # most chunks are one piece
+                listed[c], back[c] = one[x[0]], raw[x[0]]
+            else:
+                listed[c], back[c] = ",".join([one[p] for p in x]), b"".join([raw[p] for p in x])
 
 
 _LOADED: dict[tuple[str, str], _Cached] = {}
@@ -225,14 +233,12 @@ def encode_decode(docs: DataFrame, path: str, pattern: str, text_col: str = "tex
             for lo, hi in _groups(texts):
                 cut = [chunks_of(t) if t else [] for t in texts[lo:hi]]
                 enc.fill({c for x in cut for c in x})
-                seen = enc.seen
-                n, sha, dec, raw, back = [], [], [], [], []  # ids are kept as text in the cache: it is the smallest form
+                n, sha, dec, raw, back = [], [], [], [], []
                 for x in cut:
-                    got = [seen[c] for c in x]
-                    n.append(sum(g[0] for g in got))
-                    listed = ",".join([g[1] for g in got])
+                    listed = ",".join(map(enc.listed.__getitem__, x))
+                    n.append(listed.count(",") + 1 if listed else 0)
                     sha.append(hashlib.sha256(listed.encode()).hexdigest())
-                    body = b"".join([g[2] for g in got])
+                    body = b"".join(map(enc.back.__getitem__, x))
                     dec.append(hashlib.sha256(body).hexdigest())
                     if not digests_only:
                         back.append(body)
