@@ -128,29 +128,46 @@ def _windows(rows: DataFrame, window: int, block: int, tasks: int) -> DataFrame:
     return rows.mapInArrow(scan, "part int, per_doc binary, h binary, pos binary, oid binary, rk binary")
 
 
-def _repeats(batches):
-    """Starts of the windows that also start in a smaller id, one row per document."""
-    x = A.dealt(batches, {"h": "<u8", "pos": "small"}, {"oid": "<i8", "rk": "<i8"})
+def _repeats(tasks: int):
+    """Starts of the windows that also start in a smaller id, dealt by document: one row per reduce task."""
+
+    def scan(batches):
+        x = A.dealt(batches, {"h": "<u8", "pos": "small"}, {"oid": "<i8", "rk": "<i8"})
+        if x is None:
+            return
+        h, pos, flags, oid, rk = x[0]["h"], x[0]["pos"] >> 2, x[0]["pos"] & 3, x[2]["oid"][x[1]], x[2]["rk"][x[1]]
+        ref = np.flatnonzero(flags & 2)
+        by = np.lexsort((oid[ref], h[ref]))
+        rh, ro = h[ref][by], oid[ref][by]
+        lo, _ = A.segments(rh)
+        if not len(lo):
+            return
+        known, least = rh[lo], ro[lo]
+        ask = np.flatnonzero(flags & 1)
+        at = np.minimum(np.searchsorted(known, h[ask]), len(known) - 1)
+        hit = ask[(known[at] == h[ask]) & (least[at] < oid[ask])]
+        hit = hit[np.argsort(rk[hit], kind="stable")]
+        lo, hi = A.segments(rk[hit])
+        if len(lo):
+            names, doc = rk[hit[lo]], np.repeat(np.arange(len(lo)), hi - lo)
+            yield A.deal(A.by_bits(A.mix(names.view(np.uint64)), tasks)[doc], doc, {"pos": pos[hit]}, {"rk": names})
+
+    return scan
+
+
+def _starts_by_document(batches):
+    """All starts of each document (see ``_repeats``) in one row."""
+    x = A.dealt(batches, {"pos": "small"}, {"rk": "<i8"})
     if x is None:
         return
-    h, pos, flags, oid, rk = x[0]["h"], x[0]["pos"] >> 2, x[0]["pos"] & 3, x[2]["oid"][x[1]], x[2]["rk"][x[1]]
-    ref = np.flatnonzero(flags & 2)
-    by = np.lexsort((oid[ref], h[ref]))
-    rh, ro = h[ref][by], oid[ref][by]
-    lo, _ = A.segments(rh)
-    if not len(lo):
-        return
-    known, least = rh[lo], ro[lo]
-    ask = np.flatnonzero(flags & 1)
-    at = np.minimum(np.searchsorted(known, h[ask]), len(known) - 1)
-    hit = ask[(known[at] == h[ask]) & (least[at] < oid[ask])]
-    hit = hit[np.argsort(rk[hit], kind="stable")]
-    lo, hi = A.segments(rk[hit])
+    rk = x[2]["rk"][x[1]]
+    by = np.argsort(rk, kind="stable")
+    rk, pos = rk[by], x[0]["pos"][by].astype(np.uint32)
+    lo, hi = A.segments(rk)
     for a in range(0, len(lo), 4096):
         yield pa.RecordBatch.from_arrays(
-            [pa.array(rk[hit[lo[a:a + 4096]]]),
-             pa.array([pos[hit[i:j]].astype(np.uint32).tobytes() for i, j in zip(lo[a:a + 4096], hi[a:a + 4096])], pa.binary())],
-            ["rk", "starts"])
+            [pa.array(rk[lo[a:a + 4096]]),
+             pa.array([pos[i:j].tobytes() for i, j in zip(lo[a:a + 4096], hi[a:a + 4096])], pa.binary())], ["rk", "starts"])
 
 
 _WORD = re.compile(rb"[^ \t-\r]+")
@@ -179,7 +196,7 @@ def _cut(window: int, layout: bool, carry: bool):
                 if copy and len(words) >= window:
                     lo, hi = np.array([0]), np.array([len(words)])
                 elif starts:
-                    s = np.frombuffer(b"".join(starts), np.uint32).astype(np.int64)
+                    s = np.frombuffer(starts, np.uint32).astype(np.int64)
                     lo, hi = A.merged(s, s + window)
                 if layout:
                     left = _without(body, lo, hi) if len(lo) else body
@@ -221,13 +238,14 @@ def remove_repeats(docs: DataFrame, window: int = 13, text_col: str = "text", id
     rows = (A.with_bits(plain, "oid", hit_docs)
             .join(hits.groupBy("oid").agg(F.collect_list("hits").alias("hits")), "oid"))
     starts = (_windows(rows, window, block, tasks).repartitionById(tasks, F.col("part"))
-              .mapInArrow(_repeats, "rk long, starts binary"))
+              .mapInArrow(_repeats(tasks), "part int, per_doc binary, pos binary, rk binary")
+              .repartitionById(tasks, F.col("part")).mapInArrow(_starts_by_document, "rk long, starts binary"))
     copies = _first_of_text(plain).filter("copy").select("rk", F.lit(None).cast("binary").alias("starts"), "copy")
-    marks = materialize(starts.withColumn("copy", F.lit(False)).unionByName(copies)
-                        .groupBy("rk").agg(F.collect_list("starts").alias("starts"), F.max("copy").alias("copy")))
+    marks = materialize(starts.withColumn("copy", F.lit(False)).unionByName(copies))    # a row may be in both
     bits = spark.sparkContext.broadcast(A.bloom_of(marks, "rk"))
-    untouched = A.with_bits(src, "rk", bits, has=False).withColumn("starts", F.lit(None).cast("array<binary>")).withColumn("copy", F.lit(False))
-    touched = A.with_bits(src, "rk", bits).join(marks, "rk", "left")
+    untouched = A.with_bits(src, "rk", bits, has=False).withColumn("starts", F.lit(None).cast("binary")).withColumn("copy", F.lit(False))
+    touched = (A.with_bits(src, "rk", bits).join(marks.filter("not copy").select("rk", "starts"), "rk", "left")
+               .join(marks.filter("copy").select("rk", "copy"), "rk", "left"))
     schema = "oid long, n_words long, n_removed long, kept_text string, removed_from array<long>, removed_to array<long>"
     if carry:
         schema += f", rest {src.schema['rest'].dataType.simpleString()}"
