@@ -63,8 +63,37 @@ def _probes(src: DataFrame, block: int, tasks: int) -> DataFrame:
     return src.mapInArrow(scan, "part int, per_doc binary, h32 binary, pos binary, oid binary")
 
 
-def _hits(block: int):
-    """Probes that meet an indexed block of a smaller id, and the indexed blocks that were met."""
+def _deal_by_document(name: str, ids: np.ndarray, values: np.ndarray, tasks: int) -> pa.RecordBatch:
+    """``values`` of documents as one row per reduce task (see ``_by_document``)."""
+    by = np.argsort(ids, kind="stable")
+    ids, values = ids[by], values[by]
+    lo, hi = A.segments(ids)
+    names, doc = ids[lo], np.repeat(np.arange(len(lo)), hi - lo)
+    return A.deal(A.by_bits(A.mix(names.view(np.uint64)), tasks)[doc], doc, {"pos": values.astype(np.int64)}, {name: names})
+
+
+def _by_document(dealt: DataFrame, name: str, values: str, tasks: int) -> DataFrame:
+    """All dealt values (32 bits each) of each document in one row."""
+
+    def scan(batches):
+        x = A.dealt(batches, {"pos": "small"}, {name: "<i8"})
+        if x is None:
+            return
+        ids = x[2][name][x[1]]
+        by = np.argsort(ids, kind="stable")
+        ids, pos = ids[by], x[0]["pos"][by].astype(np.uint32)
+        lo, hi = A.segments(ids)
+        for a in range(0, len(lo), 4096):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids[lo[a:a + 4096]]),
+                 pa.array([pos[i:j].tobytes() for i, j in zip(lo[a:a + 4096], hi[a:a + 4096])], pa.binary())], [name, values])
+
+    return dealt.repartitionById(tasks, F.col("part")).mapInArrow(scan, f"{name} long, {values} binary")
+
+
+def _hits(block: int, tasks: int):
+    """Probes that meet an indexed block of a smaller id, and the indexed blocks that were met, dealt by
+    document: one row per reduce task."""
 
     def scan(batches):
         x = A.dealt(batches, {"h32": "<u4", "pos": "small"}, {"oid": "<i8"})
@@ -90,14 +119,9 @@ def _hits(block: int):
         np.maximum.at(last, at, ids[doc[hit]])
         met = ref[np.repeat(last, hi - lo) > ro]
         who = ids[doc[np.concatenate([hit, met])]]
-        what = np.concatenate([pos[hit].astype(np.int64) * 4 + 1, pos[met].astype(np.int64) * 4 + 2]).astype(np.uint32)
-        by = np.argsort(who, kind="stable")
-        who, what = who[by], what[by]
-        lo, hi = A.segments(who)
-        for a in range(0, len(lo), 4096):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(who[lo[a:a + 4096]]),
-                 pa.array([what[i:j].tobytes() for i, j in zip(lo[a:a + 4096], hi[a:a + 4096])], pa.binary())], ["oid", "hits"])
+        what = np.concatenate([pos[hit].astype(np.int64) * 4 + 1, pos[met].astype(np.int64) * 4 + 2])
+        if len(who):
+            yield _deal_by_document("oid", who, what, tasks)
 
     return scan
 
@@ -109,8 +133,8 @@ def _windows(rows: DataFrame, window: int, block: int, tasks: int) -> DataFrame:
         for t in A.text_chunks(batches, "text", "oid"):
             w = A.Words(t, lower=False)
             marks = np.zeros((2, len(w.hashes) + 1), np.int64)
-            for i, blobs in enumerate(t.rows.column("hits").to_pylist()):
-                v = np.frombuffer(b"".join(blobs), np.uint32)
+            for i, hits in enumerate(t.rows.column("hits").to_pylist()):
+                v = np.frombuffer(hits, np.uint32)
                 pos = (v >> 2).astype(np.int64)
                 inside = pos < w.counts[i]
                 for bit in (0, 1):
@@ -146,30 +170,12 @@ def _repeats(tasks: int):
         ask = np.flatnonzero(flags & 1)
         at = np.minimum(np.searchsorted(known, h[ask]), len(known) - 1)
         hit = ask[(known[at] == h[ask]) & (least[at] < oid[ask])]
-        hit = hit[np.argsort(rk[hit], kind="stable")]
-        lo, hi = A.segments(rk[hit])
-        if len(lo):
-            names, doc = rk[hit[lo]], np.repeat(np.arange(len(lo)), hi - lo)
-            yield A.deal(A.by_bits(A.mix(names.view(np.uint64)), tasks)[doc], doc, {"pos": pos[hit]}, {"rk": names})
+        if len(hit):
+            yield _deal_by_document("rk", rk[hit], pos[hit], tasks)
 
     return scan
 
 
-def _starts_by_document(batches):
-    """All starts of each document (see ``_repeats``) in one row."""
-    x = A.dealt(batches, {"pos": "small"}, {"rk": "<i8"})
-    if x is None:
-        return
-    rk = x[2]["rk"][x[1]]
-    by = np.argsort(rk, kind="stable")
-    rk, pos = rk[by], x[0]["pos"][by].astype(np.uint32)
-    lo, hi = A.segments(rk)
-    for a in range(0, len(lo), 4096):
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(rk[lo[a:a + 4096]]),
-             pa.array([pos[i:j].tobytes() for i, j in zip(lo[a:a + 4096], hi[a:a + 4096])], pa.binary())], ["rk", "starts"])
-
-
 _WORD = re.compile(rb"[^ \t-\r]+")
 
 
@@ -233,13 +239,14 @@ def remove_repeats(docs: DataFrame, window: int = 13, text_col: str = "text", id
     src = src.withColumn("rk", F.xxhash64("oid", "text"))
     plain = src.select("oid", "rk", "text")
 
-    hits = materialize(_probes(plain, block, tasks).repartitionById(tasks, F.col("part")).mapInArrow(_hits(block), "oid long, hits binary"))
+    met = (_probes(plain, block, tasks).repartitionById(tasks, F.col("part"))
+           .mapInArrow(_hits(block, tasks), "part int, per_doc binary, pos binary, oid binary"))
+    hits = materialize(_by_document(met, "oid", "hits", tasks))
     hit_docs = spark.sparkContext.broadcast(A.bloom_of(hits, "oid"))
-    rows = (A.with_bits(plain, "oid", hit_docs)
-            .join(hits.groupBy("oid").agg(F.collect_list("hits").alias("hits")), "oid"))
-    starts = (_windows(rows, window, block, tasks).repartitionById(tasks, F.col("part"))
-              .mapInArrow(_repeats(tasks), "part int, per_doc binary, pos binary, rk binary")
-              .repartitionById(tasks, F.col("part")).mapInArrow(_starts_by_document, "rk long, starts binary"))
+    rows = A.with_bits(plain, "oid", hit_docs).join(hits, "oid")
+    again = (_windows(rows, window, block, tasks).repartitionById(tasks, F.col("part"))
+             .mapInArrow(_repeats(tasks), "part int, per_doc binary, pos binary, rk binary"))
+    starts = _by_document(again, "rk", "starts", tasks)
     copies = _first_of_text(plain).filter("copy").select("rk", F.lit(None).cast("binary").alias("starts"), "copy")
     marks = materialize(starts.withColumn("copy", F.lit(False)).unionByName(copies))    # a row may be in both
     bits = spark.sparkContext.broadcast(A.bloom_of(marks, "rk"))
