@@ -151,7 +151,8 @@ _ENCODERS: dict[str, list] = {}
 
 
 def _chunk_ids(path: str, chunks: set[str]) -> dict[str, bytes]:
-    """Ids (32 bits each) of distinct chunks; the tokenizers library does the encoding."""
+    """Ids (16 bits each) of distinct chunks; the tokenizers library does the encoding. Chunks without
+    a line feed are encoded many at a time, each on a line of its own: a line feed is a piece by itself."""
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     from tokenizers import Tokenizer
 
@@ -160,14 +161,31 @@ def _chunk_ids(path: str, chunks: set[str]) -> dict[str, bytes]:
         tok.encode_special_tokens = True           # their strings in a text are ordinary text
         _ENCODERS[path] = [tok, {}]
     tok, seen = _ENCODERS[path]
-    new = [c for c in chunks if c not in seen]
+    new = list(chunks.difference(seen))
     if len(seen) + len(new) > CACHE:
         seen = _ENCODERS[path][1] = {}
         new = list(chunks)
-    for c, e in zip(new, tok.encode_batch_fast(new, add_special_tokens=False)):
-        seen[c] = array.array("H", e.ids).tobytes() if not e.ids or max(e.ids) < 1 << 16 else None
-        if seen[c] is None:
-            raise ValueError("ids over 16 bits need a wider shard type")
+
+    def encoded(texts: list[str]):
+        for e in tok.encode_batch_fast(texts, add_special_tokens=False):
+            ids = np.array(e.ids, np.uint32)
+            if len(ids) and ids.max() >= 1 << 16:
+                raise ValueError("ids over 16 bits need a wider shard type")
+            yield ids.astype(np.uint16)
+
+    feed = next(encoded(["\n"]))
+    lines = [c for c in new if "\n" not in c] if len(feed) == 1 else []
+    for a in range(0, len(lines), 4096):
+        part = lines[a:a + 4096]
+        ids = next(encoded(["\n".join(part)]))
+        cut = np.flatnonzero(ids == feed[0])
+        if len(cut) != len(part) - 1:              # a piece went over a line's end
+            seen.update(zip(part, (x.tobytes() for x in encoded(part))))
+            continue
+        body, cut = ids.tobytes(), (2 * cut).tolist()
+        seen.update(zip(part, [body[x:y] for x, y in zip([0, *(x + 2 for x in cut)], [*cut, len(body)])]))
+    rest = [c for c in new if c not in seen]
+    seen.update(zip(rest, (x.tobytes() for x in encoded(rest))))
     return seen
 
 
@@ -199,9 +217,9 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, bi
                     used += len(texts[z] or "")
                     cut.append(chunks_of(texts[z]) if texts[z] else [])
                     z += 1
-                seen = _chunk_ids(tokenizer, {c for x in cut for c in x})
+                seen = _chunk_ids(tokenizer, set().union(*cut))
                 for key, x in zip(keys[a:z], cut):
-                    body = b"".join([seen[c] for c in x]) + end
+                    body = b"".join(map(seen.__getitem__, x)) + end
                     ids.append(key)
                     sizes.append(len(body) // 2)
                     bodies.append(body)
