@@ -25,8 +25,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CACHE = 400_000                # entries kept by a worker; dropping them costs time only
-_ODD = re.compile(r"\s\s|[^\S \n]")
+CACHE = 500_000                # entries kept by a worker; dropping them costs time only
+_STEP = 1 << 17                # ids decoded at a time
+# a text with one of these, or with two white spaces in a row, goes through the pattern whole
+_OTHER = re.compile("[\0" + re.escape("".join(c for c in map(chr, range(1 << 16)) if c.isspace() and c not in " \n")) + "]")
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -74,7 +76,11 @@ class Bpe:
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.pattern = regex.compile(pattern)
-        self.tokens = {v: k for k, v in ranks.items()}
+        named = {v: k for k, v in ranks.items()}
+        tokens = [named.get(i, b"") for i in range(max(named) + 1)]
+        self.flat = np.frombuffer(b"".join(tokens), np.uint8)      # all tokens, where each begins, its bytes
+        self.size = np.array([len(x) for x in tokens], np.int32)
+        self.begin = np.cumsum(self.size, dtype=np.int32) - self.size
         self.byte = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
         left, right, rank = [], [], []
         for token, r in ranks.items():             # every split of a token into two tokens merges to it
@@ -160,43 +166,42 @@ class Bpe:
         return np.where((got < 0) | ~inside, big, got)
 
     def decode(self, ids) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, ids))
+        """The ids' bytes, gathered from the token table a bounded number at a time."""
+        ids, out = np.asarray(ids, np.int64), []
+        for a in range(0, len(ids), _STEP):
+            x = ids[a:a + _STEP]
+            n = self.size[x]
+            end = np.cumsum(n, dtype=np.int32)
+            out.append(self.flat[np.repeat(self.begin[x] - (end - n), n) + np.arange(end[-1], dtype=np.int32)].tobytes())
+        return b"".join(out)
 
 
 def chunks_of(text: str) -> list[str]:
     """Pieces of a text at places where the pattern always splits."""
-    if _ODD.search(text):
+    if "  " in text or "\n\n" in text or " \n" in text or "\n " in text or _OTHER.search(text):
         return [text]
-    out = text.replace("\n", " \n ").split(" ")
     # a chunk after a single space begins with that space; line feeds stand alone
-    for i in range(1, len(out)):
-        if out[i] != "\n" and out[i - 1] != "\n":
-            out[i] = " " + out[i]
-    return [x for x in out if x]
+    out = text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
+    return out[not out[0]:len(out) - (not out[-1])]
 
 
 class _Cached:
-    """Distinct chunks -> comma-joined decimal ids (``listed``, the smallest form) and decoded bytes (``back``)."""
+    """Distinct chunks -> comma-joined decimal ids."""
 
     def __init__(self, bpe: Bpe):
-        self.bpe, self.listed, self.back = bpe, {}, {}
+        self.bpe, self.listed = bpe, {}
 
     def fill(self, chunks: set[str]) -> None:
-        new = [c for c in chunks if c not in self.listed]
+        new = list(chunks.difference(self.listed))
         if len(self.listed) + len(new) > CACHE:    # entries in use stay
-            used = [c for c in chunks if c in self.listed]
-            self.listed, self.back = ({c: x[c] for c in used} for x in (self.listed, self.back))
-        listed, back = self.listed, self.back
-        parts = [self.bpe.pattern.findall(c) for c in new]
-        pieces = list({p for x in parts for p in x})
+            self.listed = {c: self.listed[c] for c in chunks.intersection(self.listed)}
+        listed = self.listed
+        parts = list(map(self.bpe.pattern.findall, new))
+        pieces = list(set().union(*parts))
         ids = self.bpe.encode_pieces([p.encode("utf-8", "surrogatepass") for p in pieces])
         one = {p: ",".join(map(str, x)) for p, x in zip(pieces, ids)}
-        raw = {p: self.bpe.decode(x) for p, x in zip(pieces, ids)}
-        for c, x in zip(new, parts):
-            if len(x) == 1:                        # most chunks are one piece
-                listed[c], back[c] = one[x[0]], raw[x[0]]
-            else:
-                listed[c], back[c] = ",".join([one[p] for p in x]), b"".join([raw[p] for p in x])
+        for c, x in zip(new, parts):               # most chunks are one piece
+            listed[c] = one[x[0]] if len(x) == 1 else ",".join([one[p] for p in x])
 
 
 _LOADED: dict[tuple[str, str], _Cached] = {}
@@ -222,9 +227,10 @@ def _groups(texts: list, max_chars: int = 2_000_000):
 
 
 def encode_decode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", id_col: str = "doc_id",
-                  digests_only: bool = False) -> DataFrame:
+                  digests_only: bool = False, decoded: bool = True) -> DataFrame:
     """One row per document: doc_id, n_tokens, ids (array<int>), decoded (binary), and their
-    digests ids_sha256, decoded_sha256. ``digests_only`` leaves ids and decoded out."""
+    digests ids_sha256, decoded_sha256. ``digests_only`` leaves ids and decoded out; without ``decoded``
+    only its digest is returned (the column is null)."""
 
     def scan(batches):
         enc = _encoder(path, pattern)
@@ -232,17 +238,18 @@ def encode_decode(docs: DataFrame, path: str, pattern: str, text_col: str = "tex
             ids, texts = b.column("doc_id"), b.column("text").to_pylist()
             for lo, hi in _groups(texts):
                 cut = [chunks_of(t) if t else [] for t in texts[lo:hi]]
-                enc.fill({c for x in cut for c in x})
+                enc.fill(set().union(*cut))
                 n, sha, dec, raw, back = [], [], [], [], []
                 for x in cut:
                     listed = ",".join(map(enc.listed.__getitem__, x))
                     n.append(listed.count(",") + 1 if listed else 0)
                     sha.append(hashlib.sha256(listed.encode()).hexdigest())
-                    body = b"".join(map(enc.back.__getitem__, x))
+                    these = np.fromstring(listed, np.int32, sep=",") if listed else np.zeros(0, np.int32)
+                    body = enc.bpe.decode(these)
                     dec.append(hashlib.sha256(body).hexdigest())
                     if not digests_only:
-                        back.append(body)
-                        raw.append(np.fromstring(listed, np.int32, sep=",") if listed else np.zeros(0, np.int32))
+                        back.append(body if decoded else None)
+                        raw.append(these)
                 cols = [ids.slice(lo, hi - lo), pa.array(n, pa.int64()), pa.array(sha), pa.array(dec)]
                 names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
                 if not digests_only:
