@@ -7,6 +7,7 @@ batch size. Nulls read as empty texts.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -43,6 +44,22 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS["p"][:n], _POWERS["q"][:n]
 
 
+def tidy(scan: Callable) -> Callable:
+    """``scan`` for mapInArrow; its worker gives freed memory back when a task ends, as
+    workers live on for the tasks of later stages."""
+
+    def run(batches):
+        try:
+            yield from scan(batches)
+        finally:
+            _POWERS.clear()
+            pa.default_memory_pool().release_unused()
+            if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+                libc.malloc_trim(0)
+
+    return run
+
+
 _BYTE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -183,9 +200,9 @@ def fold_array(df: DataFrame, add: Callable[[np.ndarray, object], None], size: i
                 ["piece", "body"])
 
     schema = "piece int, body binary"
-    parts = df.mapInArrow(per_task, schema)
+    parts = df.mapInArrow(tidy(per_task), schema)
     out = np.zeros(size, dtype)
-    whole = parts.repartition(min(-(-size // piece), 16), "piece").mapInArrow(per_piece, schema).toArrow()   # ``size`` elements at most
+    whole = parts.repartition(min(-(-size // piece), 16), "piece").mapInArrow(tidy(per_piece), schema).toArrow()   # ``size`` elements at most
     for k, body in zip(whole.column("piece").to_pylist(), whole.column("body").to_pylist()):
         x = unsmall(body)
         out[k * piece:k * piece + len(x)] = x
@@ -289,7 +306,7 @@ def with_bits(df: DataFrame, key: str, bits, has: bool = True) -> DataFrame:
             m = bloom_has(bits.value, int64(b.column(key)).view(np.uint64))
             yield b.filter(pa.array(m if has else ~m))
 
-    return df.mapInArrow(scan, df.schema)
+    return df.mapInArrow(tidy(scan), df.schema)
 
 
 def merged(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

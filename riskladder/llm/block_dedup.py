@@ -60,7 +60,7 @@ def _probes(src: DataFrame, block: int, tasks: int) -> DataFrame:
                 yield A.deal(A.by_bits(h, tasks), doc,
                              {"h32": (h & np.uint64(0xFFFFFFFF)).astype(np.uint32), "pos": at - w.first[doc]}, {"oid": t.ids})
 
-    return src.mapInArrow(scan, "part int, per_doc binary, h32 binary, pos binary, oid binary")
+    return src.mapInArrow(A.tidy(scan), "part int, per_doc binary, h32 binary, pos binary, oid binary")
 
 
 def _deal_by_document(name: str, ids: np.ndarray, values: np.ndarray, tasks: int) -> pa.RecordBatch:
@@ -88,7 +88,7 @@ def _by_document(dealt: DataFrame, name: str, values: str, tasks: int) -> DataFr
                 [pa.array(ids[lo[a:a + 4096]]),
                  pa.array([pos[i:j].tobytes() for i, j in zip(lo[a:a + 4096], hi[a:a + 4096])], pa.binary())], [name, values])
 
-    return dealt.repartitionById(tasks, F.col("part")).mapInArrow(scan, f"{name} long, {values} binary")
+    return dealt.repartitionById(tasks, F.col("part")).mapInArrow(A.tidy(scan), f"{name} long, {values} binary")
 
 
 def _hits(block: int, tasks: int):
@@ -149,7 +149,7 @@ def _windows(rows: DataFrame, window: int, block: int, tasks: int) -> DataFrame:
                 yield A.deal(A.by_bits(h, tasks), doc, {"h": h, "pos": (at - w.first[doc]) * 4 + flags},
                              {"oid": t.ids, "rk": A.int64(t.rows.column("rk"))})
 
-    return rows.mapInArrow(scan, "part int, per_doc binary, h binary, pos binary, oid binary, rk binary")
+    return rows.mapInArrow(A.tidy(scan), "part int, per_doc binary, h binary, pos binary, oid binary, rk binary")
 
 
 def _repeats(tasks: int):
@@ -240,12 +240,12 @@ def remove_repeats(docs: DataFrame, window: int = 13, text_col: str = "text", id
     plain = src.select("oid", "rk", "text")
 
     met = (_probes(plain, block, tasks).repartitionById(tasks, F.col("part"))
-           .mapInArrow(_hits(block, tasks), "part int, per_doc binary, pos binary, oid binary"))
+           .mapInArrow(A.tidy(_hits(block, tasks)), "part int, per_doc binary, pos binary, oid binary"))
     hits = materialize(_by_document(met, "oid", "hits", tasks))
     hit_docs = spark.sparkContext.broadcast(A.bloom_of(hits, "oid"))
     rows = A.with_bits(plain, "oid", hit_docs).join(hits, "oid")
     again = (_windows(rows, window, block, tasks).repartitionById(tasks, F.col("part"))
-             .mapInArrow(_repeats(tasks), "part int, per_doc binary, pos binary, rk binary"))
+             .mapInArrow(A.tidy(_repeats(tasks)), "part int, per_doc binary, pos binary, rk binary"))
     starts = _by_document(again, "rk", "starts", tasks)
     copies = _first_of_text(plain).filter("copy").select("rk", F.lit(None).cast("binary").alias("starts"), "copy")
     marks = materialize(starts.withColumn("copy", F.lit(False)).unionByName(copies))    # a row may be in both
@@ -256,5 +256,5 @@ def remove_repeats(docs: DataFrame, window: int = 13, text_col: str = "text", id
     schema = "oid long, n_words long, n_removed long, kept_text string, removed_from array<long>, removed_to array<long>"
     if carry:
         schema += f", rest {src.schema['rest'].dataType.simpleString()}"
-    out = untouched.unionByName(touched).drop("rk").mapInArrow(_cut(window, layout, bool(carry)), schema)
+    out = untouched.unionByName(touched).drop("rk").mapInArrow(A.tidy(_cut(window, layout, bool(carry))), schema)
     return out.withColumn("doc_id", F.when(F.col("oid") != A.NO_ID, F.col("oid"))).drop("oid")

@@ -25,6 +25,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskladder.llm.arrays import tidy
+
 CACHE = 500_000                # entries kept by a worker; dropping them costs time only
 _STEP = 1 << 17                # ids decoded at a time
 # a text with one of these, or with two white spaces in a row, goes through the pattern whole
@@ -113,7 +115,7 @@ class Bpe:
             else:
                 buckets.setdefault(len(p) if len(p) <= 16 else 1 << (len(p) - 1).bit_length(), []).append(i)
         for width, rows in buckets.items():
-            step = max(1, (1 << 21) // width)
+            step = max(1, (1 << 18) // width)
             for a in range(0, len(rows), step):
                 self._bucket(rows[a:a + step], pieces, width, out)
         return out
@@ -189,11 +191,11 @@ class _Cached:
     """Distinct chunks -> comma-joined decimal ids."""
 
     def __init__(self, bpe: Bpe):
-        self.bpe, self.listed = bpe, {}
+        self.bpe, self.listed, self.entries = bpe, {}, CACHE
 
     def fill(self, chunks: set[str]) -> None:
         new = list(chunks.difference(self.listed))
-        if len(self.listed) + len(new) > CACHE:    # entries in use stay
+        if len(self.listed) + len(new) > self.entries:     # entries in use stay
             self.listed = {c: self.listed[c] for c in chunks.intersection(self.listed)}
         listed = self.listed
         parts = list(map(self.bpe.pattern.findall, new))
@@ -227,13 +229,14 @@ def _groups(texts: list, max_chars: int = 2_000_000):
 
 
 def encode_decode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", id_col: str = "doc_id",
-                  digests_only: bool = False, decoded: bool = True) -> DataFrame:
+                  digests_only: bool = False, decoded: bool = True, cache: int = CACHE) -> DataFrame:
     """One row per document: doc_id, n_tokens, ids (array<int>), decoded (binary), and their
     digests ids_sha256, decoded_sha256. ``digests_only`` leaves ids and decoded out; without ``decoded``
-    only its digest is returned (the column is null)."""
+    only its digest is returned (the column is null). ``cache`` entries of distinct chunks are kept by a worker."""
 
     def scan(batches):
         enc = _encoder(path, pattern)
+        enc.entries = cache
         for b in batches:
             ids, texts = b.column("doc_id"), b.column("text").to_pylist()
             for lo, hi in _groups(texts):
@@ -261,4 +264,4 @@ def encode_decode(docs: DataFrame, path: str, pattern: str, text_col: str = "tex
     if not digests_only:
         schema += ", ids array<int>, decoded binary"
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return src.mapInArrow(scan, schema)
+    return src.mapInArrow(tidy(scan), schema)

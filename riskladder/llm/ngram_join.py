@@ -128,7 +128,7 @@ def shingle_sets(docs: DataFrame, n: int = 5, text_col: str = "text", id_col: st
                 ["doc_id", "n_shingles", "sig"])
 
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return src.mapInArrow(scan, "doc_id long, n_shingles long, sig long")
+    return src.mapInArrow(A.tidy(scan), "doc_id long, n_shingles long, sig long")
 
 
 def _needed(na: np.ndarray, nb: np.ndarray, pct: int) -> np.ndarray:
@@ -174,7 +174,7 @@ def _prefixes(src: DataFrame, order, n: int, pct: int, tasks: int) -> DataFrame:
                 [pa.array(rows[0], pa.int32())] + [pa.array(x, pa.binary()) for x in rows[1:]],
                 ["part", "grams", "pos", "per_class", "sigs", "sizes"])
 
-    return src.mapInArrow(scan, "part int, grams binary, pos binary, per_class binary, sigs binary, sizes binary")
+    return src.mapInArrow(A.tidy(scan), "part int, grams binary, pos binary, per_class binary, sigs binary, sizes binary")
 
 
 _LISTS = "gram long, sig long, n int, pos int, leader long, leader_n int, leader_pos int"
@@ -315,7 +315,7 @@ def _links(src: DataFrame, pairs: DataFrame, order, n: int, pct: int) -> DataFra
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(segs, pa.list_(pa.binary()))], ["sig", "segs"])
 
     # one row per class, so both joins below use the same deal of the segments
-    segs = src.mapInArrow(scan, "sig long, segs array<binary>").dropDuplicates(["sig"])
+    segs = src.mapInArrow(A.tidy(scan), "sig long, segs array<binary>").dropDuplicates(["sig"])
     of_a = pairs.select("a", "b").join(segs, F.col("a") == F.col("sig")).select("a", "b", F.col("segs").alias("ga"))
     of_b = segs.select(F.col("sig").alias("b"), F.col("segs").alias("gb"))
     both = of_a.join(of_b, "b").select("a", "b", "ga", "gb")
@@ -328,7 +328,7 @@ def _links(src: DataFrame, pairs: DataFrame, order, n: int, pct: int) -> DataFra
             k = [sum(map(common, x, y)) for x, y in zip(b.column("ga").to_pylist(), b.column("gb").to_pylist())]
             yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), pa.array(k, pa.int64())], ["a", "b", "k"])
 
-    part = both.mapInArrow(overlap, "a long, b long, k long")
+    part = both.mapInArrow(A.tidy(overlap), "a long, b long, k long")
     return (pairs.join(part, ["a", "b"])
             .filter(100 * F.col("k") >= pct * (F.col("na") + F.col("nb") - F.col("k"))).select("a", "b"))
 
@@ -346,7 +346,7 @@ def ngram_jaccard_components(docs: DataFrame, n: int = 5, min_percent: int = 75,
 
     order = spark.sparkContext.broadcast(_Order(A.fold_array(src, count, 1 << SKETCH_BITS)))
     tasks = A.reduce_tasks(docs)
-    lists = _prefixes(src, order, n, min_percent, tasks).repartitionById(tasks, F.col("part")).mapInArrow(_lists, _LISTS)
+    lists = _prefixes(src, order, n, min_percent, tasks).repartitionById(tasks, F.col("part")).mapInArrow(A.tidy(_lists), _LISTS)
     lists = materialize(lists)
 
     # leaders first
@@ -365,7 +365,7 @@ def ngram_jaccard_components(docs: DataFrame, n: int = 5, min_percent: int = 75,
     of_gram = Window.partitionBy("gram")
     rest = (named.withColumns({"_lo": F.min("component").over(of_gram), "_hi": F.max("component").over(of_gram)})
             .filter("_lo <> _hi").drop("_lo", "_hi"))       # the rows of an n-gram stay in one task
-    cross = rest.mapInArrow(_cross_pairs(min_percent), "a long, b long, na long, nb long, pa long, pb long, k long")
+    cross = rest.mapInArrow(A.tidy(_cross_pairs(min_percent)), "a long, b long, na long, nb long, pa long, pb long, k long")
     cross = _summed(cross, min_percent).select("a", "b", "na", "nb")
     done = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     cross = materialize(cross.join(done, ["a", "b"], "left_anti"))

@@ -21,6 +21,7 @@ def ship(spark: SparkSession) -> None:
     with it on their Python path, and make Arrow batches of texts small (rows of a batch are held several
     times between the JVM and Python). The operators themselves leave the session alone."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
     app = spark.sparkContext.applicationId
     if app in _SHIPPED:
         return
