@@ -34,7 +34,7 @@ from riskladder.llm.running import running_sums
 from riskladder.session import ensure_checkpoint_dir
 
 SHARD_TOKENS = 1 << 19
-CACHE = 500_000
+CACHE = 1_500_000              # distinct chunks kept by a worker; dropping them costs time only
 _MAGIC = b"WMX1"
 
 
@@ -162,9 +162,8 @@ def _chunk_ids(path: str, chunks: set[str]) -> dict[str, bytes]:
         _ENCODERS[path] = [tok, {}]
     tok, seen = _ENCODERS[path]
     new = list(chunks.difference(seen))
-    if len(seen) + len(new) > CACHE:
-        seen = _ENCODERS[path][1] = {}
-        new = list(chunks)
+    if len(seen) + len(new) > CACHE:               # entries in use stay
+        seen = _ENCODERS[path][1] = {c: seen[c] for c in chunks.intersection(seen)}
 
     def encoded(texts: list[str]):
         for e in tok.encode_batch_fast(texts, add_special_tokens=False):
@@ -232,7 +231,7 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, bi
 
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     placed = src.repartitionByRange(A.reduce_tasks(docs), F.col("doc_id")).sortWithinPartitions("doc_id", F.xxhash64("text"))
-    (placed.mapInArrow(scan, "first_doc long, seq long, n_docs long, n_tokens long, file binary")
+    (placed.mapInArrow(A.tidy(scan), "first_doc long, seq long, n_docs long, n_tokens long, file binary")
      .write.option("compression", "none").parquet(path))
 
 
