@@ -147,6 +147,15 @@ def test_language_id_of_awkward_texts(spark, documents):
     assert {(r.lang_pred, r.score) for r in unlabelled} == {("und", 0.0)}
 
 
+def test_language_id_learns_from_every_gram(spark, documents):
+    rows = [(r.doc_id, r.text, r.lang) for r in documents.select("doc_id", "text", "lang").collect()]
+    rows += [(1000 + i, "qwx zvj 龍鬼語 kjq " * (1 + i % 3), "rare") for i in range(10)]    # counts far below the others'
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    small, joined = (sorted(map(tuple, langid.identify(df, capacity=c).collect()), key=repr) for c in (1 << 21, 50))
+    assert small == joined
+    assert {r[2] for r in joined if (r[0] or 0) >= 1000} == {"rare"}
+
+
 def test_kneser_ney_sums_to_one():
     text = "abracadabra abba cab " * 20
     g, _ = langid._grams([text])
