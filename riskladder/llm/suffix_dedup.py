@@ -14,6 +14,10 @@ L/2 is an anchor.
    group by mergesort, all groups at once: two suffixes are compared by
    finding their common extension with a binary search over prefix polynomial hashes.
    Neighbours in suffix order with a common extension of L bytes are repeats.
+   An anchor hash with more than ``hot`` places is split before its bytes move: its strings are cut into ranges of
+   distance to the anchor, and each range is keyed with the bytes that all its strings cover, so places
+   with different surroundings part. What occurs once drops out, and what is still hot is cut into narrower ranges,
+   at last single strings keyed with all their L bytes.
    Places of a task with equal bytes are settled before they are dealt (a text of one repeated word has
    thousands), so a task gets each content once per sender.
 3. Neighbours found equal by hash are compared byte by byte (once per pair of anchors);
@@ -40,6 +44,8 @@ from riskladder.llm import arrays as A
 from riskladder.session import materialize
 
 GRAM = 32
+HOT = 4096                       # places of one anchor hash that are dealt as they are
+_RANGE, _LEVEL = np.int64(1 << 28), np.int64(4)      # a name holds place and side, level of the split, range
 
 
 def _sums(data: np.ndarray) -> np.ndarray:
@@ -68,6 +74,7 @@ class _Anchors:
     anchor counts twice when strings of both kinds name it (``name`` tells them apart)."""
 
     def __init__(self, t: A.Text, length: int):
+        self.t, self.length = t, length
         n = len(t.data)
         grams = n - GRAM + 1
         empty = np.zeros(0, np.int64)
@@ -101,7 +108,69 @@ class _Anchors:
         of = np.concatenate([left, right])
         by = np.argsort(doc[of], kind="stable")
         self.hash, self.lo, self.hi, self.place, self.doc = keys[by], los[by], his[by], place[of][by], doc[of][by]
-        self.name = (self.place - t.off[self.doc]) * 2 + side[by]
+        self.name = ((self.place - t.off[self.doc]) * 2 + side[by]) * (_LEVEL * _RANGE)
+        self.sums = s
+
+    def wanted(self, names: list) -> np.ndarray:
+        """Indexes of the anchors, repeated for their ranges, and the ranges' names, for a list of names per document."""
+        at, out = [], []
+        lo = np.searchsorted(self.doc, np.arange(len(self.t) + 1))
+        for i, mine in enumerate(names):
+            x = np.sort(np.asarray(mine, np.int64))
+            whole = x // (_LEVEL * _RANGE) * (_LEVEL * _RANGE)
+            here = self.name[lo[i]:lo[i + 1]]
+            by = np.argsort(here)
+            found = np.isin(whole, here)
+            at.append(by[np.searchsorted(here[by], whole[found])] + lo[i])
+            out.append(x[found])
+        return np.concatenate(at or [np.zeros(0, np.int64)]), np.concatenate(out or [np.zeros(0, np.int64)])
+
+    def ranges(self, k: np.ndarray, name: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(lo, hi, hash) of the named ranges of anchors ``k``: strings with a distance to the anchor in [r * w, r * w + w),
+        keyed with the bytes that all strings of such distances cover."""
+        level, r = name // _RANGE % _LEVEL, name % _RANGE
+        w = np.array([self.length, *widths(self.length)])[level]
+        place, lo, hi, h = self.place[k], self.lo[k], self.hi[k], self.hash[k]
+        cut = level > 0
+        lo = np.where(cut, np.maximum(lo, place - r * w - w + 1), lo)
+        hi = np.where(cut, np.minimum(hi, place - r * w), hi)
+        if cut.any():
+            a = (place - r * w)[cut]
+            b = (place - r * w - w + 1)[cut] + self.length
+            body = (self.sums[b] - self.sums[a]) * A.powers(len(self.sums))[1][a]
+            h = h.copy()
+            h[cut] = A.mix(A.mix(h[cut] + name[cut].astype(np.uint64) % np.uint64(_LEVEL * _RANGE) * np.uint64(0x9E3779B97F4A7C15)) + body)
+        return lo, hi, h
+
+    def split(self, k: np.ndarray, name: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ranges of the next level that make up the named ranges of anchors ``k``: anchors and names."""
+        lo, hi, _ = self.ranges(k, name)
+        level = name // _RANGE % _LEVEL + 1
+        w = np.array([self.length, *widths(self.length)])[level]
+        first, last = (self.place[k] - hi) // w, (self.place[k] - lo) // w
+        n = last - first + 1
+        of = np.repeat(np.arange(len(k)), n)
+        r = first[of] + np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
+        return k[of], self.name[k][of] + level[of] * _RANGE + r
+
+
+def widths(length: int) -> tuple[int, ...]:
+    """Distances in a range, per level of the split: powers of two, at last one."""
+    w = 1 << max(0, min(64, (length - GRAM) // 4).bit_length() - 1)
+    return w, max(1, w // 8), 1
+
+
+def _split_rows(texts: DataFrame, length: int) -> DataFrame:
+    """As ``_anchor_rows`` for the next ranges of the texts' hot ones (column places)."""
+
+    def scan(batches):
+        for t in A.text_chunks(batches, "text", "th"):
+            a = _Anchors(t, length)
+            k, name = a.split(*a.wanted(t.rows.column("places").to_pylist()))
+            h = a.ranges(k, name)[2]
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(t.ids[a.doc[k]]), pa.array(name)], ["h", "th", "place"])
+
+    return texts.mapInArrow(scan, "h long, th long, place long")
 
 
 def _anchor_rows(src: DataFrame, length: int) -> DataFrame:
@@ -131,18 +200,13 @@ def _contexts(rows: DataFrame, length: int) -> DataFrame:
         first: dict[tuple[int, int, bytes], list] = {}
         for t in A.text_chunks(batches, "text", "th"):
             a = _Anchors(t, length)
-            wanted = t.rows.column("places").to_pylist()
-            keep = np.zeros(len(a.place), bool)
-            lo = np.searchsorted(a.doc, np.arange(len(t) + 1))
-            for i, places in enumerate(wanted):
-                x = slice(lo[i], lo[i + 1])
-                keep[x] = np.isin(a.name[x], np.asarray(places, np.int64))
+            k, name = a.wanted(t.rows.column("places").to_pylist())
+            los, his, hashes = a.ranges(k, name)
             out: list[tuple] = []
             data = t.data.tobytes()
-            k = np.flatnonzero(keep)
             d = a.doc[k]
-            for h, th, start, back, i, j in zip(a.hash[k].view(np.int64).tolist(), t.ids[d].tolist(), (a.lo[k] - t.off[d]).tolist(),
-                                                (a.place[k] - a.lo[k]).tolist(), a.lo[k].tolist(), (a.hi[k] + length).tolist()):
+            for h, th, start, back, i, j in zip(hashes.view(np.int64).tolist(), t.ids[d].tolist(), (los - t.off[d]).tolist(),
+                                                (a.place[k] - los).tolist(), los.tolist(), (his + length).tolist()):
                 body = data[i:j]
                 key = (h, back, hashlib.md5(body).digest())
                 old = first.get(key)
@@ -344,8 +408,36 @@ def _cut(carry: bool):
     return scan
 
 
+def _shared(plain: DataFrame, length: int, hot: int) -> DataFrame:
+    """Texts (th, text) with the names of their ranges whose hash occurs again (places)."""
+
+    def named(rows):
+        places = materialize(rows.groupBy("th").agg(F.collect_set("place").alias("places")))
+        bits = plain.sparkSession.sparkContext.broadcast(A.bloom_of(places, "th"))
+        return A.with_bits(plain, "th", bits).dropDuplicates(["th"]).join(places, "th")
+
+    rows, done = materialize(_anchor_rows(plain, length)), []
+    for level in range(len(widths(length)) + 1):
+        again = (rows.groupBy("h").agg(F.min("th").alias("a"), F.max("th").alias("b"), F.min("place").alias("c"), F.max("place").alias("d"),
+                                       F.count("*").alias("n"))
+                 .filter("a <> b or c <> d").select("h", (F.col("n") > hot).alias("hot")))
+        met = materialize(rows.join(again, "h").select("th", "place", "hot"))
+        if level == len(widths(length)):
+            done.append(met)
+            break
+        done.append(met.filter("not hot"))
+        more = met.filter("hot")
+        if more.isEmpty():
+            break
+        rows = materialize(_split_rows(named(more), length))
+    out = done[0]
+    for x in done[1:]:
+        out = out.unionByName(x)
+    return named(out)
+
+
 def remove_repeated_bytes(docs: DataFrame, length: int = 400, text_col: str = "text", id_col: str = "doc_id",
-                          carry: list[str] | None = None) -> DataFrame:
+                          carry: list[str] | None = None, hot: int = HOT) -> DataFrame:
     """One row per document: doc_id, n_bytes, n_removed, removed_from / removed_to (maximal byte
     runs) and kept (the remaining bytes; a cut may fall inside a character)."""
     spark = docs.sparkSession
@@ -354,12 +446,7 @@ def remove_repeated_bytes(docs: DataFrame, length: int = 400, text_col: str = "t
     src = src.withColumn("th", F.xxhash64(F.coalesce("text", F.lit(""))))
     plain = src.select("th", "text").filter(F.octet_length("text") >= length)
 
-    anchors = materialize(_anchor_rows(plain, length))
-    shared = (anchors.groupBy("h").agg(F.min("th").alias("a"), F.max("th").alias("b"), F.min("place").alias("c"), F.max("place").alias("d"))
-              .filter("a <> b or c <> d").select("h"))
-    places = materialize(anchors.join(shared, "h").groupBy("th").agg(F.collect_set("place").alias("places")))
-    bits = spark.sparkContext.broadcast(A.bloom_of(places, "th"))
-    texts = A.with_bits(plain, "th", bits).dropDuplicates(["th"]).join(places, "th")
+    texts = _shared(plain, length, hot)
     runs = _contexts(texts, length).repartition(A.reduce_tasks(docs), "h").mapInArrow(_repeats(length), "th long, lo long, hi long")
     copies = plain.groupBy("th").count().filter("count > 1").select(
         "th", F.lit(None).cast("long").alias("lo"), F.lit(None).cast("long").alias("hi"), F.lit(True).alias("whole"))

@@ -4,6 +4,7 @@ import array
 import base64
 import collections
 import hashlib
+import random
 import zlib
 
 import numpy as np
@@ -63,6 +64,24 @@ def test_suffix_dedup(documents, length):
     assert sorted(map(tuple, got), key=repr) == sorted(brute_bytes(pairs_of(documents), length), key=repr)
 
 
+def test_suffix_dedup_parts_a_hot_anchor(spark):
+    r = random.Random(3)
+    noise = lambda n: "".join(r.choice("abcdefghij klmnopqrst") for _ in range(n))
+    licence, longer, some = noise(300), noise(396), noise(450)
+    texts = [noise(r.randint(300, 500)) + licence + noise(450) for _ in range(60)]
+    texts += [noise(r.randint(300, 500)) + longer + noise(420) for _ in range(60)]
+    texts += [noise(r.randint(10, 50)) + some + noise(40) for _ in range(30)] + [texts[0][100:], "é" + texts[70][50:900], texts[1]]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    rows = [(i, t) for i, t in enumerate(texts)]
+    for hot in (10, suffix_dedup.HOT):
+        got = suffix_dedup.remove_repeated_bytes(df, hot=hot).select("doc_id", "n_bytes", "n_removed", F.size("removed_from"), F.sha2("kept", 256)).collect()
+        assert sorted(map(tuple, got), key=repr) == sorted(brute_bytes(rows, 400), key=repr)
+    plain = df.selectExpr("xxhash64(text) as th", "text")
+    most = [max(x["count"] for x in suffix_dedup._contexts(suffix_dedup._shared(plain, 400, h).coalesce(1), 400)
+                .filter("body is not null").groupBy("h").count().collect()) for h in (10, suffix_dedup.HOT)]
+    assert most[0] <= 10 and most[1] > 50
+
+
 def test_suffix_dedup_on_no_rows(none):
     assert suffix_dedup.remove_repeated_bytes(none).count() == 0
 
