@@ -6,8 +6,10 @@ train on: the assistant's words and the end marker after them. ``system`` turns
 nobody's perspective; a null role speaks as the user "unknown" and is nobody's perspective either.
 
 A conversation is rendered in parts of ``part_turns`` consecutive turn numbers (part 0 is
-the whole dialogue of an ordinary conversation), so a conversation of any length stays in
-bounded rows; the turns move once, before they are multiplied by perspectives.
+the whole dialogue of an ordinary conversation), so a conversation with distinct turn numbers stays in
+bounded rows whatever its length. All turns without a number are one part, and so are repeated numbers, as in the
+SQL: such a part is one row of any size. Numbers of turns and mask offsets are per part.
+The turns move once, before they are multiplied by perspectives.
 
 Edge cases: null texts render as empty; a marker inside a text is defused ("<|" becomes
 "< |"); turns with equal numbers are ordered by role and text, null numbers form part
