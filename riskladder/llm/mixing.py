@@ -17,7 +17,7 @@ are documents of their own; null ids sort first among equal sizes; no rows give
 from __future__ import annotations
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskladder.llm import arrays as A
@@ -53,11 +53,16 @@ def source_targets(sizes: DataFrame, total: float = 1.5, most: int = 2, weights:
     return per.crossJoin(level).select("source", "source_size", F.least(F.col("_cap").cast("double"), F.col("_level") * F.col("_w")).alias("target"))
 
 
+def _row_key(docs: DataFrame) -> Column:
+    """Hash of all columns and of which are null (the hash skips nulls)."""
+    return F.xxhash64(*[docs[c] for c in docs.columns], *[docs[c].isNull() for c in docs.columns])
+
+
 def systematic_copies(docs: DataFrame, total: float = 1.5, most: int = 2, seed: int = 0, weights: tuple[int, ...] = WEIGHTS,
                       text_col: str = "text", id_col: str = "doc_id", source_col: str = "source") -> DataFrame:
     """One row per document: doc_id, source, rk (row key), size, source_size, target, copies."""
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"),
-                      F.xxhash64(id_col, source_col, text_col).alias("rk"), F.col(text_col).cast("string").alias("text"))
+                      _row_key(docs).alias("rk"), F.col(text_col).cast("string").alias("text"))
     sizes = materialize(_sizes(src))
     targets = source_targets(sizes, total, most, weights).withColumnRenamed("source", "_s")
     ranked = running_sums(sizes.withColumn("_one", F.lit(1)),
@@ -72,9 +77,8 @@ def systematic_copies(docs: DataFrame, total: float = 1.5, most: int = 2, seed:
 
 def mix(docs: DataFrame, **options) -> DataFrame:
     """The mixed corpus: every row of ``docs``, all its columns, as often as it was drawn."""
-    ids = [options.get("id_col", "doc_id"), options.get("source_col", "source"), options.get("text_col", "text")]
     drawn = (systematic_copies(docs, **options).groupBy("rk").agg(F.sum("copies").alias("_n"))
              .filter("_n > 0").withColumnRenamed("rk", "_rk"))
-    once = docs.withColumn("_rk", F.xxhash64(*ids)).dropDuplicates(["_rk"])
+    once = docs.withColumn("_rk", _row_key(docs)).dropDuplicates(["_rk"])
     out = once.join(drawn, "_rk").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_n").cast("int"))))
     return out.select(*[out[c] for c in docs.columns])

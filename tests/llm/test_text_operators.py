@@ -226,3 +226,9 @@ def test_mixing(documents, none):
     mixed = collections.Counter((r.doc_id, r.source, len(words(r.text))) for r in mixing.mix(documents).collect())
     assert mixed == +copies
     assert mixing.systematic_copies(none).count() == 0 and mixing.mix(none).columns == none.columns
+
+
+def test_mixing_keeps_rows_that_differ_in_other_columns(spark):
+    df = spark.createDataFrame([(1, "one two three", "a", f"l{i}") for i in range(12)], "doc_id long, text string, source string, lang string")
+    out = [r.lang for r in mixing.mix(df).collect()]
+    assert len(set(out)) == 12 and max(collections.Counter(out).values()) <= 2
