@@ -10,8 +10,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskladder.llm import (block_dedup, bpe, chat, kdtree, langid, line_quality, mixing, ngram_join, suffix_dedup,
-                            wavelet)
+from riskladder.llm import (block_dedup, bpe, chat, hard_negatives, kdtree, langid, line_quality, mixing, ngram_join, spelling,
+                            suffix_dedup, token_count, wavelet)
 
 _SHIPPED: set[str] = set()
 
@@ -92,9 +92,23 @@ def op10_kdtree_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kdtree.top_k(_table(spark, sf_dir, "embeddings"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "embeddings")
+    moved = F.when(F.pmod("vec_id", F.lit(7)) == 0, F.pmod(F.col("label") + 1, F.lit(10))).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.withColumn("label", moved))
+
+
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_count.count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_ngram_jaccard, op2_mixing, op3_wavelet_shards, op4_language_id, op5_block_dedup, op6_suffix_dedup, op7_byte_bpe,
-    op8_chat_perspectives, op9_line_quality, op10_kdtree_top_k)}
+    op8_chat_perspectives, op9_line_quality, op10_kdtree_top_k, op11_hard_negatives, op12_token_counts, op13_spelling_variants)}
 
 _WORD = r"'[^\x20\x09-\x0D]+'"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -186,4 +200,42 @@ p AS (
   FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM p)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20""",
+    "op11_hard_negatives": """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS x FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+s AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, list_dot_product(a.x, c.x)::BIGINT AS score
+  FROM v a JOIN v c ON a.vec_id <> c.vec_id WHERE a.vec_id % 100 = 0),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, positive_id, row_number() OVER w::INTEGER AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score
+WINDOW w AS (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id) QUALIFY row_number() OVER w <= 5""",
+    "op13_spelling_variants": f"""
+WITH RECURSIVE b AS (
+  SELECT list_transform(range(256), lambda x: list_reduce(range(8), lambda c, i: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, x)) AS t),
+r AS (SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]+')) AS run FROM documents),
+o AS (SELECT doc_id, translate(run, '{_UPPER}', '{_LOWER}') AS run, count(*) AS n FROM r WHERE length(run) >= 7 GROUP BY 1, 2),
+x AS (SELECT *, hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || run)) AS bytes FROM o),
+h AS (
+  SELECT run, n, xor(list_reduce(range(0, len(bytes), 2), lambda c, i: xor(c >> 8, t[1 + (xor(c, ('0x' || bytes[i + 1:i + 2])::BIGINT) & 255)]), 4294967295), 4294967295) AS h
+  FROM x, b),
+w AS (
+  SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, sum(n)::BIGINT AS n
+  FROM h GROUP BY 1 HAVING length(word) >= 7 AND sum(n) >= 2),
+d AS (SELECT word, unnest(range(length(word))) AS i FROM w),
+g AS (SELECT word, i, substr(word, 1, i) || substr(word, i + 2) AS cut FROM d),
+e AS (
+  SELECT a.word, z.word AS near FROM g a JOIN g z ON a.i = z.i AND a.cut = z.cut AND a.word <> z.word
+  UNION SELECT word, cut FROM g JOIN w z USING (word) WHERE cut IN (SELECT word FROM w)
+  UNION SELECT cut, word FROM g WHERE cut IN (SELECT word FROM w)),
+m AS (SELECT e.word, count(*) AS n_near, min(ROW(-z.n, near)) AS best FROM e JOIN w z ON z.word = e.near GROUP BY 1),
+f AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN -best[1] >= 10 * w.n THEN best[2] END AS form,
+    CASE WHEN -best[1] >= 10 * w.n THEN -best[1] END AS form_n FROM w LEFT JOIN m ON m.word = w.word),
+c(word, last, form) AS (SELECT word, word, form FROM f UNION ALL SELECT c.word, f.word, f.form FROM c JOIN f ON f.word = c.form)
+SELECT f.word, f.form, c.last AS root, f.n, f.n_near, f.form_n FROM f JOIN c ON c.word = f.word AND c.form IS NULL""",
 }
