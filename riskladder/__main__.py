@@ -16,10 +16,14 @@ import datetime as dt
 from pyspark.sql import SparkSession
 
 from riskladder.functions.lookups import read_risk_mapping
-from riskladder.plans.jobs import DAILY_INPUTS, daily_job, quarterly_job, read_inputs
+from riskladder.plans.jobs import DAILY_INPUTS, daily_job, judge, quarterly_job, read_inputs
+from riskladder.sources.readers import RowCounts
 from riskladder.streaming import start_daily_stream
 
 
+_SAID = {"malformed": "malformed rows", "dropped": "rows without a key", "keys": "repeated keys", "rows": "rows left out for them"}
+
+
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(prog="riskladder")
     ap.add_argument("job", choices=["quarterly", "daily", "stream"])
@@ -34,6 +38,7 @@ def main(argv=None) -> None:
     ap.add_argument("--archives", help="stream: folder where new fund archive files arrive")
     ap.add_argument("--checkpoint", help="stream: the stream's checkpoint folder (shared storage)")
     ap.add_argument("--max-bad-rows", type=int, help="fail when an extract has more malformed or keyless rows")
+    ap.add_argument("--no-report", action="store_true", help="count no bad rows (filters then reach Parquet extracts)")
     ap.add_argument("--no-type-cut", action="store_true",
                     help="daily: take the newest type even if it starts after the rating date")
     a = ap.parse_args(argv)
@@ -43,7 +48,7 @@ def main(argv=None) -> None:
     if enc:                                        # legacy charsets are a setting of the session
         builder = builder.config("spark.sql.legacy.javaCharsets", "true")
     spark = builder.getOrCreate()
-    report: dict = {}
+    report: dict | None = None if a.no_report else {}
     if a.job == "quarterly":
         quarterly_job(spark, a.extracts, a.as_of, a.out, a.format, enc, a.state, a.out_format, a.mapping, report, a.max_bad_rows)
     elif a.job == "daily":
@@ -52,17 +57,22 @@ def main(argv=None) -> None:
         if not (a.archives and a.checkpoint):
             ap.error("stream needs --archives and --checkpoint")
 
+        counts = None
+
         def dimensions():
-            t = read_inputs(spark, a.extracts, [n for n in DAILY_INPUTS if n != "fundarchives"], a.format, enc,
-                            max_bad_rows=a.max_bad_rows)
+            nonlocal counts
+            counts = RowCounts() if a.max_bad_rows is not None else None
+            t = read_inputs(spark, a.extracts, [n for n in DAILY_INPUTS if n != "fundarchives"], a.format, enc, counts)
             if a.mapping:
                 t["mapping"] = read_risk_mapping(spark, a.mapping, "InitialRiskLevel")
             return t
         start_daily_stream(spark, a.archives, dimensions, a.out, a.checkpoint, a.as_of, cut_type_history=not a.no_type_cut,
-                           out_format=a.out_format).awaitTermination()
-    for name, counts in report.items():
-        if any(counts.values()):
-            print(f"{name}: {counts['malformed']} malformed rows, {counts['dropped']} rows without a key")
+                           out_format=a.out_format, check=lambda: judge(counts, None, a.max_bad_rows)).awaitTermination()
+    for name, counts in (report or {}).items():
+        if counts is None:
+            print(f"{name}: not read")
+        elif any(counts.values()):
+            print(f"{name}: " + ", ".join(f"{v} {_SAID[k]}" for k, v in counts.items()))
 
 
 if __name__ == "__main__":

@@ -3,17 +3,21 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def one_per_key(table: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+def one_per_key(table: DataFrame, keys: list[str], order: list[str], watch: Callable[..., DataFrame] | None = None) -> DataFrame:
     """One row per key: the smallest by ``order`` (nulls last), so a lookup cannot multiply rows.
-    An aggregate with partial sums, not a window; columns are keys and order."""
+    An aggregate with partial sums, not a window; columns are keys and order. ``watch`` (a frame and named counters
+    give the frame back, see ``sources.readers.RowCounts``) counts "keys" with several rows and the "rows" left out."""
     first = F.struct(*[F.struct(F.col(c).isNull(), F.col(c)).alias(c) for c in order])
-    return (table.groupBy(*keys).agg(F.min(first).alias("_first"))
-            .select(*keys, *[F.col("_first")[c][c].alias(c) for c in order]))
+    out = table.groupBy(*keys).agg(F.min(first).alias("_first"), F.count("*").alias("_rows"))
+    if watch:
+        out = watch(out, keys=F.count(F.when(F.col("_rows") > 1, 1)), rows=F.sum(F.col("_rows") - 1))
+    return out.select(*keys, *[F.col("_first")[c][c].alias(c) for c in order])
 
 
 def repeated_keys(table: DataFrame, keys: list[str]) -> DataFrame:
@@ -21,7 +25,7 @@ def repeated_keys(table: DataFrame, keys: list[str]) -> DataFrame:
     return table.groupBy(*keys).agg(F.count("*").alias("n")).filter("n > 1")
 
 
-def predecessors(df: DataFrame, after: dt.date) -> DataFrame:
+def predecessors(df: DataFrame, after: dt.date, watch: Callable[..., DataFrame] | None = None) -> DataFrame:
     """Pre-conversion incarnations: main classes whose code ends in J, expiring after ``after``;
     of several with one code and expiry the smallest by code and type name."""
     found = (df.filter(F.col("MainCode").endswith("J") & (F.col("ExpireDate") > F.lit(after))
@@ -30,7 +34,7 @@ def predecessors(df: DataFrame, after: dt.date) -> DataFrame:
                       F.col("MainCode").alias("MainCodeJ"),
                       F.col("ExpireDate").alias("ExpireDateJ"))
               .withColumn("MainCodeJoin", F.substring("MainCodeJ", 1, 6)))
-    return one_per_key(found, ["MainCodeJoin", "ExpireDateJ"], ["MainCodeJ", "PreviousFundTypeName3"])
+    return one_per_key(found, ["MainCodeJoin", "ExpireDateJ"], ["MainCodeJ", "PreviousFundTypeName3"], watch)
 
 
 def attach_predecessor(df: DataFrame, pred: DataFrame) -> DataFrame:

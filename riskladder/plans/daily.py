@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,7 +23,7 @@ DAILY_COLUMNS = ["InnerCode", "EndDate", "FundTypeCode", "RLDivisionMode", "Init
 
 
 def base_rating_daily(master: DataFrame, mapping: DataFrame, type_codes: DataFrame,
-                      last_batch: DataFrame, as_of: dt.date) -> DataFrame:
+                      last_batch: DataFrame, as_of: dt.date, watch: Callable[..., DataFrame] | None = None) -> DataFrame:
     """Anti-join against the newest batch, FOF renames, lookup, X1, X3, type code, labels."""
     newest = latest_batch(last_batch, "EndDate", "Number").select("SecurityCode")
     df = master.join(newest, "SecurityCode", "left_anti")
@@ -32,7 +33,7 @@ def base_rating_daily(master: DataFrame, mapping: DataFrame, type_codes: DataFra
     df = (df.withColumn("_x3", R.special_rule_daily("ChiName", "SecurityCode", "BasicRiskLevel"))
             .withColumns({"BasicRiskLevel": F.col("_x3.level"), "SpecialType": F.col("_x3.special")})
             .drop("_x3"))
-    codes = one_per_key(type_codes.withColumn("_n", F.col("FundTypeCode").try_cast("long")), ["FundTypeName"], ["_n", "FundTypeCode"])
+    codes = one_per_key(type_codes.withColumn("_n", F.col("FundTypeCode").try_cast("long")), ["FundTypeName"], ["_n", "FundTypeCode"], watch)
     codes = codes.select("FundTypeCode", F.col("FundTypeName").alias("_type_name"))
     df = df.join(codes, df["FundTypeName3"] == codes["_type_name"], "left")
     return df.withColumns({
@@ -48,7 +49,7 @@ def base_rating_daily(master: DataFrame, mapping: DataFrame, type_codes: DataFra
 
 
 def run_daily(t: dict[str, DataFrame], as_of: dt.date, mapping: DataFrame, type_codes: DataFrame,
-              cut_type_history: bool = True) -> DataFrame:
+              cut_type_history: bool = True, watch: Callable[..., DataFrame] | None = None) -> DataFrame:
     """Daily rating at ``as_of``. ``t`` keys: secumain, fundarchives, fundtype,
     fundrisklevel, fundtypechangenew, last_batch.
 
@@ -58,4 +59,4 @@ def run_daily(t: dict[str, DataFrame], as_of: dt.date, mapping: DataFrame, type_
     dates = rating_dates(as_of)
     master = build_master(t["secumain"], t["fundarchives"], t["fundtype"], t["fundrisklevel"],
                           t["fundtypechangenew"], dates.d1, as_of if cut_type_history else None)
-    return base_rating_daily(master, mapping, type_codes, t["last_batch"], as_of)
+    return base_rating_daily(master, mapping, type_codes, t["last_batch"], as_of, watch)

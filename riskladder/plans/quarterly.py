@@ -9,6 +9,7 @@ write checkpoints while the query is declared; the result is computed by the wri
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -61,12 +62,13 @@ def _once(df: DataFrame, checkpoint: bool) -> DataFrame:
     return materialize(df) if checkpoint else df
 
 
-def base_rating_quarterly(master: DataFrame, mapping: DataFrame, dates: RatingDates,
-                          checkpoint: bool = True) -> DataFrame:
+def base_rating_quarterly(master: DataFrame, mapping: DataFrame, dates: RatingDates, checkpoint: bool = True,
+                          watch: Callable[..., DataFrame] | None = None) -> DataFrame:
     """Mapping lookup, X1, name normalisation, predecessors, alive filter, X2, remark.
 
     ``checkpoint`` computes the frame that feeds both sides of the predecessor
     self-join once (see ``session.materialize``); without it the plan computes it twice.
+    ``watch`` counts predecessors left out because others have their code and date.
     """
     df = left_lookup(master, mapping, NAME_KEYS)
     df = R.apply_base_rule(df, "RiskLevel", "InitRiskLevel")
@@ -75,7 +77,7 @@ def base_rating_quarterly(master: DataFrame, mapping: DataFrame, dates: RatingDa
         "FundTypeName1": _replace_if("FundTypeName1", "债券基金", "债券基金（不含封闭式）"),
     })
     df = _once(df, checkpoint)                             # feeds both sides of the self-join
-    pred = predecessors(df, dates.d2)                      # taken before the alive filter
+    pred = predecessors(df, dates.d2, watch)               # taken before the alive filter
     df = df.filter(alive_at("EstablishmentDate", "ExpireDate", dates.d1))
     df = df.withColumn("InitRiskLevel", R.special_rule_quarterly("ChiName", "SecurityCode", "InitRiskLevel"))
     df = attach_predecessor(df, pred)
@@ -137,8 +139,8 @@ def final_rating_quarterly(base: DataFrame, dates: RatingDates, nav: DataFrame,
     return df.na.fill(0, subset=ZERO_FILLED)
 
 
-def run_quarterly(t: dict[str, DataFrame], as_of: dt.date, mapping: DataFrame,
-                  checkpoint: bool = True) -> DataFrame:
+def run_quarterly(t: dict[str, DataFrame], as_of: dt.date, mapping: DataFrame, checkpoint: bool = True,
+                  watch: Callable[..., DataFrame] | None = None) -> DataFrame:
     """Quarterly rating at ``as_of`` from the named input tables.
 
     ``t`` keys: secumain, fundarchives, fundtype, fundrisklevel, fundtypechangenew,
@@ -147,7 +149,7 @@ def run_quarterly(t: dict[str, DataFrame], as_of: dt.date, mapping: DataFrame,
     dates = rating_dates(as_of)
     master = build_master(t["secumain"], t["fundarchives"], t["fundtype"], t["fundrisklevel"],
                           t["fundtypechangenew"], dates.d1, dates.d1)
-    base = base_rating_quarterly(master, mapping, dates, checkpoint)
+    base = base_rating_quarterly(master, mapping, dates, checkpoint, watch)
     fund_vol = volatility_quarters(t["unitnvrestored"], dates, rate="NVRDailyGrowthRate")
     index_series = t["index_quotes"] if "index_quotes" in t else t["zzqz"].unionByName(t["zzzcf"])
     bench = benchmark_scalar(volatility_quarters(index_series, dates, rate="ChangePCT"))

@@ -1,18 +1,21 @@
 """Result sinks and the carried-over state of the previous quarter.
 
-The rating table is written partitioned by ``EndDate`` with dynamic partition
-overwrite, so re-running a quarter replaces exactly that quarter and nothing
-else (idempotent), and reading last quarter's state prunes to one partition.
-No ``repartition(1)``: every task writes its own files.
+The rating table is partitioned by ``EndDate``. ``replace_date`` replaces the partition of one rated
+date: everything is computed before the table is touched, so a job that fails leaves the old
+partition, and a run without rows leaves an empty one. Reading last quarter's state prunes to one
+partition. No ``repartition(1)``: every task writes its own files.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskladder.session import materialize
+
 
 def write_rating(df: DataFrame, path: str, fmt: str = "parquet",
                  partition_by: str | list[str] | None = "EndDate") -> None:
@@ -25,6 +28,27 @@ def write_rating(df: DataFrame, path: str, fmt: str = "parquet",
     writer.format(fmt).save(path)
 
 
+def replace_date(df: DataFrame, path: str, date: dt.date, fmt: str = "parquet", check: Callable[[], None] | None = None,
+                 column: str = "EndDate") -> DataFrame:
+    """Replace the partition ``column = date`` of the table by ``df`` (whose own ``column`` is not used).
+
+    ``df`` is checkpointed first: whatever can fail while it is computed, and ``check``, which may raise
+    after that, comes before the table changes. The checkpoint is then written by Spark's dynamic
+    partition overwrite, which puts the files beside the table and moves them in place when all are
+    there; between dropping the old folder and moving the new one the storage decides what a
+    reader sees. No rows: the partition is overwritten by an empty one. Returns the rows as written."""
+    staged = materialize(df.drop(column))
+    if check:
+        check()
+    dated = staged.withColumn(column, F.lit(date))
+    if staged.isEmpty():
+        writer = staged.sparkSession.createDataFrame([], staged.schema).write.mode("overwrite")
+        (writer.option("header", True) if fmt == "csv" else writer).format(fmt).save(f"{path.rstrip('/')}/{column}={date.isoformat()}")
+    else:
+        write_rating(dated, path, fmt, column)
+    return dated
+
+
 def read_previous_state(spark: SparkSession, path: str, previous_end: dt.date,
                         fmt: str = "parquet") -> DataFrame:
     """FundSizeStatus / SDStatus carried from the run whose EndDate is ``previous_end``

@@ -29,16 +29,18 @@ from riskladder.functions import lookups as L
 from riskladder.functions.calendar import rating_dates
 from riskladder.plans.daily import base_rating_daily
 from riskladder.plans.master import build_master
+from riskladder.session import materialize
 from riskladder.sources import schemas, sinks
 
 
 def start_daily_stream(spark: SparkSession, archive_dir: str, dimensions: Callable[[], dict[str, DataFrame]],
                        output: str, checkpoint: str, as_of: dt.date, fmt: str = "parquet",
                        available_now: bool = True, cut_type_history: bool = True,
-                       out_format: str = "parquet") -> StreamingQuery:
+                       out_format: str = "parquet", check: Callable[[], None] | None = None) -> StreamingQuery:
     """Start the stream. ``dimensions()`` returns secumain, fundtype, fundrisklevel,
     fundtypechangenew, last_batch, fundtyperisklevel and, to replace the built-in basic
-    levels, mapping DataFrames (called once per micro-batch)."""
+    levels, mapping DataFrames (called once per micro-batch). ``check`` may raise when a micro-batch has been rated
+    and before its partition is written."""
     archives = spark.readStream.schema(schemas.FUNDARCHIVES).format(fmt).load(archive_dir)
     d1 = rating_dates(as_of).d1
 
@@ -50,6 +52,9 @@ def start_daily_stream(spark: SparkSession, archive_dir: str, dimensions: Callab
         master = master.join(batch.select("InnerCode"), "InnerCode", "left_semi")
         mapping = t["mapping"] if "mapping" in t else L.risk_mapping(spark, "InitialRiskLevel")
         rated = base_rating_daily(master, mapping, t["fundtyperisklevel"], t["last_batch"], as_of)
+        if check:
+            rated = materialize(rated)
+            check()
         # a replayed batch id overwrites only its own partition: idempotent, no duplicates
         sinks.write_rating(rated.withColumn("batch", F.lit(batch_id)), output, out_format, partition_by=["batch", "EndDate"])
 

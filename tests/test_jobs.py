@@ -114,3 +114,41 @@ def test_jobs_report_bad_rows(spark, tmp_dir):
     assert report["secumain"] == {"malformed": 2, "dropped": 1} and report["fundtype"] == {"malformed": 0, "dropped": 0}
     with pytest.raises(ValueError, match="secumain"):
         daily_job(spark, ex, catalog.AS_OF, os.path.join(tmp_dir, "out2"), max_bad_rows=2)
+    assert not os.path.exists(os.path.join(tmp_dir, "out2"))     # refused before the table was touched
+    assert report["type_codes"]["keys"] > 0 and report["type_codes"]["rows"] >= report["type_codes"]["keys"]
+
+
+def test_command_line_scans_every_extract_once(spark, tmp_dir):
+    import json
+    import subprocess
+    import sys
+    from collections import Counter
+    ex, log = os.path.join(tmp_dir, "extracts"), os.path.join(tmp_dir, "events")
+    os.mkdir(log)
+    _write_extracts(spark, ex, QUARTERLY_INPUTS)
+    conf = {"spark.master": "local[4]", "spark.ui.enabled": "false", "spark.eventLog.enabled": "true", "spark.eventLog.dir": f"file://{log}",
+            "spark.eventLog.compress": "false", "spark.eventLog.rolling.enabled": "false", "spark.sql.shuffle.partitions": "4"}
+    args = " ".join(f"--conf {k}={v}" for k, v in conf.items()) + " pyspark-shell"
+    env = {k: v for k, v in os.environ.items() if not k.startswith("PYSPARK_GATEWAY")} | {"PYSPARK_SUBMIT_ARGS": args}
+    top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    run = subprocess.run([sys.executable, "-m", "riskladder", "quarterly", "--extracts", ex, "--as-of", "2001-02-15", "--out", os.path.join(tmp_dir, "out")],
+                         cwd=top, env=env, capture_output=True, text=True, timeout=600)
+    assert run.returncode == 0, run.stderr[-2000:]
+    plans = {}
+    for name in os.listdir(log):
+        for line in open(os.path.join(log, name), encoding="utf-8"):
+            e = json.loads(line)
+            if "sparkPlanInfo" in e:
+                plans[e["executionId"]] = e["sparkPlanInfo"]     # the last is the one that ran
+    scans = Counter()
+
+    def walk(node):
+        if node["nodeName"].startswith("Scan csv"):
+            where = node.get("metadata", {}).get("Location", "") + node["simpleString"]
+            scans.update({x for x in QUARTERLY_INPUTS if f"/{x}.csv" in where and "_strings" not in where})
+        for child in node["children"]:
+            walk(child)
+
+    for p in plans.values():
+        walk(p)
+    assert scans == Counter(QUARTERLY_INPUTS), scans
