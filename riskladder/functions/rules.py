@@ -270,6 +270,29 @@ def final_rating(level, months, size_f, size_status, sd_status, sd_f) -> Column:
     return final_rating_outcome(final_rating_branch(level, months, size_f, size_status, sd_status, sd_f), level)
 
 
+FOLDED = "struct<level:string,reason:string,size_status:int,sd_status:int>"
+
+
+def fold_ratings(records: Column, size_status: Column, sd_status: Column) -> Column:
+    """X6 over an ordered array of records, each starting from the statuses the one before left.
+
+    A record has level, months, size_flag, sd_flag, reason (kept where the rule sets none) and carried:
+    whether the statuses of the record before hold for it (else its own size_status and sd_status are taken).
+    ``size_status`` and ``sd_status`` come before the first record. Returns one struct (level, reason, size_status,
+    sd_status) per record. Statuses are carried as the result table has them: null reads as 0."""
+    state = F.struct(size_status.cast("int").alias("s"), sd_status.cast("int").alias("v"), F.array().cast(f"array<{FOLDED}>").alias("out"))
+
+    def step(acc: Column, r: Column) -> Column:
+        s, v = (F.when(r["carried"], acc[x]).otherwise(r[y]) for x, y in (("s", "size_status"), ("v", "sd_status")))
+        note = final_rating(r["level"], r["months"], r["size_flag"], s, v, r["sd_flag"])
+        out = F.struct(note["level"].alias("level"), F.coalesce(note["reason"], r["reason"]).alias("reason"),
+                       F.coalesce(note["size_status"], s).alias("size_status"), F.coalesce(note["sd_status"], v).alias("sd_status"))
+        return F.struct(F.coalesce(out["size_status"], F.lit(0)).alias("s"), F.coalesce(out["sd_status"], F.lit(0)).alias("v"),
+                        F.concat(acc["out"], F.array(out)).alias("out"))
+
+    return F.aggregate(records, state, step, lambda acc: acc["out"])
+
+
 def change_direction(reason) -> Column:
     """-1 for a size or volatility revert, 1 for an uplift, else 0 (read from the reason text)."""
     r = _c(reason)

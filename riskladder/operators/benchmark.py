@@ -23,11 +23,14 @@ def bench_col(label: str, index: int) -> str:
     return f"{label}QrtSD_{index}"
 
 
+def benchmark_aggregates(key: str = "InnerCode") -> list[Column]:
+    return [F.max(F.when(F.col(key) == idx, F.col(f"{label}QrtSD"))).alias(bench_col(label, idx))
+            for idx in (INDEX_2968, INDEX_14110) for label in QUARTER_LABELS]
+
+
 def benchmark_row(index_vol: DataFrame, key: str = "InnerCode") -> DataFrame:
     """Volatility of both indices as one row: LastQrtSD_2968 ... ForthQrtSD_14110."""
-    aggs = [F.max(F.when(F.col(key) == idx, F.col(f"{label}QrtSD"))).alias(bench_col(label, idx))
-            for idx in (INDEX_2968, INDEX_14110) for label in QUARTER_LABELS]
-    return index_vol.agg(*aggs)
+    return index_vol.agg(*benchmark_aggregates(key))
 
 
 def benchmark_scalar(index_vol: DataFrame, key: str = "InnerCode") -> Column:

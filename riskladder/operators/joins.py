@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -25,25 +25,29 @@ def repeated_keys(table: DataFrame, keys: list[str]) -> DataFrame:
     return table.groupBy(*keys).agg(F.count("*").alias("n")).filter("n > 1")
 
 
-def predecessors(df: DataFrame, after: dt.date, watch: Callable[..., DataFrame] | None = None) -> DataFrame:
+def predecessors(df: DataFrame, after: dt.date | Column, watch: Callable[..., DataFrame] | None = None, by: list[str] = []) -> DataFrame:
     """Pre-conversion incarnations: main classes whose code ends in J, expiring after ``after``;
-    of several with one code and expiry the smallest by code and type name."""
+    of several with one code and expiry the smallest by code and type name. ``by`` names columns of
+    separate runs held in one frame."""
     found = (df.filter(F.col("MainCode").endswith("J") & (F.col("ExpireDate") > F.lit(after))
                       & (F.col("MainCode") == F.col("SecurityCode")))
-              .select(F.col("FundTypeName3").alias("PreviousFundTypeName3"),
+              .select(*by, F.col("FundTypeName3").alias("PreviousFundTypeName3"),
                       F.col("MainCode").alias("MainCodeJ"),
                       F.col("ExpireDate").alias("ExpireDateJ"))
               .withColumn("MainCodeJoin", F.substring("MainCodeJ", 1, 6)))
-    return one_per_key(found, ["MainCodeJoin", "ExpireDateJ"], ["MainCodeJ", "PreviousFundTypeName3"], watch)
+    return one_per_key(found, [*by, "MainCodeJoin", "ExpireDateJ"], ["MainCodeJ", "PreviousFundTypeName3"], watch)
 
 
-def attach_predecessor(df: DataFrame, pred: DataFrame) -> DataFrame:
+def attach_predecessor(df: DataFrame, pred: DataFrame, by: list[str] = []) -> DataFrame:
     """Left join on (code, establish date = predecessor's expire date); the left-only
     condition ``EstablishmentDateII is not null`` sits in ON, so unmatched rows stay."""
     cond = ((df["MainCode"] == pred["MainCodeJoin"])
             & (df["EstablishmentDate"] == pred["ExpireDateJ"])
             & df["EstablishmentDateII"].isNotNull())
-    return df.join(pred, cond, "left")
+    pred = pred.withColumnsRenamed({c: f"_{c}" for c in by})
+    for c in by:
+        cond = cond & (df[c] == pred[f"_{c}"])
+    return df.join(pred, cond, "left").drop(*[f"_{c}" for c in by])
 
 
 def left_lookup(df: DataFrame, table: DataFrame, keys: list[str]) -> DataFrame:

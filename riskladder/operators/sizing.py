@@ -47,3 +47,17 @@ def nav_by_quarter(nav: DataFrame, dates: RatingDates, key: str = "MainCode",
     aggs = [_scaled_sum(F.when(F.col("Qrt") == f"{lab}QrtNV", F.col("_v"))).alias(f"{lab}QrtNV")
             for lab in QUARTER_LABELS]
     return rows.groupBy(key).agg(*aggs)
+
+
+def nav_history(nav: DataFrame, runs: list[RatingDates], key: str = "MainCode",
+                day: str = "EndDate", value: str = "NetAssetsValue") -> DataFrame:
+    """``nav_by_quarter`` of every run in one pass -> key, D1 and the four sums. Values are summed once per
+    quarter; each sum then serves the (at most four) runs that look back on its quarter."""
+    quarter = F.last_day(F.add_months(F.trunc(F.col(day), "quarter"), 2))
+    rows = nav.filter(in_window(F.col(day), min(r.d5 for r in runs), max(r.d1 for r in runs)))
+    sums = rows.groupBy(key, quarter.alias("_q")).agg(_scaled_sum(F.col(value)).alias("_v"))
+    uses = F.array(*[F.struct(F.lit(r.d1).alias("D1"), F.lit(end).alias("end"), F.lit(label).alias("label"))
+                     for r in runs for label, end in zip(QUARTER_LABELS, r.quarter_ends)])
+    used = sums.select(key, "_v", F.explode(F.filter(uses, lambda u: u["end"] == F.col("_q"))).alias("_u"))
+    return used.groupBy(key, F.col("_u.D1").alias("D1")).agg(
+        *[F.max(F.when(F.col("_u.label") == label, F.col("_v"))).alias(f"{label}QrtNV") for label in QUARTER_LABELS])

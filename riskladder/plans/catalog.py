@@ -1,14 +1,14 @@
 """Registered queries: every operator of the rating method run on the driver's tables.
 
-Each query takes (spark, sf_dir) and reads whole tables. Double-valued results
-that come out of aggregation (standard deviations and ratios of them) are
-rounded to 9 decimals so that two engines summing in different orders agree.
+Each query takes (spark, sf_dir) and reads whole tables. Standard deviations come from exact
+moments, so nothing is rounded for the comparison.
 The SQL twin of each query is in ``riskladder.plans.oracle``.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,14 +17,16 @@ from riskladder.functions import calendar as C
 from riskladder.functions import lookups as L
 from riskladder.functions import rules as R
 from riskladder.operators import asof, benchmark, hierarchy, joins, propagate, returns, sizing
-from riskladder.plans import daily, master as master_plan, quarterly
+from riskladder.plans import daily, history, master as master_plan, quarterly
+from riskladder.session import ensure_checkpoint_dir, materialize
+from riskladder.sources import readers, schemas
 from riskladder.sources import standins as S
 from riskladder.sources.local import local_table
 
 AS_OF = dt.date(2001, 2, 15)
 DATES = C.rating_dates(AS_OF)
+HISTORY = [dt.date(2000, 5, 15), dt.date(2000, 8, 15), dt.date(2000, 11, 15), AS_OF]
 EVENT_CUT = dt.date(2024, 1, 20)
-DIGITS = 9
 
 # English words of part names -> rule keywords (stand-in for fund names)
 WORD_KEYWORDS = {
@@ -48,10 +50,6 @@ def _t(spark, sf_dir, name):
     return S.load(spark, sf_dir, name)
 
 
-def _round(cols: list[str]):
-    return {c: F.round(F.col(c), DIGITS) for c in cols}
-
-
 def _sd_cols(suffix: str = "QrtSD") -> list[str]:
     return [f"{q}{suffix}" for q in C.QUARTER_LABELS]
 
@@ -82,6 +80,47 @@ def part_funds(spark, sf_dir) -> DataFrame:
         F.when(k % 3 == 0, 1).when(k % 3 == 1, 2).alias("ShareProperties"))
 
 
+def _scratch(spark) -> str:
+    """A new folder in the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark)}/riskladder-{uuid.uuid4().hex}"
+
+
+# --- extracts as CSV: a table is written as an extract and read back by the readers ----
+def _as_extract(df, name: str):
+    schema, _ = schemas.EXTRACTS[name]
+    return df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
+
+
+def q_csv_headerless(spark, sf_dir):
+    path = _scratch(spark)
+    _as_extract(S.mainfinancialindex(spark, sf_dir), "mainfinancialindex").write.csv(path)
+    return readers.read_extract(spark, "mainfinancialindex", path)
+
+
+def q_csv_two_headers(spark, sf_dir):
+    """One folder, files with two column orders and an extra column in one of them."""
+    path = _scratch(spark)
+    rows = _as_extract(S.unitnvrestored(spark, sf_dir), "unitnvrestored")
+    odd = F.col("InnerCode") % 2 == 1
+    rows.filter(odd).write.option("header", True).csv(path)
+    turned = rows.filter(~odd).select(*reversed(rows.columns), F.lit("x").alias("Extra"))
+    turned.select("Extra", *turned.columns[:-1]).write.mode("append").option("header", True).csv(path)
+    return readers.read_extract(spark, "unitnvrestored", path).drop("UnitNVRestored")
+
+
+def q_csv_cp936(spark, sf_dir):
+    """Chinese names in a legacy charset, a setting of the session that holds while the file is read. An empty
+    field of a CSV file is null."""
+    path, key = _scratch(spark), "spark.sql.legacy.javaCharsets"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        _as_extract(S.secumain(spark, sf_dir), "secumain").write.option("encoding", "cp936").csv(path)
+        return materialize(readers.read_extract(spark, "secumain", path, encoding="cp936"))
+    finally:
+        spark.conf.set(key, before)
+
+
 # --- scans and projections -------------------------------------------------
 def q_scan_schema(spark, sf_dir):
     return (spark.read.schema("c_custkey bigint, c_name string, c_mktsegment string")
@@ -166,6 +205,15 @@ def q_latest_batch(spark, sf_dir):
     return asof.latest_batch(o, "order_day", "o_orderpriority")
 
 
+ASOF_DATES = [dt.date(2024, 1, 1) + dt.timedelta(days=k) for k in (-30, *range(0, 54, 3), 400)]
+
+
+def q_asof_dates(spark, sf_dir):
+    """The latest event of every user at twenty dates, in one pass."""
+    ev = _t(spark, sf_dir, "events").withColumn("_day", F.to_date("ts"))
+    return asof.latest_at_dates(ev, "user_id", "_day", ASOF_DATES, ["ts"], ["event_id", "event_type"])
+
+
 # --- joins -----------------------------------------------------------------
 def _cust_orders(spark, sf_dir, how):
     c = _t(spark, sf_dir, "customer").withColumnRenamed("c_custkey", "custkey")
@@ -195,6 +243,15 @@ def q_join_anti(spark, sf_dir):
 
 
 def q_hierarchy_join(spark, sf_dir):
+    return hierarchy.flatten_tree(_places(spark, sf_dir))
+
+
+def q_hierarchy_paths(spark, sf_dir):
+    """The same tree by the recursive query."""
+    return hierarchy.flatten_paths(_places(spark, sf_dir))
+
+
+def _places(spark, sf_dir):
     r = _t(spark, sf_dir, "region").select(
         F.col("r_regionkey").cast("long").alias("FundTypeCode"), F.col("r_name").alias("FundTypeName"),
         F.lit(0).cast("long").alias("FNodeCode"), F.lit(1).alias("Level"), F.lit(1).alias("IfExecuted"))
@@ -205,7 +262,7 @@ def q_hierarchy_join(spark, sf_dir):
     s = _t(spark, sf_dir, "supplier").select(
         (F.col("s_suppkey") + 100000).alias("FundTypeCode"), F.col("s_name").alias("FundTypeName"),
         (F.col("s_nationkey") + 1000).cast("long").alias("FNodeCode"), F.lit(3).alias("Level"), F.lit(1).alias("IfExecuted"))
-    return hierarchy.flatten_tree(r.unionByName(n).unionByName(s))
+    return r.unionByName(n).unionByName(s)
 
 
 def q_lookup_three_key(spark, sf_dir):
@@ -278,12 +335,24 @@ def q_weekly_return(spark, sf_dir):
 
 
 def q_volatility_1q(spark, sf_dir):
-    v = returns.volatility_window(S.unitnvrestored(spark, sf_dir), DATES.d6, DATES.d1, "LastQrtSD")
-    return v.withColumns(_round(["LastQrtSD"]))
+    return returns.volatility_window(S.unitnvrestored(spark, sf_dir), DATES.d6, DATES.d1, "LastQrtSD")
 
 
 def q_volatility_4q(spark, sf_dir):
-    return returns.volatility_quarters(S.unitnvrestored(spark, sf_dir), DATES).withColumns(_round(_sd_cols()))
+    return returns.volatility_quarters(S.unitnvrestored(spark, sf_dir), DATES)
+
+
+def q_volatility_incremental(spark, sf_dir):
+    """The four windows from stored weekly states: earlier quarters are in the store, the new one is added."""
+    series, path = S.unitnvrestored(spark, sf_dir), _scratch(spark)
+    returns.store_states(series, path, DATES.d9, DATES.d2)
+    returns.store_states(series, path, DATES.d2, DATES.d1)
+    return returns.volatility_from_states(spark, path, DATES)
+
+
+def q_volatility_history(spark, sf_dir):
+    """The four windows of every run in ``HISTORY`` in one pass."""
+    return returns.volatility_history(S.unitnvrestored(spark, sf_dir), [C.rating_dates(d) for d in HISTORY])
 
 
 def _index_series(spark, sf_dir):
@@ -299,8 +368,7 @@ def _index_vol(spark, sf_dir):
 
 
 def q_benchmark_row(spark, sf_dir):
-    row = benchmark.benchmark_row(_index_vol(spark, sf_dir))
-    return row.withColumns(_round(row.columns))
+    return benchmark.benchmark_row(_index_vol(spark, sf_dir))
 
 
 def _fund_factors(spark, sf_dir):
@@ -313,7 +381,7 @@ def _fund_factors(spark, sf_dir):
 
 def q_sd_factor(spark, sf_dir):
     cols = _sd_cols("QrtSDFactor") + _sd_cols("QrtStandard")
-    return _fund_factors(spark, sf_dir).select("InnerCode", "level", *cols).withColumns(_round(cols))
+    return _fund_factors(spark, sf_dir).select("InnerCode", "level", *cols)
 
 
 def q_sd_flag(spark, sf_dir):
@@ -403,6 +471,23 @@ def q_final_rating(spark, sf_dir):
     return out.withColumn("ChangeDirection", R.change_direction("ChangeReason"))
 
 
+def q_state_fold(spark, sf_dir):
+    """The state machine folded over every customer's quarters (the newest order of each) in order."""
+    k, day = F.col("o_orderkey"), F.to_date("o_orderdate")
+    record = F.struct(
+        day.alias("day"), k.alias("id"),
+        F.when(k % 6 != 5, F.concat(F.lit("R"), (k % 6 + 1).cast("string"))).alias("level"),
+        C.tenure_months(AS_OF, day).alias("months"), (k % 3).cast("int").alias("size_flag"),
+        (k % 13 % 3).cast("int").alias("sd_flag"), F.lit(None).cast("string").alias("reason"), (k % 10 != 0).alias("carried"),
+        F.lit(0).alias("size_status"), (k % 20 / 10).cast("int").alias("sd_status"))
+    newest = _t(spark, sf_dir, "orders").groupBy("o_custkey", F.trunc(day, "quarter").alias("q")).agg(F.max(record).alias("r"))
+    rows = newest.groupBy("o_custkey").agg(F.array_sort(F.collect_list("r")).alias("rs"))
+    out = rows.select("o_custkey", F.explode(F.arrays_zip("rs", R.fold_ratings(F.col("rs"), F.lit(0), F.lit(0)).alias("out"))).alias("x"))
+    return out.select("o_custkey", F.col("x.rs.id").alias("o_orderkey"), F.col("x.out.level").alias("RiskLevel"),
+                      F.col("x.out.reason").alias("ChangeReason"), F.col("x.out.size_status").alias("FundSizeStatus"),
+                      F.col("x.out.sd_status").alias("SDStatus"))
+
+
 def q_propagate_main(spark, sf_dir):
     p = _t(spark, sf_dir, "part").select(
         "p_partkey", F.col("p_brand").alias("MainCode"),
@@ -465,8 +550,12 @@ def q_rating_daily_uncut(spark, sf_dir):
 
 
 def q_rating_quarterly(spark, sf_dir):
-    out = quarterly.run_quarterly(S.fund_tables(spark, sf_dir), AS_OF, L.risk_mapping(spark))
-    return out.withColumns(_round(_sd_cols() + _sd_cols("QrtSDFactor")))
+    return quarterly.run_quarterly(S.fund_tables(spark, sf_dir), AS_OF, L.risk_mapping(spark))
+
+
+def q_rating_history(spark, sf_dir):
+    """The quarterly ratings of several quarters in one job, each from the statuses the one before left."""
+    return history.run_history(S.fund_tables(spark, sf_dir), HISTORY, L.risk_mapping(spark))
 
 
 QUERIES = {name[2:]: fn for name, fn in list(globals().items()) if name.startswith("q_") and callable(fn)}

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from riskladder.functions import lookups as L
 from riskladder.functions.rules import level_code
-from riskladder.operators.asof import effective_at, latest_per_key
+from riskladder.operators.asof import effective_at, latest_at_dates, latest_per_key
 from riskladder.operators.hierarchy import attach_type_path
 
 FUND_CATEGORIES = (8, 13)          # fixed values: security categories that are funds
@@ -53,3 +53,16 @@ def build_master(secumain: DataFrame, fundarchives: DataFrame, fundtype: DataFra
              .join(fundarchives, "InnerCode", "left")
              .join(current_type(fundtypechangenew, type_as_of), "InnerCode", "inner"))
     return attach_type_path(funds, fundtype).join(official_rating(fundrisklevel, d1), "InnerCode", "left")
+
+
+def master_history(secumain: DataFrame, fundarchives: DataFrame, fundtype: DataFrame, fundrisklevel: DataFrame,
+                   fundtypechangenew: DataFrame, dates: list[dt.date]) -> DataFrame:
+    """``build_master`` at every date (types and official ratings cut there) in one pass, the date in column D1."""
+    types = latest_at_dates(fundtypechangenew, "InnerCode", "StartDate", dates, ["StartDate"], ["FundType"], "D1")
+    types = (types.filter(~F.col("FundType").cast("string").startswith("18"))
+             .select("InnerCode", "D1", F.col("FundType").alias("FundTypeCode3")))
+    official = fundrisklevel.filter((F.col("IfEffected") == 1) & (F.col("InfoSource") != L.EXCLUDED_INFO_SOURCE))
+    official = latest_at_dates(official, "InnerCode", "BeginDate", dates, ["BeginDate"], ["RiskLevel"], "D1")
+    official = official.select("InnerCode", "D1", level_code("RiskLevel").alias("OfficialRiskLevel"))
+    funds = listed_funds(secumain).join(fundarchives, "InnerCode", "left").join(types, "InnerCode", "inner")
+    return attach_type_path(funds, fundtype).join(official, ["InnerCode", "D1"], "left")

@@ -12,13 +12,12 @@ from __future__ import annotations
 import datetime as dt
 
 from riskladder.functions import lookups as L
-from riskladder.functions.calendar import QUARTER_LABELS, WEEK_ANCHOR
+from riskladder.functions.calendar import QUARTER_LABELS, WEEK_ANCHOR, rating_dates
 from riskladder.operators.benchmark import INDEX_14110, INDEX_2968
 from riskladder.plans import catalog as Q
 from riskladder.sources import standins as S
 
 D = Q.DATES
-DIG = Q.DIGITS
 
 
 def d(x: dt.date) -> str:
@@ -175,6 +174,13 @@ def compound(expr) -> str:
     return f"CAST(CAST(product({expr}) - 1 AS DECIMAL(28,12)) AS DECIMAL(18,6))"
 
 
+def sample_sd(r) -> str:
+    """Sample deviation of DECIMAL(18,6) values from whole-number sums."""
+    x = f"CAST({r} * 1000000 AS HUGEINT)"
+    return (f"CASE WHEN count({r}) > 1 THEN sqrt(CAST(count({r}) * sum({x} * {x}) - sum({x}) * sum({x}) AS DOUBLE) / CAST(1e12 AS DOUBLE) "
+            f"/ CAST(count({r}) * (count({r}) - 1) AS DOUBLE)) END")
+
+
 def in_win(day, lo, hi) -> str:
     return f"({day} > {d(lo)} AND {day} <= {d(hi)})"
 
@@ -257,10 +263,10 @@ def with_ctes(ctes: dict[str, str], final: str) -> str:
 # ---------------------------------------------------------------------------
 # volatility, written as the four-window definition (no one-pass trick)
 # ---------------------------------------------------------------------------
-def vol_ctes(src: str, rate: str, prefix: str) -> dict[str, str]:
+def vol_ctes(src: str, rate: str, prefix: str, D=D) -> dict[str, str]:
     out = {}
     for lab, lo, hi in D.vol_windows:
-        out[f"{prefix}w{lab}"] = (f"SELECT InnerCode, stddev_samp(r) AS {lab}QrtSD FROM ("
+        out[f"{prefix}w{lab}"] = (f"SELECT InnerCode, {sample_sd('r')} AS {lab}QrtSD FROM ("
                                   f"SELECT InnerCode, {week('TradingDay')} AS wk, {compound(factor(rate))} AS r "
                                   f"FROM {src} WHERE {in_win('TradingDay', lo, hi)} GROUP BY 1, 2) GROUP BY 1")
     L_, S_, T_, F_ = (f"{prefix}w{lab}" for lab in QUARTER_LABELS)
@@ -295,10 +301,6 @@ def sd_flag(level_free: bool = True) -> str:
     return f"CASE WHEN {above} THEN 1 WHEN {below} THEN 2 ELSE 0 END"
 
 
-def rnd(c: str) -> str:
-    return f"round({c}, {DIG}) AS {c}"
-
-
 SDS = [f"{lab}QrtSD" for lab in QUARTER_LABELS]
 FACTORS = [f"{lab}QrtSDFactor" for lab in QUARTER_LABELS]
 STANDARDS = [f"{lab}QrtStandard" for lab in QUARTER_LABELS]
@@ -326,7 +328,7 @@ PART_FUNDS = f"""SELECT p_partkey, p_name, p_type, p_brand, p_size,
 # ---------------------------------------------------------------------------
 # master / base / daily / quarterly chains
 # ---------------------------------------------------------------------------
-def master_ctes(type_cut: dt.date | None) -> dict[str, str]:
+def master_ctes(type_cut: dt.date | None, D=D) -> dict[str, str]:
     c = dict(ADAPTER)
     c["sm"] = "SELECT * FROM secumain WHERE SecuCategory IN (8, 13) AND ListedState IN (1, 3, 9)"
     c["ftc"] = f"""SELECT InnerCode, FundType AS FundTypeCode3 FROM (
@@ -371,8 +373,8 @@ FOF = ("CASE WHEN contains(FundTypeName2, 'FOF') THEN replace(FundTypeName2, 'FO
        "CASE WHEN contains(FundTypeName3, 'FOF') THEN replace(FundTypeName1, 'FOF', '股票FOF') ELSE FundTypeName3 END AS FundTypeName3")
 
 
-def base_ctes() -> dict[str, str]:
-    c = master_ctes(D.d1)
+def base_ctes(D=D) -> dict[str, str]:
+    c = master_ctes(D.d1, D)
     c["b1"] = _lookup("master", "RiskLevel")
     c["b2"] = _apply_x1("b1", "RiskLevel", "InitRiskLevel")
     c["b3"] = ("SELECT * REPLACE (CASE WHEN contains(FundTypeName2, '指数型') THEN replace(FundTypeName2, '指数型', '指数') "
@@ -411,11 +413,13 @@ def daily_sql(cut: bool = True) -> str:
     return with_ctes(c, final)
 
 
-def quarterly_sql() -> str:
-    c = base_ctes()
-    c.update(vol_ctes("unitnvrestored", "NVRDailyGrowthRate", "f"))
+def quarterly_sql(D=D, last_qrt: str | None = None) -> str:
+    c = base_ctes(D)
+    if last_qrt:
+        c["last_qrt"] = f"SELECT InnerCode, FundSizeStatus, SDStatus FROM {last_qrt}"
+    c.update(vol_ctes("unitnvrestored", "NVRDailyGrowthRate", "f", D))
     c["zz"] = "SELECT * FROM zzqz UNION ALL SELECT * FROM zzzcf"
-    c.update(vol_ctes("zz", "ChangePCT", "i"))
+    c.update(vol_ctes("zz", "ChangePCT", "i", D))
     c["bench"] = bench_cte("ivol")
     c["nav"] = ("SELECT n.*, fa.MainCode FROM mainfinancialindex n LEFT JOIN fundarchives fa ON fa.InnerCode = n.InnerCode")
     label_case = (f"CASE WHEN EndDate > {d(D.d2)} THEN 'Last' WHEN EndDate > {d(D.d3)} THEN 'Second' "
@@ -449,16 +453,43 @@ def quarterly_sql() -> str:
                f"FROM (SELECT *, CASE WHEN MainCode = SecurityCode THEN 1 ELSE 2 END AS IsMain FROM q6)")
     zero_d = "CAST(0 AS DECIMAL(38,9))"
     nv = ", ".join(f"coalesce({lab}QrtNV, {zero_d}) AS {lab}QrtNV" for lab in QUARTER_LABELS)
-    dbl = ", ".join(f"round(coalesce({col}, CAST(0 AS DOUBLE)), {DIG}) AS {col}" for col in SDS + FACTORS)
+    dbl = ", ".join(f"coalesce({col}, CAST(0 AS DOUBLE)) AS {col}" for col in SDS + FACTORS)
     final = (f"SELECT * REPLACE ({nv}, {dbl}, coalesce(FundSizeStatus, 0) AS FundSizeStatus, coalesce(SDStatus, 0) AS SDStatus), "
              f"{d(D.d1)} AS EndDate, 2 AS RLDivisionMode, greatest(RiskLevel, OfficialRiskLevel) AS HigherRiskLevel, "
-             f"{d(Q.AS_OF)} AS UpdateTime, {label('RiskLevel')} AS RiskLevelName, "
+             f"{d(D.as_of)} AS UpdateTime, {label('RiskLevel')} AS RiskLevelName, "
              f"{label('OfficialRiskLevel')} AS OfficialRiskLevelName, "
              f"{label('greatest(RiskLevel, OfficialRiskLevel)')} AS HigherRiskLevelName, "
              f"CAST(NULL AS VARCHAR) AS Remark, CAST(NULL AS BIGINT) AS JSID FROM q7")
     return with_ctes(c, final)
 
 
+def history_sql() -> str:
+    """One quarterly rating after the other, each taking its statuses from the one before."""
+    runs = [rating_dates(x) for x in Q.HISTORY]
+    parts = [f"r{i} AS ({quarterly_sql(r, f'r{i - 1}' if i else None)})" for i, r in enumerate(runs)]
+    return "WITH " + ",\n".join(parts) + "\n" + " UNION ALL BY NAME ".join(f"SELECT * FROM r{i}" for i in range(len(runs)))
+
+
+def fold_sql() -> str:
+    """The state machine as a recursive query over each customer's quarters."""
+    r = x6("level", "months", "size_flag", "s", "v", "sd_flag")
+    return f"""WITH RECURSIVE o AS (
+          SELECT o_custkey, o_orderkey AS k, CAST(o_orderdate AS DATE) AS day,
+            row_number() OVER (PARTITION BY o_custkey, date_trunc('quarter', CAST(o_orderdate AS DATE)) ORDER BY CAST(o_orderdate AS DATE) DESC, o_orderkey DESC) AS newest
+          FROM orders),
+        n AS (
+          SELECT o_custkey, k, row_number() OVER (PARTITION BY o_custkey ORDER BY day) AS i,
+            CASE WHEN k % 6 <> 5 THEN 'R' || CAST(k % 6 + 1 AS VARCHAR) END AS level, {months_between(Q.AS_OF, 'day')} AS months,
+            CAST(k % 3 AS INTEGER) AS size_flag, CAST(k % 13 % 3 AS INTEGER) AS sd_flag FROM o WHERE newest = 1),
+        f(o_custkey, i, k, RiskLevel, ChangeReason, s, v) AS (
+          SELECT DISTINCT o_custkey, CAST(0 AS BIGINT), CAST(NULL AS BIGINT), CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR), 0, 0 FROM n
+          UNION ALL
+          SELECT o_custkey, i, k, {r['level']}, {r['reason']}, coalesce({r['size']}, s), coalesce({r['sd']}, v)
+          FROM (SELECT n.*, CASE WHEN n.k % 10 <> 0 THEN f.s ELSE 0 END AS s, CASE WHEN n.k % 10 <> 0 THEN f.v ELSE CAST(n.k % 20 // 10 AS INTEGER) END AS v
+                FROM f JOIN n ON n.o_custkey = f.o_custkey AND n.i = f.i + 1))
+        SELECT o_custkey, k AS o_orderkey, RiskLevel, ChangeReason, s AS FundSizeStatus, v AS SDStatus FROM f WHERE i > 0"""
+
+
 # ---------------------------------------------------------------------------
 # the per-key SQL
 # ---------------------------------------------------------------------------
@@ -489,6 +520,10 @@ def _sql() -> dict[str, str]:
           f"FROM events WHERE CAST(ts AS DATE) <= {d(Q.EVENT_CUT)}")
     o["asof_latest"] = f"SELECT user_id, ts, event_id, event_type FROM ({ev}) WHERE rn = 1 AND NOT starts_with(event_type, 'err')"
     o["asof_latest_rating"] = f"SELECT user_id, {level_code('floor(value / 80) + 1')} AS OfficialRiskLevel FROM ({ev}) WHERE rn = 1"
+    dates = values([(x.isoformat(),) for x in Q.ASOF_DATES], ["x"])
+    o["asof_dates"] = (f"SELECT user_id, as_of, ts, event_id, event_type FROM (SELECT e.*, a.as_of, row_number() OVER ("
+                       f"PARTITION BY user_id, a.as_of ORDER BY ts DESC NULLS LAST, event_id DESC NULLS LAST) AS rn "
+                       f"FROM events e JOIN (SELECT CAST(x AS DATE) AS as_of FROM {dates}) a ON CAST(e.ts AS DATE) <= a.as_of) WHERE rn = 1")
     o["latest_batch"] = ("WITH x AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS order_day, o_orderpriority FROM orders), "
                          "y AS (SELECT * FROM x WHERE order_day = (SELECT max(order_day) FROM x)) "
                          "SELECT * FROM y WHERE o_orderpriority = (SELECT max(o_orderpriority) FROM y)")
@@ -509,6 +544,7 @@ def _sql() -> dict[str, str]:
         FROM (SELECT * FROM nodes WHERE lvl = 3 AND ex = 1) l3
         LEFT JOIN (SELECT * FROM nodes WHERE lvl = 2 AND ex = 1) l2 ON l2.code = l3.parent
         LEFT JOIN (SELECT * FROM nodes WHERE lvl = 1 AND ex = 1) l1 ON l1.code = l2.parent"""
+    o["hierarchy_paths"] = o["hierarchy_join"]
     conf = values(Q.lookup_rows(), ["r_name", "n_name", "c_mktsegment", "RiskLevel"])
     o["lookup_three_key"] = (f"SELECT b.c_custkey, b.r_name, b.n_name, b.c_mktsegment, t.RiskLevel FROM ("
                              f"SELECT c_custkey, r_name, n_name, c_mktsegment FROM customer JOIN nation ON c_nationkey = n_nationkey "
@@ -553,23 +589,29 @@ def _sql() -> dict[str, str]:
         f"FROM unitnvrestored GROUP BY ALL"))
     c1 = dict(ADAPTER)
     c1.update({k: v for k, v in vol_ctes("unitnvrestored", "NVRDailyGrowthRate", "f").items() if k == "fwLast"})
-    o["volatility_1q"] = with_ctes(c1, f"SELECT InnerCode, {rnd('LastQrtSD')} FROM fwLast")
+    o["volatility_1q"] = with_ctes(c1, f"SELECT InnerCode, LastQrtSD FROM fwLast")
     c4 = dict(ADAPTER)
     c4.update(vol_ctes("unitnvrestored", "NVRDailyGrowthRate", "f"))
-    o["volatility_4q"] = with_ctes(c4, f"SELECT InnerCode, {', '.join(rnd(x) for x in SDS)} FROM fvol")
+    o["volatility_4q"] = with_ctes(c4, f"SELECT InnerCode, {', '.join(SDS)} FROM fvol")
+    o["volatility_incremental"] = o["volatility_4q"]
+    runs = [rating_dates(x) for x in Q.HISTORY]
+    ch = dict(ADAPTER)
+    for i, r in enumerate(runs):
+        ch.update(vol_ctes("unitnvrestored", "NVRDailyGrowthRate", f"h{i}", r))
+    o["volatility_history"] = with_ctes(ch, " UNION ALL ".join(f"SELECT InnerCode, {d(r.d1)} AS D1, {', '.join(SDS)} FROM h{i}vol" for i, r in enumerate(runs)))
     o["union_series"] = with_ctes(ADAPTER, "SELECT * FROM zzqz UNION ALL SELECT * FROM zzzcf")
     ci = dict(ADAPTER)
     ci["zz"] = "SELECT * FROM zzqz UNION ALL SELECT * FROM zzzcf"
     ci.update(vol_ctes("zz", "ChangePCT", "i"))
     ci["bench"] = bench_cte("ivol")
     bcols = [f"{lab}QrtSD_{idx}" for idx in (INDEX_2968, INDEX_14110) for lab in QUARTER_LABELS]
-    o["benchmark_row"] = with_ctes(ci, f"SELECT {', '.join(rnd(x) for x in bcols)} FROM bench")
+    o["benchmark_row"] = with_ctes(ci, f"SELECT {', '.join(bcols)} FROM bench")
     cf = dict(ci)
     cf.update(vol_ctes("unitnvrestored", "NVRDailyGrowthRate", "f"))
     fc = factor_cols("level")
     cf["ff"] = ("SELECT fvol.*, 'R' || CAST(InnerCode % 5 + 1 AS VARCHAR) AS level FROM fvol")
     cf["fx"] = "SELECT ff.*, " + ", ".join(f"{v} AS {k}" for k, v in fc.items()) + " FROM ff, bench"
-    o["sd_factor"] = with_ctes(cf, f"SELECT InnerCode, level, {', '.join(rnd(x) for x in FACTORS + STANDARDS)} FROM fx")
+    o["sd_factor"] = with_ctes(cf, f"SELECT InnerCode, level, {', '.join(FACTORS + STANDARDS)} FROM fx")
     o["sd_flag"] = with_ctes(cf, f"SELECT InnerCode, level, {sd_flag()} AS SDFlag FROM fx")
     o["keyword_cascade"] = (f"SELECT p_partkey, ChiName, CASE WHEN {has('ChiName', '原油', '商品', '通胀')} THEN 'commodity' "
                             f"WHEN {has('ChiName', '黄金', '上海金')} THEN 'gold' WHEN contains(ChiName, '期货') THEN 'futures' "
@@ -626,6 +668,11 @@ def _sql() -> dict[str, str]:
     o["rating_daily"] = daily_sql()
     o["rating_daily_uncut"] = daily_sql(cut=False)
     o["rating_quarterly"] = quarterly_sql()
+    o["rating_history"] = history_sql()
+    o["state_fold"] = fold_sql()
+    o["csv_headerless"] = with_ctes(ADAPTER, "SELECT * FROM mainfinancialindex")
+    o["csv_two_headers"] = with_ctes(ADAPTER, "SELECT * FROM unitnvrestored")
+    o["csv_cp936"] = with_ctes(ADAPTER, "SELECT * REPLACE (nullif(ChiName, '') AS ChiName) FROM secumain")
     return o
 
 

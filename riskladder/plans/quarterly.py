@@ -62,14 +62,17 @@ def _once(df: DataFrame, checkpoint: bool) -> DataFrame:
     return materialize(df) if checkpoint else df
 
 
-def base_rating_quarterly(master: DataFrame, mapping: DataFrame, dates: RatingDates, checkpoint: bool = True,
+def base_rating_quarterly(master: DataFrame, mapping: DataFrame, dates: RatingDates | None, checkpoint: bool = True,
                           watch: Callable[..., DataFrame] | None = None) -> DataFrame:
     """Mapping lookup, X1, name normalisation, predecessors, alive filter, X2, remark.
 
     ``checkpoint`` computes the frame that feeds both sides of the predecessor
     self-join once (see ``session.materialize``); without it the plan computes it twice.
-    ``watch`` counts predecessors left out because others have their code and date.
+    ``watch`` counts predecessors left out because others have their code and date. Without
+    ``dates`` the frame holds several runs, their dates in columns D1 and D2.
     """
+    by = [] if dates else ["D1"]
+    d1, d2 = (dates.d1, dates.d2) if dates else (F.col("D1"), F.col("D2"))
     df = left_lookup(master, mapping, NAME_KEYS)
     df = R.apply_base_rule(df, "RiskLevel", "InitRiskLevel")
     df = df.withColumns({
@@ -77,15 +80,55 @@ def base_rating_quarterly(master: DataFrame, mapping: DataFrame, dates: RatingDa
         "FundTypeName1": _replace_if("FundTypeName1", "债券基金", "债券基金（不含封闭式）"),
     })
     df = _once(df, checkpoint)                             # feeds both sides of the self-join
-    pred = predecessors(df, dates.d2, watch)               # taken before the alive filter
-    df = df.filter(alive_at("EstablishmentDate", "ExpireDate", dates.d1))
+    pred = predecessors(df, d2, watch, by)                 # taken before the alive filter
+    df = df.filter(alive_at("EstablishmentDate", "ExpireDate", d1))
     df = df.withColumn("InitRiskLevel", R.special_rule_quarterly("ChiName", "SecurityCode", "InitRiskLevel"))
-    df = attach_predecessor(df, pred)
+    df = attach_predecessor(df, pred, by)
     df = df.withColumn("ChangeReason", R.conversion_remark("PreviousFundTypeName3"))
     df = fof_names(df)
     return df.withColumn("SecurityCode", F.replace(F.col("SecurityCode"), F.lit("J"), F.lit("")))
 
 
+def with_flags(df: DataFrame, d1: dt.date | Column) -> DataFrame:
+    """Tenure, size flag, volatility factors and volatility flag of rows that carry the quarters' sums and
+    deviations and the benchmark (``_bench``)."""
+    df = df.withColumns({
+        "EstablishmentLength": tenure_months(d1, F.col("EstablishmentDate")),
+        "NetAssetFlag": R.size_flag(*[f"{q}QrtNV" for q in reversed(QUARTER_LABELS)]),
+    })
+    df = df.withColumns(factors_and_standards(F.col("InitRiskLevel"), F.col("_bench"))).drop("_bench")
+    return df.withColumn("SDFlag", R.sd_flag([f"{q}QrtSD" for q in QUARTER_LABELS], [f"{q}QrtStandard" for q in QUARTER_LABELS]))
+
+
+def result_names(df: DataFrame) -> DataFrame:
+    """Names of the result table, and IsMain (1: main share class)."""
+    df = df.drop("RiskLevel").withColumnsRenamed({
+        "FundTypeName1": "FirstCategoryName", "FundTypeName2": "SecondCategoryName",
+        "FundTypeName3": "ThirdCategoryName", "FundTypeCode1": "FirstCategory",
+        "FundTypeCode2": "SecondCategory", "FundTypeCode3": "ThirdCategory",
+        "InitRiskLevel": "BasicRiskLevel", "FinalRiskLevel": "RiskLevel",
+        "SecurityCode": "SecuCode", "EstablishmentDate": "EstablishDate",
+    })
+    return df.withColumn("IsMain", F.when(F.col("MainCode") == F.col("SecuCode"), 1).otherwise(2))
+
+
+def result_table(df: DataFrame, d1: dt.date | Column, as_of: dt.date | Column) -> DataFrame:
+    """The 41 output columns of rated rows."""
+    df = df.select(*FINAL_COLUMNS, F.lit(d1).alias("EndDate"), F.lit(as_of).alias("_as_of")).withColumns({
+        "RLDivisionMode": F.lit(2),
+        "HigherRiskLevel": R.higher_level("RiskLevel", "OfficialRiskLevel"),
+        "UpdateTime": F.col("_as_of"),
+    }).drop("_as_of")
+    df = df.withColumns({
+        "RiskLevelName": L.level_label("RiskLevel"),
+        "OfficialRiskLevelName": L.level_label("OfficialRiskLevel"),
+        "HigherRiskLevelName": L.level_label("HigherRiskLevel"),
+        "Remark": F.lit(None).cast("string"),
+        "JSID": F.lit(None).cast("long"),
+    })
+    return df.na.fill(0, subset=ZERO_FILLED)
+
+
 def final_rating_quarterly(base: DataFrame, dates: RatingDates, nav: DataFrame,
                            last_state: DataFrame, fund_vol: DataFrame, bench: Column,
                            checkpoint: bool = True) -> DataFrame:
@@ -94,15 +137,9 @@ def final_rating_quarterly(base: DataFrame, dates: RatingDates, nav: DataFrame,
     # alongside the series aggregation instead of after it
     df = with_benchmark(base, bench)
     df = df.join(nav_by_quarter(nav, dates), "MainCode", "left")
-    df = df.withColumns({
-        "EstablishmentLength": tenure_months(dates.d1, F.col("EstablishmentDate")),
-        "NetAssetFlag": R.size_flag(*[f"{q}QrtNV" for q in reversed(QUARTER_LABELS)]),
-    })
     df = (df.join(last_state.select("InnerCode", "FundSizeStatus", "SDStatus"), "InnerCode", "left")
             .join(fund_vol, "InnerCode", "left"))
-    df = df.withColumns(factors_and_standards(F.col("InitRiskLevel"), F.col("_bench"))).drop("_bench")
-    df = df.withColumn("SDFlag", R.sd_flag([f"{q}QrtSD" for q in QUARTER_LABELS],
-                                           [f"{q}QrtStandard" for q in QUARTER_LABELS]))
+    df = with_flags(df, dates.d1)
     df = df.withColumn("_branch", R.final_rating_branch("InitRiskLevel", "EstablishmentLength", "NetAssetFlag",
                                                        "FundSizeStatus", "SDStatus", "SDFlag"))
     df = df.withColumn("_note", R.final_rating_outcome("_branch", "InitRiskLevel")).drop("_branch")
@@ -113,30 +150,10 @@ def final_rating_quarterly(base: DataFrame, dates: RatingDates, nav: DataFrame,
         "FinalRiskLevel": F.col("_note.level"),
     }).drop("_note")
     df = df.withColumn("ChangeDirection", R.change_direction("ChangeReason"))
-    df = df.drop("RiskLevel").withColumnsRenamed({
-        "FundTypeName1": "FirstCategoryName", "FundTypeName2": "SecondCategoryName",
-        "FundTypeName3": "ThirdCategoryName", "FundTypeCode1": "FirstCategory",
-        "FundTypeCode2": "SecondCategory", "FundTypeCode3": "ThirdCategory",
-        "InitRiskLevel": "BasicRiskLevel", "FinalRiskLevel": "RiskLevel",
-        "SecurityCode": "SecuCode", "EstablishmentDate": "EstablishDate",
-    })
-    df = df.withColumn("IsMain", F.when(F.col("MainCode") == F.col("SecuCode"), 1).otherwise(2))
+    df = result_names(df)
     df = _once(df.select(*FINAL_COLUMNS, "IsMain"), checkpoint)   # read twice by the propagation
     df = propagate_first(df, "MainCode", ["IsMain", "InnerCode"], PROPAGATED)
-    df = df.select(*FINAL_COLUMNS).withColumns({
-        "EndDate": F.lit(dates.d1),
-        "RLDivisionMode": F.lit(2),
-        "HigherRiskLevel": R.higher_level("RiskLevel", "OfficialRiskLevel"),
-        "UpdateTime": F.lit(dates.as_of),
-    })
-    df = df.withColumns({
-        "RiskLevelName": L.level_label("RiskLevel"),
-        "OfficialRiskLevelName": L.level_label("OfficialRiskLevel"),
-        "HigherRiskLevelName": L.level_label("HigherRiskLevel"),
-        "Remark": F.lit(None).cast("string"),
-        "JSID": F.lit(None).cast("long"),
-    })
-    return df.na.fill(0, subset=ZERO_FILLED)
+    return result_table(df, dates.d1, dates.as_of)
 
 
 def run_quarterly(t: dict[str, DataFrame], as_of: dt.date, mapping: DataFrame, checkpoint: bool = True,
