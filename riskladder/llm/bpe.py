@@ -3,11 +3,12 @@
 Pieces (matches of the split pattern) are bucketed by length into padded matrices of ids, a row
 per piece. Each round looks up the rank of every neighbouring pair in a hash table, merges in
 every row the leftmost pair of minimum rank, and compacts the rows; rows without a mergeable
-pair leave. Only distinct pieces are encoded; a bounded cache keeps them for the task.
+pair leave. A round costs the width of the matrix, so pieces of more than ``WIDEST`` bytes (runs without spaces)
+are merged in the same order with a heap of pairs instead, in time n log n.
 
-A text is first cut at single spaces and single line feeds between non-space characters. The pattern
-always ends a match there, so a chunk's matches do not depend on its
-neighbours; texts with other white space go through the pattern whole.
+A text is first cut before every run of white space that follows another character. The pattern
+always ends a match there and never looks back, so a chunk's matches do not depend on its
+neighbours. Only distinct chunks are encoded; a cache of bounded bytes keeps the short ones for the worker.
 
 Edge cases: null and empty texts have no ids and decode to nothing; every id belongs to one
 text; repeated rows get equal results; no rows give no rows.
@@ -17,7 +18,9 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import heapq
 import re
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -27,10 +30,14 @@ from pyspark.sql import functions as F
 
 from riskladder.llm.arrays import tidy
 
-CACHE = 500_000                # entries kept by a worker; dropping them costs time only
+CACHE_BYTES = 96 << 20         # of a worker's encoded chunks; dropping them costs time only
+LONGEST_KEPT = 64              # characters of a chunk that is kept
+WIDEST = 512                   # bytes of a piece that goes through the matrices
+_ENTRY = 170                   # bytes of an entry besides its characters and ids
 _STEP = 1 << 17                # ids decoded at a time
-# a text with one of these, or with two white spaces in a row, goes through the pattern whole
+# white space other than single spaces and line feeds
 _OTHER = re.compile("[\0" + re.escape("".join(c for c in map(chr, range(1 << 16)) if c.isspace() and c not in " \n")) + "]")
+_BORDER = re.compile(r"(?<=\S)(?=[ \t\r\n])")
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -112,6 +119,8 @@ class Bpe:
                 out[i] = [r]
             elif not p:
                 out[i] = []
+            elif len(p) > WIDEST:
+                out[i] = self._long(p)
             else:
                 buckets.setdefault(len(p) if len(p) <= 16 else 1 << (len(p) - 1).bit_length(), []).append(i)
         for width, rows in buckets.items():
@@ -120,6 +129,28 @@ class Bpe:
                 self._bucket(rows[a:a + step], pieces, width, out)
         return out
 
+    def _long(self, piece: bytes) -> list[int]:
+        """Ids of a long piece: the same merges, the next one from a heap of (rank, place)."""
+        rank = self.whole.get
+        tok: list = [piece[i:i + 1] for i in range(len(piece))]
+        after, before = list(range(1, len(tok) + 1)), list(range(-1, len(tok) - 1))
+        heap = [(r, i) for i in range(len(tok) - 1) if (r := rank(tok[i] + tok[i + 1])) is not None]
+        heapq.heapify(heap)
+        while heap:
+            r, i = heapq.heappop(heap)
+            j = after[i]
+            if tok[i] is None or j >= len(tok) or rank(both := tok[i] + tok[j]) != r:
+                continue                           # one of the two was merged meanwhile
+            tok[i], tok[j] = both, None
+            after[i] = k = after[j]
+            if k < len(tok):
+                before[k] = i
+                if (r := rank(both + tok[k])) is not None:
+                    heapq.heappush(heap, (r, i))
+            if (h := before[i]) >= 0 and (r := rank(tok[h] + both)) is not None:
+                heapq.heappush(heap, (r, h))
+        return [self.whole[t] for t in tok if t]
+
     def _bucket(self, rows: list[int], pieces: list[bytes], width: int, out: list) -> None:
         flat = np.frombuffer(b"".join(pieces[i].ljust(width, b"\0") for i in rows), np.uint8).reshape(len(rows), width)
         ids = self.byte[flat]
@@ -181,29 +212,56 @@ class Bpe:
 def chunks_of(text: str) -> list[str]:
     """Pieces of a text at places where the pattern always splits."""
     if "  " in text or "\n\n" in text or " \n" in text or "\n " in text or _OTHER.search(text):
-        return [text]
+        return _BORDER.split(text)
     # a chunk after a single space begins with that space; line feeds stand alone
     out = text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
     return out[not out[0]:len(out) - (not out[-1])]
 
 
-class _Cached:
+class ChunkCache:
+    """Distinct chunks -> what they encode to, within a bound of bytes. ``encode`` takes a list of chunks; ``size``
+    tells the bytes of one result."""
+
+    def __init__(self, encode: Callable[[list[str]], list], size: Callable[[object], int]):
+        self.encode, self.size = encode, size
+        self.known: dict = {}
+        self.used, self.bound = 0, CACHE_BYTES
+
+    def _bytes(self, chunks) -> int:
+        return sum(_ENTRY + len(c) + self.size(self.known[c]) for c in chunks)
+
+    def fill(self, chunks: set[str]) -> None:
+        new = list(chunks.difference(self.known))
+        if self.used > self.bound:                 # entries in use stay
+            self.known = {c: self.known[c] for c in chunks.intersection(self.known)}
+            self.used = self._bytes(self.known)
+        self.known.update(zip(new, self.encode(new)))
+        self.used += self._bytes(new)
+
+    def settle(self, chunks: set[str]) -> None:
+        """After the texts of ``chunks`` are done: long ones go, and all that were met if they do not fit."""
+        long = [c for c in chunks if len(c) > LONGEST_KEPT]
+        if self.used - self._bytes(long) > 2 * self.bound:
+            long = list(self.known)
+        self.used -= self._bytes(long)
+        for c in long:
+            del self.known[c]
+
+
+class _Cached(ChunkCache):
     """Distinct chunks -> comma-joined decimal ids."""
 
     def __init__(self, bpe: Bpe):
-        self.bpe, self.listed, self.entries = bpe, {}, CACHE
+        self.bpe = bpe
+        super().__init__(self._listed, len)
 
-    def fill(self, chunks: set[str]) -> None:
-        new = list(chunks.difference(self.listed))
-        if len(self.listed) + len(new) > self.entries:     # entries in use stay
-            self.listed = {c: self.listed[c] for c in chunks.intersection(self.listed)}
-        listed = self.listed
+    def _listed(self, new: list[str]) -> list[str]:
         parts = list(map(self.bpe.pattern.findall, new))
         pieces = list(set().union(*parts))
         ids = self.bpe.encode_pieces([p.encode("utf-8", "surrogatepass") for p in pieces])
         one = {p: ",".join(map(str, x)) for p, x in zip(pieces, ids)}
-        for c, x in zip(new, parts):               # most chunks are one piece
-            listed[c] = one[x[0]] if len(x) == 1 else ",".join([one[p] for p in x])
+        # most chunks are one piece
+        return [one[x[0]] if len(x) == 1 else ",".join([one[p] for p in x]) for x in parts]
 
 
 _LOADED: dict[tuple[str, str], _Cached] = {}
@@ -216,7 +274,7 @@ def _encoder(path: str, pattern: str) -> _Cached:
     return _LOADED[key]
 
 
-def _groups(texts: list, max_chars: int = 2_000_000):
+def _groups(texts: list, max_chars: int = 500_000):
     """Runs of rows with about ``max_chars`` characters."""
     a = used = 0
     for i, t in enumerate(texts):
@@ -229,22 +287,23 @@ def _groups(texts: list, max_chars: int = 2_000_000):
 
 
 def encode_decode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", id_col: str = "doc_id",
-                  digests_only: bool = False, decoded: bool = True, cache: int = CACHE) -> DataFrame:
+                  digests_only: bool = False, decoded: bool = True, cache_bytes: int = CACHE_BYTES) -> DataFrame:
     """One row per document: doc_id, n_tokens, ids (array<int>), decoded (binary), and their
     digests ids_sha256, decoded_sha256. ``digests_only`` leaves ids and decoded out; without ``decoded``
-    only its digest is returned (the column is null). ``cache`` entries of distinct chunks are kept by a worker."""
+    only its digest is returned (the column is null). A worker keeps about ``cache_bytes`` of distinct chunks."""
 
     def scan(batches):
         enc = _encoder(path, pattern)
-        enc.entries = cache
+        enc.bound = cache_bytes
         for b in batches:
             ids, texts = b.column("doc_id"), b.column("text").to_pylist()
             for lo, hi in _groups(texts):
                 cut = [chunks_of(t) if t else [] for t in texts[lo:hi]]
-                enc.fill(set().union(*cut))
+                distinct = set().union(*cut)
+                enc.fill(distinct)
                 n, sha, dec, raw, back = [], [], [], [], []
                 for x in cut:
-                    listed = ",".join(map(enc.listed.__getitem__, x))
+                    listed = ",".join(map(enc.known.__getitem__, x))
                     n.append(listed.count(",") + 1 if listed else 0)
                     sha.append(hashlib.sha256(listed.encode()).hexdigest())
                     these = np.fromstring(listed, np.int32, sep=",") if listed else np.zeros(0, np.int32)
@@ -253,6 +312,7 @@ def encode_decode(docs: DataFrame, path: str, pattern: str, text_col: str = "tex
                     if not digests_only:
                         back.append(body if decoded else None)
                         raw.append(these)
+                enc.settle(distinct)
                 cols = [ids.slice(lo, hi - lo), pa.array(n, pa.int64()), pa.array(sha), pa.array(dec)]
                 names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
                 if not digests_only:

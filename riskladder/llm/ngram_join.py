@@ -117,18 +117,21 @@ class _Order:
         return self.made[n]
 
 
-def shingle_sets(docs: DataFrame, n: int = 5, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """(id, size, signature) of every document's n-gram set."""
+def shingle_sets(docs: DataFrame, n: int = 5, text_col: str = "text", id_col: str = "doc_id", text_key: bool = False) -> DataFrame:
+    """(id, size, signature) of every document's n-gram set, and text_md5 if asked for."""
+    more = ["text_md5"] if text_key else []
 
     def scan(batches):
         for t in A.text_chunks(batches, "text", "doc_id"):
             s = _Sets(t, n)
             yield pa.RecordBatch.from_arrays(
-                [t.rows.column("doc_id"), pa.array(s.sizes), pa.array(s.signatures().view(np.int64))],
-                ["doc_id", "n_shingles", "sig"])
+                [t.rows.column("doc_id"), pa.array(s.sizes), pa.array(s.signatures().view(np.int64)), *[t.rows.column(c) for c in more]],
+                ["doc_id", "n_shingles", "sig", *more])
 
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return src.mapInArrow(A.tidy(scan), "doc_id long, n_shingles long, sig long")
+    if text_key:
+        src = src.withColumn("text_md5", F.unhex(F.md5(F.col("text").cast("binary"))))
+    return src.mapInArrow(A.tidy(scan), "doc_id long, n_shingles long, sig long" + ", text_md5 binary" * text_key)
 
 
 def _needed(na: np.ndarray, nb: np.ndarray, pct: int) -> np.ndarray:
@@ -334,9 +337,10 @@ def _links(src: DataFrame, pairs: DataFrame, order, n: int, pct: int) -> DataFra
 
 
 def ngram_jaccard_components(docs: DataFrame, n: int = 5, min_percent: int = 75, text_col: str = "text",
-                             id_col: str = "doc_id") -> DataFrame:
+                             id_col: str = "doc_id", text_key: bool = False) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (smallest id reachable by links)
-    and class_id (smallest id with the same set)."""
+    and class_id (smallest id with the same set). With ``text_key`` also component (a name that rows of one component
+    share, whatever their ids; null for documents without words) and text_md5, for decisions per row."""
     spark = docs.sparkSession
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
@@ -372,14 +376,15 @@ def ngram_jaccard_components(docs: DataFrame, n: int = 5, min_percent: int = 75,
     more = _links(src, cross, order, n, min_percent)
     comps = connected_components(links.unionByName(more), "a", "b")
 
-    sets = materialize(shingle_sets(docs, n, text_col, id_col))
+    sets = materialize(shingle_sets(docs, n, text_col, id_col, text_key))
     classes = sets.filter("n_shingles > 0").groupBy("sig").agg(F.min("doc_id").alias("class_id"))
     classes = classes.join(comps.withColumnRenamed("node", "sig"), "sig", "left").withColumn(
         "component", F.coalesce("component", "sig"))
     roots = classes.groupBy("component").agg(F.min("class_id").alias("component_id"))
-    classes = classes.join(roots, "component").select("sig", "class_id", "component_id")
+    classes = classes.join(roots, "component").select("sig", "class_id", "component_id", "component")
     out = sets.join(classes, "sig", "left")
     alone = F.col("n_shingles") == 0
     return out.select("doc_id", "n_shingles",
                       F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
-                      F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"))
+                      F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
+                      *([F.when(~alone, F.col("component")).alias("component"), "text_md5"] if text_key else []))

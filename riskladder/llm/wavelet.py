@@ -10,7 +10,8 @@ The shards are rows of a Parquet table (first document, sequence in its range, c
 so any storage Spark writes to will do. A document's place in the whole stream is the running sum
 over the shards' counts plus its place in the shard.
 
-Edge cases: null and empty texts are the end id alone; null ids come first; equal ids are
+Edge cases: null and empty texts are the end id alone; strings of special tokens in a text become those tokens, as
+the library does by default; null ids come first; equal ids are
 ordered by a hash of the text, repeated rows are documents of their own; no rows give no shards.
 """
 
@@ -18,6 +19,7 @@ from __future__ import annotations
 
 import array
 import os
+import re
 import struct
 import uuid
 import zlib
@@ -29,12 +31,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskladder.llm import arrays as A
-from riskladder.llm.bpe import chunks_of
+from riskladder.llm.bpe import ChunkCache, chunks_of
 from riskladder.llm.running import running_sums
 from riskladder.session import ensure_checkpoint_dir
 
 SHARD_TOKENS = 1 << 19
-CACHE = 1_500_000              # distinct chunks kept by a worker; dropping them costs time only
+CACHE_BYTES = 224 << 20        # of a worker's encoded chunks; dropping them costs time only
 _MAGIC = b"WMX1"
 
 
@@ -147,45 +149,63 @@ def open_shard(data: bytes) -> tuple[np.ndarray, np.ndarray, WaveletMatrix]:
     return np.frombuffer(blobs[0], "<i8"), np.frombuffer(blobs[1], "<u4").astype(np.int64), WaveletMatrix(n, planes, zeros)
 
 
-_ENCODERS: dict[str, list] = {}
+def _on_a_line(c: str) -> bool:
+    """Whether a chunk encodes the same on a line of its own among others."""
+    return "\n" not in c and not c[-1].isspace() and not (c[0].isspace() and (c[0] != " " or c[1].isspace()))
 
 
-def _chunk_ids(path: str, chunks: set[str]) -> dict[str, bytes]:
-    """Ids (16 bits each) of distinct chunks; the tokenizers library does the encoding. Chunks without
-    a line feed are encoded many at a time, each on a line of its own: a line feed is a piece by itself."""
-    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-    from tokenizers import Tokenizer
+class _Encoder(ChunkCache):
+    """Distinct chunks -> their ids, 16 bits each; the tokenizers library does the encoding.
 
-    if path not in _ENCODERS:
-        tok = Tokenizer.from_file(path)
-        tok.encode_special_tokens = True           # their strings in a text are ordinary text
-        _ENCODERS[path] = [tok, {}]
-    tok, seen = _ENCODERS[path]
-    new = list(chunks.difference(seen))
-    if len(seen) + len(new) > CACHE:               # entries in use stay
-        seen = _ENCODERS[path][1] = {c: seen[c] for c in chunks.intersection(seen)}
+    Special tokens are those of the library's default call: a text is first split at their strings. Chunks that can
+    stand on a line are encoded many at a time: a line feed is a piece by itself."""
 
-    def encoded(texts: list[str]):
-        for e in tok.encode_batch_fast(texts, add_special_tokens=False):
+    def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        from tokenizers import Tokenizer
+
+        self.tok = Tokenizer.from_file(path)
+        added = self.tok.get_added_tokens_decoder().values()
+        # strings that take neighbouring spaces with them, or stand at word borders only, need the whole text
+        self.whole = [t.content for t in added if t.lstrip or t.rstrip or t.single_word]
+        plain = sorted((t.content for t in added if t.content not in self.whole), key=len, reverse=True)
+        self.special = re.compile("(" + "|".join(map(re.escape, plain)) + ")") if plain else None
+        super().__init__(self._ids, len)
+        self.bound = CACHE_BYTES
+
+    def chunks(self, text: str) -> list[str]:
+        if any(s in text for s in self.whole):
+            return [text]
+        if self.special is None or not self.special.search(text):
+            return chunks_of(text)
+        return [c for k, part in enumerate(self.special.split(text)) if part for c in ([part] if k % 2 else chunks_of(part))]
+
+    def _one_by_one(self, texts: list[str]):
+        for e in self.tok.encode_batch_fast(texts, add_special_tokens=False):
             ids = np.array(e.ids, np.uint32)
             if len(ids) and ids.max() >= 1 << 16:
                 raise ValueError("ids over 16 bits need a wider shard type")
             yield ids.astype(np.uint16)
 
-    feed = next(encoded(["\n"]))
-    lines = [c for c in new if "\n" not in c] if len(feed) == 1 else []
-    for a in range(0, len(lines), 4096):
-        part = lines[a:a + 4096]
-        ids = next(encoded(["\n".join(part)]))
-        cut = np.flatnonzero(ids == feed[0])
-        if len(cut) != len(part) - 1:              # a piece went over a line's end
-            seen.update(zip(part, (x.tobytes() for x in encoded(part))))
-            continue
-        body, cut = ids.tobytes(), (2 * cut).tolist()
-        seen.update(zip(part, [body[x:y] for x, y in zip([0, *(x + 2 for x in cut)], [*cut, len(body)])]))
-    rest = [c for c in new if c not in seen]
-    seen.update(zip(rest, (x.tobytes() for x in encoded(rest))))
-    return seen
+    def _ids(self, new: list[str]) -> list[bytes]:
+        found: dict[str, bytes] = {}
+        feed = next(self._one_by_one(["\n"]))
+        lines = [c for c in new if _on_a_line(c)] if len(feed) == 1 else []
+        for a in range(0, len(lines), 4096):
+            part = lines[a:a + 4096]
+            ids = next(self._one_by_one(["\n".join(part)]))
+            cut = np.flatnonzero(ids == feed[0])
+            if len(cut) != len(part) - 1:          # a piece went over a line's end
+                found.update(zip(part, (x.tobytes() for x in self._one_by_one(part))))
+                continue
+            body, cut = ids.tobytes(), (2 * cut).tolist()
+            found.update(zip(part, [body[x:y] for x, y in zip([0, *(x + 2 for x in cut)], [*cut, len(body)])]))
+        rest = [c for c in new if c not in found]
+        found.update(zip(rest, (x.tobytes() for x in self._one_by_one(rest))))
+        return [found[c] for c in new]
+
+
+_ENCODERS: dict[str, _Encoder] = {}
 
 
 def write_shards(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, bits: int = 16, text_col: str = "text",
@@ -206,25 +226,30 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, bi
             ids, sizes, bodies, total, seq = [], [], [], 0, seq + 1
             return row
 
+        if tokenizer not in _ENCODERS:
+            _ENCODERS[tokenizer] = _Encoder(tokenizer)
+        enc = _ENCODERS[tokenizer]
         for b in batches:
             keys = A.int64(b.column("doc_id")).tolist()
             texts = b.column("text").to_pylist()
             a = 0
             while a < len(texts):
                 cut, used, z = [], 0, a
-                while z < len(texts) and used < 1 << 21:
+                while z < len(texts) and used < 1 << 20:
                     used += len(texts[z] or "")
-                    cut.append(chunks_of(texts[z]) if texts[z] else [])
+                    cut.append(enc.chunks(texts[z]) if texts[z] else [])
                     z += 1
-                seen = _chunk_ids(tokenizer, set().union(*cut))
+                distinct = set().union(*cut)
+                enc.fill(distinct)
                 for key, x in zip(keys[a:z], cut):
-                    body = b"".join(map(seen.__getitem__, x)) + end
+                    body = b"".join(map(enc.known.__getitem__, x)) + end
                     ids.append(key)
                     sizes.append(len(body) // 2)
                     bodies.append(body)
                     total += len(body) // 2
                     if total >= SHARD_TOKENS:
                         yield out()
+                enc.settle(distinct)
                 a = z
         if ids:
             yield out()

@@ -3,6 +3,7 @@
 import base64
 import collections
 import hashlib
+import os
 import re
 
 import pytest
@@ -53,6 +54,27 @@ def test_pipeline(spark):
     assert abs(taken - 1.5 * total) <= 2 * longest * len({s for _, _, s in want})
 
 
+def test_near_copies_are_decided_per_row(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    near = a.replace("a20", "zz")
+    rows = [(0, a, "x"), (1, a, "x"), (1, b, "x"), (2, near, "x"), (None, c, "y"), (None, c, "y"), (None, c, "z"), (None, a, "y"), (3, "", "x"),
+            (3, "", "x"), (4, None, "x"), (4, None, "x"), (5, "", "x"), (None, None, "x"), (6, b.replace("b20", "zz"), "q")]
+    docs = spark.createDataFrame([(d, t, "en", s, len(t or "")) for d, t, s in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.near_copies(spark, docs, SF).collect()
+    assert sorted(((r.doc_id, r.text) for r in got), key=repr) == sorted(
+        [(0, a), (1, b), (None, c), (3, ""), (4, None), (5, ""), (None, None)], key=repr)
+    assert corpus_pipeline.near_copies(spark, docs.limit(0), SF).count() == 0
+
+
+def test_every_query_is_held_against_sql_or_brute_force():
+    tested = {"op3_wavelet_shards": "test_wavelet_shards", "op4_language_id": "test_kneser_ney_against_brute_force",
+              "op6_suffix_dedup": "test_suffix_dedup", "op7_byte_bpe": "test_bpe_equals_tiktoken", "op12_token_counts": "test_token_counts"}
+    assert set(QUERIES) - set(ORACLE_SQL) == set(tested)
+    folder = os.path.dirname(os.path.abspath(__file__))
+    code = "".join(open(os.path.join(folder, f), encoding="utf-8").read() for f in os.listdir(folder) if f.endswith(".py"))
+    assert all(f"def {t}(" in code for t in tested.values())
+
+
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_queries_equal_their_sql(spark, name):
     duckdb = pytest.importorskip("duckdb")

@@ -112,6 +112,38 @@ def test_bpe_equals_tiktoken(documents, none):
     assert bpe.encode_decode(none, path, P.PATTERN).count() == 0
 
 
+def _odd_texts(n=400):
+    r = random.Random(4)
+    parts = ["a", "don't", " ", "  ", "\n", "\n\n", "\t", "\r\n", " 12", "é", "龍", "<|endoftext|>", "<|endof", "\x1c", "\x85", "\u2028", "\u3000", "\0", "!!", "'s", "x" * 80]
+    return ["".join(r.choice(parts) for _ in range(r.randint(1, 25))) for _ in range(n)]
+
+
+def test_chunks_encode_like_whole_texts():
+    tiktoken = pytest.importorskip("tiktoken")
+    from tokenizers import Tokenizer
+
+    path = P.path("byte_bpe_multi_50k.tiktoken")
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(path, "rb"))}
+    enc = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    texts = _odd_texts() + ["q" * 100_000, "ab" * 700 + " tail"]
+    own = bpe._Cached(bpe.Bpe.load(path, P.PATTERN))
+    own.bound = 4000                               # the cache is emptied again and again
+    lib, mine = Tokenizer.from_file(P.path("byte_bpe_50k.json")), wavelet._Encoder(P.path("byte_bpe_50k.json"))
+    mine.bound = 4000
+    for k in range(0, len(texts), 20):
+        some = texts[k:k + 20]
+        cut = [bpe.chunks_of(t) for t in some]
+        own.fill(set().union(*cut))
+        assert [",".join(own.known[c] for c in x) for x in cut] == [",".join(map(str, enc.encode_ordinary(t))) for t in some]
+        own.settle(set().union(*cut))
+        cut = [mine.chunks(t) for t in some]
+        mine.fill(set().union(*cut))
+        assert [np.frombuffer(b"".join(mine.known[c] for c in x), np.uint16).tolist() for x in cut] == [lib.encode(t, add_special_tokens=False).ids for t in some]
+        mine.settle(set().union(*cut))
+        for cache in (own, mine):
+            assert cache.used == cache._bytes(cache.known) <= 2 * cache.bound and all(len(c) <= bpe.LONGEST_KEPT for c in cache.known)
+
+
 def test_wavelet_matrix():
     ids = np.random.default_rng(3).integers(0, 40, 1000).astype(np.uint16)
     _, _, m = wavelet.open_shard(wavelet.pack_shard(np.array([5]), np.array([1000]), ids, 16))
@@ -130,8 +162,7 @@ def test_wavelet_shards(spark, documents, none, tmp_dir):
     from tokenizers import Tokenizer
 
     path = P.path("byte_bpe_50k.json")
-    tok = Tokenizer.from_file(path)
-    tok.encode_special_tokens = True
+    tok = Tokenizer.from_file(path)                # the plain call: special strings in texts are special tokens
     rows = {(d, t): tok.encode(t or "", add_special_tokens=False).ids + [0] for d, t in pairs_of(documents)}
     wavelet.write_shards(documents, f"{tmp_dir}/shards", path)
     got = wavelet.read_documents(spark, f"{tmp_dir}/shards").orderBy("start").collect()
