@@ -178,9 +178,7 @@ v AS (SELECT r, count(DISTINCT pos) AS n_repeat_words FROM (SELECT r, unnest(ran
 l AS (SELECT r, source, text, unnest(string_split(text, chr(10))) AS line FROM d),
 m AS (SELECT r, source, text, regexp_extract_all(lower(line), {_WORD}) AS ws FROM l),
 k AS (SELECT r, source, text, array_to_string(ws, ' ') AS h, len(ws) AS n FROM m WHERE len(ws) > 0),
-t AS (SELECT source, count(DISTINCT text) AS n FROM d GROUP BY source),
-f AS (SELECT source, h FROM k GROUP BY source, h HAVING count(DISTINCT text) >
-        (SELECT greatest(20.0, 0.10 * t.n) FROM t WHERE t.source IS NOT DISTINCT FROM k.source)),
+f AS (SELECT source, h FROM k GROUP BY source, h HAVING count(DISTINCT text) > 5),
 x AS (SELECT k.r, sum(k.n)::BIGINT AS lost FROM k JOIN f ON k.h = f.h AND k.source IS NOT DISTINCT FROM f.source GROUP BY k.r),
 a AS (
   SELECT doc_id, len(ws)::BIGINT AS n_words, length(array_to_string(ws, ''))::BIGINT AS word_chars,

@@ -18,7 +18,7 @@ SF = "/root/testdata/sf0.001"
 
 def _after_substrings(rows):
     """(id, text, source) after the first three stages, in plain Python."""
-    good = brute_quality(rows, 20)
+    good = brute_quality(rows, 5)
     rows = [(d, q[9], s) for (d, _, s), q in zip(rows, good) if q[8]]
     keep = {d for d, _, c in brute_components([(d, t) for d, t, _ in rows]) if d == c}
     rows = [r for r in rows if r[0] in keep]

@@ -67,7 +67,7 @@ def brute_quality(rows, min_docs):
         g = collections.Counter(tuple(w[k:k + 5]) for k in range(len(w) - 4))
         rep = {k + j for k in range(len(w) - 4) if g[tuple(w[k:k + 5])] > 1 for j in range(5)}
         solid = [x for x in t.split("\n") if x.encode().split()]
-        bad = {x for x, k in df[s].items() if k > max(float(min_docs), 0.1 * len(texts[s]))}
+        bad = {x for x, k in df[s].items() if k > min_docs}
         lost = sum(len(norm(x).encode().split()) for x in solid if norm(x) in bad)
         failed = len(w) < 10 or 100 * len(rep) > 20 * len(w)
         out.append((d, len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in t), len(solid) - len(set(solid)), len(rep), failed,
