@@ -14,7 +14,9 @@ L/2 is an anchor.
    group by mergesort, all groups at once: two suffixes are compared by
    finding their common extension with a binary search over prefix polynomial hashes.
    Neighbours in suffix order with a common extension of L bytes are repeats.
-   An anchor hash with more than ``hot`` places is split before its bytes move: its strings are cut into ranges of
+   An anchor hash with more than ``hot`` places is thinned and split before its bytes move. Places whose strings
+   cover the same bytes (named by 128-bit hashes, counted with partial sums) are repeats of each other and
+   settled there; one place of each content goes on. Its strings are cut into ranges of
    distance to the anchor, and each range is keyed with the bytes that all its strings cover, so places
    with different surroundings part. What occurs once drops out, and what is still hot is cut into narrower ranges,
    at last single strings keyed with all their L bytes.
@@ -160,6 +162,42 @@ def widths(length: int) -> tuple[int, ...]:
     return w, max(1, w // 8), 1
 
 
+def _contents(texts: DataFrame, length: int) -> DataFrame:
+    """What the strings of each named anchor (column places) cover: (h, back, md5, th, place, lo, hi), a row per content and task;
+    rows without md5 are runs of bytes that are settled, as a task met their content before."""
+
+    def scan(batches):
+        first: dict[tuple[int, int, bytes], list] = {}
+        for t in A.text_chunks(batches, "text", "th"):
+            a = _Anchors(t, length)
+            k, name = a.wanted(t.rows.column("places").to_pylist())
+            los, his, hashes = a.ranges(k, name)
+            data, d = t.data.tobytes(), a.doc[k]
+            rows: list[tuple] = []
+            runs: dict[int, list] = {}
+            for h, th, back, place, start, i, j in zip(hashes.view(np.int64).tolist(), t.ids[d].tolist(), (a.place[k] - los).tolist(),
+                                                       name.tolist(), (los - t.off[d]).tolist(), los.tolist(), (his + length).tolist()):
+                key = (h, back, hashlib.md5(data[i:j]).digest())
+                old = first.get(key)
+                if old is None:
+                    first[key] = [th, start, start + j - i]
+                    rows.append((h, back, key[2], th, place, start, start + j - i))
+                    continue
+                runs.setdefault(th, []).append((start, start + j - i))
+                if old:
+                    runs.setdefault(old[0], []).append((old[1], old[2]))
+                    old.clear()
+            for th, x in runs.items():
+                lo, hi = A.merged(*np.array(x).T)
+                rows += [(None, None, None, th, None, p, q) for p, q in zip(lo.tolist(), hi.tolist())]
+            for x in range(0, len(rows), 1 << 14):
+                cols = list(zip(*rows[x:x + (1 << 14)]))
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary() if n == 2 else pa.int64()) for n, c in enumerate(cols)],
+                                                 ["h", "back", "md5", "th", "place", "lo", "hi"])
+
+    return texts.mapInArrow(scan, "h long, back long, md5 binary, th long, place long, lo long, hi long")
+
+
 def _split_rows(texts: DataFrame, length: int) -> DataFrame:
     """As ``_anchor_rows`` for the next ranges of the texts' hot ones (column places)."""
 
@@ -408,8 +446,10 @@ def _cut(carry: bool):
     return scan
 
 
-def _shared(plain: DataFrame, length: int, hot: int) -> DataFrame:
-    """Texts (th, text) with the names of their ranges whose hash occurs again (places)."""
+def _shared(plain: DataFrame, length: int, hot: int) -> tuple[DataFrame, list[DataFrame]]:
+    """Texts (th, text) with the names of their ranges whose hash occurs again (places), and frames of
+    runs (th, lo, hi) that are settled already."""
+    runs: list[DataFrame] = []
 
     def named(rows):
         places = materialize(rows.groupBy("th").agg(F.collect_set("place").alias("places")))
@@ -429,11 +469,18 @@ def _shared(plain: DataFrame, length: int, hot: int) -> DataFrame:
         more = met.filter("hot")
         if more.isEmpty():
             break
+        if level == 0:
+            found = materialize(_contents(named(more), length))
+            runs.append(found.filter("md5 is null").select("th", "lo", "hi"))
+            found = found.filter("md5 is not null")
+            each = found.groupBy("h", "back", "md5").agg(F.count("*").alias("n"), F.min(F.struct("th", "place")).alias("one"))
+            runs.append(found.join(each.filter("n > 1").select("h", "back", "md5"), ["h", "back", "md5"]).select("th", "lo", "hi"))
+            more = each.select("one.th", "one.place")
         rows = materialize(_split_rows(named(more), length))
     out = done[0]
     for x in done[1:]:
         out = out.unionByName(x)
-    return named(out)
+    return named(out), runs
 
 
 def remove_repeated_bytes(docs: DataFrame, length: int = 400, text_col: str = "text", id_col: str = "doc_id",
@@ -446,8 +493,10 @@ def remove_repeated_bytes(docs: DataFrame, length: int = 400, text_col: str = "t
     src = src.withColumn("th", F.xxhash64(F.coalesce("text", F.lit(""))))
     plain = src.select("th", "text").filter(F.octet_length("text") >= length)
 
-    texts = _shared(plain, length, hot)
+    texts, settled = _shared(plain, length, hot)
     runs = _contexts(texts, length).repartition(A.reduce_tasks(docs), "h").mapInArrow(_repeats(length), "th long, lo long, hi long")
+    for x in settled:
+        runs = runs.unionByName(x)
     copies = plain.groupBy("th").count().filter("count > 1").select(
         "th", F.lit(None).cast("long").alias("lo"), F.lit(None).cast("long").alias("hi"), F.lit(True).alias("whole"))
     marks = materialize(runs.withColumn("whole", F.lit(False)).unionByName(copies).groupBy("th").agg(

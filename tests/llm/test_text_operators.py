@@ -77,7 +77,7 @@ def test_suffix_dedup_parts_a_hot_anchor(spark):
         got = suffix_dedup.remove_repeated_bytes(df, hot=hot).select("doc_id", "n_bytes", "n_removed", F.size("removed_from"), F.sha2("kept", 256)).collect()
         assert sorted(map(tuple, got), key=repr) == sorted(brute_bytes(rows, 400), key=repr)
     plain = df.selectExpr("xxhash64(text) as th", "text")
-    most = [max(x["count"] for x in suffix_dedup._contexts(suffix_dedup._shared(plain, 400, h).coalesce(1), 400)
+    most = [max(x["count"] for x in suffix_dedup._contexts(suffix_dedup._shared(plain, 400, h)[0].coalesce(1), 400)
                 .filter("body is not null").groupBy("h").count().collect()) for h in (10, suffix_dedup.HOT)]
     assert most[0] <= 10 and most[1] > 50
 
@@ -206,6 +206,43 @@ def test_language_id_learns_from_every_gram(spark, documents):
     assert {r[2] for r in joined if (r[0] or 0) >= 1000} == {"rare"}
 
 
+def test_kneser_ney_against_brute_force():
+    texts = ["abracadabra abba cab " * 3, "the cat sat on the mat, the rat ran", "Zwölf Boxkämpfer jagen Viktor"]
+    rows = []
+    for t in texts:                                # letters in lower case, runs of other characters as one space
+        line = "   "
+        for c in t.lower():
+            if c.isalpha() or line[-1] != " ":
+                line += c if c.isalpha() else " "
+        rows += [line[k - 3:k + 1] for k in range(3, len(line))]
+    counts = [None, *[collections.Counter() for _ in range(4)]]
+    counts[4].update(rows)
+    for k in (3, 2, 1):                            # continuation counts
+        counts[k].update({g for g in counts[k + 1]} and [g[1:] for g in counts[k + 1]])
+    discount = {}
+    for k in range(1, 5):
+        ones, twos = (sum(v == x for v in counts[k].values()) for x in (1, 2))
+        discount[k] = min(max(ones / (ones + 2 * twos) if ones else 0.5, 0.1), 0.95)
+
+    def prob(g):
+        if not g:
+            return 1 / (1 << 16)
+        same = {x: v for x, v in counts[len(g)].items() if x[:-1] == g[:-1]}
+        if not same:
+            return prob(g[1:])
+        d, total = discount[len(g)], sum(same.values())
+        return max(same.get(g, 0) - d, 0) / total + d * len(same) / total * prob(g[1:])
+
+    grams, _ = langid._grams(texts)
+    k, n = np.unique(grams, return_counts=True)
+    m = langid.KneserNey(k, n)
+    pack = lambda g: sum(ord(c) << 16 * (3 - i) for i, c in enumerate(g))
+    assert collections.Counter(map(int, grams)) == collections.Counter(pack(g) for g in rows)
+    asked = [*counts[4], "abcd", "zzzz", "thex", " the", "e ca", "wölf", "   q", "bra "]
+    got = m.prob(np.array([pack(g) for g in asked], np.uint64))
+    assert got.tolist() == pytest.approx([prob(g) for g in asked], rel=1e-5)
+
+
 def test_kneser_ney_sums_to_one():
     text = "abracadabra abba cab " * 20
     g, _ = langid._grams([text])
