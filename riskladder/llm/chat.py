@@ -5,15 +5,15 @@ assistant, all others as named users, and a mask of the character ranges to
 train on: the assistant's words and the end marker after them. ``system`` turns are rendered as system blocks and are
 nobody's perspective; a null role speaks as the user "unknown" and is nobody's perspective either.
 
-A conversation is rendered in parts of ``part_turns`` consecutive turn numbers (part 0 is
-the whole dialogue of an ordinary conversation), so a conversation with distinct turn numbers stays in
-bounded rows whatever its length. All turns without a number are one part, and so are repeated numbers, as in the
-SQL: such a part is one row of any size. Numbers of turns and mask offsets are per part.
-The turns move once, before they are multiplied by perspectives.
+A conversation is rendered in parts of ``part_turns`` consecutive turns (part 0 is the whole dialogue of
+an ordinary conversation), so any conversation stays in bounded rows, whatever its turn numbers. A turn's
+place in its conversation is a running count over ranges of (conversation, turn, role, text), so a conversation
+that holds a third of all turns is spread, and equal turns are spread too. Numbers of turns and mask offsets are per part.
+The turns move before they are multiplied by perspectives.
 
 Edge cases: null texts render as empty; a marker inside a text is defused ("<|" becomes
-"< |"); turns with equal numbers are ordered by role and text, null numbers form part
--1; a null conv_id is a conversation; repeated rows are turns of their own; conversations
+"< |"); turns without a number come first, turns with equal numbers are ordered by role and text;
+a null conv_id is a conversation; repeated rows are turns of their own; conversations
 without a participant give no row; no rows give no rows.
 """
 
@@ -22,6 +22,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskladder.llm.running import running_sums
+
 PART_TURNS = 256
 
 
@@ -32,8 +34,11 @@ def rotate_perspectives(turns: DataFrame, part_turns: int = PART_TURNS, conv_col
     t = turns.select(F.col(conv_col).alias("conv_id"), F.col(turn_col).cast("long").alias("turn"), F.col(role_col).alias("named"),
                      F.coalesce(F.col(role_col), F.lit("unknown")).alias("role"),
                      F.replace(F.coalesce(F.col(text_col), F.lit("")), F.lit("<|"), F.lit("< |")).alias("text"))
-    t = t.withColumn("part", F.coalesce(F.floor(F.col("turn") / part_turns).cast("long"), F.lit(-1).cast("long")))
-    parts = t.groupBy("conv_id", "part").agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("turns"))
+    # equal turns are alike, so their order among themselves, by a scattered number, does not matter
+    t = t.withColumns({"_one": F.lit(1), "_tie": F.xxhash64(F.monotonically_increasing_id())})
+    placed = running_sums(t, [F.col(c) for c in ("conv_id", "turn", "role", "text", "_tie")], {"_at": "_one"}, "conv_id")
+    placed = placed.withColumn("part", F.floor(F.col("_at") / part_turns).cast("long"))
+    parts = placed.groupBy("conv_id", "part").agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("turns"))
     speakers = t.filter("named is not null and named <> 'system'").select(F.col("conv_id").alias("_conv"), F.col("named").alias("perspective")).distinct()
     each = parts.join(speakers, F.col("conv_id").eqNullSafe(F.col("_conv"))).drop("_conv")
 

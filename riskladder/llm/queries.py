@@ -153,8 +153,8 @@ SELECT w.doc_id, len(ws) AS n_words, coalesce(len(gone), 0) AS n_removed,
 FROM w LEFT JOIN l ON w.doc_id = l.doc_id""",
     "op8_chat_perspectives": r"""
 WITH t AS (
-  SELECT conv_id, coalesce(floor(turn / 256)::BIGINT, -1) AS part, turn, role AS named, coalesce(role, 'unknown') AS role,
-    replace(coalesce(text, ''), '<|', '< |') AS text FROM conversations),
+  SELECT *, (row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) - 1) // 256 AS part FROM (
+    SELECT conv_id, turn, role AS named, coalesce(role, 'unknown') AS role, replace(coalesce(text, ''), '<|', '< |') AS text FROM conversations)),
 s AS (SELECT DISTINCT conv_id, named AS perspective FROM t WHERE named IS NOT NULL AND named <> 'system'),
 e AS (
   SELECT t.*, s.perspective, role = perspective AS own,

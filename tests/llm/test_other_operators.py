@@ -15,15 +15,30 @@ def test_perspectives(spark):
             (2, 0, "system", "alone"), (None, None, "ann", "x"), (3, 0, "u", "a"), (3, 0, "u", "a"), (3, 700, "v", "late")]
     df = spark.createDataFrame([(*r, "z") for r in rows], "conv_id long, turn long, role string, text string, part string")
     got = {(r.conv_id, r.perspective, r.part): r for r in chat.rotate_perspectives(df).collect()}
-    assert set(got) == {(1, "ann", 0), (1, "bob", 0), (None, "ann", -1), (3, "u", 0), (3, "v", 0), (3, "u", 2), (3, "v", 2)}
+    assert set(got) == {(1, "ann", 0), (1, "bob", 0), (None, "ann", 0), (3, "u", 0), (3, "v", 0)}
     r = got[(1, "ann", 0)]
     assert r.n_turns == 5 and r.rendered.startswith("<|system|>\nbe kind\n<|end|>\n<|assistant|>\nhi < |end|>\n<|end|>\n<|user|>\nbob: \n")
     assert [r.rendered[m.start:m.end] for m in r.mask] == ["hi < |end|>\n<|end|>\n", "\n<|end|>\n"]
-    assert [got[(3, "v", 2)].rendered[m.start:m.end] for m in got[(3, "v", 2)].mask] == ["late\n<|end|>\n"]
-    assert got[(3, "v", 0)].mask == [] and got[(3, "u", 0)].n_turns == 2
+    assert [got[(3, "v", 0)].rendered[m.start:m.end] for m in got[(3, "v", 0)].mask] == ["late\n<|end|>\n"]
+    assert got[(3, "u", 0)].n_turns == 3 and len(got[(3, "u", 0)].mask) == 2
     assert chat.rotate_perspectives(df.limit(0)).count() == 0
 
 
+def test_a_conversation_of_any_length_is_cut_into_parts(spark):
+    rows = [(None, None, "ann", "same")] * 700 + [(7, k // 3, "bob" if k % 2 else "ann", f"t{k:04d}") for k in range(900)]
+    rows += [(8, 5, "eve", "again")] * 300 + [(k, 0, "u", "x") for k in range(20, 60)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(4)
+    got = chat.rotate_perspectives(df, part_turns=50).collect()
+    sizes = {}
+    for r in got:
+        sizes.setdefault((r.conv_id, r.perspective), {})[r.part] = r.n_turns
+    assert sizes[(None, "ann")] == {k: 50 for k in range(14)} and sizes[(8, "eve")] == {k: 50 for k in range(6)}
+    assert sizes[(7, "ann")] == sizes[(7, "bob")] == {k: 50 for k in range(18)}
+    order = sorted(range(900), key=lambda k: (k // 3, "bob" if k % 2 else "ann", f"t{k:04d}"))
+    whole = "".join(r.rendered for r in sorted((r for r in got if (r.conv_id, r.perspective) == (7, "ann")), key=lambda r: r.part))
+    assert [int(x[:4]) for x in whole.replace("<|assistant|>\nt", "\0").replace("bob: t", "\0").split("\0")[1:]] == order
+
+
 def test_top_k(spark):
     ship(spark)
     r = np.random.default_rng(5)
