@@ -24,6 +24,7 @@ from riskladder.llm import arrays as A
 from riskladder.llm.running import running_sums
 from riskladder.session import materialize
 
+SLICE = 256                      # copies of one row that are made in one place
 WEIGHTS = (3, 1, 2)              # fixed values: weights of the sources in code point order, repeating
 
 
@@ -76,9 +77,18 @@ def systematic_copies(docs: DataFrame, total: float = 1.5, most: int = 2, seed:
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:
-    """The mixed corpus: every row of ``docs``, all its columns, as often as it was drawn."""
-    drawn = (systematic_copies(docs, **options).groupBy("rk").agg(F.sum("copies").alias("_n"))
-             .filter("_n > 0").withColumnRenamed("rk", "_rk"))
-    once = docs.withColumn("_rk", _row_key(docs)).dropDuplicates(["_rk"])
-    out = once.join(drawn, "_rk").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_n").cast("int"))))
-    return out.select(*[out[c] for c in docs.columns])
+    """The mixed corpus: every row of ``docs``, all its columns, as often as it was drawn. Copies of rows that agree in
+    every column are drawn together; many of them are made in slices of ``SLICE``, dealt to all tasks."""
+    drawn = materialize(systematic_copies(docs, **options).groupBy("rk").agg(F.sum("copies").alias("_n"))
+                        .filter("_n > 0").withColumnRenamed("rk", "_rk"))
+    rows = docs.withColumn("_rk", _row_key(docs)).dropDuplicates(["_rk"])
+    copy = F.explode(F.sequence(F.lit(1), F.col("_n").cast("int")))
+    few = rows.join(drawn.filter(F.col("_n") <= SLICE), "_rk").withColumn("_copy", copy).select(*docs.columns)
+    often = drawn.filter(F.col("_n") > SLICE)
+    if often.isEmpty():
+        return few
+    many = rows.join(often, "_rk")
+    many = many.withColumn("_slice", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_n") - 1) / SLICE))))
+    many = many.withColumn("_n", F.least(F.lit(SLICE).cast("long"), F.col("_n") - F.col("_slice") * SLICE))
+    many = many.repartition(A.reduce_tasks(docs), "_rk", "_slice").drop("_slice")
+    return few.unionByName(many.withColumn("_copy", copy).select(*docs.columns))

@@ -296,6 +296,13 @@ def test_mixing(documents, none):
     assert mixing.systematic_copies(none).count() == 0 and mixing.mix(none).columns == none.columns
 
 
+def test_mixing_spreads_the_copies_of_equal_rows(spark):
+    df = spark.createDataFrame([(1, "one two three", "a")] * 6000 + [(k, "four five", "b") for k in range(2, 3002)], "doc_id long, text string, source string").repartition(3)
+    sizes = mixing.mix(df).filter("doc_id = 1").groupBy(F.spark_partition_id()).count().collect()
+    drawn = mixing.systematic_copies(df).filter("doc_id = 1").agg(F.sum("copies")).first()[0]
+    assert sum(r["count"] for r in sizes) == drawn > 5000 and max(r["count"] for r in sizes) < 0.5 * drawn
+
+
 def test_mixing_keeps_rows_that_differ_in_other_columns(spark):
     df = spark.createDataFrame([(1, "one two three", "a", f"l{i}") for i in range(12)], "doc_id long, text string, source string, lang string")
     out = [r.lang for r in mixing.mix(df).collect()]
