@@ -1,4 +1,6 @@
-"""Command line: ``python -m riskladder {quarterly|daily|stream} --extracts DIR --as-of YYYY-MM-DD --out PATH``.
+"""Command line: ``python -m riskladder {quarterly|history|daily|stream} --extracts DIR --as-of YYYY-MM-DD --out PATH``.
+
+``history`` rates every quarter from ``--as-of`` to ``--through`` in one job, each from the statuses the one before left.
 
 ``stream`` runs the daily pre-rating over new archive files arriving in
 ``--archives`` (Parquet), re-reading the other extracts from ``--extracts`` on
@@ -16,7 +18,7 @@ import datetime as dt
 from pyspark.sql import SparkSession
 
 from riskladder.functions.lookups import read_risk_mapping
-from riskladder.plans.jobs import DAILY_INPUTS, daily_job, judge, quarterly_job, read_inputs
+from riskladder.plans.jobs import DAILY_INPUTS, daily_job, history_job, judge, quarterly_job, read_inputs
 from riskladder.sources.readers import RowCounts
 from riskladder.streaming import start_daily_stream
 
@@ -24,9 +26,14 @@ from riskladder.streaming import start_daily_stream
 _SAID = {"malformed": "malformed rows", "dropped": "rows without a key", "keys": "repeated keys", "rows": "rows left out for them"}
 
 
+def _three_months_on(d: dt.date, times: int) -> dt.date:
+    month = d.month - 1 + 3 * times
+    return dt.date(d.year + month // 12, month % 12 + 1, min(d.day, 28))
+
+
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(prog="riskladder")
-    ap.add_argument("job", choices=["quarterly", "daily", "stream"])
+    ap.add_argument("job", choices=["quarterly", "history", "daily", "stream"])
     ap.add_argument("--extracts", required=True, help="folder with <name>.csv (or .parquet) extracts")
     ap.add_argument("--as-of", required=True, type=dt.date.fromisoformat)
     ap.add_argument("--out", required=True, help="result table, partitioned by EndDate")
@@ -34,6 +41,9 @@ def main(argv=None) -> None:
     ap.add_argument("--out-format", default="parquet", choices=["csv", "parquet"])
     ap.add_argument("--encoding", action="append", default=[], metavar="NAME=CHARSET")
     ap.add_argument("--state", help="quarterly: previous result table to take last quarter's state from")
+    ap.add_argument("--through", type=dt.date.fromisoformat, help="history: last rating date; one run every three months up to it")
+    ap.add_argument("--weekly", help="quarterly: table of weekly states; only the quarter's own return rows are read into it")
+    ap.add_argument("--fill-weekly", action="store_true", help="quarterly: fill all quarters of the windows into --weekly")
     ap.add_argument("--mapping", help="basic-level table to use instead of the built-in one (.csv or .yaml)")
     ap.add_argument("--archives", help="stream: folder where new fund archive files arrive")
     ap.add_argument("--checkpoint", help="stream: the stream's checkpoint folder (shared storage)")
@@ -50,7 +60,13 @@ def main(argv=None) -> None:
     spark = builder.getOrCreate()
     report: dict | None = None if a.no_report else {}
     if a.job == "quarterly":
-        quarterly_job(spark, a.extracts, a.as_of, a.out, a.format, enc, a.state, a.out_format, a.mapping, report, a.max_bad_rows)
+        quarterly_job(spark, a.extracts, a.as_of, a.out, a.format, enc, a.state, a.out_format, a.mapping, report, a.max_bad_rows,
+                      a.weekly, a.fill_weekly)
+    elif a.job == "history":
+        dates = [a.as_of]
+        while a.through and (later := _three_months_on(a.as_of, len(dates))) <= a.through:
+            dates.append(later)
+        history_job(spark, a.extracts, dates, a.out, a.format, enc, a.state, a.out_format, a.mapping, report, a.max_bad_rows)
     elif a.job == "daily":
         daily_job(spark, a.extracts, a.as_of, a.out, a.format, enc, a.out_format, not a.no_type_cut, a.mapping, report, a.max_bad_rows)
     else:

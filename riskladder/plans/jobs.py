@@ -22,7 +22,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from riskladder.functions import lookups as L
 from riskladder.functions.calendar import rating_dates
+from riskladder.operators import returns
 from riskladder.plans.daily import run_daily
+from riskladder.plans.history import run_history
 from riskladder.plans.quarterly import run_quarterly
 from riskladder.session import materialize
 from riskladder.sources import readers, schemas, sinks
@@ -41,10 +43,10 @@ def read_inputs(spark: SparkSession, extract_dir: str, names: list[str], fmt: st
     for name in names:
         path, enc = f"{extract_dir.rstrip('/')}/{name}.{fmt}", (encodings or {}).get(name)
         if counts is None:
-            out[name] = readers.validate(readers.read_extract(spark, name, path, fmt, enc), name)
-            continue
-        df = readers.read_counted(spark, name, path, fmt, enc, counts)
-        out[name] = materialize(df) if name in REUSED else df
+            df = readers.validate(readers.read_extract(spark, name, path, fmt, enc), name)
+        else:
+            df = readers.read_counted(spark, name, path, fmt, enc, counts)
+        out[name] = materialize(df) if name in REUSED and (counts or fmt == "csv") else df
     return out
 
 
@@ -65,9 +67,11 @@ def _watch(counts: readers.RowCounts | None, name: str) -> Callable[..., DataFra
 def quarterly_job(spark: SparkSession, extract_dir: str, as_of: dt.date, output: str, fmt: str = "csv",
                   encodings: dict[str, str] | None = None, state_path: str | None = None,
                   out_format: str = "parquet", mapping_path: str | None = None, report: dict | None = None,
-                  max_bad_rows: int | None = None) -> DataFrame:
+                  max_bad_rows: int | None = None, weekly_path: str | None = None, fill_weekly: bool = False) -> DataFrame:
     """Quarterly rating at ``as_of``; replaces partition EndDate = D1 of ``output``.
-    ``mapping_path`` replaces the built-in basic-level table (CSV or YAML)."""
+    ``mapping_path`` replaces the built-in basic-level table (CSV or YAML). With ``weekly_path`` only the quarter's own rows of
+    ``unitnvrestored`` are used: they are added to the table of weekly states there, and the volatility is taken from the table;
+    ``fill_weekly`` adds all quarters of the windows (a first run, or a correction of history)."""
     names = [n for n in QUARTERLY_INPUTS if n != "last_qrt" or not state_path]
     counts = readers.RowCounts() if report is not None or max_bad_rows is not None else None
     t = read_inputs(spark, extract_dir, names, fmt, encodings, counts)
@@ -75,10 +79,30 @@ def quarterly_job(spark: SparkSession, extract_dir: str, as_of: dt.date, output:
     if state_path:
         t["last_qrt"] = sinks.read_previous_state(spark, state_path, dates.d2, out_format)
     mapping = L.read_risk_mapping(spark, mapping_path) if mapping_path else L.risk_mapping(spark)
-    rated = run_quarterly(t, as_of, mapping, watch=_watch(counts, "predecessors"))
+    fund_vol = None
+    if weekly_path:
+        returns.store_states(t["unitnvrestored"], weekly_path, dates.d9 if fill_weekly else dates.d2, dates.d1)
+        fund_vol = returns.volatility_from_states(spark, weekly_path, dates)
+    rated = run_quarterly(t, as_of, mapping, watch=_watch(counts, "predecessors"), fund_vol=fund_vol)
     return sinks.replace_date(rated, output, dates.d1, out_format, lambda: judge(counts, report, max_bad_rows))
 
 
+def history_job(spark: SparkSession, extract_dir: str, as_ofs: list[dt.date], output: str, fmt: str = "csv",
+                encodings: dict[str, str] | None = None, state_path: str | None = None, out_format: str = "parquet",
+                mapping_path: str | None = None, report: dict | None = None, max_bad_rows: int | None = None) -> DataFrame:
+    """Quarterly ratings at all dates of ``as_ofs`` in one job (``plans.history``); replaces the partition of each. The first
+    quarter starts from ``last_qrt`` or, with ``state_path``, from that table's partition of the quarter before."""
+    names = [n for n in QUARTERLY_INPUTS if n != "last_qrt" or not state_path]
+    counts = readers.RowCounts() if report is not None or max_bad_rows is not None else None
+    t = read_inputs(spark, extract_dir, names, fmt, encodings, counts)
+    runs = [rating_dates(d) for d in sorted(as_ofs)]
+    if state_path:
+        t["last_qrt"] = sinks.read_previous_state(spark, state_path, runs[0].d2, out_format)
+    mapping = L.read_risk_mapping(spark, mapping_path) if mapping_path else L.risk_mapping(spark)
+    rated = run_history(t, as_ofs, mapping)
+    return sinks.replace_dates(rated, output, sorted({r.d1 for r in runs}), out_format, lambda: judge(counts, report, max_bad_rows))
+
+
 def daily_job(spark: SparkSession, extract_dir: str, as_of: dt.date, output: str, fmt: str = "csv",
               encodings: dict[str, str] | None = None, out_format: str = "parquet",
               cut_type_history: bool = True, mapping_path: str | None = None, report: dict | None = None,

@@ -157,17 +157,19 @@ def final_rating_quarterly(base: DataFrame, dates: RatingDates, nav: DataFrame,
 
 
 def run_quarterly(t: dict[str, DataFrame], as_of: dt.date, mapping: DataFrame, checkpoint: bool = True,
-                  watch: Callable[..., DataFrame] | None = None) -> DataFrame:
+                  watch: Callable[..., DataFrame] | None = None, fund_vol: DataFrame | None = None) -> DataFrame:
     """Quarterly rating at ``as_of`` from the named input tables.
 
     ``t`` keys: secumain, fundarchives, fundtype, fundrisklevel, fundtypechangenew,
-    mainfinancialindex, last_qrt, unitnvrestored, and zzqz, zzzcf or both as index_quotes.
+    mainfinancialindex, last_qrt, unitnvrestored, and zzqz, zzzcf or both as index_quotes. ``fund_vol`` replaces the
+    volatility of unitnvrestored (for example by ``returns.volatility_from_states``).
     """
     dates = rating_dates(as_of)
     master = build_master(t["secumain"], t["fundarchives"], t["fundtype"], t["fundrisklevel"],
                           t["fundtypechangenew"], dates.d1, dates.d1)
     base = base_rating_quarterly(master, mapping, dates, checkpoint, watch)
-    fund_vol = volatility_quarters(t["unitnvrestored"], dates, rate="NVRDailyGrowthRate")
+    if fund_vol is None:
+        fund_vol = volatility_quarters(t["unitnvrestored"], dates, rate="NVRDailyGrowthRate")
     index_series = t["index_quotes"] if "index_quotes" in t else t["zzqz"].unionByName(t["zzzcf"])
     bench = benchmark_scalar(volatility_quarters(index_series, dates, rate="ChangePCT"))
     nav = t["mainfinancialindex"].join(t["fundarchives"].select("InnerCode", "MainCode"), "InnerCode", "left")

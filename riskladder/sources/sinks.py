@@ -28,25 +28,33 @@ def write_rating(df: DataFrame, path: str, fmt: str = "parquet",
     writer.format(fmt).save(path)
 
 
-def replace_date(df: DataFrame, path: str, date: dt.date, fmt: str = "parquet", check: Callable[[], None] | None = None,
-                 column: str = "EndDate") -> DataFrame:
-    """Replace the partition ``column = date`` of the table by ``df`` (whose own ``column`` is not used).
+def replace_dates(df: DataFrame, path: str, dates: list[dt.date], fmt: str = "parquet", check: Callable[[], None] | None = None,
+                  column: str = "EndDate") -> DataFrame:
+    """Replace the partitions ``column = date`` of the table, for every date of ``dates``, by the rows of ``df``; rows of
+    other dates are left out.
 
     ``df`` is checkpointed first: whatever can fail while it is computed, and ``check``, which may raise
     after that, comes before the table changes. The checkpoint is then written by Spark's dynamic
     partition overwrite, which puts the files beside the table and moves them in place when all are
-    there; between dropping the old folder and moving the new one the storage decides what a
-    reader sees. No rows: the partition is overwritten by an empty one. Returns the rows as written."""
-    staged = materialize(df.drop(column))
+    there; between dropping an old folder and moving the new one the storage decides what a
+    reader sees. A date without rows is overwritten by an empty partition. Returns the rows as written."""
+    staged = materialize(df.filter(F.col(column).isin(dates)))
     if check:
         check()
-    dated = staged.withColumn(column, F.lit(date))
-    if staged.isEmpty():
-        writer = staged.sparkSession.createDataFrame([], staged.schema).write.mode("overwrite")
-        (writer.option("header", True) if fmt == "csv" else writer).format(fmt).save(f"{path.rstrip('/')}/{column}={date.isoformat()}")
-    else:
-        write_rating(dated, path, fmt, column)
-    return dated
+    there = {r[0] for r in staged.select(column).distinct().collect()}          # at most the dates given
+    for date in dates:
+        if date not in there:
+            writer = staged.sparkSession.createDataFrame([], staged.drop(column).schema).write.mode("overwrite")
+            (writer.option("header", True) if fmt == "csv" else writer).format(fmt).save(f"{path.rstrip('/')}/{column}={date.isoformat()}")
+    if there:
+        write_rating(staged, path, fmt, column)
+    return staged
+
+
+def replace_date(df: DataFrame, path: str, date: dt.date, fmt: str = "parquet", check: Callable[[], None] | None = None,
+                 column: str = "EndDate") -> DataFrame:
+    """``replace_dates`` for one date, which all rows of ``df`` get."""
+    return replace_dates(df.drop(column).withColumn(column, F.lit(date)), path, [date], fmt, check, column)
 
 
 def read_previous_state(spark: SparkSession, path: str, previous_end: dt.date,

@@ -43,6 +43,31 @@ def test_quarterly_job_matches_registered_query(spark, tmp_dir):
     assert got == want
 
 
+def test_history_job_replaces_every_quarter(spark, tmp_dir):
+    from riskladder.__main__ import main
+    ex, out, single = (os.path.join(tmp_dir, x) for x in ("extracts", "history", "single"))
+    _write_extracts(spark, ex, QUARTERLY_INPUTS)
+    main(["history", "--extracts", ex, "--as-of", "2000-11-15", "--through", "2001-02-28", "--out", out])
+    quarterly_job(spark, ex, dt.date(2000, 11, 15), single)
+    quarterly_job(spark, ex, dt.date(2001, 2, 15), single, state_path=single)
+    rows = lambda p: sorted((tuple(r) for r in spark.read.parquet(p).drop("UpdateTime").collect()), key=repr)
+    assert rows(out) == rows(single) and len(rows(out)) > 4
+    # before any fund was founded: an empty date, the others stay
+    main(["history", "--extracts", ex, "--as-of", "1990-05-15", "--out", out])
+    assert rows(out) == rows(single) and os.path.isdir(f"{out}/EndDate=1990-03-31")
+
+
+def test_quarterly_job_from_weekly_states(spark, tmp_dir):
+    ex, out, weekly = (os.path.join(tmp_dir, x) for x in ("extracts", "rating", "weekly"))
+    _write_extracts(spark, ex, QUARTERLY_INPUTS)
+    quarterly_job(spark, ex, dt.date(2000, 11, 15), out, weekly_path=weekly, fill_weekly=True)
+    quarterly_job(spark, ex, catalog.AS_OF, out, weekly_path=weekly)
+    got = spark.read.parquet(out).filter(F.col("EndDate") == dt.date(2000, 12, 31))
+    want = catalog.QUERIES["rating_quarterly"](spark, SF)
+    cols = ["InnerCode", "RiskLevel", "LastQrtSD", "SecondQrtSD", "ThirdQrtSD", "ForthQrtSD", "FundSizeStatus", "SDStatus"]
+    assert sorted(map(tuple, got.select(*cols).collect())) == sorted(map(tuple, want.select(*cols).collect()))
+
+
 def test_daily_job(spark, tmp_dir):
     ex, out = os.path.join(tmp_dir, "extracts"), os.path.join(tmp_dir, "daily")
     _write_extracts(spark, ex, DAILY_INPUTS)
