@@ -6,7 +6,7 @@ per id bit, most significant first; each plane is ordered by the bits above it (
 ones). With rank over the planes a token is read (``access``), counted (``rank``, ``count``)
 and its occurrences found (``select``) without unpacking the ids.
 
-The shards are rows of a Parquet table (first document, sequence in its range, counts, file),
+The shards are rows of a Parquet table (range of ids, sequence in it, first document, counts, file),
 so any storage Spark writes to will do. A document's place in the whole stream is the running sum
 over the shards' counts plus its place in the shard.
 
@@ -255,36 +255,39 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, bi
             yield out()
 
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    placed = src.repartitionByRange(A.reduce_tasks(docs), F.col("doc_id")).sortWithinPartitions("doc_id", F.xxhash64("text"))
+    # ties are spread too: many rows of one id (or none) do not meet in one range
+    order = [F.col("doc_id"), F.xxhash64("text"), F.xxhash64(F.monotonically_increasing_id())]
+    src = src.withColumns({"_k1": order[1], "_k2": order[2]})
+    placed = src.repartitionByRange(A.reduce_tasks(docs), "doc_id", "_k1", "_k2").sortWithinPartitions("doc_id", "_k1", "_k2").select("doc_id", "text")
     (placed.mapInArrow(A.tidy(scan), "first_doc long, seq long, n_docs long, n_tokens long, file binary")
-     .write.option("compression", "none").parquet(path))
+     .withColumn("part", F.spark_partition_id()).write.option("compression", "none").parquet(path))
 
 
 def read_documents(spark: SparkSession, path: str, with_ids: bool = True) -> DataFrame:
     """Documents of a shard table: doc_id, start, n_tokens, ids_crc32, and ids if asked for."""
     shards = spark.read.parquet(path)
-    starts = running_sums(shards.select("first_doc", "seq", "n_tokens"), [F.col("first_doc"), F.col("seq")], {"start": "n_tokens"})
-    starts = starts.select(F.col("first_doc").alias("_f"), F.col("seq").alias("_s"), F.col("start").alias("shard_start"))
+    starts = running_sums(shards.select("part", "seq", "n_tokens"), [F.col("part"), F.col("seq")], {"start": "n_tokens"})
+    starts = starts.select(F.col("part").alias("_p"), F.col("seq").alias("_s"), F.col("start").alias("shard_start"))
 
     def scan(batches):
         for b in batches:
-            for first, seq, file in zip(*(b.column(c).to_pylist() for c in ("first_doc", "seq", "file"))):
+            for part, seq, file in zip(*(b.column(c).to_pylist() for c in ("part", "seq", "file"))):
                 ids, counts, m = open_shard(file)
                 tokens = m.tokens().astype("<u4")
                 cut = np.concatenate([[0], np.cumsum(counts)])
                 n = len(ids)
-                cols = [pa.array([first] * n, pa.int64()), pa.array([seq] * n, pa.int64()), pa.array(ids, mask=ids == A.NO_ID),
+                cols = [pa.array([part] * n, pa.int32()), pa.array([seq] * n, pa.int64()), pa.array(ids, mask=ids == A.NO_ID),
                         pa.array(cut[:-1]), pa.array(counts),
                         pa.array([zlib.crc32(tokens[x:y]) for x, y in zip(cut[:-1], cut[1:])], pa.int64())]
-                names = ["first_doc", "seq", "doc_id", "local", "n_tokens", "ids_crc32"]
+                names = ["part", "seq", "doc_id", "local", "n_tokens", "ids_crc32"]
                 if with_ids:
                     cols.append(pa.array([tokens[x:y].astype(np.int32) for x, y in zip(cut[:-1], cut[1:])], pa.list_(pa.int32())))
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(cols, names)
 
-    schema = "first_doc long, seq long, doc_id long, local long, n_tokens long, ids_crc32 long" + (", ids array<int>" if with_ids else "")
-    docs = shards.select("first_doc", "seq", "file").mapInArrow(scan, schema)
-    out = docs.join(starts, F.col("first_doc").eqNullSafe(F.col("_f")) & (F.col("seq") == F.col("_s")))
+    schema = "part int, seq long, doc_id long, local long, n_tokens long, ids_crc32 long" + (", ids array<int>" if with_ids else "")
+    docs = shards.select("part", "seq", "file").mapInArrow(scan, schema)
+    out = docs.join(starts, (F.col("part") == F.col("_p")) & (F.col("seq") == F.col("_s")))
     return out.select("doc_id", (F.col("shard_start") + F.col("local")).alias("start"), "n_tokens", "ids_crc32", *(["ids"] if with_ids else []))
 
 

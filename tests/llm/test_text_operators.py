@@ -178,6 +178,16 @@ def test_wavelet_shards(spark, documents, none, tmp_dir):
     assert wavelet.read_documents(spark, f"{tmp_dir}/empty").count() == 0
 
 
+def test_wavelet_shards_spread_rows_of_one_id(spark, tmp_dir):
+    df = spark.createDataFrame([(None, f"text {k % 50} of no id") for k in range(4000)] + [(k, "some") for k in range(800)], "doc_id long, text string").repartition(4)
+    wavelet.write_shards(df, f"{tmp_dir}/s", P.path("byte_bpe_50k.json"))
+    sizes = [r["n"] for r in spark.read.parquet(f"{tmp_dir}/s").groupBy("part").agg(F.sum("n_docs").alias("n")).collect()]
+    got = wavelet.read_documents(spark, f"{tmp_dir}/s", with_ids=False).orderBy("start").collect()
+    assert len(sizes) >= 4 and max(sizes) < 0.4 * 4800 and len(got) == 4800
+    assert [r.doc_id for r in got] == [None] * 4000 + list(range(800))
+    assert [r.start for r in got][1:] == np.cumsum([r.n_tokens for r in got])[:-1].tolist()
+
+
 def test_language_id(spark, none):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     got = langid.identify(docs).join(docs.select("doc_id", "lang", "n_chars"), "doc_id").collect()
