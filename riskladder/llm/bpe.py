@@ -219,16 +219,15 @@ def chunks_of(text: str) -> list[str]:
 
 
 class ChunkCache:
-    """Distinct chunks -> what they encode to, within a bound of bytes. ``encode`` takes a list of chunks; ``size``
-    tells the bytes of one result."""
+    """Distinct chunks -> what they encode to (strings or bytes), within a bound of bytes. ``encode`` takes a list of chunks."""
 
-    def __init__(self, encode: Callable[[list[str]], list], size: Callable[[object], int]):
-        self.encode, self.size = encode, size
+    def __init__(self, encode: Callable[[list[str]], list]):
+        self.encode = encode
         self.known: dict = {}
         self.used, self.bound = 0, CACHE_BYTES
 
     def _bytes(self, chunks) -> int:
-        return sum(_ENTRY + len(c) + self.size(self.known[c]) for c in chunks)
+        return sum(map(len, chunks)) + sum(map(len, map(self.known.__getitem__, chunks))) + _ENTRY * len(chunks)
 
     def fill(self, chunks: set[str]) -> None:
         new = list(chunks.difference(self.known))
@@ -253,7 +252,7 @@ class _Cached(ChunkCache):
 
     def __init__(self, bpe: Bpe):
         self.bpe = bpe
-        super().__init__(self._listed, len)
+        super().__init__(self._listed)
 
     def _listed(self, new: list[str]) -> list[str]:
         parts = list(map(self.bpe.pattern.findall, new))

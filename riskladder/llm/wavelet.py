@@ -36,7 +36,7 @@ from riskladder.llm.running import running_sums
 from riskladder.session import ensure_checkpoint_dir
 
 SHARD_TOKENS = 1 << 19
-CACHE_BYTES = 224 << 20        # of a worker's encoded chunks; dropping them costs time only
+CACHE_BYTES = 320 << 20        # of a worker's encoded chunks; dropping them costs time only
 _MAGIC = b"WMX1"
 
 
@@ -149,9 +149,12 @@ def open_shard(data: bytes) -> tuple[np.ndarray, np.ndarray, WaveletMatrix]:
     return np.frombuffer(blobs[0], "<i8"), np.frombuffer(blobs[1], "<u4").astype(np.int64), WaveletMatrix(n, planes, zeros)
 
 
+_INNER = re.compile(r"\s")
+
+
 def _on_a_line(c: str) -> bool:
-    """Whether a chunk encodes the same on a line of its own among others."""
-    return "\n" not in c and not c[-1].isspace() and not (c[0].isspace() and (c[0] != " " or c[1].isspace()))
+    """Whether a chunk encodes the same on a line of its own among others: no white space but a single space in front."""
+    return _INNER.search(c, 1) is None and (not c[0].isspace() or (c[0] == " " and len(c) > 1))
 
 
 class _Encoder(ChunkCache):
@@ -170,7 +173,7 @@ class _Encoder(ChunkCache):
         self.whole = [t.content for t in added if t.lstrip or t.rstrip or t.single_word]
         plain = sorted((t.content for t in added if t.content not in self.whole), key=len, reverse=True)
         self.special = re.compile("(" + "|".join(map(re.escape, plain)) + ")") if plain else None
-        super().__init__(self._ids, len)
+        super().__init__(self._ids)
         self.bound = CACHE_BYTES
 
     def chunks(self, text: str) -> list[str]:
@@ -235,7 +238,7 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, bi
             a = 0
             while a < len(texts):
                 cut, used, z = [], 0, a
-                while z < len(texts) and used < 1 << 20:
+                while z < len(texts) and used < 1 << 21:
                     used += len(texts[z] or "")
                     cut.append(enc.chunks(texts[z]) if texts[z] else [])
                     z += 1
