@@ -8,7 +8,7 @@ Offline, on the driver, the vocabulary proves three things about a sentencepiece
 * which vocabulary strings, encoded alone, are one token (each is encoded once).
 
 In a task a pre-token that is one of the proven strings counts one token and is never merged;
-only the rest is merged by the library, each distinct pre-token once per worker while a cache
+only the rest is merged by the library, each distinct pre-token once per task while a cache
 of bounded bytes holds it. Long pre-tokens pass through and are not kept. A text's count is the
 sum over its pre-tokens. Nothing is shuffled; the proven strings (at most the vocabulary) are broadcast.
 

@@ -211,6 +211,13 @@ class _Encoder(ChunkCache):
 _ENCODERS: dict[str, _Encoder] = {}
 
 
+def _encoder(path: str) -> _Encoder:
+    """The worker's encoder: a function of the module, so that tasks share it (a task's own function has its own globals)."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = _Encoder(path)
+    return _ENCODERS[path]
+
+
 def write_shards(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, bits: int = 16, text_col: str = "text",
                  id_col: str = "doc_id") -> None:
     """Encode every document and write the shard table to ``path`` (ids of at most 16 bits)."""
@@ -229,9 +236,7 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, bi
             ids, sizes, bodies, total, seq = [], [], [], 0, seq + 1
             return row
 
-        if tokenizer not in _ENCODERS:
-            _ENCODERS[tokenizer] = _Encoder(tokenizer)
-        enc = _ENCODERS[tokenizer]
+        enc = _encoder(tokenizer)
         for b in batches:
             keys = A.int64(b.column("doc_id")).tolist()
             texts = b.column("text").to_pylist()
