@@ -18,6 +18,7 @@ ordered by a hash of the text, repeated rows are documents of their own; no rows
 from __future__ import annotations
 
 import array
+import json
 import os
 import re
 import struct
@@ -26,12 +27,13 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskladder.llm import arrays as A
-from riskladder.llm.bpe import ChunkCache, chunks_of
+from riskladder.llm.bpe import LONGEST_KEPT, ChunkCache, chunks_of
 from riskladder.llm.running import running_sums
 from riskladder.session import ensure_checkpoint_dir
 
@@ -53,8 +55,10 @@ class WaveletMatrix:
         for level in range(bits - 1, -1, -1):
             one = (ids >> level & 1).astype(bool)
             planes.append(np.packbits(one, bitorder="little"))
-            zeros.append(int(len(ids) - np.count_nonzero(one)))
-            ids = np.concatenate([ids[~one], ids[one]])
+            # places and take: a random mask costs twice as much
+            low, high = np.flatnonzero(~one), np.flatnonzero(one)
+            zeros.append(len(low))
+            ids = np.concatenate([ids.take(low), ids.take(high)])
         return cls(int(len(ids)), planes, zeros)
 
     def _bit(self, level: int, i: np.ndarray) -> np.ndarray:
@@ -115,8 +119,8 @@ class WaveletMatrix:
             one = np.unpackbits(self.planes[level], count=self.n, bitorder="little").astype(bool)
             z = self.zeros[level]
             back = np.empty_like(ids)
-            back[~one] = ids[:z]
-            back[one] = ids[z:] | ids.dtype.type(1 << (len(self.planes) - 1 - level))
+            back[np.flatnonzero(~one)] = ids[:z]
+            back[np.flatnonzero(one)] = ids[z:] | ids.dtype.type(1 << (len(self.planes) - 1 - level))
             ids = back
         return ids
 
@@ -150,6 +154,12 @@ def open_shard(data: bytes) -> tuple[np.ndarray, np.ndarray, WaveletMatrix]:
 
 
 _INNER = re.compile(r"\s")
+# texts that chunks_of does not cut at every single space and line feed
+_UNEVEN = r"  |\n\n| \n|\n |[" + "".join(rf"\x{{{x:x}}}" for x in range(1 << 16) if not x or (chr(x).isspace() and chr(x) not in " \n")) + "]"
+_MARKS = ".,;:!?#$*%&|<>()-\""      # after a letter the library begins a piece with these and ends it after the last of them
+_TOGETHER = 256                # chunks encoded in one string
+_GROUP_BYTES = 16 << 20        # of texts encoded at a time
+_STEP = 1 << 20                # chunks whose ids are gathered at a time
 
 
 def _on_a_line(c: str) -> bool:
@@ -160,8 +170,10 @@ def _on_a_line(c: str) -> bool:
 class _Encoder(ChunkCache):
     """Distinct chunks -> their ids, 16 bits each; the tokenizers library does the encoding.
 
-    Special tokens are those of the library's default call: a text is first split at their strings. Chunks that can
-    stand on a line are encoded many at a time: a line feed is a piece by itself."""
+    Special tokens are those of the library's default call: a text is first split at their strings. Chunks of one word
+    after a space are encoded many at a time in one string, as a chunk begins at every such space; the tokens' bytes tell
+    where each ends. If the tokenizer splits texts by the byte-level pattern, a word and the marks after it are encoded once
+    each. Others that can stand on a line are joined by line feeds: a line feed is a piece by itself."""
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -173,6 +185,12 @@ class _Encoder(ChunkCache):
         self.whole = [t.content for t in added if t.lstrip or t.rstrip or t.single_word]
         plain = sorted((t.content for t in added if t.content not in self.whole), key=len, reverse=True)
         self.special = re.compile("(" + "|".join(map(re.escape, plain)) + ")") if plain else None
+        self.strings = [t.content for t in added]
+        made = json.loads(self.tok.to_str())
+        split = made.get("pre_tokenizer") or {}
+        self.marks = _MARKS if split.get("type") == "ByteLevel" and split.get("use_regex", True) and not made.get("normalizer") else ""
+        size = max(self.tok.get_vocab().values(), default=0) + 1
+        self.size = np.array([len(self.tok.id_to_token(i) or "") for i in range(size)], np.int64)    # a character stands for a byte
         super().__init__(self._ids)
         self.bound = CACHE_BYTES
 
@@ -190,22 +208,86 @@ class _Encoder(ChunkCache):
                 raise ValueError("ids over 16 bits need a wider shard type")
             yield ids.astype(np.uint16)
 
-    def _ids(self, new: list[str]) -> list[bytes]:
+    def _words(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of chunks that may follow each other in one string; those are left out whose tokens do not end where they do."""
         found: dict[str, bytes] = {}
+        sizes = pc.binary_length(pa.array(words, pa.string())).to_numpy()
+        for a in range(0, len(words), _TOGETHER):
+            part = words[a:a + _TOGETHER]
+            ids = next(self._one_by_one(["".join(part)]))
+            token_ends, ends = np.cumsum(self.size[ids]), np.cumsum(sizes[a:a + _TOGETHER])
+            at = np.searchsorted(token_ends, ends)
+            if len(ids) and token_ends[-1] == ends[-1] and (token_ends[at] == ends).all():
+                body, cut = ids.tobytes(), (2 * at + 2).tolist()
+                found.update(zip(part, [body[x:y] for x, y in zip([0, *cut], cut)]))
+        return found
+
+    def _ids(self, new: list[str]) -> list[bytes]:
+        known, marks = self.known, self.marks
+        cores = [c.rstrip(marks) if c[0] == " " and c.split() == [c[1:]] else "" for c in new]
+        cores = [x if x == c or x[-1:].isalpha() else c if x else "" for x, c in zip(cores, new)] if marks else cores
+        found = self._words([x for x in set(cores) if x and x not in known])
+        tails = {c[len(x):] for x, c in zip(cores, new) if x}
+        tails = dict(zip(tails, (x.tobytes() for x in self._one_by_one(list(tails)))))
+        out: list = [None] * len(new)
+        for i, (x, c) in enumerate(zip(cores, new)):
+            if x and (head := found.get(x) or known.get(x)):
+                out[i] = head if x == c else head + tails[c[len(x):]]
         feed = next(self._one_by_one(["\n"]))
-        lines = [c for c in new if _on_a_line(c)] if len(feed) == 1 else []
+        lines = [i for i, x in enumerate(out) if x is None and _on_a_line(new[i])] if len(feed) == 1 else []
         for a in range(0, len(lines), 4096):
-            part = lines[a:a + 4096]
-            ids = next(self._one_by_one(["\n".join(part)]))
+            at = lines[a:a + 4096]
+            ids = next(self._one_by_one(["\n".join([new[i] for i in at])]))
             cut = np.flatnonzero(ids == feed[0])
-            if len(cut) != len(part) - 1:          # a piece went over a line's end
-                found.update(zip(part, (x.tobytes() for x in self._one_by_one(part))))
+            if len(cut) != len(at) - 1:            # a piece went over a line's end
                 continue
             body, cut = ids.tobytes(), (2 * cut).tolist()
-            found.update(zip(part, [body[x:y] for x, y in zip([0, *(x + 2 for x in cut)], [*cut, len(body)])]))
-        rest = [c for c in new if c not in found]
-        found.update(zip(rest, (x.tobytes() for x in self._one_by_one(rest))))
-        return [found[c] for c in new]
+            for i, x, y in zip(at, [0, *(x + 2 for x in cut)], [*cut, len(body)]):
+                out[i] = body[x:y]
+        rest = [i for i, x in enumerate(out) if x is None]
+        for i, x in zip(rest, self._one_by_one([new[i] for i in rest])):
+            out[i] = x.tobytes()
+        return out
+
+    def encode_texts(self, texts: pa.Array) -> list[bytes]:
+        """Ids of every text. Texts with single spaces and line feeds only are cut and their chunks numbered by Arrow."""
+        texts = texts.cast(pa.large_string())
+        uneven = pc.match_substring_regex(texts, _UNEVEN)
+        for s in self.strings:
+            uneven = pc.or_(uneven, pc.match_substring(texts, s))
+        uneven = uneven.fill_null(True).to_numpy(zero_copy_only=False)
+        even, others = np.flatnonzero(~uneven), np.flatnonzero(uneven)
+        cut = [self.chunks(t) if t else [] for t in texts.take(pa.array(others)).to_pylist()]
+        split = pc.replace_substring(pc.replace_substring(texts.take(pa.array(even)), " ", "\0 "), "\n", "\0\n\0")
+        split = pc.split_pattern(split, "\0")
+        coded = split.flatten().dictionary_encode()
+        names, codes = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy().astype(np.intp)
+        words = set().union(*cut)
+        parts = list(map(self.known.get, names))
+        new = [c for c, x in zip(names, parts) if x is None]
+        if words or self.used > self.bound:        # entries in use stay
+            self.fill(words.union(names).difference([""]))
+        else:
+            self.fill(set(new).difference([""]))   # no ids: before a border at the start of a text, after one at its end
+        parts = [self.known[c] if x is None and c else x or b"" for c, x in zip(names, parts)]
+
+        out: list = [b""] * len(texts)
+        for i, x in zip(others.tolist(), cut):
+            out[i] = b"".join(map(self.known.__getitem__, x))
+        table, n = np.frombuffer(b"".join(parts), np.uint16), np.fromiter(map(len, parts), np.int64, len(parts)) // 2
+        begin = np.cumsum(n) - n
+        ends = np.concatenate([[0], np.cumsum(n.take(codes))])
+        ids = np.empty(ends[-1], np.uint16)
+        for a in range(0, len(codes), _STEP):
+            c = codes[a:a + _STEP]
+            x, y = ends[a], ends[a + len(c)]
+            ids[x:y] = table.take(np.repeat(begin.take(c) - (ends[a:a + len(c)] - x), n.take(c)) + np.arange(y - x))
+        at = ends[split.offsets.to_numpy()].tolist()
+        for i, x, y in zip(even.tolist(), at, at[1:]):
+            out[i] = ids[x:y].tobytes()
+        long = pc.greater(pc.utf8_length(coded.dictionary), LONGEST_KEPT)
+        self.settle(words.union(coded.dictionary.filter(long).to_pylist()))
+        return out
 
 
 _ENCODERS: dict[str, _Encoder] = {}
@@ -218,6 +300,25 @@ def _encoder(path: str) -> _Encoder:
     return _ENCODERS[path]
 
 
+def _grouped(batches):
+    """The rows in tables of about ``_GROUP_BYTES`` of text or one row, whatever the batches: a chunk is looked up once in each."""
+    rows, held = [], 0
+    for b in batches:
+        used = np.cumsum(pc.binary_length(b.column("text")).fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        a = 0
+        while a < len(used):
+            z = int(np.searchsorted(used, (used[a - 1] if a else 0) + _GROUP_BYTES - held)) + 1
+            rows.append(b.slice(a, z - a))
+            if z <= len(used):
+                yield pa.Table.from_batches(rows).combine_chunks().to_batches()[0]
+                rows, held = [], 0
+            else:
+                held += int(used[-1] - (used[a - 1] if a else 0))
+            a = z
+    if rows:
+        yield pa.Table.from_batches(rows).combine_chunks().to_batches()[0]
+
+
 def write_shards(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, bits: int = 16, text_col: str = "text",
                  id_col: str = "doc_id") -> None:
     """Encode every document and write the shard table to ``path`` (ids of at most 16 bits)."""
@@ -237,28 +338,15 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, bi
             return row
 
         enc = _encoder(tokenizer)
-        for b in batches:
-            keys = A.int64(b.column("doc_id")).tolist()
-            texts = b.column("text").to_pylist()
-            a = 0
-            while a < len(texts):
-                cut, used, z = [], 0, a
-                while z < len(texts) and used < 1 << 21:
-                    used += len(texts[z] or "")
-                    cut.append(enc.chunks(texts[z]) if texts[z] else [])
-                    z += 1
-                distinct = set().union(*cut)
-                enc.fill(distinct)
-                for key, x in zip(keys[a:z], cut):
-                    body = b"".join(map(enc.known.__getitem__, x)) + end
-                    ids.append(key)
-                    sizes.append(len(body) // 2)
-                    bodies.append(body)
-                    total += len(body) // 2
-                    if total >= SHARD_TOKENS:
-                        yield out()
-                enc.settle(distinct)
-                a = z
+        for b in _grouped(batches):
+            for key, body in zip(A.int64(b.column("doc_id")).tolist(), enc.encode_texts(b.column("text"))):
+                body += end
+                ids.append(key)
+                sizes.append(len(body) // 2)
+                bodies.append(body)
+                total += len(body) // 2
+                if total >= SHARD_TOKENS:
+                    yield out()
         if ids:
             yield out()
 

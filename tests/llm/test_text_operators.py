@@ -179,6 +179,32 @@ def test_wavelet_shards(spark, documents, none, tmp_dir):
     assert wavelet.read_documents(spark, f"{tmp_dir}/empty").count() == 0
 
 
+def test_wavelet_encoder_gives_the_library_each_word_once(monkeypatch):
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    path = P.path("byte_bpe_50k.json")
+    lib, enc, given = Tokenizer.from_file(path), wavelet._Encoder(path), []
+    plain = enc._one_by_one
+    monkeypatch.setattr(enc, "_one_by_one", lambda texts: (given.extend(texts), plain(texts))[1])
+    r = random.Random(4)
+    words_ = ["".join(r.choice("aeioußéklmn龍") for _ in range(r.randint(3, 9))) for _ in range(600)]
+    texts = [" ".join(r.choice(words_) + r.choice(["", ".", ",", "!?", "###", '")']) for _ in range(300)) for _ in range(40)]
+    odd = [None, "", " ", "\n", " a", "a ", "\na.", "a.\nb", "a  b.", "a\0b c", "a.\n\nb", "x<|endoftext|>y. z", "it's. 42. a'. b", "tab\there", "é\u3000b c.",
+           "a\x85b c", "\U0001F600. b", " .", ". .", "a. . 4.", "z" * 3000 + ". " + "z" * 3000, "a\n b", "ab.c. d<|e", "x <|endoftext|>"]
+    for some in (texts, odd, texts + odd, []):
+        want = [lib.encode(t or "", add_special_tokens=False).ids for t in some]
+        assert [np.frombuffer(x, np.uint16).tolist() for x in enc.encode_texts(pa.array(some, pa.string()))] == want
+        if some is texts:                          # a word with and without its first space, whatever follows it
+            assert sum(map(len, given)) < 2.5 * sum(len(w) + 1 for w in set(words_))
+        assert enc.used == enc._bytes(enc.known) and all(len(c) <= bpe.LONGEST_KEPT for c in enc.known)
+    enc.bound = 2000                               # entries go and are made again
+    for k in range(0, 40, 8):
+        some = texts[k:k + 8] + odd
+        assert [np.frombuffer(x, np.uint16).tolist() for x in enc.encode_texts(pa.array(some))] == [lib.encode(t or "", add_special_tokens=False).ids for t in some]
+        assert enc.used == enc._bytes(enc.known) <= 2 * enc.bound
+
+
 def test_wavelet_shards_spread_rows_of_one_id(spark, tmp_dir):
     df = spark.createDataFrame([(None, f"text {k % 50} of no id") for k in range(4000)] + [(k, "some") for k in range(800)], "doc_id long, text string").repartition(4)
     wavelet.write_shards(df, f"{tmp_dir}/s", P.path("byte_bpe_50k.json"))
