@@ -223,16 +223,21 @@ class _Encoder(ChunkCache):
         return found
 
     def _ids(self, new: list[str]) -> list[bytes]:
-        known, marks = self.known, self.marks
-        cores = [c.rstrip(marks) if c[0] == " " and c.split() == [c[1:]] else "" for c in new]
-        cores = [x if x == c or x[-1:].isalpha() else c if x else "" for x, c in zip(cores, new)] if marks else cores
-        found = self._words([x for x in set(cores) if x and x not in known])
-        tails = {c[len(x):] for x, c in zip(cores, new) if x}
-        tails = dict(zip(tails, (x.tobytes() for x in self._one_by_one(list(tails)))))
-        out: list = [None] * len(new)
-        for i, (x, c) in enumerate(zip(cores, new)):
-            if x and (head := found.get(x) or known.get(x)):
-                out[i] = head if x == c else head + tails[c[len(x):]]
+        words, marked = [], []
+        for i, c in enumerate(new):
+            if c[0] == " " and c.split() == [c[1:]]:
+                x = c.rstrip(self.marks) if self.marks else c
+                if x != c and x[-1:].isalpha():
+                    marked.append((i, x, c[len(x):]))
+                else:
+                    words.append(c)
+        found = self._words(list({*words, *(x for _, x, _ in marked if x not in self.known)}))
+        out = list(map(found.get, new))
+        tails = list({t for _, _, t in marked})
+        tails = dict(zip(tails, (x.tobytes() for x in self._one_by_one(tails))))
+        for i, x, t in marked:
+            if head := found.get(x) or self.known.get(x):
+                out[i] = head + tails[t]
         feed = next(self._one_by_one(["\n"]))
         lines = [i for i, x in enumerate(out) if x is None and _on_a_line(new[i])] if len(feed) == 1 else []
         for a in range(0, len(lines), 4096):
@@ -264,12 +269,15 @@ class _Encoder(ChunkCache):
         names, codes = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy().astype(np.intp)
         words = set().union(*cut)
         parts = list(map(self.known.get, names))
-        new = [c for c, x in zip(names, parts) if x is None]
+        missing = [i for i, x in enumerate(parts) if x is None]
         if words or self.used > self.bound:        # entries in use stay
             self.fill(words.union(names).difference([""]))
         else:
-            self.fill(set(new).difference([""]))   # no ids: before a border at the start of a text, after one at its end
-        parts = [self.known[c] if x is None and c else x or b"" for c, x in zip(names, parts)]
+            new = [c for i in missing if (c := names[i])]
+            self.known.update(zip(new, self.encode(new)))
+            self.used += self._bytes(new)
+        for i in missing:                          # no ids: before a border at the start of a text, after one at its end
+            parts[i] = self.known[names[i]] if names[i] else b""
 
         out: list = [b""] * len(texts)
         for i, x in zip(others.tolist(), cut):
