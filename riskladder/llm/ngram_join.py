@@ -43,6 +43,7 @@ from riskladder.llm.components import connected_components
 from riskladder.session import materialize
 
 SKETCH_BITS = 22
+PIECE = 1 << 20              # bytes of text at a time, where the rows made do not depend on it
 SEGMENTS = 6                 # fragments of the order used when whole sets are compared
 
 
@@ -82,39 +83,39 @@ def _cell(grams: np.ndarray) -> np.ndarray:
     return (grams >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
 
 
+def _counted(n: int):
+    """Adds the n-grams of a task's documents to its sketch."""
+
+    def add(cells, batches):
+        for t in A.text_chunks(batches, "text", "doc_id", PIECE):
+            np.add.at(cells, _cell(_Sets(t, n).grams), cells.dtype.type(1))
+
+    return add
+
+
 class _Order:
-    """The global order and its fragments, from the sketch (fixed size, broadcast; the ranks are
-    made where they are used)."""
+    """The global order of the cells (by count, then by hash) and its fragments, from the sketch. Broadcast: the counts
+    and, for each number of fragments, the keys at which fragments begin; a task makes nothing else of the sketch's size."""
 
-    def __init__(self, counts: np.ndarray):
+    def __init__(self, counts: np.ndarray, *sizes: int):
         self.counts = counts
-        self.made: dict = {}
-
-    def __reduce__(self):
-        return _Order, (self.counts,)
-
-    @property
-    def by_rank(self) -> np.ndarray:
-        return np.argsort(self.counts, kind="stable")
-
-    @property
-    def rank(self) -> np.ndarray:
-        """Place of each cell in the global order: by count, then by hash."""
-        if "rank" not in self.made:
-            rank = np.empty(len(self.counts), np.uint32)
-            rank[self.by_rank] = np.arange(len(self.counts), dtype=np.uint32)
-            self.made["rank"] = rank
-        return self.made["rank"]
-
-    def fragments(self, n: int) -> np.ndarray:
-        """Fragment of each cell: ``n`` runs of the order with about equally many n-grams."""
-        if n not in self.made:
-            by = self.by_rank
-            mass = np.cumsum(self.counts[by].astype(np.float64) + 1e-9)
-            out = np.empty(len(self.counts), np.uint16 if n < 1 << 16 else np.uint32)
-            out[by] = np.minimum((mass / mass[-1] * n).astype(np.int64), n - 1)
-            self.made[n] = out
-        return self.made[n]
+        by = np.argsort(counts, kind="stable")
+        mass = counts[by].astype(np.float64)
+        mass += 1e-9
+        np.cumsum(mass, out=mass)
+        mass /= mass[-1]
+        self.begin = {n: self._key(by[np.searchsorted(mass * n, np.arange(1, n))]) for n in sizes}
+
+    def _key(self, cells: np.ndarray) -> np.ndarray:
+        return self.counts[cells].astype(np.uint64) << np.uint64(SKETCH_BITS) | cells.astype(np.uint64)
+
+    def in_order(self, grams: np.ndarray) -> np.ndarray:
+        """Hash-sorted n-grams in the global order."""
+        return grams[np.argsort(self.counts[_cell(grams)], kind="stable")]
+
+    def fragments(self, grams: np.ndarray, n: int) -> np.ndarray:
+        """Fragment of each n-gram: ``n`` runs of the order with about equally many n-grams."""
+        return np.searchsorted(self.begin[n], self._key(_cell(grams)), "right")
 
 
 def shingle_sets(docs: DataFrame, n: int = 5, text_col: str = "text", id_col: str = "doc_id", text_key: bool = False) -> DataFrame:
@@ -122,7 +123,7 @@ def shingle_sets(docs: DataFrame, n: int = 5, text_col: str = "text", id_col: st
     more = ["text_md5"] if text_key else []
 
     def scan(batches):
-        for t in A.text_chunks(batches, "text", "doc_id"):
+        for t in A.text_chunks(batches, "text", "doc_id", PIECE):
             s = _Sets(t, n)
             yield pa.RecordBatch.from_arrays(
                 [t.rows.column("doc_id"), pa.array(s.sizes), pa.array(s.signatures().view(np.int64)), *[t.rows.column(c) for c in more]],
@@ -144,7 +145,6 @@ def _prefixes(src: DataFrame, order, n: int, pct: int, tasks: int) -> DataFrame:
 
     def scan(batches):
         o = order.value
-        frag = o.fragments(4 * tasks)              # the crowded fragments are dealt to all tasks
         seen: set[int] = set()
         for t in A.text_chunks(batches, "text", "doc_id"):
             s = _Sets(t, n)
@@ -155,15 +155,14 @@ def _prefixes(src: DataFrame, order, n: int, pct: int, tasks: int) -> DataFrame:
                 if not size or sig in seen:        # copies within a task add nothing
                     continue
                 seen.add(sig)
-                g = s.grams[s.cut[i]:s.cut[i + 1]]
-                g = g[np.argsort(o.rank[_cell(g)], kind="stable")][:size - -(-pct * size // 100) + 1]
+                g = o.in_order(s.grams[s.cut[i]:s.cut[i + 1]])[:size - -(-pct * size // 100) + 1]
                 grams.append(g)
                 pos.append(np.arange(len(g), dtype=np.uint32))
                 which.append(np.full(len(g), i, np.uint32))
             if not grams:
                 continue
             g, p, d = np.concatenate(grams), np.concatenate(pos), np.concatenate(which)
-            to = (frag[_cell(g)] % tasks).astype(np.uint16 if tasks < 1 << 16 else np.uint32)
+            to = (o.fragments(g, 4 * tasks) % tasks).astype(np.uint16 if tasks < 1 << 16 else np.uint32)   # crowded fragments go to all tasks
             by = np.argsort(to, kind="stable")
             g, p, d, to = g[by], p[by], d[by], to[by]
             lo, hi = A.segments(to)
@@ -300,9 +299,8 @@ def _links(src: DataFrame, pairs: DataFrame, order, n: int, pct: int) -> DataFra
 
     def scan(batches):
         o = order.value
-        frag = o.fragments(SEGMENTS)
         seen: set[int] = set()
-        for t in A.text_chunks(batches, "text", "doc_id"):
+        for t in A.text_chunks(batches, "text", "doc_id", PIECE):
             s = _Sets(t, n)
             sigs = s.signatures()
             names, segs = [], []
@@ -312,7 +310,7 @@ def _links(src: DataFrame, pairs: DataFrame, order, n: int, pct: int) -> DataFra
                     continue
                 seen.add(sig)
                 g = s.grams[s.cut[i]:s.cut[i + 1]]
-                f = frag[_cell(g)]
+                f = o.fragments(g, SEGMENTS)
                 names.append(sig - (1 << 64) if sig >> 63 else sig)
                 segs.append([g[f == k].tobytes() for k in range(SEGMENTS)])
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(segs, pa.list_(pa.binary()))], ["sig", "segs"])
@@ -344,12 +342,8 @@ def ngram_jaccard_components(docs: DataFrame, n: int = 5, min_percent: int = 75,
     spark = docs.sparkSession
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
-    def count(cells, batches):
-        for t in A.text_chunks(batches, "text", "doc_id"):
-            cells += np.bincount(_cell(_Sets(t, n).grams), minlength=len(cells)).astype(cells.dtype)
-
-    order = spark.sparkContext.broadcast(_Order(A.fold_array(src, count, 1 << SKETCH_BITS)))
     tasks = A.reduce_tasks(docs)
+    order = spark.sparkContext.broadcast(_Order(A.fold_array(src, _counted(n), 1 << SKETCH_BITS), 4 * tasks, SEGMENTS))
     lists = _prefixes(src, order, n, min_percent, tasks).repartitionById(tasks, F.col("part")).mapInArrow(A.tidy(_lists), _LISTS)
     lists = materialize(lists)
 

@@ -5,13 +5,16 @@ import base64
 import collections
 import hashlib
 import random
+import tracemalloc
 import zlib
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from riskladder.llm import block_dedup, bpe, langid, line_quality, mixing, ngram_join, suffix_dedup, wavelet
+from riskladder.llm import arrays, block_dedup, bpe, langid, line_quality, mixing, ngram_join, suffix_dedup, wavelet
 from riskladder.llm.queries import ORACLE_SQL
 
 from tests_llm_brute import brute_blocks, brute_components, brute_quality, pairs_of, words
@@ -26,6 +29,43 @@ def test_ngram_components(documents, none):
     assert ngram_join.ngram_jaccard_components(none).count() == 0
 
 
+def test_ngram_tasks_make_nothing_else_of_the_sketchs_size():
+    """A task holds the counts of the cells; their places and fragments took some 200 MB beside them."""
+    r, tasks = random.Random(5), 12
+    texts = [" ".join(str(r.randrange(300)) for _ in range(200)) for _ in range(20)]
+    batch = pa.record_batch({"doc_id": list(range(20)), "text": texts})
+    cells = np.zeros(1 << ngram_join.SKETCH_BITS, np.uint32)
+
+    def peak(job):
+        tracemalloc.start()
+        out = job()
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return out, most
+
+    _, most = peak(lambda: ngram_join._counted(5)(cells, iter([batch])))
+    assert cells.sum() == sum(len(set(zip(*(t.split()[i:] for i in range(5))))) for t in texts)
+    assert most < 4 << 20
+    order = SimpleNamespace(value=ngram_join._Order(cells, 4 * tasks, ngram_join.SEGMENTS))
+    src = SimpleNamespace(mapInArrow=lambda scan, schema: scan)
+    parts, most = peak(lambda: list(ngram_join._prefixes(src, order, 5, 75, tasks)(iter([batch]))))
+    assert most < 4 << 20
+    # the order and its fragments, made plainly
+    by = np.argsort(cells, kind="stable")
+    place = np.empty(len(by), np.int64)
+    place[by] = np.arange(len(by))
+    share = np.cumsum(cells[by] + 1e-9)
+    t = arrays.Text(np.arange(20), *arrays.utf8(batch.column("text")), batch)
+    grams = ngram_join._Sets(t, 5).grams
+    grams.sort()
+    cell = (grams >> np.uint64(64 - ngram_join.SKETCH_BITS)).astype(np.int64)
+    assert (order.value.in_order(grams) == grams[np.argsort(place[cell], kind="stable")]).all()
+    for n in (4 * tasks, ngram_join.SEGMENTS):
+        plain = np.minimum((share / share[-1] * n).astype(np.int64), n - 1)
+        assert (order.value.fragments(grams, n) == plain[place[cell]]).all()
+    assert {p for b in parts for p in b.column("part").to_pylist()} <= set(range(tasks))
+
+
 def test_block_dedup(documents, none):
     got = block_dedup.remove_repeats(documents).select("doc_id", "n_words", "n_removed", "kept_text").collect()
     assert sorted(map(tuple, got), key=repr) == sorted(brute_blocks(pairs_of(documents)), key=repr)
